@@ -1,0 +1 @@
+"""basketlab.streaming"""
