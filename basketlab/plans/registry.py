@@ -261,3 +261,156 @@ def test_matrix_inner(spark, sf_dir):
 def labelled_candidates(spark, sf_dir):
     t = tables(spark, sf_dir)
     return M.labelled_candidates(t, M.test_candidates(t))
+
+
+# ---------------------------------------------------------------- exploratory statistics
+from basketlab.operators import eda as E  # noqa: E402
+
+
+def _source_tables(t: BasketTables) -> dict[str, DataFrame]:
+    return {"order_products__prior": t.prior_lines, "orders": t.orders,
+            "order_products__train": t.train_lines, "products": t.products,
+            "aisles": t.aisles, "departments": t.departments}
+
+
+@query
+def null_profile(spark, sf_dir):
+    return E.null_profile(_source_tables(tables(spark, sf_dir)))
+
+
+@query
+def null_after_first(spark, sf_dir):
+    return E.null_after_first(tables(spark, sf_dir).orders)
+
+
+@query
+def distinct_counts(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return E.distinct_counts([
+        ("order_products__prior", t.prior_lines, "reordered"),
+        ("order_products__train", t.train_lines, "reordered"),
+        ("orders", t.orders, "eval_set"),
+        ("test_orders", t.test_orders(), "user_id"),
+    ])
+
+
+@query
+def distinct_values(spark, sf_dir):
+    return E.distinct_values(tables(spark, sf_dir).orders, ["eval_set", "order_dow", "order_hour_of_day"])
+
+
+@query
+def column_extrema(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return t.orders.agg(F.max("days_since_prior_order").alias("max_days_since_prior_order"),
+                        F.max("order_number").alias("max_order_number"),
+                        F.count(F.lit(1)).alias("n_orders"),
+                        t.test_orders().select(F.count(F.lit(1))).scalar().alias("n_test_orders"))
+
+
+@query
+def value_counts_reordered(spark, sf_dir):
+    return E.value_counts(tables(spark, sf_dir).prior_lines, "reordered")
+
+
+@query
+def value_counts_eval_set(spark, sf_dir):
+    return E.value_counts(tables(spark, sf_dir).orders, "eval_set")
+
+
+@query
+def value_counts_dow(spark, sf_dir):
+    return E.value_counts(tables(spark, sf_dir).orders, "order_dow")
+
+
+@query
+def value_counts_days_since(spark, sf_dir):
+    return E.value_counts(tables(spark, sf_dir).orders, "days_since_prior_order")
+
+
+@query
+def value_counts_order_number(spark, sf_dir):
+    return E.value_counts(tables(spark, sf_dir).orders, "order_number")
+
+
+@query
+def cart_histogram(spark, sf_dir):
+    return E.fixed_bin_histogram(tables(spark, sf_dir).prior_lines, "add_to_cart_order", 30)
+
+
+@query
+def user_max_orders(spark, sf_dir):
+    return E.user_max_orders(tables(spark, sf_dir).orders)
+
+
+@query
+def user_max_orders_hist(spark, sf_dir):
+    return E.value_counts(E.user_max_orders(tables(spark, sf_dir).orders), "maximum_orders")
+
+
+@query
+def box_stats(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return (E.box_stats(t.prior_lines, "add_to_cart_order")
+            .unionByName(E.box_stats(t.orders, "days_since_prior_order"))
+            .unionByName(E.box_stats(t.orders, "order_number")))
+
+
+@query
+def corr_pearson(spark, sf_dir):
+    return E.corr_pearson(tables(spark, sf_dir).orders, "order_number", "days_since_prior_order")
+
+
+@query
+def corr_spearman(spark, sf_dir):
+    return E.corr_spearman(tables(spark, sf_dir).orders, "order_number", "days_since_prior_order")
+
+
+@query
+def dow_hour_contingency(spark, sf_dir):
+    return E.contingency(tables(spark, sf_dir).orders, "order_dow", "order_hour_of_day", E.HOURS)
+
+
+@query
+def chi_square(spark, sf_dir):
+    return E.chi_square(tables(spark, sf_dir).orders, "order_dow", "order_hour_of_day")
+
+
+@query
+def chi_square_test(spark, sf_dir):
+    return E.chi_square_test(tables(spark, sf_dir).orders, "order_dow", "order_hour_of_day")
+
+
+@query
+def dow_hour_counts(spark, sf_dir):
+    return (tables(spark, sf_dir).orders.groupBy("order_dow", "order_hour_of_day")
+            .agg(F.count(F.lit(1)).alias("count")).orderBy("order_dow", "order_hour_of_day"))
+
+
+@query
+def organic_contingency(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return E.pattern_flag_contingency(t.prior_lines, t.products, TEST_ORGANIC_PATTERN)
+
+
+@query
+def organic_reorder_rate(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return E.pattern_reorder_rate(t.prior_lines, t.products, TEST_ORGANIC_PATTERN)
+
+
+@query
+def aisle_product_counts(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return E.aisle_product_counts(t.products, t.departments, t.aisles)
+
+
+@query
+def dept_reorder_rate(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return E.dept_reorder_rate(t.orders, t.prior_lines, t.products, t.departments)
+
+
+@query
+def cart_position_reorder(spark, sf_dir):
+    return E.cart_position_reorder(tables(spark, sf_dir).prior_lines)

@@ -1,6 +1,8 @@
 """DuckDB oracle SQL for the registered queries (same keys as the registry)."""
 
+from oracles.eda_sql import ORACLES as _EDA
 from oracles.features_sql import ORACLES as _FEATURES
 
 ORACLES: dict[str, str] = {}
 ORACLES.update(_FEATURES)
+ORACLES.update(_EDA)
