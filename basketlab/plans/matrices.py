@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from basketlab.operators import product as P
@@ -31,12 +33,14 @@ def test_candidates(t: BasketTables, drop_null_products: bool = False) -> DataFr
 
 
 def test_matrix(user_f: DataFrame, product_f: DataFrame, up_f: DataFrame, time_orders: DataFrame,
-                candidates: DataFrame, how: str = "left", rename_time: bool = True) -> DataFrame:
+                candidates: DataFrame, how: str = "left", rename_time: bool = True,
+                keep: Sequence[str] = ()) -> DataFrame:
     """A2: candidates + the two scalar time means + user / product / user-product features.
 
     ``how="inner"`` is the older variant (drops candidates without
     features; the time columns come last).  ``rename_time`` applies the
     trainer's renaming so train and test matrices share column names.
+    ``keep`` lists extra candidate columns to carry (e.g. a hold-out label).
     """
     for df, what in ((user_f, "user features"), (up_f, "user-product features")):
         require_columns(df, "user_id", what=what)
@@ -45,15 +49,15 @@ def test_matrix(user_f: DataFrame, product_f: DataFrame, up_f: DataFrame, time_o
     require_columns(candidates, "user_id", "product_id", what="candidates")
     means = TM.time_means(time_orders)
     tm = [means.select(c).scalar().alias(c) for c in TEST_TIME_COLUMNS]
-    m = (candidates.select("user_id", "product_id")
+    m = (candidates.select("user_id", "product_id", *keep)
          .join(up_f, ["user_id", "product_id"], how)
          .join(user_f, "user_id", how)
          .join(product_f, "product_id", how))
     feats = [*U.USER_FEATURES, *P.PRODUCT_FEATURES, *X.USER_PRODUCT_FEATURES]
     if how == "inner":
-        out = m.select("user_id", "product_id", *feats, *tm)
+        out = m.select("user_id", "product_id", *keep, *feats, *tm)
     else:
-        out = m.select("user_id", "product_id", *tm, *feats)
+        out = m.select("user_id", "product_id", *keep, *tm, *feats)
     return out.withColumnsRenamed(TIME_RENAME) if rename_time else out
 
 
@@ -66,3 +70,18 @@ def labelled_candidates(t: BasketTables, candidates: DataFrame) -> DataFrame:
               .select("user_id", "product_id", F.lit(1).alias("_hit")).distinct())
     return (candidates.join(bought, ["user_id", "product_id"], "left")
             .select("user_id", "product_id", F.coalesce("_hit", F.lit(0)).alias("reordered")))
+
+
+def reorder_share_score(t: BasketTables, up_f: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Deterministic baseline score of a labelled candidate: the share of the
+    user's history orders that contained the product (0 without history).
+
+    Used to exercise the metric operators on a score that SQL can reproduce.
+    """
+    n_orders = t.history_orders().groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+    s = (labelled.join(up_f.select("user_id", "product_id", "num_of_ord_purch_p_prod"),
+                       ["user_id", "product_id"], "left")
+         .join(n_orders, "user_id", "left"))
+    return s.select("user_id", "product_id", F.col("reordered").alias("label"),
+                    F.coalesce(F.try_divide(F.col("num_of_ord_purch_p_prod"), F.col("_n")), F.lit(0.0))
+                    .alias("score"))

@@ -10,7 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
+from basketlab.operators import eda as E
+from basketlab.operators import metrics as MT
+from basketlab.operators import ml as ML
 from basketlab.operators import product as P
 from basketlab.operators import streaks as S
 from basketlab.operators import time as TM
@@ -18,6 +22,8 @@ from basketlab.operators import user as U
 from basketlab.operators import user_product as X
 from basketlab.plans import matrices as M
 from basketlab.plans.features import FeatureSet
+from basketlab.schemas import cast_bulk as _cast_bulk, cast_by_type as _cast_by_type
+from basketlab.session import checkpoint_dir, scratch_path
 from basketlab.sources.tables import BasketTables
 from basketlab.sources.testdata import load_testdata
 
@@ -264,7 +270,6 @@ def labelled_candidates(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- exploratory statistics
-from basketlab.operators import eda as E  # noqa: E402
 
 
 def _source_tables(t: BasketTables) -> dict[str, DataFrame]:
@@ -414,3 +419,147 @@ def dept_reorder_rate(spark, sf_dir):
 @query
 def cart_position_reorder(spark, sf_dir):
     return E.cart_position_reorder(tables(spark, sf_dir).prior_lines)
+
+
+# ---------------------------------------------------------------- casts, folds
+@query
+def cast_bulk(spark, sf_dir):
+    return _cast_bulk(tables(spark, sf_dir).orders, "double", except_cols=["eval_set"])
+
+
+@query
+def cast_by_type(spark, sf_dir):
+    return _cast_by_type(U.user_basket_size(features(spark, sf_dir)[1].order_stats), T.LongType, T.DoubleType())
+
+
+@query
+def fold_assign(spark, sf_dir):
+    m = features(spark, sf_dir)[1].train_matrix()
+    return ML.assign_folds(m.select("user_id", "product_id", "reordered"))
+
+
+# ---------------------------------------------------------------- metrics on a deterministic score
+def _baseline_scored(spark, sf_dir):
+    t, fs = features(spark, sf_dir)
+    labelled = M.labelled_candidates(t, M.test_candidates(t))
+    return M.reorder_share_score(t, fs.user_product_features(), labelled)
+
+
+@query
+def baseline_scores(spark, sf_dir):
+    return _baseline_scored(spark, sf_dir)
+
+
+@query
+def metric_confusion(spark, sf_dir):
+    return MT.confusion_counts(_baseline_scored(spark, sf_dir))
+
+
+@query
+def metric_prf(spark, sf_dir):
+    return MT.precision_recall_f1(_baseline_scored(spark, sf_dir))
+
+
+@query
+def metric_auc(spark, sf_dir):
+    return MT.roc_auc(_baseline_scored(spark, sf_dir))
+
+
+@query
+def metric_logloss(spark, sf_dir):
+    return MT.log_loss(_baseline_scored(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- Spark ML (rows-only checks)
+def _matrices(spark, sf_dir):
+    """Checkpointed train matrix and labelled test matrix (lineage cut before fitting)."""
+    checkpoint_dir(spark)
+    t, fs = features(spark, sf_dir)
+    train = fs.train_matrix().checkpoint()
+    labelled = M.labelled_candidates(t, M.test_candidates(t))
+    test = M.test_matrix(fs.user_features(), fs.product_features(), fs.user_product_features(),
+                         fs.orders, labelled, keep=["reordered"]).checkpoint()
+    return train, test
+
+
+@query
+def feature_vector(spark, sf_dir):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    m = features(spark, sf_dir)[1].train_matrix()
+    feats = ML.feature_columns(m)
+    v = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep").transform(ML.prepare(m, feats))
+    return v.select("user_id", "product_id", "label", vector_to_array("features").alias("features"))
+
+
+@query
+def train_gbt(spark, sf_dir):
+    return ML.train_and_evaluate(*_matrices(spark, sf_dir), ML.PRESETS["gbt"]())
+
+
+@query
+def train_gbt_reference_params(spark, sf_dir):
+    return ML.train_and_evaluate(*_matrices(spark, sf_dir), ML.booster_preset(max_iter=20))
+
+
+@query
+def train_gbt_alt(spark, sf_dir):
+    return ML.train_and_evaluate(*_matrices(spark, sf_dir), ML.PRESETS["gbt_alt"]())
+
+
+@query
+def train_rf(spark, sf_dir):
+    return ML.train_and_evaluate(*_matrices(spark, sf_dir), ML.PRESETS["rf"]())
+
+
+@query
+def train_glm(spark, sf_dir):
+    return ML.train_and_evaluate(*_matrices(spark, sf_dir), ML.PRESETS["glm"]())
+
+
+@query
+def cv_folds(spark, sf_dir):
+    train, _ = _matrices(spark, sf_dir)
+    return ML.cross_validate(train, ML.PRESETS["gbt"](10), folds=3)
+
+
+@query
+def score(spark, sf_dir):
+    train, test = _matrices(spark, sf_dir)
+    feats = ML.feature_columns(train)
+    return ML.score(ML.fit(train, ML.PRESETS["gbt"](), feats), test, feats)
+
+
+def _fitted(spark, sf_dir, preset):
+    train, _ = _matrices(spark, sf_dir)
+    feats = ML.feature_columns(train)
+    return train, feats, ML.fit(train, preset, feats)
+
+
+@query
+def feature_importance(spark, sf_dir):
+    _, feats, model = _fitted(spark, sf_dir, ML.PRESETS["gbt"]())
+    return ML.feature_importance(spark, model, feats)
+
+
+@query
+def unused_features(spark, sf_dir):
+    _, feats, model = _fitted(spark, sf_dir, ML.PRESETS["gbt"]())
+    return ML.unused_features(spark, ML.feature_importance(spark, model, feats), feats)
+
+
+@query
+def loss_history(spark, sf_dir):
+    train, feats, model = _fitted(spark, sf_dir, ML.PRESETS["gbt"]())
+    return ML.loss_history(spark, model, train, feats)
+
+
+@query
+def run_log(spark, sf_dir):
+    train, test = _matrices(spark, sf_dir)
+    feats = ML.feature_columns(train)
+    preset = ML.PRESETS["glm"]()
+    model, secs = ML.timed_fit(train, preset, feats)
+    metrics = ML.evaluate(ML.score(model, test, feats))
+    return ML.log_run(spark, scratch_path(spark, "runs"), preset, metrics, secs,
+                      dataset_version="1.2", model_version="1.1.1")

@@ -2,7 +2,8 @@
 
 from oracles.eda_sql import ORACLES as _EDA
 from oracles.features_sql import ORACLES as _FEATURES
+from oracles.model_sql import ORACLES as _MODEL
 
 ORACLES: dict[str, str] = {}
-ORACLES.update(_FEATURES)
-ORACLES.update(_EDA)
+for _part in (_FEATURES, _EDA, _MODEL):
+    ORACLES.update(_part)
