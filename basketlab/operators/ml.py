@@ -165,7 +165,7 @@ def loss_history(spark: SparkSession, model: PipelineModel, data: DataFrame, fea
     est = model.stages[-1]
     if hasattr(est, "evaluateEachIteration"):
         asm = model.stages[0].transform(prepare(data, features, label))
-        losses = est.evaluateEachIteration(asm, "logistic")
+        losses = est.evaluateEachIteration(asm)
     elif hasattr(est, "summary"):
         losses = est.summary.objectiveHistory
     else:

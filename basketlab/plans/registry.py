@@ -563,3 +563,21 @@ def run_log(spark, sf_dir):
     metrics = ML.evaluate(ML.score(model, test, feats))
     return ML.log_run(spark, scratch_path(spark, "runs"), preset, metrics, secs,
                       dataset_version="1.2", model_version="1.1.1")
+
+
+# ---------------------------------------------------------------- sinks
+@query
+def sink_roundtrip(spark, sf_dir):
+    """Write the user features as Parquet below the checkpoint folder and read them back."""
+    from basketlab.sources.sinks import write_table
+    path = write_table(features(spark, sf_dir)[1].user_features(), scratch_path(spark, "user_features"))
+    return spark.read.parquet(path)
+
+
+@query
+def csv_roundtrip(spark, sf_dir):
+    """Header-less CSV + schema manifest, read back with the manifest's types."""
+    from basketlab.sources.csv import read_matrix
+    from basketlab.sources.sinks import write_table
+    path = write_table(features(spark, sf_dir)[1].time_features(), scratch_path(spark, "time_features"), "csv")
+    return read_matrix(spark, path, "csv")

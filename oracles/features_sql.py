@@ -256,6 +256,8 @@ FROM b_hist_lines l LEFT JOIN f_time t USING (order_id)
   LEFT JOIN f_up USING (user_id, product_id)
 """),
     "test_candidates": q(CTE_CAND + "SELECT * FROM c_cand"),
+    "sink_roundtrip": q(CTE_USER + "SELECT * FROM f_user"),
+    "csv_roundtrip": q(CTE_TIME + "SELECT * FROM f_time"),
     "test_matrix": _test_matrix("left"),
     "test_matrix_inner": _test_matrix("inner"),
     "labelled_candidates": q(CTE_CAND + """
