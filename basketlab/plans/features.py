@@ -19,7 +19,9 @@ from basketlab.operators import streaks as S
 from basketlab.operators import time as TM
 from basketlab.operators import user as U
 from basketlab.operators import user_product as X
+from basketlab.functions.joins import sized_for_broadcast
 from basketlab.schemas import cast_by_type, require_columns
+from basketlab.session import checkpoint_dir
 from basketlab.sources.tables import BasketTables, LINE_COLS
 
 TRAIN_MATRIX_COLUMNS = ("user_id", "product_id", "reordered", *TM.TIME_FEATURES, *U.USER_FEATURES,
@@ -32,10 +34,17 @@ class FeatureSet:
     ``streak_mode`` picks the reference-compatible (``compat``, default) or
     the corrected (``island``) streak grouping; ``keywords`` are the product
     name substrings of the keyword user feature.
+
+    ``materialize`` checkpoints the per-(order, product) table, which five
+    feature aggregations read: Spark cannot reuse its exchanges across them
+    (each branch prunes different columns), so without it the lines x orders
+    join would run once per branch.  The checkpoint goes to the shared
+    ``spark.checkpoint.dir`` and also cuts the lineage for executor loss.
     """
 
     def __init__(self, lines: DataFrame, orders: DataFrame, products: DataFrame,
-                 keywords: Sequence[str] = B.DEFAULT_KEYWORDS, streak_mode: str = "compat"):
+                 keywords: Sequence[str] = B.DEFAULT_KEYWORDS, streak_mode: str = "compat",
+                 materialize: bool = True):
         require_columns(lines, *LINE_COLS, what="order lines")
         require_columns(orders, "order_id", *B.ORDER_ATTRS, what="orders")
         require_columns(products, "product_id", "product_name", what="products")
@@ -43,6 +52,7 @@ class FeatureSet:
             raise ValueError(f"streak_mode must be one of {S.STREAK_MODES}")
         self.lines, self.orders, self.products = lines, orders, products
         self.keywords, self.streak_mode = tuple(keywords), streak_mode
+        self.materialize = materialize
 
     @classmethod
     def from_tables(cls, t: BasketTables, **kw) -> FeatureSet:
@@ -56,7 +66,11 @@ class FeatureSet:
 
     @cached_property
     def op(self) -> DataFrame:
-        return B.order_product_stats(self.base)
+        op = B.order_product_stats(self.base)
+        if self.materialize:
+            checkpoint_dir(op.sparkSession)
+            op = op.checkpoint(eager=True)
+        return op
 
     @cached_property
     def order_stats(self) -> DataFrame:
@@ -65,6 +79,12 @@ class FeatureSet:
     def streak_lengths(self, mode: str | None = None) -> DataFrame:
         return S.streak_lengths(self.op, mode or self.streak_mode)
 
+    def _keep(self, df: DataFrame) -> DataFrame:
+        if self.materialize:
+            checkpoint_dir(df.sparkSession)
+            return df.checkpoint(eager=True)
+        return df
+
     # -- feature groups ---------------------------------------------------
     def user_features(self) -> DataFrame:
         return U.user_features(self.order_stats)
@@ -75,6 +95,12 @@ class FeatureSet:
     def user_product_features(self) -> DataFrame:
         return X.user_product_features(self.op)
 
+    @cached_property
+    def feature_tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """(user, product, user-product) features, materialised once for the matrices."""
+        return (self._keep(self.user_features()), self._keep(self.product_features()),
+                self._keep(self.user_product_features()))
+
     def time_features(self) -> DataFrame:
         return TM.time_features(self.orders)
 
@@ -86,15 +112,20 @@ class FeatureSet:
 
         The per-order time counts are looked up by weekday / hour on the
         already joined base instead of re-joining lines with an order-level
-        table.  Join order: (user, product), user, then product features
-        (the product side is the smallest and usually broadcast by AQE).
+        table.  The line table is shuffled for the (user, product) join; the
+        product (and, if small, the user) features are broadcast after a
+        measured size check, otherwise they are shuffle joins whose hot keys
+        adaptive execution splits.
         """
         dow = TM.orders_per_dow(self.orders)
         hour = TM.orders_per_hour(self.orders)
+        user_f, prod_f, up_f = self.feature_tables
+        if self.materialize:
+            user_f, prod_f = sized_for_broadcast(user_f), sized_for_broadcast(prod_f)
         m = (self.base.select("user_id", "product_id", "reordered", "order_dow", "order_hour_of_day")
              .join(dow, "order_dow", "left").join(hour, "order_hour_of_day", "left")
-             .join(self.user_product_features(), ["user_id", "product_id"], "left")
-             .join(self.user_features(), "user_id", "left")
-             .join(self.product_features(), "product_id", "left"))
+             .join(up_f, ["user_id", "product_id"], "left")
+             .join(prod_f, "product_id", "left")
+             .join(user_f, "user_id", "left"))
         m = cast_by_type(m.select(*TRAIN_MATRIX_COLUMNS), T.LongType, T.DoubleType())
         return cast_by_type(m, T.StringType, T.DoubleType(), safe=True)

@@ -249,8 +249,7 @@ def test_candidates(spark, sf_dir):
 
 def _test_matrix(spark, sf_dir, how):
     t, fs = features(spark, sf_dir)
-    return M.test_matrix(fs.user_features(), fs.product_features(), fs.user_product_features(),
-                         fs.orders, M.test_candidates(t), how=how)
+    return M.test_matrix(*fs.feature_tables, fs.orders, M.test_candidates(t), how=how)
 
 
 @query
@@ -477,8 +476,7 @@ def _matrices(spark, sf_dir):
     t, fs = features(spark, sf_dir)
     train = fs.train_matrix().checkpoint()
     labelled = M.labelled_candidates(t, M.test_candidates(t))
-    test = M.test_matrix(fs.user_features(), fs.product_features(), fs.user_product_features(),
-                         fs.orders, labelled, keep=["reordered"]).checkpoint()
+    test = M.test_matrix(*fs.feature_tables, fs.orders, labelled, keep=["reordered"]).checkpoint()
     return train, test
 
 
