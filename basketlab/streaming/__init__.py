@@ -1 +1,6 @@
-"""basketlab.streaming"""
+"""Streaming: intentionally empty.
+
+The reference pipeline only reads and writes batch files (no watermarks,
+windows over time, state or late data), so there is nothing to express with
+Structured Streaming.  The batch job can be re-run per new drop of files.
+"""
