@@ -21,7 +21,7 @@ from basketlab.operators import user as U
 from basketlab.operators import user_product as X
 from basketlab.functions.joins import sized_for_broadcast
 from basketlab.schemas import cast_by_type, require_columns
-from basketlab.session import checkpoint_dir
+from basketlab.session import materialize
 from basketlab.sources.tables import BasketTables, LINE_COLS
 
 TRAIN_MATRIX_COLUMNS = ("user_id", "product_id", "reordered", *TM.TIME_FEATURES, *U.USER_FEATURES,
@@ -35,11 +35,11 @@ class FeatureSet:
     the corrected (``island``) streak grouping; ``keywords`` are the product
     name substrings of the keyword user feature.
 
-    ``materialize`` checkpoints the per-(order, product) table, which five
-    feature aggregations read: Spark cannot reuse its exchanges across them
-    (each branch prunes different columns), so without it the lines x orders
-    join would run once per branch.  The checkpoint goes to the shared
-    ``spark.checkpoint.dir`` and also cuts the lineage for executor loss.
+    ``materialize`` writes the per-(order, product) table, which five feature
+    aggregations read, as a Parquet table in the shared checkpoint folder:
+    Spark cannot reuse exchanges across branches that prune different
+    columns, so without it the lines x orders join would run once per
+    branch.  The written table also cuts the lineage for executor loss.
     """
 
     def __init__(self, lines: DataFrame, orders: DataFrame, products: DataFrame,
@@ -67,10 +67,7 @@ class FeatureSet:
     @cached_property
     def op(self) -> DataFrame:
         op = B.order_product_stats(self.base)
-        if self.materialize:
-            checkpoint_dir(op.sparkSession)
-            op = op.checkpoint(eager=True)
-        return op
+        return materialize(op, "order_product_stats") if self.materialize else op
 
     @cached_property
     def order_stats(self) -> DataFrame:
@@ -79,11 +76,8 @@ class FeatureSet:
     def streak_lengths(self, mode: str | None = None) -> DataFrame:
         return S.streak_lengths(self.op, mode or self.streak_mode)
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        if self.materialize:
-            checkpoint_dir(df.sparkSession)
-            return df.checkpoint(eager=True)
-        return df
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name) if self.materialize else df
 
     # -- feature groups ---------------------------------------------------
     def user_features(self) -> DataFrame:
@@ -98,8 +92,9 @@ class FeatureSet:
     @cached_property
     def feature_tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """(user, product, user-product) features, materialised once for the matrices."""
-        return (self._keep(self.user_features()), self._keep(self.product_features()),
-                self._keep(self.user_product_features()))
+        return (self._keep(self.user_features(), "user_features"),
+                self._keep(self.product_features(), "product_features"),
+                self._keep(self.user_product_features(), "user_product_features"))
 
     def time_features(self) -> DataFrame:
         return TM.time_features(self.orders)

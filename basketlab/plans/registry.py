@@ -46,10 +46,20 @@ def tables(spark: SparkSession, sf_dir: str) -> BasketTables:
     return load_testdata(spark, sf_dir)
 
 
+_FEATURES: dict[tuple, FeatureSet] = {}
+
+
 def features(spark: SparkSession, sf_dir: str, **kw) -> tuple[BasketTables, FeatureSet]:
+    """The star schema and a FeatureSet over its history, shared per Spark
+    application: its materialised intermediates (per-(order, product) table,
+    feature tables) are built once and read by every query, as the batch job
+    builds both matrices from one set of written feature tables."""
     t = tables(spark, sf_dir)
     kw.setdefault("keywords", TEST_KEYWORDS)
-    return t, FeatureSet.from_tables(t, **kw)
+    key = (spark.sparkContext.applicationId, sf_dir, tuple(sorted((k, str(v)) for k, v in kw.items())))
+    if key not in _FEATURES:
+        _FEATURES[key] = FeatureSet.from_tables(t, **kw)
+    return t, _FEATURES[key]
 
 
 # ---------------------------------------------------------------- sources

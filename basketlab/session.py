@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every basketlab job relies on.  Sizes (executor memory, number of
 # executors) are left to spark-submit; these are semantic / planner settings.
@@ -61,3 +63,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name) if "://" not in base else base.rstrip("/") + "/tables/" + name
+
+
+def materialize(df: DataFrame, name: str, keep_partitioning: bool = False) -> DataFrame:
+    """Compute ``df`` once and cut its lineage in the shared checkpoint folder.
+
+    Default: write a Parquet table and read it back (columnar: consumers read
+    only the columns they need, filters are pushed into the scan).  With
+    ``keep_partitioning`` a reliable checkpoint is used instead, which keeps
+    the plan's output partitioning so a following join on the same keys
+    needs no new shuffle; the rows are persisted first so the checkpoint does
+    not recompute them.
+    """
+    spark = df.sparkSession
+    if keep_partitioning:
+        checkpoint_dir(spark)
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = cached.checkpoint(eager=True)
+        cached.unpersist()
+        return out
+    path = scratch_path(spark, f"{name}_{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

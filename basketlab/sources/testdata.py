@@ -118,10 +118,9 @@ def _write_and_read(spark: SparkSession, sf_dir: str) -> BasketTables:
     def put(name: str, df: DataFrame) -> DataFrame:
         return spark.read.parquet(write_table(df, f"{base}/{name}"))
 
-    # the product dimensions are small and cheap to derive; only the two
-    # fact-sized tables are written
     products, aisles, departments, part_map = products_from_part(read_table(spark, sf_dir, "part"))
-    star = {"products": products, "aisles": aisles, "departments": departments}
+    star = {"products": put("products", products), "aisles": put("aisles", aisles),
+            "departments": put("departments", departments)}
     star["orders"] = put("orders", orders_from_tpch(read_table(spark, sf_dir, "orders")))
     star["order_products"] = put("order_products", order_lines_from_tpch(
         read_table(spark, sf_dir, "lineitem"), part_map, star["orders"]))

@@ -42,6 +42,10 @@ def main() -> None:
     t0 = time.time()
     load_testdata(spark, sf_dir)  # derive + write the star schema once (shared by all queries)
     times["star_schema"] = round(time.time() - t0, 3)
+    from basketlab.plans.registry import features
+    t0 = time.time()
+    features(spark, sf_dir)[1].feature_tables  # materialise the shared feature tables once
+    times["feature_tables"] = round(time.time() - t0, 3)
     for k in keys:
         t0 = time.time()
         REGISTRY[k](spark, sf_dir).write.format("noop").mode("overwrite").save()

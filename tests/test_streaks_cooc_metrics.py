@@ -83,3 +83,21 @@ def test_auc_with_ties_matches_pairwise_count(spark):
     want = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p in pos for n in neg) / (len(pos) * len(neg))
     got = MT.roc_auc(spark.createDataFrame(data, "label int, score double")).first().auc
     assert got == pytest.approx(want, abs=1e-6)
+
+
+@pytest.mark.parametrize("bucket_rows", [1, 2, 3, 4096])
+@pytest.mark.parametrize("seq,compat,island", SEQS)
+def test_bucketed_equals_window(spark, seq, compat, island, bucket_rows):
+    """Tiny buckets force every run to cross bucket boundaries."""
+    df = spark.createDataFrame([(1, 7, 100 + n, n) for n in seq] + [(2, 7, 900 + n, n) for n in (1, 2, 5)],
+                               "user_id long, product_id long, order_id long, order_number int")
+    for mode in ("compat", "island"):
+        a = rows(S.streak_lengths(df, mode, "bucketed", bucket_rows), "user_id", "product_id", "grp",
+                 "length_of_streaks")
+        b = rows(S.streak_lengths(df, mode, "window"), "user_id", "product_id", "grp", "length_of_streaks")
+        assert a == b, (mode, bucket_rows)
+    fa = rows(S.streak_flags(df, "bucketed", bucket_rows), "user_id", "order_number", "next_order_number",
+              "is_streak_continued_flag")
+    fb = rows(S.streak_flags(df, "window"), "user_id", "order_number", "next_order_number",
+              "is_streak_continued_flag")
+    assert fa == fb
