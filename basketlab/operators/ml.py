@@ -43,8 +43,8 @@ class Preset:
     algorithm: str
     params: dict = field(default_factory=dict)
 
-    def estimator(self, features_col: str = "features", label_col: str = "label"):
-        kw = dict(featuresCol=features_col, labelCol=label_col, **self.params)
+    def estimator(self, features_col: str = "features", label_col: str = "label", **extra):
+        kw = dict(featuresCol=features_col, labelCol=label_col, **self.params, **extra)
         if self.algorithm in ("gbt", "gbt_alt"):
             return GBTClassifier(**kw)
         if self.algorithm == "rf":
@@ -92,10 +92,29 @@ def prepare(df: DataFrame, features: Sequence[str], label: str = LABEL) -> DataF
             .na.fill(0.0, subset=list(features)))
 
 
-def fit(train: DataFrame, preset: Preset, features: Sequence[str], label: str = LABEL) -> PipelineModel:
-    """M2-M6: fit ``VectorAssembler -> estimator`` on a matrix."""
+def fit(train: DataFrame, preset: Preset, features: Sequence[str], label: str = LABEL,
+        validation=None, validation_tol: float = 0.01) -> PipelineModel:
+    """M2-M6: fit ``VectorAssembler -> estimator`` on a matrix.
+
+    M8: with ``validation`` (a boolean Column marking evaluation rows) a
+    boosted-tree model stops adding trees once the validation loss improves
+    by less than ``validation_tol``; the marked rows are not trained on.
+    """
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[asm, preset.estimator()]).fit(prepare(train, features, label))
+    data = prepare(train, features, label)
+    if validation is None:
+        est = preset.estimator()
+    else:
+        if preset.algorithm not in ("gbt", "gbt_alt"):
+            raise ValueError("early stopping on a validation set needs a boosted-tree preset")
+        data = data.withColumn("is_validation", validation)
+        est = preset.estimator(validationIndicatorCol="is_validation", validationTol=validation_tol)
+    return Pipeline(stages=[asm, est]).fit(data)
+
+
+def trees_built(model: PipelineModel) -> int:
+    est = model.stages[-1]
+    return int(est.getNumTrees) if hasattr(est, "getNumTrees") else 0
 
 
 def score(model: PipelineModel, df: DataFrame, features: Sequence[str], label: str = LABEL) -> DataFrame:

@@ -40,11 +40,13 @@ class FeatureSet:
     Spark cannot reuse exchanges across branches that prune different
     columns, so without it the lines x orders join would run once per
     branch.  The written table also cuts the lineage for executor loss.
+    ``table_dir`` names where the feature tables are written (default: a
+    fresh folder below the checkpoint folder).
     """
 
     def __init__(self, lines: DataFrame, orders: DataFrame, products: DataFrame,
                  keywords: Sequence[str] = B.DEFAULT_KEYWORDS, streak_mode: str = "compat",
-                 materialize: bool = True):
+                 materialize: bool = True, table_dir: str | None = None):
         require_columns(lines, *LINE_COLS, what="order lines")
         require_columns(orders, "order_id", *B.ORDER_ATTRS, what="orders")
         require_columns(products, "product_id", "product_name", what="products")
@@ -52,7 +54,7 @@ class FeatureSet:
             raise ValueError(f"streak_mode must be one of {S.STREAK_MODES}")
         self.lines, self.orders, self.products = lines, orders, products
         self.keywords, self.streak_mode = tuple(keywords), streak_mode
-        self.materialize = materialize
+        self.materialize, self.table_dir = materialize, table_dir
 
     @classmethod
     def from_tables(cls, t: BasketTables, **kw) -> FeatureSet:
@@ -77,7 +79,9 @@ class FeatureSet:
         return S.streak_lengths(self.op, mode or self.streak_mode)
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name) if self.materialize else df
+        if not self.materialize:
+            return df
+        return materialize(df, name, path=f"{self.table_dir.rstrip('/')}/{name}" if self.table_dir else None)
 
     # -- feature groups ---------------------------------------------------
     def user_features(self) -> DataFrame:

@@ -3,9 +3,10 @@
     spark-submit -m basketlab.plans.job --orders ... --prior ... --train ... \
         --products ... --output s3a://bucket/run/
 
-Each feature table is written once and read back, so both matrices reuse
-it and an executor lost during matrix assembly re-reads files instead of
-recomputing the feature lineage.
+The per-(order, product) table goes to the shared checkpoint folder; the
+three feature tables are written once under ``output/features`` and read
+back, so both matrices reuse them and an executor lost during matrix
+assembly re-reads files instead of recomputing the feature lineage.
 """
 
 from __future__ import annotations
@@ -26,17 +27,11 @@ from basketlab.sources.tables import BasketTables
 def run(spark: SparkSession, t: BasketTables, output: str, fmt: str = "parquet",
         streak_mode: str = "compat") -> dict[str, str]:
     out = output.rstrip("/")
-    fs = FeatureSet.from_tables(t, streak_mode=streak_mode)
-    written = {}
-    for name, df in (("user_features", fs.user_features()), ("product_features", fs.product_features()),
-                     ("user_product_features", fs.user_product_features())):
-        written[name] = write_table(df, f"{out}/features/{name}")
-    user_f = spark.read.parquet(written["user_features"])
-    prod_f = spark.read.parquet(written["product_features"])
-    up_f = spark.read.parquet(written["user_product_features"])
-
-    train = fs.train_matrix()
-    written["train_matrix"] = write_table(train, f"{out}/final_prior_train_set", fmt)
+    fs = FeatureSet.from_tables(t, streak_mode=streak_mode, table_dir=f"{out}/features")
+    user_f, prod_f, up_f = fs.feature_tables  # written once under output/features, read back
+    written = {name: f"{out}/features/{name}"
+               for name in ("user_features", "product_features", "user_product_features")}
+    written["train_matrix"] = write_table(fs.train_matrix(), f"{out}/final_prior_train_set", fmt)
     test = M.test_matrix(user_f, prod_f, up_f, fs.orders, M.test_candidates(t))
     written["test_matrix"] = write_table(test, f"{out}/featured_test_set", fmt)
     return written

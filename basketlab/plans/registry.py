@@ -23,7 +23,7 @@ from basketlab.operators import user_product as X
 from basketlab.plans import matrices as M
 from basketlab.plans.features import FeatureSet
 from basketlab.schemas import cast_bulk as _cast_bulk, cast_by_type as _cast_by_type
-from basketlab.session import checkpoint_dir, scratch_path
+from basketlab.session import materialize, scratch_path
 from basketlab.sources.tables import BasketTables
 from basketlab.sources.testdata import load_testdata
 
@@ -481,12 +481,11 @@ def metric_logloss(spark, sf_dir):
 
 # ---------------------------------------------------------------- Spark ML (rows-only checks)
 def _matrices(spark, sf_dir):
-    """Checkpointed train matrix and labelled test matrix (lineage cut before fitting)."""
-    checkpoint_dir(spark)
+    """Train matrix and labelled test matrix as written tables (lineage cut before fitting)."""
     t, fs = features(spark, sf_dir)
-    train = fs.train_matrix().checkpoint()
+    train = materialize(fs.train_matrix(), "train_matrix")
     labelled = M.labelled_candidates(t, M.test_candidates(t))
-    test = M.test_matrix(*fs.feature_tables, fs.orders, labelled, keep=["reordered"]).checkpoint()
+    test = materialize(M.test_matrix(*fs.feature_tables, fs.orders, labelled, keep=["reordered"]), "test_matrix")
     return train, test
 
 
@@ -510,6 +509,17 @@ def train_gbt_reference_params(spark, sf_dir):
     return ML.train_and_evaluate(*_matrices(spark, sf_dir), ML.booster_preset(max_iter=20))
 
 
+@query
+def train_gbt_early_stop(spark, sf_dir):
+    """M6/M8: boosted trees with a user-level validation set and early stopping."""
+    train, test = _matrices(spark, sf_dir)
+    feats = ML.feature_columns(train)
+    model = ML.fit(train, ML.PRESETS["gbt"](60), feats,
+                   validation=F.pmod(F.col("user_id"), F.lit(5)) == 0, validation_tol=0.001)
+    return ML.evaluate(ML.score(model, test, feats)).select(
+        F.lit("gbt").alias("algorithm"), F.lit(ML.trees_built(model)).alias("trees_built"), "*")
+
+
 @query
 def train_gbt_alt(spark, sf_dir):
     return ML.train_and_evaluate(*_matrices(spark, sf_dir), ML.PRESETS["gbt_alt"]())
@@ -562,6 +572,12 @@ def loss_history(spark, sf_dir):
     return ML.loss_history(spark, model, train, feats)
 
 
+@query
+def loss_history_glm(spark, sf_dir):
+    train, feats, model = _fitted(spark, sf_dir, ML.PRESETS["glm"]())
+    return ML.loss_history(spark, model, train, feats)
+
+
 @query
 def run_log(spark, sf_dir):
     train, test = _matrices(spark, sf_dir)

@@ -65,7 +65,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name) if "://" not in base else base.rstrip("/") + "/tables/" + name
 
 
-def materialize(df: DataFrame, name: str, keep_partitioning: bool = False) -> DataFrame:
+def materialize(df: DataFrame, name: str, keep_partitioning: bool = False,
+                path: str | None = None) -> DataFrame:
     """Compute ``df`` once and cut its lineage in the shared checkpoint folder.
 
     Default: write a Parquet table and read it back (columnar: consumers read
@@ -73,7 +74,8 @@ def materialize(df: DataFrame, name: str, keep_partitioning: bool = False) -> Da
     ``keep_partitioning`` a reliable checkpoint is used instead, which keeps
     the plan's output partitioning so a following join on the same keys
     needs no new shuffle; the rows are persisted first so the checkpoint does
-    not recompute them.
+    not recompute them.  ``path`` writes to a chosen location instead of
+    a fresh folder below the checkpoint folder.
     """
     spark = df.sparkSession
     if keep_partitioning:
@@ -82,6 +84,6 @@ def materialize(df: DataFrame, name: str, keep_partitioning: bool = False) -> Da
         out = cached.checkpoint(eager=True)
         cached.unpersist()
         return out
-    path = scratch_path(spark, f"{name}_{uuid.uuid4().hex[:12]}")
+    path = path or scratch_path(spark, f"{name}_{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -40,7 +40,7 @@ def load_csv_tables(spark: SparkSession, orders: str, prior: str, train: str, pr
 
 def read_schema_manifest(spark: SparkSession, path: str) -> T.StructType:
     """The schema written next to a matrix by :func:`basketlab.sources.sinks.write_table`."""
-    text = spark.read.text(path.rstrip("/") + "/_schema").first()[0]
+    text = spark.read.text(path.rstrip("/") + "/schema").first()[0]
     return T.StructType.fromJson(json.loads(text))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
                 mode: str = "overwrite") -> str:
-    """Write ``df`` to ``path``; CSV data goes to ``path/data`` with the schema in ``path/_schema``."""
+    """Write ``df`` to ``path``; CSV data goes to ``path/data`` with the schema in ``path/schema``."""
     if fmt == "parquet":
         w = df.write.mode(mode)
         if partition_by:
@@ -21,7 +21,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
         w.parquet(path)
     elif fmt == "csv":
         spark = df.sparkSession
-        spark.createDataFrame([(df.schema.json(),)], "value string").write.mode(mode).text(path + "/_schema")
+        spark.createDataFrame([(df.schema.json(),)], "value string").write.mode(mode).text(path + "/schema")
         w = df.write.mode(mode).option("header", False)
         if partition_by:
             w = w.partitionBy(*partition_by)
