@@ -7,6 +7,7 @@ over all of it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -594,7 +595,7 @@ def run_log(spark, sf_dir):
 def sink_roundtrip(spark, sf_dir):
     """Write the user features as Parquet below the checkpoint folder and read them back."""
     from basketlab.sources.sinks import write_table
-    path = write_table(features(spark, sf_dir)[1].user_features(), scratch_path(spark, "user_features"))
+    path = write_table(features(spark, sf_dir)[1].user_features(), scratch_path(spark, f"user_features_{uuid.uuid4().hex[:12]}"))
     return spark.read.parquet(path)
 
 
@@ -603,5 +604,5 @@ def csv_roundtrip(spark, sf_dir):
     """Header-less CSV + schema manifest, read back with the manifest's types."""
     from basketlab.sources.csv import read_matrix
     from basketlab.sources.sinks import write_table
-    path = write_table(features(spark, sf_dir)[1].time_features(), scratch_path(spark, "time_features"), "csv")
+    path = write_table(features(spark, sf_dir)[1].time_features(), scratch_path(spark, f"time_features_{uuid.uuid4().hex[:12]}"), "csv")
     return read_matrix(spark, path, "csv")
