@@ -118,7 +118,8 @@ def user_all_new_orders(spark, sf_dir):
 
 @query
 def user_features(spark, sf_dir):
-    return features(spark, sf_dir)[1].user_features()
+    """The materialised user feature table (built once per application)."""
+    return features(spark, sf_dir)[1].feature_tables[0]
 
 
 # ---------------------------------------------------------------- product
@@ -203,7 +204,8 @@ def prod_order_share(spark, sf_dir):
 
 @query
 def product_features(spark, sf_dir):
-    return features(spark, sf_dir)[1].product_features()
+    """The materialised product feature table (built once per application)."""
+    return features(spark, sf_dir)[1].feature_tables[1]
 
 
 # ---------------------------------------------------------------- user x product
@@ -224,7 +226,8 @@ def up_cooccurrence(spark, sf_dir):
 
 @query
 def user_product_features(spark, sf_dir):
-    return features(spark, sf_dir)[1].user_product_features()
+    """The materialised user x product feature table (built once per application)."""
+    return features(spark, sf_dir)[1].feature_tables[2]
 
 
 # ---------------------------------------------------------------- time, matrices

@@ -16,16 +16,19 @@ Mapping (the oracle SQL implements the same rules independently):
   ``add_to_cart_order`` = position by (``ln``, ``product_id``) in the order;
   ``reordered = 1`` iff the user bought the product in an earlier order.
 
-The per-user / per-order windows below only exist to *derive* the sequence
-columns of the test data; real inputs carry them in the source files.
+The sequence numbers (order number per user, cart position per order) use
+:func:`basketlab.functions.sequence.sequence_number`, which stays
+distributed when one user or order holds a large share of the rows; real
+inputs carry these columns in the source files.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from basketlab.functions.sequence import sequence_number
 from basketlab.sources.tables import LINE_COLS, BasketTables
 
 
@@ -53,12 +56,12 @@ def products_from_part(part: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
 def orders_from_tpch(orders: DataFrame) -> DataFrame:
     o = orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
                       F.col("o_orderdate").alias("_od"))
-    w = Window.partitionBy("user_id").orderBy("_od", "order_id")
-    o = o.withColumns({
-        "order_number": F.row_number().over(w).cast("int"),
-        "_prev": F.lag("_od").over(w),
-        "_n": F.count(F.lit(1)).over(Window.partitionBy("user_id")),
-    })
+    o = sequence_number(o, ["user_id"], ["_od", "order_id"], "order_number")
+    # previous order's date and the user's last order number: equi-joins and an
+    # aggregate instead of lag / count windows over a whole user
+    prev = o.select("user_id", (F.col("order_number") + 1).alias("order_number"), F.col("_od").alias("_prev"))
+    last = o.groupBy("user_id").agg(F.max("order_number").alias("_n"))
+    o = o.join(prev, ["user_id", "order_number"], "left").join(last, "user_id")
     return o.select(
         "order_id", "user_id",
         F.when(F.col("order_number") == F.col("_n"),
@@ -78,11 +81,11 @@ def order_lines_from_tpch(lineitem: DataFrame, part_map: DataFrame, orders: Data
            .groupBy(F.col("l_orderkey").alias("order_id"), "product_id")
            .agg(F.min("l_linenumber").alias("_ln")))
     x = raw.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
-    x = x.withColumn("_first", F.min("order_number").over(Window.partitionBy("user_id", "product_id")))
-    cart = Window.partitionBy("order_id").orderBy("_ln", "product_id")
+    first = x.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first"))
+    x = sequence_number(x.join(first, ["user_id", "product_id"]), ["order_id"], ["_ln", "product_id"],
+                        "add_to_cart_order")
     return x.select(
-        "order_id", "product_id",
-        F.row_number().over(cart).cast("int").alias("add_to_cart_order"),
+        "order_id", "product_id", "add_to_cart_order",
         (F.col("order_number") > F.col("_first")).cast("int").alias("reordered"),
         "eval_set",
     )
