@@ -3,17 +3,20 @@
 Input rows must be unique on (user, product, order_number); the
 per-(order, product) table guarantees it.
 
-Two execution strategies give identical results:
+Execution strategies with identical results:
 
 * ``window``: windows partitioned by (user_id, product_id); one exchange
   serves the ``lead``, both ``row_number`` windows and the length count.
   A window partition holds one user's purchases of one product.
-* ``bucketed`` (default): the same numbers computed inside
-  (user, product, order-number bucket) windows of at most ``bucket_rows``
-  rows.  A small per-bucket table (first order, row count, flag count)
-  supplies the offsets from earlier buckets and the next bucket's first
-  order, so even a user holding a third of all purchases is spread over
-  many tasks.
+* ``bucketed``: the same numbers computed inside (user, product,
+  order-number bucket) windows of at most ``bucket_rows`` rows.  A small
+  per-bucket table (first order, row count, flag count) supplies the
+  offsets from earlier buckets and the next bucket's first order, so even a
+  user holding a third of all purchases is spread over many tasks.
+* ``auto`` (default): order numbers are distinct within a (user, product),
+  so a window partition has at most ``max(order_number)`` rows.  One scalar
+  aggregate measures that bound; below ``bucket_rows`` the plain windows are
+  provably bounded and used, otherwise the bucketed plan runs.
 
 Two grouping modes:
 
@@ -34,7 +37,7 @@ from basketlab.schemas import cast_by_type
 from basketlab.session import materialize
 
 STREAK_MODES = ("compat", "island")
-STRATEGIES = ("bucketed", "window")
+STRATEGIES = ("auto", "bucketed", "window")
 BUCKET_ROWS = 4096
 _K = ("user_id", "product_id", "_b")
 
@@ -43,10 +46,20 @@ def _w():
     return Window.partitionBy("user_id", "product_id").orderBy("order_number")
 
 
-def streak_flags(df: DataFrame, strategy: str = "bucketed", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def resolve_strategy(df: DataFrame, strategy: str, bucket_rows: int) -> str:
+    """``auto`` -> ``window`` when the largest order number proves every
+    (user, product) window is smaller than ``bucket_rows``, else ``bucketed``."""
+    if strategy != "auto":
+        return strategy
+    top = df.agg(F.max("order_number")).first()[0]
+    return "window" if top is None or top < bucket_rows else "bucketed"
+
+
+def streak_flags(df: DataFrame, strategy: str = "auto", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Next order number of the same (user, product) and the run flag."""
     cols = ["user_id", "product_id", "order_id", "order_number", "next_order_number", "is_streak_continued_flag"]
-    if strategy == "window":
+    _check("compat", strategy)
+    if resolve_strategy(df, strategy, bucket_rows) == "window":
         nxt = F.lead("order_number", 1).over(_w())
         return (df.select("user_id", "product_id", "order_id", "order_number")
                 .withColumn("next_order_number", nxt).withColumn("is_streak_continued_flag", _flag()))
@@ -87,7 +100,7 @@ def _bucketed(df: DataFrame, bucket_rows: int) -> DataFrame:
             .withColumn("_f1", F.coalesce(F.sum("is_streak_continued_flag").over(before), F.lit(0))))
 
 
-def streak_lengths(df: DataFrame, mode: str = "compat", strategy: str = "bucketed",
+def streak_lengths(df: DataFrame, mode: str = "compat", strategy: str = "auto",
                    bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(user_id, product_id, grp, length_of_streaks).
 
@@ -96,7 +109,7 @@ def streak_lengths(df: DataFrame, mode: str = "compat", strategy: str = "buckete
     flag value.  island: ``grp = order_number - row_number(user, product)``.
     """
     _check(mode, strategy)
-    if strategy == "window":
+    if resolve_strategy(df, strategy, bucket_rows) == "window":
         if mode == "compat":
             w2 = Window.partitionBy("user_id", "product_id", "is_streak_continued_flag").orderBy("order_number")
             g = streak_flags(df, "window").withColumn("grp", F.row_number().over(_w()) - F.row_number().over(w2))

@@ -13,12 +13,14 @@ from conftest import rows
        st.sampled_from([1, 3, 8]))
 def test_sequence_number_matches_row_number(spark, data, parts):
     df = spark.createDataFrame([(g, o, i) for i, (g, o) in enumerate(data)], "g long, o long, i long")
-    got = rows(sequence_number(df, ["g"], ["o"], "seq", partitions=parts), "i", "seq")
+    got = rows(sequence_number(df, ["g"], ["o"], "seq", partitions=parts, max_group_rows=None), "i", "seq")
     want = rows(df.withColumn("seq", F.row_number().over(Window.partitionBy("g").orderBy("o"))), "i", "seq")
     assert got == want
 
 
 def test_hot_group_spread(spark):
     df = spark.range(0, 5000).select(F.lit(7).alias("g"), (F.col("id") * 3).alias("o"))
-    out = sequence_number(df, ["g"], ["o"], "seq", partitions=8)
+    out = sequence_number(df, ["g"], ["o"], "seq", partitions=8, max_group_rows=100)
     assert out.filter(F.col("seq") != F.col("o") / 3 + 1).count() == 0
+    small = sequence_number(df, ["g"], ["o"], "seq", max_group_rows=10_000)  # measured: plain window
+    assert small.filter(F.col("seq") != F.col("o") / 3 + 1).count() == 0
