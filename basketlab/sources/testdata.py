@@ -80,10 +80,12 @@ def order_lines_from_tpch(lineitem: DataFrame, part_map: DataFrame, orders: Data
            .join(part_map, F.col("l_partkey") == F.col("p_partkey"))
            .groupBy(F.col("l_orderkey").alias("order_id"), "product_id")
            .agg(F.min("l_linenumber").alias("_ln")))
+    # the cart position only depends on the order's own lines: number them
+    # before the joins that attach the user sequence
+    raw = sequence_number(raw, ["order_id"], ["_ln", "product_id"], "add_to_cart_order")
     x = raw.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
     first = x.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first"))
-    x = sequence_number(x.join(first, ["user_id", "product_id"]), ["order_id"], ["_ln", "product_id"],
-                        "add_to_cart_order")
+    x = x.join(first, ["user_id", "product_id"])
     return x.select(
         "order_id", "product_id", "add_to_cart_order",
         (F.col("order_number") > F.col("_first")).cast("int").alias("reordered"),
