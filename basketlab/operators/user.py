@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from basketlab.operators.base import DEFAULT_KEYWORDS, order_stats
 from basketlab.schemas import cast_by_type
 
 USER_FEATURES = (
@@ -75,7 +72,3 @@ def user_features(ostats: DataFrame) -> DataFrame:
     )
     return cast_by_type(out, T.LongType, T.DoubleType())
 
-
-def build_order_stats(op: DataFrame, products: DataFrame,
-                      keywords: Sequence[str] = DEFAULT_KEYWORDS) -> DataFrame:
-    return order_stats(op, products, keywords)
