@@ -24,3 +24,17 @@ def test_hot_group_spread(spark):
     assert out.filter(F.col("seq") != F.col("o") / 3 + 1).count() == 0
     small = sequence_number(df, ["g"], ["o"], "seq", max_group_rows=10_000)  # measured: plain window
     assert small.filter(F.col("seq") != F.col("o") / 3 + 1).count() == 0
+
+
+def test_running_total_distributed_path_matches_window(spark):
+    """More distinct keys than the range sampler looks at, forced onto the distributed path."""
+    from basketlab.functions.prefix import mid_ranks, running_total
+    df = spark.range(0, 20000).select(((F.col("id") * 7919) % 20000).alias("k"), (F.col("id") % 5).alias("v"))
+    got = running_total(df, ["k"], "v", "cum", partitions=8, max_single_task_rows=None)
+    want = df.withColumn("cum", F.sum("v").over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)))
+    assert got.join(want.withColumnRenamed("cum", "w"), ["k", "v"]).filter("cum != w").count() == 0
+    assert got.count() == 20000
+    ties = spark.range(0, 3000).select((F.col("id") % 97).alias("x"))
+    a = rows(mid_ranks(ties, "x", "r", max_single_task_rows=None), "x", "r")
+    b = rows(mid_ranks(ties, "x", "r"), "x", "r")
+    assert a == b
