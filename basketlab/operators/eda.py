@@ -34,9 +34,16 @@ def null_after_first(orders: DataFrame) -> DataFrame:
             .agg(F.count_if(F.col("days_since_prior_order").isNull()).alias("null_count")))
 
 
-def distinct_counts(columns: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
-    """(table_name, column_name, n_distinct); NULL counts as one value."""
-    parts = [df.agg((F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).alias("n_distinct"))
+def distinct_counts(columns: Sequence[tuple[str, DataFrame, str]], approx: bool = False) -> DataFrame:
+    """(table_name, column_name, n_distinct); NULL counts as one value.
+
+    ``approx=True`` uses the fixed-memory HyperLogLog++ sketch
+    (``approx_count_distinct``) instead of an exact distinct aggregation.
+    """
+    def nd(c):
+        return F.approx_count_distinct(c) if approx else F.count_distinct(c)
+
+    parts = [df.agg((nd(c) + F.max(F.col(c).isNull().cast("int"))).alias("n_distinct"))
              .select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "n_distinct")
              for t, df, c in columns]
     out = parts[0]

@@ -75,3 +75,12 @@ def test_feature_tables_unique_on_keys(ctx):
     assert fs.user_features().groupBy("user_id").count().filter("count > 1").count() == 0
     assert fs.product_features().groupBy("product_id").count().filter("count > 1").count() == 0
     assert fs.user_product_features().groupBy("user_id", "product_id").count().filter("count > 1").count() == 0
+
+
+def test_distinct_counts_approx_small_domains(ctx):
+    from basketlab.operators import eda as E
+    t = ctx[0]
+    cols = [("orders", t.orders, "eval_set"), ("orders", t.orders, "order_dow")]
+    exact = sorted(E.distinct_counts(cols).collect())
+    approx = sorted(E.distinct_counts(cols, approx=True).collect())
+    assert exact == approx
