@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from basketlab.operators import base as B
@@ -106,12 +106,26 @@ class FeatureSet:
     def time_means(self) -> DataFrame:
         return TM.time_means(self.orders)
 
+    def _line_spine(self) -> DataFrame:
+        """One row per history line with its order attributes.
+
+        When no (order, product) pair has two lines -- one scalar aggregate
+        over the written per-(order, product) table says so -- that table is
+        the spine and the lines are not joined with the orders a second
+        time.  With duplicate lines the joined base keeps one row per line.
+        """
+        cols = ("user_id", "product_id", "reordered", "order_dow", "order_hour_of_day")
+        if self.materialize and (self.op.agg(F.max("m")).first()[0] or 0) <= 1:
+            return self.op.select("user_id", "product_id", F.col("reord_sum").cast("int").alias("reordered"),
+                                  "order_dow", "order_hour_of_day")
+        return self.base.select(*cols)
+
     def train_matrix(self) -> DataFrame:
         """A1: one row per history line: keys, label and the 34 features.
 
         The per-order time counts are looked up by weekday / hour on the
-        already joined base instead of re-joining lines with an order-level
-        table.  The line table is shuffled for the (user, product) join; the
+        line spine (which already carries them) instead of re-joining lines
+        with an order-level table.  The line table is shuffled for the (user, product) join; the
         product (and, if small, the user) features are broadcast after a
         measured size check, otherwise they are shuffle joins whose hot keys
         adaptive execution splits.
@@ -121,7 +135,7 @@ class FeatureSet:
         user_f, prod_f, up_f = self.feature_tables
         if self.materialize:
             user_f, prod_f = sized_for_broadcast(user_f), sized_for_broadcast(prod_f)
-        m = (self.base.select("user_id", "product_id", "reordered", "order_dow", "order_hour_of_day")
+        m = (self._line_spine()
              .join(dow, "order_dow", "left").join(hour, "order_hour_of_day", "left")
              .join(up_f, ["user_id", "product_id"], "left")
              .join(prod_f, "product_id", "left")

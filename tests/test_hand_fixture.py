@@ -92,3 +92,12 @@ def test_train_matrix_shape(fs):
 def test_order_dow_pivot(fs):
     got = rows(P.order_dow_pivot(fs.orders), "order_id", "dow_0", "dow_1", "dow_6")
     assert got == [(1, 1, 0, 0), (2, 0, 1, 0), (3, 1, 0, 0), (4, 1, 0, 0)]
+
+
+def test_train_matrix_with_duplicate_lines(spark):
+    """A duplicated (order, product) line keeps one matrix row per line (joined-base spine)."""
+    dup = LINES + [(3, 12, 3, 0)]
+    fs = FeatureSet.from_tables(make_tables(spark, ORDERS, dup, PRODUCTS))
+    m = fs.train_matrix()
+    assert m.count() == len(dup)
+    assert rows(m.filter("product_id = 12"), "user_id", "reordered") == [(1, 0), (1, 0)]
