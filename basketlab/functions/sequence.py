@@ -23,6 +23,12 @@ from basketlab.session import materialize
 MAX_GROUP_ROWS = 1_000_000
 
 
+def groups_bounded(df: DataFrame, group_cols: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS) -> bool:
+    """True when no group has more than ``max_group_rows`` rows (one partial aggregation)."""
+    biggest = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return biggest is None or biggest <= max_group_rows
+
+
 def sequence_number(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], name: str,
                     partitions: int | None = None, max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Add ``name`` = 1-based position of the row in its group by ``order_cols``.
@@ -35,11 +41,9 @@ def sequence_number(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     written once (partition ids must not change if a task is retried).
     """
     g = list(group_cols)
-    if max_group_rows is not None:
-        biggest = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-        if biggest is None or biggest <= max_group_rows:
-            w = Window.partitionBy(*g).orderBy(*order_cols)
-            return df.withColumn(name, F.row_number().over(w).cast("int"))
+    if max_group_rows is not None and groups_bounded(df, g, max_group_rows):
+        w = Window.partitionBy(*g).orderBy(*order_cols)
+        return df.withColumn(name, F.row_number().over(w).cast("int"))
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *g, *order_cols).withColumn("_pid", F.spark_partition_id())

@@ -26,9 +26,9 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from basketlab.functions.sequence import sequence_number
+from basketlab.functions.sequence import MAX_GROUP_ROWS, groups_bounded, sequence_number
 from basketlab.sources.tables import LINE_COLS, BasketTables
 
 
@@ -53,15 +53,22 @@ def products_from_part(part: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
             part_map.select("p_partkey", "product_id"))
 
 
-def orders_from_tpch(orders: DataFrame) -> DataFrame:
+def orders_from_tpch(orders: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     o = orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
                       F.col("o_orderdate").alias("_od"))
-    o = sequence_number(o, ["user_id"], ["_od", "order_id"], "order_number")
-    # previous order's date and the user's last order number: equi-joins and an
-    # aggregate instead of lag / count windows over a whole user
-    prev = o.select("user_id", (F.col("order_number") + 1).alias("order_number"), F.col("_od").alias("_prev"))
-    last = o.groupBy("user_id").agg(F.max("order_number").alias("_n"))
-    o = o.join(prev, ["user_id", "order_number"], "left").join(last, "user_id")
+    if groups_bounded(o, ["user_id"], max_group_rows):
+        # every user's history fits one task: one window pass numbers the
+        # orders and finds the previous date and the last order
+        w = Window.partitionBy("user_id").orderBy("_od", "order_id")
+        o = o.withColumns({"order_number": F.row_number().over(w).cast("int"), "_prev": F.lag("_od").over(w),
+                           "_n": F.count(F.lit(1)).over(Window.partitionBy("user_id"))})
+    else:
+        # a user too large for one task: distributed numbering, then the
+        # previous date and the last order number by equi-join and aggregate
+        o = sequence_number(o, ["user_id"], ["_od", "order_id"], "order_number", max_group_rows=None)
+        prev = o.select("user_id", (F.col("order_number") + 1).alias("order_number"), F.col("_od").alias("_prev"))
+        last = o.groupBy("user_id").agg(F.max("order_number").alias("_n"))
+        o = o.join(prev, ["user_id", "order_number"], "left").join(last, "user_id")
     return o.select(
         "order_id", "user_id",
         F.when(F.col("order_number") == F.col("_n"),
