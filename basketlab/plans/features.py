@@ -142,3 +142,19 @@ class FeatureSet:
              .join(user_f, "user_id", "left"))
         m = cast_by_type(m.select(*TRAIN_MATRIX_COLUMNS), T.LongType, T.DoubleType())
         return cast_by_type(m, T.StringType, T.DoubleType(), safe=True)
+
+    # -- entry points under the original pipeline's method names ------------
+    def generate_user_related_features(self) -> DataFrame:
+        return self.user_features()
+
+    def generate_product_related_features(self) -> DataFrame:
+        return self.product_features()
+
+    def generate_user_product_related_features(self) -> DataFrame:
+        return self.user_product_features()
+
+    def generate_time_related_features(self) -> DataFrame:
+        return self.time_features()
+
+    def generate_all_types_of_features(self) -> DataFrame:
+        return self.train_matrix()

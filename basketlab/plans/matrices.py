@@ -61,6 +61,30 @@ def test_matrix(user_f: DataFrame, product_f: DataFrame, up_f: DataFrame, time_o
     return out.withColumnsRenamed(TIME_RENAME) if rename_time else out
 
 
+def generate_test_set_features(user_stats: DataFrame, product_stats: DataFrame, user_product_stats: DataFrame,
+                               time_stats: DataFrame, test_set: DataFrame) -> DataFrame:
+    """A2 under the original pipeline's signature: ``time_stats`` is the
+    per-order time-feature table.  Each weekday (hour) carries one count, so
+    the corrected means are averages over its distinct (weekday, count)
+    pairs.  Columns keep the ``time_mean_*`` names, as that pipeline did.
+    """
+    require_columns(time_stats, "dow", "hour_of_day", *TM.TIME_FEATURES, what="time features")
+    for df, what in ((user_stats, "user features"), (user_product_stats, "user-product features")):
+        require_columns(df, "user_id", what=what)
+    for df, what in ((product_stats, "product features"), (user_product_stats, "user-product features")):
+        require_columns(df, "product_id", what=what)
+    require_columns(test_set, "user_id", "product_id", what="test_set")
+    dow = time_stats.select("dow", "total_ord_count_p_dow").distinct().agg(F.avg("total_ord_count_p_dow"))
+    hour = time_stats.select("hour_of_day", "total_ord_count_p_ohod").distinct().agg(
+        F.avg("total_ord_count_p_ohod"))
+    feats = [*U.USER_FEATURES, *P.PRODUCT_FEATURES, *X.USER_PRODUCT_FEATURES]
+    return (test_set.select("user_id", "product_id")
+            .join(user_stats, "user_id", "left").join(product_stats, "product_id", "left")
+            .join(user_product_stats, ["user_id", "product_id"], "left")
+            .select("user_id", "product_id", dow.scalar().alias("time_mean_dow_count"),
+                    hour.scalar().alias("time_mean_ohod_count"), *feats))
+
+
 def labelled_candidates(t: BasketTables, candidates: DataFrame) -> DataFrame:
     """A4: label each candidate with whether the user bought it in the test order."""
     if t.test_lines is None:

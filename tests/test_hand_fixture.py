@@ -101,3 +101,18 @@ def test_train_matrix_with_duplicate_lines(spark):
     m = fs.train_matrix()
     assert m.count() == len(dup)
     assert rows(m.filter("product_id = 12"), "user_id", "reordered") == [(1, 0), (1, 0)]
+
+
+def test_original_api_names(spark, fs):
+    from basketlab.plans import matrices as M
+    t = make_tables(spark, ORDERS + [(5, 2, "test", 2, 1, 9, 2)], LINES, PRODUCTS)
+    f = FeatureSet.from_tables(t)
+    assert rows(f.generate_user_related_features(), "user_id") == [(1,), (2,)]
+    assert f.generate_all_types_of_features().count() == len(LINES)
+    cand = M.test_candidates(t)
+    out = M.generate_test_set_features(f.generate_user_related_features(), f.generate_product_related_features(),
+                                       f.generate_user_product_related_features(),
+                                       f.generate_time_related_features(), cand)
+    new = M.test_matrix(*f.feature_tables, f.orders, cand, rename_time=False)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, new.select(*out.columns).collect()))
+    assert rows(out, "time_mean_dow_count", "time_mean_ohod_count")[0] == (2.0, 2.0)
