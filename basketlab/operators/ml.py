@@ -54,19 +54,19 @@ class Preset:
         raise ValueError(f"unknown algorithm {self.algorithm!r}")
 
 
-def booster_preset(max_iter: int = 500, seed: int = 42) -> Preset:
-    """M2/M6: the reference booster mapped to ``GBTClassifier``.
+def booster_preset(max_iter: int | None = None, seed: int = 42, params: dict | None = None) -> Preset:
+    """M2/M6: booster parameters (default: the reference's) mapped to ``GBTClassifier``.
 
     depth, step size, row subsampling and rounds map directly; column
     subsampling becomes a per-node feature fraction; the minimum hessian
     weight becomes a minimum number of rows per node.  ``gamma`` / L1 / L2
     have no tree counterpart in Spark ML and are dropped.
     """
-    p = REFERENCE_BOOSTER_PARAMS
-    return Preset("gbt", dict(maxIter=max_iter, maxDepth=p["max_depth"], stepSize=p["eta"],
-                              subsamplingRate=p["subsample"],
-                              featureSubsetStrategy=f"{p['colsample_bytree']:.2f}",
-                              minInstancesPerNode=p["min_child_weight"], lossType="logistic", seed=seed))
+    p = {**REFERENCE_BOOSTER_PARAMS, **(params or {})}
+    return Preset("gbt", dict(maxIter=int(max_iter or p["rounds"]), maxDepth=int(p["max_depth"]),
+                              stepSize=float(p["eta"]), subsamplingRate=float(p["subsample"]),
+                              featureSubsetStrategy=f"{float(p['colsample_bytree']):.2f}",
+                              minInstancesPerNode=int(p["min_child_weight"]), lossType="logistic", seed=seed))
 
 
 PRESETS = {
@@ -218,3 +218,49 @@ def timed_fit(train: DataFrame, preset: Preset, features: Sequence[str], label:
     t0 = time.time()
     model = fit(train, preset, features, label)
     return model, time.time() - t0
+
+
+class ModelTrainer:
+    """M2-M7, M10, M20 under the original trainer's interface.
+
+    Each ``train_*`` fits on ``train_set``, scores ``test_set`` (the train
+    set when none is given), appends a run record (parameters, training
+    time, precision / recall / F1 / AUC / log loss, versions, commit) to the
+    Parquet ``runs`` table of the experiment and returns the fitted model.
+    """
+
+    def __init__(self, experiment_name: str, train_set: DataFrame, test_set: DataFrame | None = None,
+                 target_column: str = LABEL, runs_path: str | None = None):
+        from basketlab.session import scratch_path
+        self.experiment_name, self.train_set, self.test_set = experiment_name, train_set, test_set
+        self.target_column = target_column
+        self.spark = train_set.sparkSession
+        self.runs_path = runs_path or scratch_path(self.spark, f"runs_{experiment_name}")
+        self.last_run: DataFrame | None = None
+
+    def _run(self, preset: Preset, commit: str, dataset_version: str, model_version: str) -> PipelineModel:
+        feats = feature_columns(self.train_set, self.target_column)
+        model, secs = timed_fit(self.train_set, preset, feats, self.target_column)
+        data = self.test_set if self.test_set is not None else self.train_set
+        metrics = evaluate(score(model, data, feats, self.target_column))
+        self.last_run = log_run(self.spark, self.runs_path, preset, metrics, secs,
+                                dataset_version, model_version, commit)
+        return model
+
+    def train_xgb_gbm(self, commit, dataset_version, model_version, params=None):
+        return self._run(booster_preset(params=params), commit, dataset_version, model_version)
+
+    def train_xgb_rf(self, commit, dataset_version, model_version, params=None):
+        n = int((params or {}).get("rounds", 100))
+        return self._run(PRESETS["rf"](n), commit, dataset_version, model_version)
+
+    def train_lgbm(self, commit, dataset_version, model_version, params=None):
+        n = int((params or {}).get("rounds", 250))
+        return self._run(PRESETS["gbt_alt"](n), commit, dataset_version, model_version)
+
+    def train_h2o_glm(self, commit, dataset_version, model_version, params=None):
+        return self._run(PRESETS["glm"](), commit, dataset_version, model_version)
+
+    def train_h2o_gbm(self, commit, dataset_version, model_version, params=None):
+        n = int((params or {}).get("rounds", 50))
+        return self._run(PRESETS["gbt"](n), commit, dataset_version, model_version)

@@ -35,3 +35,16 @@ def test_model_save_load_predict(spark):
     assert s1 == s2
     m = ML.evaluate(ML.score(back, df, feats)).first()
     assert m.auc > 0.9
+
+
+def test_model_trainer_interface(spark):
+    rows = [(i, i % 7, float(i % 5), float(i % 3), int(i % 5 > 2)) for i in range(300)]
+    train = spark.createDataFrame(rows, "user_id long, product_id long, a double, b double, reordered int")
+    mt = ML.ModelTrainer("unit", train)
+    model = mt.train_xgb_gbm("abc123", "1.2", "1.1.1", params={"rounds": 5, "min_child_weight": 1})
+    rec = mt.last_run.first()
+    assert rec.algorithm == "gbt" and rec.commit == "abc123" and rec.dataset_version == "1.2"
+    assert 0.0 <= rec.auc <= 1.0 and rec.training_seconds > 0
+    assert model.stages[-1].getNumTrees == 5
+    mt.train_h2o_glm("abc123", "1.2", "1.1.1")
+    assert spark.read.parquet(mt.runs_path).count() == 2
