@@ -84,3 +84,23 @@ def test_distinct_counts_approx_small_domains(ctx):
     exact = sorted(E.distinct_counts(cols).collect())
     approx = sorted(E.distinct_counts(cols, approx=True).collect())
     assert exact == approx
+
+
+def test_train_matrix_plan_stays_small(ctx):
+    """The matrix reads written tables: no raw-table rescans, few exchanges."""
+    import re
+    p = plan_text(ctx[1].train_matrix())
+    assert "lineitem.parquet" not in p and "part.parquet" not in p
+    assert len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", p)) <= 8
+
+
+def test_eval_set_filter_pushed_to_scan(ctx):
+    p = ctx[0].test_orders()._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(eval_set), EqualTo(eval_set,test)]" in p
+
+
+def test_auto_streak_strategy_is_measured(ctx):
+    from basketlab.operators import streaks as S
+    op = ctx[1].op
+    assert S.resolve_strategy(op, "auto", S.BUCKET_ROWS) == "window"
+    assert S.resolve_strategy(op, "auto", 2) == "bucketed"
