@@ -21,14 +21,24 @@ TIME_RENAME = dict(zip(TEST_TIME_COLUMNS, TM.TIME_FEATURES))
 def test_candidates(t: BasketTables, drop_null_products: bool = False) -> DataFrame:
     """Distinct (user, product) from the prior lines of test users.
 
-    test users LEFT JOIN their history orders LEFT JOIN *prior* lines, as in
-    the reference job: a history order without prior lines (e.g. the user's
-    ``train`` order) yields a (user, NULL) candidate.
+    Same result as test users LEFT JOIN their history orders LEFT JOIN *prior*
+    lines (a history order without prior lines, e.g. the user's ``train``
+    order, yields a (user, NULL) candidate), but the large tables stay on the
+    side of each join that adaptive execution can split when one user holds
+    a large share of the orders:
+
+    * history orders LEFT SEMI JOIN test users, then LEFT JOIN prior lines;
+    * test users without any history order: anti join against the distinct
+      history users (pre-aggregated), each giving (user, NULL).
     """
-    c = (t.test_orders().select("user_id")
-         .join(t.history_orders().select("user_id", "order_id"), "user_id", "left")
-         .join(t.prior_lines.select("order_id", "product_id"), "order_id", "left")
-         .select("user_id", "product_id").distinct())
+    test_users = t.test_orders().select("user_id")
+    hist = t.history_orders().select("user_id", "order_id")
+    with_history = (hist.join(test_users, "user_id", "left_semi")
+                    .join(t.prior_lines.select("order_id", "product_id"), "order_id", "left")
+                    .select("user_id", "product_id"))
+    without_history = (test_users.join(hist.select("user_id").distinct(), "user_id", "left_anti")
+                       .select("user_id", F.lit(None).cast("long").alias("product_id")))
+    c = with_history.unionByName(without_history).distinct()
     return c.filter(F.col("product_id").isNotNull()) if drop_null_products else c
 
 

@@ -116,3 +116,16 @@ def test_original_api_names(spark, fs):
     new = M.test_matrix(*f.feature_tables, f.orders, cand, rename_time=False)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, new.select(*out.columns).collect()))
     assert rows(out, "time_mean_dow_count", "time_mean_ohod_count")[0] == (2.0, 2.0)
+
+
+def test_candidates_cover_users_without_history(spark):
+    from basketlab.plans import matrices as M
+    orders = ORDERS + [(5, 2, "test", 2, 1, 9, 2), (6, 3, "test", 1, 2, 10, None),
+                       (7, 1, "train", 4, 3, 11, 1), (8, 1, "test", 5, 3, 11, 1)]
+    t = make_tables(spark, orders, LINES, PRODUCTS)
+    got = rows(M.test_candidates(t), "user_id", "product_id")
+    # user 1: prior products + NULL for its train order (no prior lines); user 2: 11;
+    # user 3 has no history order at all
+    assert got == [(1, 10), (1, 11), (1, 12), (1, None), (2, 11), (3, None)]
+    assert rows(M.test_candidates(t, drop_null_products=True), "user_id", "product_id") == [
+        (1, 10), (1, 11), (1, 12), (2, 11)]
