@@ -207,8 +207,8 @@ def dept_reorder_rate(orders: DataFrame, lines: DataFrame, products: DataFrame,
     department; ``total_prod_sold`` counts rows, ``reorder_count`` is 0 when
     there is nothing to sum (as the data-frame library of the analysis does).
     """
-    j = (orders.filter(F.col("eval_set") == "prior").select("order_id")
-         .join(lines.select("order_id", "product_id", "reordered"), "order_id", "left")
+    from basketlab.operators.product import orders_left_join_lines
+    j = (orders_left_join_lines(orders.filter(F.col("eval_set") == "prior"), lines, ["product_id", "reordered"])
          .join(products.select("product_id", "department_id"), "product_id", "left")
          .join(departments, "department_id", "left"))
     return (j.groupBy("department")

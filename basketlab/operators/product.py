@@ -87,14 +87,29 @@ def total_orders(orders: DataFrame):
     return orders.select(F.count_distinct("order_id")).scalar()
 
 
+def orders_left_join_lines(orders: DataFrame, lines: DataFrame, line_cols: list[str]) -> DataFrame:
+    """Rows of ``orders LEFT JOIN lines`` on ``order_id`` (line columns only).
+
+    Written so the line table is always the left, splittable side: lines
+    whose order exists (LEFT SEMI JOIN), plus one all-NULL row per order
+    without lines (anti join against the pre-aggregated distinct line order
+    ids).  A hot order therefore never sits on the unsplittable side.
+    """
+    o = orders.select("order_id")
+    with_lines = lines.select("order_id", *line_cols).join(o, "order_id", "left_semi").drop("order_id")
+    lineless = (o.join(lines.select("order_id").distinct(), "order_id", "left_anti")
+                .select(*[F.lit(None).cast(lines.schema[c].dataType).alias(c) for c in line_cols]))
+    return with_lines.unionByName(lineless)
+
+
 def prod_order_share(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """P14 as in the reference: lines of the product / distinct orders.
 
-    Driven by ``orders LEFT JOIN lines``: orders without lines form a NULL
+    Rows of ``orders LEFT JOIN lines``: orders without lines form a NULL
     product group.  This is the product's *support*, not a reorder probability.
     """
-    j = orders.select("order_id", "user_id").join(lines.select("product_id", "order_id"), "order_id", "left")
-    return (j.groupBy("product_id").agg(F.count("order_id").alias("n"))
+    j = orders_left_join_lines(orders, lines, ["product_id"])
+    return (j.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
             .select("product_id", (F.col("n") / total_orders(orders)).alias("prob_of_being_reordered")))
 
 
