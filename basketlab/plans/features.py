@@ -125,10 +125,10 @@ class FeatureSet:
 
         The per-order time counts are looked up by weekday / hour on the
         line spine (which already carries them) instead of re-joining lines
-        with an order-level table.  The line table is shuffled for the (user, product) join; the
-        product (and, if small, the user) features are broadcast after a
-        measured size check, otherwise they are shuffle joins whose hot keys
-        adaptive execution splits.
+        with an order-level table.  The line table is shuffled for the
+        (user, product) join; the product (and, if small, the user) features
+        are broadcast after a measured size check, otherwise they are shuffle
+        joins whose hot keys adaptive execution splits.
         """
         dow = TM.orders_per_dow(self.orders)
         hour = TM.orders_per_hour(self.orders)
