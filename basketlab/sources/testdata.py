@@ -81,7 +81,8 @@ def orders_from_tpch(orders: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) ->
     )
 
 
-def order_lines_from_tpch(lineitem: DataFrame, part_map: DataFrame, orders: DataFrame) -> DataFrame:
+def order_lines_from_tpch(lineitem: DataFrame, part_map: DataFrame, orders: DataFrame,
+                          max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """All order lines (every eval_set) with ``eval_set`` attached."""
     raw = (lineitem.select("l_orderkey", "l_partkey", "l_linenumber")
            .join(part_map, F.col("l_partkey") == F.col("p_partkey"))
@@ -89,7 +90,8 @@ def order_lines_from_tpch(lineitem: DataFrame, part_map: DataFrame, orders: Data
            .agg(F.min("l_linenumber").alias("_ln")))
     # the cart position only depends on the order's own lines: number them
     # before the joins that attach the user sequence
-    raw = sequence_number(raw, ["order_id"], ["_ln", "product_id"], "add_to_cart_order")
+    raw = sequence_number(raw, ["order_id"], ["_ln", "product_id"], "add_to_cart_order",
+                          max_group_rows=max_group_rows)
     x = raw.join(orders.select("order_id", "user_id", "order_number", "eval_set"), "order_id")
     first = x.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first"))
     x = x.join(first, ["user_id", "product_id"])

@@ -47,3 +47,16 @@ def test_orders_derivation_paths_agree(spark):
     a = TD.orders_from_tpch(raw)
     b = TD.orders_from_tpch(raw, max_group_rows=0)  # forces the distributed branch
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_order_lines_derivation_paths_agree(spark):
+    """Cart positions numbered by plain window or by the distributed plan agree."""
+    from basketlab.sources import testdata as TD
+    sf = "/root/testdata/sf0.001"
+    _, _, _, part_map = TD.products_from_part(TD.read_table(spark, sf, "part"))
+    orders = TD.orders_from_tpch(TD.read_table(spark, sf, "orders"))
+    li = TD.read_table(spark, sf, "lineitem")
+    a = TD.order_lines_from_tpch(li, part_map, orders)
+    b = TD.order_lines_from_tpch(li, part_map, orders, max_group_rows=0)  # distributed branch
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
