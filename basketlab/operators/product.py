@@ -9,6 +9,8 @@ from basketlab.schemas import cast_by_type
 
 DOW_VALUES = tuple(range(7))
 
+# The product feature column names and their order in the
+# matrices (spelling kept exactly, as models and manifests refer to them).
 PRODUCT_FEATURES = (
     "product_mean_of_position", "number_of_user_purchased_item", "number_of_product_co_occurred",
     "mean_of_co_ocuured_product_per_order", "min_of_co_ocuured_product_per_order",
@@ -16,7 +18,9 @@ PRODUCT_FEATURES = (
     "mean_of_streaks_of_this_product", "min_of_streaks_of_this_product",
     "max_of_streaks_of_this_product", "prob_of_reordered_5", "prob_of_reordered_3",
     "prob_of_reordered_2",
-    *(f"distrib_count_of_dow_{k}_p_prod" for k in DOW_VALUES),
+    "distrib_count_of_dow_0_p_prod", "distrib_count_of_dow_1_p_prod", "distrib_count_of_dow_2_p_prod",
+    "distrib_count_of_dow_3_p_prod", "distrib_count_of_dow_4_p_prod", "distrib_count_of_dow_5_p_prod",
+    "distrib_count_of_dow_6_p_prod",
     "prob_of_being_reordered",
 )
 

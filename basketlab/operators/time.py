@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from basketlab.schemas import cast_by_type
 
+# The time feature column names.
 TIME_FEATURES = ("total_ord_count_p_dow", "total_ord_count_p_ohod")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from basketlab.schemas import cast_by_type
 
+# The user feature column names and their order in the matrices.
 USER_FEATURES = (
     "frequency_of_reorder", "count_of_asian_org_items", "mean_of_asian_org_items",
     "max_count_of_products", "min_count_of_products", "mean_count_of_products",

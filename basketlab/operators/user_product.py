@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from basketlab.schemas import cast_by_type
 
+# The user x product feature column names and their order.
 USER_PRODUCT_FEATURES = ("num_of_ord_purch_p_prod", "prod_mean_of_position_p_user",
                          "num_of_prod_co_ocrd_p_usr_p_prod")
 
