@@ -238,9 +238,19 @@ class ModelTrainer:
         self.runs_path = runs_path or scratch_path(self.spark, f"runs_{experiment_name}")
         self.last_run: DataFrame | None = None
 
-    def _run(self, preset: Preset, commit: str, dataset_version: str, model_version: str) -> PipelineModel:
+    def _run(self, preset: Preset, commit: str, dataset_version: str, model_version: str,
+             early_stopping: bool = False) -> PipelineModel:
+        """M8: with ``early_stopping`` and a test set, boosted trees stop on the
+        test set's loss (its rows are the validation rows, not trained on)."""
         feats = feature_columns(self.train_set, self.target_column)
-        model, secs = timed_fit(self.train_set, preset, feats, self.target_column)
+        if early_stopping and self.test_set is not None:
+            both = (self.train_set.withColumn("_is_eval", F.lit(False))
+                    .unionByName(self.test_set.withColumn("_is_eval", F.lit(True)), allowMissingColumns=True))
+            t0 = time.time()
+            model = fit(both, preset, feats, self.target_column, validation=F.col("_is_eval"))
+            secs = time.time() - t0
+        else:
+            model, secs = timed_fit(self.train_set, preset, feats, self.target_column)
         data = self.test_set if self.test_set is not None else self.train_set
         metrics = evaluate(score(model, data, feats, self.target_column))
         self.last_run = log_run(self.spark, self.runs_path, preset, metrics, secs,
@@ -248,7 +258,8 @@ class ModelTrainer:
         return model
 
     def train_xgb_gbm(self, commit, dataset_version, model_version, params=None):
-        return self._run(booster_preset(params=params), commit, dataset_version, model_version)
+        return self._run(booster_preset(params=params), commit, dataset_version, model_version,
+                         early_stopping=True)
 
     def train_xgb_rf(self, commit, dataset_version, model_version, params=None):
         n = int((params or {}).get("rounds", 100))
@@ -263,4 +274,4 @@ class ModelTrainer:
 
     def train_h2o_gbm(self, commit, dataset_version, model_version, params=None):
         n = int((params or {}).get("rounds", 50))
-        return self._run(PRESETS["gbt"](n), commit, dataset_version, model_version)
+        return self._run(PRESETS["gbt"](n), commit, dataset_version, model_version, early_stopping=True)

@@ -48,3 +48,13 @@ def test_model_trainer_interface(spark):
     assert model.stages[-1].getNumTrees == 5
     mt.train_h2o_glm("abc123", "1.2", "1.1.1")
     assert spark.read.parquet(mt.runs_path).count() == 2
+
+
+def test_model_trainer_early_stopping_on_test_set(spark):
+    rows = [(i, i % 7, float(i % 5), float(i % 3), int(i % 5 > 2)) for i in range(400)]
+    df = spark.createDataFrame(rows, "user_id long, product_id long, a double, b double, reordered int")
+    train, test = df.filter("user_id % 4 != 0"), df.filter("user_id % 4 = 0")
+    mt = ML.ModelTrainer("unit_es", train, test)
+    model = mt.train_h2o_gbm("c0ffee", "1.2", "1.1.1", params={"rounds": 40})
+    assert 1 <= model.stages[-1].getNumTrees <= 40
+    assert mt.last_run.first().auc > 0.9
