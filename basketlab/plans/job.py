@@ -1,7 +1,7 @@
 """Batch job: source CSVs -> feature tables -> train / test matrices.
 
-    spark-submit -m basketlab.plans.job --orders ... --prior ... --train ... \
-        --products ... --output s3a://bucket/run/
+    spark-submit --py-files basketlab.zip basketlab/plans/job.py --orders ... --prior ... \
+        --train ... --products ... --output s3a://bucket/run/
 
 The per-(order, product) table goes to the shared checkpoint folder; the
 three feature tables are written once under ``output/features`` and read
@@ -11,17 +11,21 @@ assembly re-reads files instead of recomputing the feature lineage.
 
 from __future__ import annotations
 
+import os
 import sys
 
-from pyspark.sql import SparkSession
+if __package__ in (None, ""):  # run as a script by spark-submit: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from basketlab.plans import matrices as M
-from basketlab.plans.features import FeatureSet
-from basketlab.session import get_spark
-from basketlab.sources.config import JobConfig
-from basketlab.sources.csv import load_csv_tables
-from basketlab.sources.sinks import write_table
-from basketlab.sources.tables import BasketTables
+from pyspark.sql import SparkSession  # noqa: E402
+
+from basketlab.plans import matrices as M  # noqa: E402
+from basketlab.plans.features import FeatureSet  # noqa: E402
+from basketlab.session import get_spark  # noqa: E402
+from basketlab.sources.config import JobConfig  # noqa: E402
+from basketlab.sources.csv import load_csv_tables  # noqa: E402
+from basketlab.sources.sinks import write_table  # noqa: E402
+from basketlab.sources.tables import BasketTables  # noqa: E402
 
 
 def run(spark: SparkSession, t: BasketTables, output: str, fmt: str = "parquet",
