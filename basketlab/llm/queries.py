@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from basketlab.llm.bpe import encode_decode
 from basketlab.llm.common import read_table
 from basketlab.llm.exact_dedup import exact_dedup
 from basketlab.llm.packing import best_fit_packing
+from basketlab.llm.token_counts import count_tokens
+from basketlab.llm.toxicity import classify
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,7 +41,28 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 """
 
 
+@query
+def op5_byte_bpe(spark, sf_dir):
+    """Byte-level BPE ids of every document, and what they decode to, as digests."""
+    coded = encode_decode(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                          public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def op6_best_fit_packing(spark, sf_dir):
     """Token pieces of all documents packed into sequences of at most 4096 tokens."""
     return best_fit_packing(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op7_toxicity(spark, sf_dir):
+    """Toxicity probabilities and decision of every document."""
+    return classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+@query
+def op9_token_counts(spark, sf_dir):
+    """Unigram token count of every document."""
+    return count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
