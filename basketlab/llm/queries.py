@@ -11,6 +11,7 @@ from basketlab.llm.bpe import encode_decode
 from basketlab.llm.common import read_table
 from basketlab.llm.exact_dedup import exact_dedup
 from basketlab.llm.packing import best_fit_packing
+from basketlab.llm.sketch import fingerprints, to_text
 from basketlab.llm.token_counts import count_tokens
 from basketlab.llm.toxicity import classify
 
@@ -41,6 +42,14 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 """
 
 
+@query
+def op3_fingerprints(spark, sf_dir):
+    """Bottom-k sketches of every document, of its edited text, and their likeness."""
+    own = fingerprints(documents(spark, sf_dir))
+    return own.select("doc_id", "n_chars", "edited_sha256", to_text(F.col("sketch")).alias("fingerprint"),
+                      to_text(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 @query
 def op5_byte_bpe(spark, sf_dir):
     """Byte-level BPE ids of every document, and what they decode to, as digests."""
