@@ -12,6 +12,7 @@ from basketlab.llm.common import read_table
 from basketlab.llm.exact_dedup import exact_dedup
 from basketlab.llm.packing import best_fit_packing
 from basketlab.llm.sketch import fingerprints, to_text
+from basketlab.llm.suffix_dedup import remove_repeats
 from basketlab.llm.token_counts import count_tokens
 from basketlab.llm.toxicity import classify
 
@@ -75,3 +76,11 @@ def op7_toxicity(spark, sf_dir):
 def op9_token_counts(spark, sf_dir):
     """Unigram token count of every document."""
     return count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op10_suffix_dedup(spark, sf_dir):
+    """Bytes of every document that repeat an earlier string of 100 bytes, removed."""
+    return remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
