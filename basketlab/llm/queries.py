@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from basketlab.llm.bpe import encode_decode
 from basketlab.llm.common import read_table
 from basketlab.llm.exact_dedup import exact_dedup
+from basketlab.llm.minhash import near_duplicates
 from basketlab.llm.packing import best_fit_packing
 from basketlab.llm.sketch import fingerprints, to_text
 from basketlab.llm.suffix_dedup import remove_repeats
@@ -72,6 +73,12 @@ def op7_toxicity(spark, sf_dir):
     return classify(documents(spark, sf_dir), read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
+@query
+def op8_minhash(spark, sf_dir):
+    """Class of near-duplicate documents of every document."""
+    return near_duplicates(documents(spark, sf_dir))
+
+
 @query
 def op9_token_counts(spark, sf_dir):
     """Unigram token count of every document."""
