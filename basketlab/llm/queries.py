@@ -16,6 +16,7 @@ from basketlab.llm.sketch import fingerprints, to_text
 from basketlab.llm.suffix_dedup import remove_repeats
 from basketlab.llm.token_counts import count_tokens
 from basketlab.llm.toxicity import classify
+from basketlab.llm.warc import archive_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,6 +53,13 @@ def op3_fingerprints(spark, sf_dir):
                       to_text(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next")
 
 
+@query
+def op4_warc(spark, sf_dir):
+    """Every page written to WARC archives and read back."""
+    return archive_round_trip(read_table(spark, sf_dir, "pages", "page_id", "url", "html")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op5_byte_bpe(spark, sf_dir):
     """Byte-level BPE ids of every document, and what they decode to, as digests."""
