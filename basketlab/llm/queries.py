@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from basketlab.llm.bpe import encode_decode
 from basketlab.llm.common import read_table
 from basketlab.llm.exact_dedup import exact_dedup
+from basketlab.llm.extraction import extract_text
 from basketlab.llm.minhash import near_duplicates
 from basketlab.llm.packing import best_fit_packing
 from basketlab.llm.sketch import fingerprints, to_text
@@ -31,6 +32,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents", "doc_id", "text")
 
 
+@query
+def op1_extraction(spark, sf_dir):
+    """Main text of every page."""
+    return extract_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html")).withColumn(
+        "n_chars", F.length("text").cast("long"))
+
+
 @query
 def op2_exact_dedup(spark, sf_dir):
     """Exact copies up to white space; one row per document."""
