@@ -358,3 +358,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     return (rows.join(spans, F.col("doc") == F.col("of"), "left").select("doc_id", "text", "own")
             .mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"))
+
+
+def valid_text(raw: Column) -> Column:
+    """Bytes as text, without those that a cut inside a character has left over."""
+    @F.pandas_udf("string")
+    def decode(b):
+        return b.map(lambda x: None if x is None else bytes(x).decode("utf-8", "ignore"))
+
+    return decode(raw)

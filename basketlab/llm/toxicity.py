@@ -59,7 +59,7 @@ def sigmoid(z):
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_logistic(x, y, penalty: float = 1.0, rounds: int = 12):
+def fit_logistic(x, y, penalty: float = 0.1, rounds: int = 20):
     """Weights (bias first) of a ridge-penalised logistic regression, by Newton steps."""
     import numpy as np
     a = np.hstack([np.ones((len(x), 1)), x])

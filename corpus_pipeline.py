@@ -19,7 +19,10 @@ import public_tokenizers  # noqa: E402
 
 from basketlab.llm.common import read_table, written  # noqa: E402
 from basketlab.llm.exact_dedup import exact_dedup  # noqa: E402
+from basketlab.llm.minhash import near_duplicates  # noqa: E402
 from basketlab.llm.packing import best_fit_packing  # noqa: E402
+from basketlab.llm.suffix_dedup import remove_repeats, valid_text  # noqa: E402
+from basketlab.llm.toxicity import classify  # noqa: E402
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -29,11 +32,37 @@ def keep_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS).join(kept.select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain finds toxic go."""
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "toxic")
+    return keep_ids(docs, classify(docs, labels).filter("NOT toxic"))
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id stays."""
     return keep_ids(docs, exact_dedup(docs).filter("kept"))
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays, the one with the smallest id."""
+    return keep_ids(docs, near_duplicates(docs).filter("kept"))
+
+
+def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes that repeat a string of 100 bytes of an earlier document leave the texts.
+
+    A cut may fall inside a character; its other bytes go too.  Documents of
+    which nothing but white space is left go; ``n_chars`` is counted anew
+    where a text has changed.
+    """
+    changed = remove_repeats(docs).filter("n_removed > 0").select(
+        F.col("doc_id").alias("of"), valid_text(F.col("kept")).alias("cut"))
+    rows = docs.select(*COLUMNS).join(changed, F.col("doc_id") == F.col("of"), "left")
+    return (rows.filter(F.col("of").isNull() | (F.trim(F.regexp_replace("cut", r"\s+", " ")) != ""))
+            .withColumn("n_chars", F.when(F.col("of").isNull(), F.col("n_chars")).otherwise(F.length("cut")))
+            .withColumn("text", F.when(F.col("of").isNull(), F.col("text")).otherwise(F.col("cut"))).select(*COLUMNS))
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 tokens: one row per piece."""
     return best_fit_packing(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -41,7 +70,10 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity_stage),
     ("exact_dedup", exact_stage),
+    ("minhash", near_stage),
+    ("suffix_dedup", repeats_stage),
     ("packing", packing_stage),
 ]
 
