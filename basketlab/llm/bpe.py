@@ -35,8 +35,8 @@ WITH RECURSIVE step(word, pos, tok, next, nextpos, n) AS (
     WHERE s.pos <> gone)
 ),
 last AS (SELECT word, max(n) AS n FROM step GROUP BY word)
-SELECT word, string_agg(tok::VARCHAR, ',' ORDER BY pos) AS ids
-FROM step JOIN last USING (word, n) GROUP BY word
+SELECT word, string_agg(entry, ',' ORDER BY pos) AS entries
+FROM step JOIN last USING (word, n) JOIN vocab ON vocab.id = step.tok GROUP BY word
 """
 
 DECODE = """
@@ -51,21 +51,32 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+def merge_table(ranks: dict[bytes, int]):
+    """Columns a, b, rank: the pairs of tokens whose bytes together are a token, which is its own rank."""
+    import numpy as np
+    pairs = [(a, b, r) for t, r in ranks.items() for i in range(1, len(t))
+             if (a := ranks.get(t[:i])) is not None and (b := ranks.get(t[i:])) is not None]
+    return np.array(pairs, np.int32).reshape(-1, 3).T.copy()
+
+
+def raw_bytes(text: str) -> bytes:
+    """The bytes that characters from ``LATIN`` on stand for."""
+    return text.encode("utf-16-le")[::2]
+
+
 class WordCodec:
     """Encoder and decoder of one task: a DuckDB connection with the merge table and the vocabulary."""
 
-    def __init__(self, ranks: dict[bytes, int], memory: str = "400MB"):
+    def __init__(self, ranks: dict[bytes, int], merges, memory: str = "400MB"):
         import duckdb
         import pyarrow as pa
 
-        self.ranks = ranks
+        self.ranks, self.pieces = ranks, {r: t for t, r in ranks.items()}
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": memory, "temp_directory": ""})
-        pairs = [(a, b, r) for t, r in ranks.items() for i in range(1, len(t))
-                 if (a := ranks.get(t[:i])) is not None and (b := ranks.get(t[i:])) is not None]
-        a, b, rank = (pa.array(x, pa.int32()) for x in (zip(*pairs) if pairs else ((), (), ())))
-        self._table("merges", {"a": a, "b": b, "rank": rank})
-        self._table("vocab", {"id": pa.array(list(ranks.values()), pa.int32()),
-                              "piece": pa.array(["".join(chr(LATIN + x) for x in t) for t in ranks])})
+        self._table("merges", dict(zip(("a", "b", "rank"), map(pa.array, merges))))
+        pieces = ["".join(chr(LATIN + x) for x in t) for t in ranks]
+        self._table("vocab", {"id": pa.array(list(ranks.values()), pa.int32()), "piece": pa.array(pieces, pa.string()),
+                              "entry": pa.array([f"{r}={p}" for r, p in zip(ranks.values(), pieces)], pa.string())})
 
     def _table(self, name: str, columns: dict) -> None:
         import pyarrow as pa
@@ -73,13 +84,13 @@ class WordCodec:
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM incoming")
         self.db.unregister("incoming")
 
-    def encode(self, words: list[bytes], step: int = 20_000) -> list[str]:
-        """Ids of each word as decimal numbers joined by commas."""
+    def encode(self, words: list[bytes], step: int = 20_000) -> list[tuple[str, bytes]]:
+        """Of each word the ids as decimal numbers joined by commas, and the bytes these ids decode to."""
         import numpy as np
         import pyarrow as pa
 
-        out = [str(r) if (r := self.ranks.get(w)) is not None else "" for w in words]
-        todo = [i for i, w in enumerate(words) if not out[i] and w]
+        out = [(str(r), self.pieces[r]) if (r := self.ranks.get(w)) is not None else ("", b"") for w in words]
+        todo = [i for i, w in enumerate(words) if not out[i][0] and w]
         single = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
         for at in range(0, len(todo), step):
             own = todo[at:at + step]
@@ -88,8 +99,9 @@ class WordCodec:
             word = np.repeat(np.array(own, np.int32), sizes)
             pos = (np.arange(len(tok)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
             self._table("start", {"word": pa.array(word), "pos": pa.array(pos), "tok": pa.array(tok)})
-            for i, ids in self.db.execute(ENCODE).fetchall():
-                out[i] = ids
+            for i, entries in self.db.execute(ENCODE).fetchall():
+                tokens = [x.split("=") for x in entries.split(",")]
+                out[i] = ",".join([x for x, _ in tokens]), raw_bytes("".join([x for _, x in tokens]))
         return out
 
     def decode(self, sequences: list[str], step: int = 20_000) -> list[bytes]:
@@ -106,7 +118,7 @@ class WordCodec:
             self._table("tokens", {"seq": pa.array(np.repeat(np.arange(len(own)) + at, sizes)),
                                    "pos": pa.array(pos), "id": pa.array(ids)})
             for i, text in self.db.execute(DECODE).fetchall():
-                out[i] = text.encode("utf-16-le")[::2]
+                out[i] = raw_bytes(text)
         return out
 
 
@@ -118,16 +130,16 @@ class TextCodec:
     ``max_words`` and ``max_parts`` of them, so memory is bounded.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_words: int = 900_000, max_parts: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], merges, pattern: str, max_words: int = 900_000, max_parts: int = 300_000):
         import re
 
         import regex
 
-        self.codec = WordCodec(ranks)
+        self.codec = WordCodec(ranks, merges)
         self.split = regex.compile(pattern).findall
         self.loose = re.compile(r" (?:(?<=\s )|(?=\s)|\Z|(?<=\A ))").search  # a space at an end or beside white space
         self.max_words, self.max_parts = max_words, max_parts
-        self.words: dict[str, str] = {}
+        self.words: dict[str, tuple[str, bytes]] = {}
         self.parts: dict[str, tuple[str, bytes]] = {}
 
     def cut(self, text: str) -> list[str]:
@@ -154,8 +166,8 @@ class TextCodec:
             self.words.clear()
         words = list({w for x in of for w in x if w not in self.words})
         self.words.update(zip(words, self.codec.encode([w.encode() for w in words])))
-        ids = [",".join(map(self.words.__getitem__, x)) for x in of]
-        self.parts.update(zip(new, zip(ids, self.codec.decode(ids))))
+        known = (list(map(self.words.__getitem__, x)) for x in of)
+        self.parts.update(zip(new, ((",".join([a for a, _ in x]), b"".join([b for _, b in x])) for x in known)))
 
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
@@ -166,9 +178,12 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     Defined cases: a null or empty text has no ids (an empty string, 0 tokens,
     no bytes); one row per input row, whatever its id.
     """
+    ranks = load_ranks(ranks_path)
+    model = docs.sparkSession.sparkContext.broadcast((ranks, merge_table(ranks)))  # as large as the vocabulary
+
     def run(batches):
         import pyarrow as pa
-        codec = TextCodec(load_ranks(ranks_path), pattern)
+        codec = TextCodec(*model.value, pattern)
         for ids, texts in text_slices(batches, slice_bytes):
             cut = [codec.cut(t) for t in texts]
             codec.learn(cut)
@@ -184,9 +199,12 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
 
 def decode_ids(coded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``doc_id, decoded``: the bytes of any sequences of ids (decimal, joined by commas; null: none)."""
+    ranks = load_ranks(ranks_path)
+    model = coded.sparkSession.sparkContext.broadcast((ranks, merge_table(ranks)))
+
     def run(batches):
         import pyarrow as pa
-        codec = WordCodec(load_ranks(ranks_path))
+        codec = WordCodec(*model.value)
         for ids, texts in text_slices(batches, 1 << 20):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(codec.decode(texts), pa.binary())],
                                              names=["doc_id", "decoded"])

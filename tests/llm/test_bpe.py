@@ -4,7 +4,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from basketlab.llm.bpe import TextCodec, decode_ids, encode_decode, load_ranks
+from basketlab.llm.bpe import TextCodec, decode_ids, encode_decode, load_ranks, merge_table
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TEXTS = ["", " ", "\n", "  a  b \n c\t d", "a \n\n b", "x" * 300 + "==" * 200 + " don't we'll 123 45é ñ  z ", "a\n b", " a", "a b ",
@@ -17,7 +17,8 @@ def own():
 
 
 def test_codec_against_tiktoken(own):
-    codec = TextCodec(load_ranks(PATH), public_tokenizers.PATTERN, max_words=200, max_parts=100)
+    ranks = load_ranks(PATH)
+    codec = TextCodec(ranks, merge_table(ranks), public_tokenizers.PATTERN, max_words=200, max_parts=100)
     rng = random.Random(5)
     alphabet = "ab cé \n\tß'sd 12日.,!  "
     for texts in [TEXTS, *(["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(60)] for _ in range(5))]:
