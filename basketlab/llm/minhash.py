@@ -7,13 +7,13 @@ earliest arrival and the shingle it came from.  A shingle stops as soon as its
 next arrival is later than all registers of its document.  Two documents agree
 in a register with probability equal to their probability Jaccard likeness J_P.
 
-Bands of registers make buckets.  A pair in a common bucket is a candidate; one
-bit of each register gives an estimate that drops pairs far below the
+Bands of registers make buckets.  A pair in a common bucket is a candidate; four
+bits of each register give an estimate that drops pairs far below the
 threshold, and the others are verified with the exact J_P of their whole texts.
-No bucket is expanded into all its pairs: members are first compared with the
-bucket's smallest document, linked documents become one component, and later
-only pairs of different components are compared, in buckets that are split by
-further bands until they are small.
+No bucket is expanded into all its pairs: in a few rounds its members are
+compared with one leader, another one each round, and linked documents become
+one component.  What then still lies in different components of a bucket is
+compared pair by pair, very large buckets being split by further bands first.
 """
 
 from __future__ import annotations
@@ -27,8 +27,10 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS = 28  # with 6 registers each: a pair of likeness 0.8 shares a band with probability 0.9998
 BAND_ROWS = 6
-SPLIT_ABOVE = 64  # members of a bucket that is compared pair by pair
-SLACK = 0.19  # four standard deviations of the one-bit estimate at the threshold
+ROUNDS = 4  # leaders per bucket before the rest is compared pair by pair
+SPLIT_ABOVE = 1024  # members of a bucket whose components are compared pair by pair
+SLACK = 0.12  # nearly four standard deviations of the estimate at the threshold
+FIELDS = 15  # four-bit fields of a long; the top bits stay 0, so that sums don't overflow
 
 
 # ---------------------------------------------------------------- weighted shingles
@@ -113,7 +115,7 @@ def prob_minhash(text, shingle, weight, n_texts: int, registers: int):
 
 
 def signatures(rows: DataFrame, words: int, bands: int, band_rows: int) -> DataFrame:
-    """``doc_id, sha, bands, bits``: digest of the text, band hashes and one bit per register.
+    """``doc_id, sha, bands, bits``: digest of the text, band hashes and four bits per register.
 
     Blank texts have null bands.
     """
@@ -131,8 +133,9 @@ def signatures(rows: DataFrame, words: int, bands: int, band_rows: int) -> DataF
             band = np.zeros((len(texts), bands), np.uint64)
             for k in range(band_rows):
                 band = mixed(band * np.uint64(0xD6E8FEB86659FD93) + won[:, k * bands:(k + 1) * bands])
-            bit = np.packbits(mixed(won + np.uint64(9)).astype(np.uint8) & 1, axis=1)
-            bit = np.ascontiguousarray(np.pad(bit, ((0, 0), (0, -bit.shape[1] % 8)))).view(np.int64)
+            four = mixed(won + np.uint64(9)) & np.uint64(15)
+            four = np.pad(four, ((0, 0), (0, -registers % FIELDS))).reshape(len(texts), -1, FIELDS)
+            bit = (four << (np.uint64(4) * np.arange(FIELDS, dtype=np.uint64))).sum(axis=2, dtype=np.uint64).view(np.int64)
             full = np.bincount(text, minlength=len(texts)) > 0
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary()),
@@ -143,10 +146,15 @@ def signatures(rows: DataFrame, words: int, bands: int, band_rows: int) -> DataF
 
 
 def estimate(a: str, b: str, registers: int):
-    """Likeness estimated from one bit per register: unrelated registers agree half of the time."""
-    words = -(-registers // 64)
-    differ = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(words)), F.lit(0))
-    return 1 - 2 * differ / registers
+    """Likeness estimated from four bits per register: unrelated registers agree once in 16 times."""
+    low, high = (int(d * FIELDS, 16) for d in "78")
+
+    def unequal(i: int):
+        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
+        return F.bit_count((x.bitwiseAND(low) + low).bitwiseOR(x).bitwiseAND(high))  # a bit per field that isn't 0
+
+    differ = sum((unequal(i) for i in range(-(-registers // FIELDS))), F.lit(0))
+    return 1 - differ / registers * 16 / 15
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
@@ -202,15 +210,33 @@ def with_component(rows: DataFrame, found: DataFrame, column: str, name: str) ->
             .withColumn(name, F.coalesce("component_", column)).drop("id_", "component_"))
 
 
+def merged_components(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` after more links: the graph of the linked components only is searched."""
+    ends = with_component(with_component(links, found, "a", "of_a"), found, "b", "of_b")
+    further = components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).distinct())
+    known = found.unionByName(ends.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("of_a").alias("component")),
+                                                            F.struct(F.col("b").alias("id"), F.col("of_b").alias("component"))))
+                                          .alias("x")).select("x.*")).distinct()
+    new = further.select(F.col("id").alias("old_"), F.col("component").alias("new_"))
+    return written(known.join(new, F.col("component") == F.col("old_"), "left")
+                   .select("id", F.coalesce("new_", "component").alias("component")), "components")
+
+
 # ---------------------------------------------------------------- operator
 def members(buckets: DataFrame) -> DataFrame:
-    """``key, id, n, leader`` of the buckets that hold two ids or more; written."""
-    sizes = (buckets.groupBy(F.col("key").alias("of")).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("leader"))
-             .filter("n >= 2"))
-    return written(buckets.join(sizes, F.col("key") == F.col("of")).select("key", "id", "n", "leader"), "buckets")
+    """``key, id, n`` of the buckets that hold two ids or more; written."""
+    sizes = buckets.groupBy(F.col("key").alias("of")).agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
+    return written(buckets.join(sizes, F.col("key") == F.col("of")).select("key", "id", "n"), "buckets")
 
 
-def split_large(buckets: DataFrame, nodes: DataFrame, limit: int, bands: int) -> DataFrame:
+def undecided(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """The buckets that hold several components."""
+    keys = (with_component(buckets, found, "id", "component").groupBy(F.col("key").alias("of"))
+            .agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("of"))
+    return written(buckets.join(keys, F.col("key") == F.col("of"), "left_semi"), "undecided")
+
+
+def split_large(buckets: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
     """``key, id`` of buckets of at most ``limit`` ids, larger ones split by their members' other bands.
 
     Documents of a likeness of 0.8 share many bands, so they meet in a part of
@@ -219,7 +245,7 @@ def split_large(buckets: DataFrame, nodes: DataFrame, limit: int, bands: int) ->
     """
     small = buckets.filter(F.col("n") <= limit).select("key", "id")
     large = buckets.filter(F.col("n") > limit)
-    for _ in range(3):
+    for _ in range(2):
         if large.isEmpty():
             return small
         own = large.select("key", F.col("id").alias("member")).join(nodes, F.col("member") == F.col("id"))
@@ -259,36 +285,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = written(rows.join(buckets.select("id").distinct(), F.col("doc_id") == F.col("id"))
                     .select("id", "text").dropDuplicates(["id"]), "texts")
     one, two = (bits.select(F.col("id").alias(f"id_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab")
-
-    # members against the smallest document of each bucket; each document's best partner first
-    stars = (buckets.filter("id <> leader").groupBy(F.col("leader").alias("a"), F.col("id").alias("b"))
-             .agg(F.count(F.lit(1)).alias("shared")))
-    stars = written(stars.join(two, F.col("b") == F.col("id_b")).join(one, F.col("a") == F.col("id_a"))
-                    .filter(estimate("bits_a", "bits_b", registers) >= threshold - SLACK).select("a", "b", "shared"), "stars")
-    best = stars.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("minus_a"))).alias("best")).select(
-        (-F.col("best.minus_a")).alias("a"), "b")
-    links = verified(best, texts, words, threshold)
-    found = components(links)
-
-    def across(pairs):
-        return with_component(with_component(pairs, found, "a", "of_a"), found, "b", "of_b").filter("of_a <> of_b")
-
-    links = links.unionByName(verified(across(stars.join(best, ["a", "b"], "left_anti")), texts, words, threshold))
-    found = components(links)
-
-    # buckets that still hold several components: the pairs across them
-    placed = with_component(buckets, found, "id", "component")
-    open_keys = (placed.groupBy(F.col("key").alias("of")).agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                 .filter("lo <> hi").select("of"))
-    still = written(buckets.join(open_keys, F.col("key") == F.col("of"), "left_semi"), "open")
-    parts = with_component(split_large(still, nodes, SPLIT_ABOVE, bands), found, "id", "component").join(bits, "id")
+    close = estimate("bits_a", "bits_b", registers) >= threshold - SLACK
+    found = copies.select(F.col("rep").alias("id"), F.col("rep").alias("component")).limit(0)
+    tried: list[DataFrame] = []
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        """Components after verifying the pairs ``a, b`` that weren't verified before."""
+        for t in tried:
+            pairs = pairs.join(t, ["a", "b"], "left_anti")
+        tried.append(written(pairs, "pairs"))
+        return merged_components(found, verified(tried[-1], texts, words, threshold))
+
+    still = buckets
+    for r in range(ROUNDS):
+        if still.isEmpty():
+            break
+        order = F.col("id") if r == 0 else F.xxhash64("id", F.lit(r))
+        leaders = still.groupBy(F.col("key").alias("of")).agg(F.min_by("id", order).alias("leader"))
+        stars = (still.join(leaders, F.col("key") == F.col("of")).filter("id <> leader")
+                 .select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
+        across = with_component(with_component(stars, found, "a", "of_a"), found, "b", "of_b").filter("of_a <> of_b")
+        found = compared(across.join(two, F.col("b") == F.col("id_b")).join(one, F.col("a") == F.col("id_a"))
+                         .filter(close).select("a", "b"))
+        still = undecided(still, found)
+
+    # pairs across the components of the buckets that are left
+    parts = with_component(split_large(still, nodes, SPLIT_ABOVE), found, "id", "component").join(bits, "id")
     left, right = (parts.select("key", F.col("id").alias(x), F.col("component").alias(f"of_{x}"),
                                 F.col("bits").alias(f"bits_{x}")) for x in "ab")
-    rest = (left.join(right, (left.key == right.key) & (F.col("a") < F.col("b")) & (F.col("of_a") != F.col("of_b"))
-                      & (estimate("bits_a", "bits_b", registers) >= threshold - SLACK))
-            .select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"))
-    links = links.unionByName(verified(rest, texts, words, threshold))
-    found = components(links)
+    found = compared(left.join(right, (left.key == right.key) & (F.col("a") < F.col("b"))
+                               & (F.col("of_a") != F.col("of_b")) & close).select("a", "b").distinct())
 
     classes = with_component(copies, found, "rep", "class_id").select(F.col("doc_id").alias("id"), "class_id")
     return rows.select("doc_id").join(classes, F.col("doc_id") == F.col("id"), "left").select(
