@@ -19,31 +19,16 @@ from pyspark.sql import DataFrame, Window, functions as F
 from basketlab.session import materialize
 
 
-# Largest group a plain row_number window may hold in one task.
-MAX_GROUP_ROWS = 1_000_000
-
-
-def groups_bounded(df: DataFrame, group_cols: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS) -> bool:
-    """True when no group has more than ``max_group_rows`` rows (one partial aggregation)."""
-    biggest = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return biggest is None or biggest <= max_group_rows
-
-
 def sequence_number(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], name: str,
-                    partitions: int | None = None, max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                    partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of the row in its group by ``order_cols``.
 
     ``order_cols`` should make rows unique within a group (as for
-    ``row_number``).  The largest group is measured first (one partial
-    aggregation); when it has at most ``max_group_rows`` rows a plain
-    ``row_number`` window is bounded and used.  Otherwise (or with
-    ``max_group_rows=None``) the range-partitioned plan runs; its rows are
-    written once (partition ids must not change if a task is retried).
+    ``row_number``).  ``df`` is evaluated once for the range bounds and once
+    for its rows, so it should be a scan or a written table.  The ranged rows
+    are written once (partition ids must not change if a task is retried).
     """
     g = list(group_cols)
-    if max_group_rows is not None and groups_bounded(df, g, max_group_rows):
-        w = Window.partitionBy(*g).orderBy(*order_cols)
-        return df.withColumn(name, F.row_number().over(w).cast("int"))
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *g, *order_cols).withColumn("_pid", F.spark_partition_id())

@@ -1,10 +1,9 @@
 """Shared building blocks: the joined base and the per-order aggregates.
 
-Physical shape (checked with ``explain``): ``base_lines`` is the only join of
-lines with orders and hash-partitions the lines by ``order_id``.  Every
-per-order / per-(order, product) aggregate below groups by a superset of
-``order_id``, so Spark reuses that partitioning: the aggregates and their
-self-joins add no further exchange.
+Physical shape (checked with ``explain``): the lines are aggregated per (order,
+product) before anything is joined, and the orders are joined once with those
+rows.  ``base_lines`` is the line-level join for the consumers that need one row
+per line.
 """
 
 from __future__ import annotations
@@ -42,28 +41,36 @@ def keyword_flag(name: Column, keywords: Sequence[str]) -> Column:
     return flag if flag is not None else F.lit(False)
 
 
-def order_product_stats(base: DataFrame) -> DataFrame:
-    """One row per (order, product) with line multiplicity and co-occurrence.
+def order_product_stats(lines: DataFrame, orders: DataFrame, keep=None) -> DataFrame:
+    """One row per (order, product) with line multiplicity and co-occurrence, and the order's attributes.
 
     ``co`` = lines of *other* products in the same order, summed over the
     ``m`` lines of this product: ``m * (size - m)`` where ``size`` counts the
-    order's non-null product lines.  This is exactly what the reference's
-    self-join on (same order, different product) counts, without emitting
-    any pairs (NULL products never match, so their ``co`` is 0).
+    order's non-null product lines.  That is the number of (same order,
+    different product) pairs, without emitting any pair (NULL products and
+    NULL orders never match, so their ``co`` is 0).
+
+    Multiplicities and basket sizes need the lines only, so the orders are
+    joined once, with the aggregated rows.  ``keep`` (a function from
+    DataFrame to DataFrame) may write the aggregated lines, which are read
+    twice; without it the lines are scanned for each use.
     """
-    op = (base.groupBy("order_id", "product_id", *ORDER_ATTRS, "order_matched")
+    op = (lines.select(*LINE_COLS).groupBy("order_id", "product_id")
           .agg(F.count(F.lit(1)).alias("m"),
                F.sum("add_to_cart_order").alias("cart_sum"),
                F.count("add_to_cart_order").alias("cart_cnt"),
                F.sum("reordered").alias("reord_sum"),
                F.count("reordered").alias("reord_cnt"),
                F.max(F.col("reordered") == 1).alias("reord_any")))
-    size = (op.groupBy("order_id")
+    op = keep(op) if keep else op
+    size = (op.groupBy(F.col("order_id").alias("_o"))
             .agg(F.coalesce(F.sum(F.when(F.col("product_id").isNotNull(), F.col("m"))), F.lit(0))
                  .alias("basket_size")))
-    return op.join(size, "order_id").withColumn(
-        "co", F.when(F.col("product_id").isNull(), F.lit(0))
-        .otherwise(F.col("m") * (F.col("basket_size") - F.col("m"))))
+    o = orders.select("order_id", *ORDER_ATTRS, F.lit(True).alias("order_matched"))
+    co = F.when(F.col("product_id").isNull() | F.col("order_id").isNull(), F.lit(0)).otherwise(
+        F.col("m") * (F.col("basket_size") - F.col("m")))
+    return (op.join(size, F.col("order_id").eqNullSafe(F.col("_o"))).drop("_o")
+            .join(o, "order_id", "left").withColumn("co", co))
 
 
 def order_stats(op: DataFrame, products: DataFrame,

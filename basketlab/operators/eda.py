@@ -10,7 +10,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from basketlab.functions.prefix import mid_ranks
+from basketlab.functions.prefix import ranked_counts
+from basketlab.session import materialize
 
 HOURS = tuple(range(24))
 
@@ -123,12 +124,24 @@ def corr_pearson(df: DataFrame, x: str, y: str) -> DataFrame:
 def corr_spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Spearman correlation = Pearson correlation of mid-ranks (ties averaged).
 
-    The rank tables have one row per distinct value; their running counts
-    are computed range-partitioned (no single-task global window).
+    The rows are counted per (x, y) first; ranks are attached to those cells
+    and the correlation is weighted with the counts, so no row is joined.
     """
-    d = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y)
-    r = (d.join(mid_ranks(d, x, "_rx"), x).join(mid_ranks(d, y, "_ry"), y))
-    return r.agg(F.round(F.corr("_rx", "_ry"), 6).alias("spearman"))
+    cells = materialize(df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+                        .groupBy(F.col(x).alias("_x"), F.col(y).alias("_y")).agg(F.count(F.lit(1)).alias("_w")),
+                        "spearman_cells")
+
+    def ranks(col: str):
+        counts = cells.groupBy(F.col(col).alias(f"{col}v")).agg(F.sum("_w").alias("_n"))
+        return ranked_counts(counts, f"{col}v", "_n", f"{col}r").drop("_n")
+
+    r = cells.join(ranks("_x"), F.col("_x") == F.col("_xv")).join(ranks("_y"), F.col("_y") == F.col("_yv"))
+    w, a, b = F.col("_w"), F.col("_xr"), F.col("_yr")
+    m = r.agg(F.sum(w).cast("double").alias("n"), F.sum(w * a).alias("a"), F.sum(w * b).alias("b"),
+              F.sum(w * a * a).alias("aa"), F.sum(w * b * b).alias("bb"), F.sum(w * a * b).alias("ab"))
+    n, a, b = F.col("n"), F.col("a"), F.col("b")
+    spread = F.sqrt((n * F.col("aa") - a * a) * (n * F.col("bb") - b * b))
+    return m.select(F.round((n * F.col("ab") - a * b) / F.nullif(spread, F.lit(0.0)), 6).alias("spearman"))
 
 
 def contingency(df: DataFrame, row: str, col: str, values: Sequence) -> DataFrame:
@@ -157,6 +170,18 @@ def chi_square(df: DataFrame, row: str, col: str) -> DataFrame:
             .select("statistic", ((n_rows - 1) * (n_cols - 1)).alias("dof")))
 
 
+def chi_square_expected(df: DataFrame, row: str, col: str) -> DataFrame:
+    """Observed and expected count of every (row, col) cell, empty cells included."""
+    cells = df.groupBy(row, col).agg(F.count(F.lit(1)).alias("observed"))
+    rows = cells.groupBy(row).agg(F.sum("observed").alias("r"))
+    cols = cells.groupBy(col).agg(F.sum("observed").alias("c"))
+    n = cells.select(F.sum("observed").cast("double")).scalar()
+    # the table itself: one row per pair of a weekday-like and an hour-like value
+    return (rows.join(F.broadcast(cols)).join(cells, [row, col], "left")
+            .select(row, col, F.coalesce("observed", F.lit(0)).alias("observed"),
+                    F.round(F.col("r") * F.col("c") / n, 6).alias("expected")))
+
+
 def chi_square_test(df: DataFrame, row: str, col: str) -> DataFrame:
     """E13 with p-value: Spark ML ``ChiSquareTest`` of ``row`` against ``col``."""
     from pyspark.ml.feature import VectorAssembler

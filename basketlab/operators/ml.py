@@ -42,6 +42,7 @@ class Preset:
 
     algorithm: str
     params: dict = field(default_factory=dict)
+    unmapped: dict = field(default_factory=dict)
 
     def estimator(self, features_col: str = "features", label_col: str = "label", **extra):
         kw = dict(featuresCol=features_col, labelCol=label_col, **self.params, **extra)
@@ -54,19 +55,83 @@ class Preset:
         raise ValueError(f"unknown algorithm {self.algorithm!r}")
 
 
-def booster_preset(max_iter: int | None = None, seed: int = 42, params: dict | None = None) -> Preset:
+def _fraction(v) -> str:
+    return f"{float(v):.3f}"
+
+
+def _depth_of_leaves(v) -> int:
+    return max(1, (int(v) - 1).bit_length())
+
+
+# The learners' parameter names, and their twins in Spark ML (None: there is none).
+BOOSTER_NAMES = {
+    "rounds": ("maxIter", int), "max_depth": ("maxDepth", int), "eta": ("stepSize", float),
+    "subsample": ("subsamplingRate", float), "colsample_bytree": ("featureSubsetStrategy", _fraction),
+    "min_child_weight": ("minInstancesPerNode", int), "gamma": ("minInfoGain", float), "seed": ("seed", int),
+    "colsample_bylevel": None, "lambda": None, "alpha": None, "objective": None, "eval_metric": None,
+    "early_stopping_rounds": None,
+}
+FOREST_NAMES = {
+    "rounds": ("numTrees", int), "num_parallel_tree": ("numTrees", int), "max_depth": ("maxDepth", int),
+    "subsample": ("subsamplingRate", float), "colsample_bynode": ("featureSubsetStrategy", _fraction),
+    "min_child_weight": ("minInstancesPerNode", int), "seed": ("seed", int), "lambda": None, "alpha": None, "objective": None,
+}
+LEAF_WISE_NAMES = {
+    "rounds": ("maxIter", int), "num_leaves": ("maxDepth", _depth_of_leaves), "max_depth": ("maxDepth", int),
+    "learning_rate": ("stepSize", float), "bagging_fraction": ("subsamplingRate", float),
+    "feature_fraction": ("featureSubsetStrategy", _fraction), "min_data_in_leaf": ("minInstancesPerNode", int),
+    "min_gain_to_split": ("minInfoGain", float), "max_bin": ("maxBins", int), "seed": ("seed", int),
+    "lambda_l1": None, "lambda_l2": None, "objective": None, "metric": None, "early_stopping_rounds": None,
+}
+MACHINE_NAMES = {
+    "rounds": ("maxIter", int), "ntrees": ("maxIter", int), "max_depth": ("maxDepth", int), "learn_rate": ("stepSize", float),
+    "sample_rate": ("subsamplingRate", float), "col_sample_rate": ("featureSubsetStrategy", _fraction),
+    "min_rows": ("minInstancesPerNode", int), "nbins": ("maxBins", int), "seed": ("seed", int),
+    "stopping_rounds": None, "stopping_metric": None,
+}
+LINEAR_NAMES = {
+    "lambda": ("regParam", float), "alpha": ("elasticNetParam", float), "max_iterations": ("maxIter", int),
+    "standardize": ("standardization", bool), "intercept": ("fitIntercept", bool), "family": None, "seed": None,
+}
+
+
+def with_params(preset: Preset, params: dict | None, names: dict) -> Preset:
+    """M7: ``params`` under a learner's own names over a preset's defaults.
+
+    Names without a twin in Spark ML are listed in ``Preset.unmapped`` (and
+    logged with a run); unknown names raise ``ValueError``.
+    """
+    unknown = set(params or {}) - set(names)
+    if unknown:
+        raise ValueError(f"unknown parameter(s): {', '.join(sorted(unknown))}")
+    own, unmapped = dict(preset.params), dict(preset.unmapped)
+    for k, v in (params or {}).items():
+        if names[k] is None:
+            unmapped[k] = v
+        else:
+            own[names[k][0]] = names[k][1](v)
+    return Preset(preset.algorithm, own, unmapped)
+
+
+def booster_preset(max_iter: int | None = None, seed: int = 42, params: dict | None = None,
+                   rows: int | None = None) -> Preset:
     """M2/M6: booster parameters (default: the reference's) mapped to ``GBTClassifier``.
 
-    depth, step size, row subsampling and rounds map directly; column
-    subsampling becomes a per-node feature fraction; the minimum hessian
-    weight becomes a minimum number of rows per node.  ``gamma`` / L1 / L2
-    have no tree counterpart in Spark ML and are dropped.
+    Column subsampling becomes a per-node feature fraction and the minimum
+    hessian weight a minimum number of rows per node.  ``gamma`` is a loss
+    reduction summed over a node's rows, Spark's minimum gain one per row of
+    the data, so it is divided by ``rows`` (without ``rows`` it stays unmapped).
     """
     p = {**REFERENCE_BOOSTER_PARAMS, **(params or {})}
-    return Preset("gbt", dict(maxIter=int(max_iter or p["rounds"]), maxDepth=int(p["max_depth"]),
-                              stepSize=float(p["eta"]), subsamplingRate=float(p["subsample"]),
-                              featureSubsetStrategy=f"{float(p['colsample_bytree']):.2f}",
-                              minInstancesPerNode=int(p["min_child_weight"]), lossType="logistic", seed=seed))
+    if max_iter is not None:
+        p["rounds"] = max_iter
+    gamma = p.pop("gamma")
+    preset = with_params(Preset("gbt", dict(lossType="logistic", seed=seed)), p, BOOSTER_NAMES)
+    if rows:
+        preset.params["minInfoGain"] = gamma / rows
+    else:
+        preset.unmapped["gamma"] = gamma
+    return preset
 
 
 PRESETS = {
@@ -92,24 +157,40 @@ def prepare(df: DataFrame, features: Sequence[str], label: str = LABEL) -> DataF
             .na.fill(0.0, subset=list(features)))
 
 
-def fit(train: DataFrame, preset: Preset, features: Sequence[str], label: str = LABEL,
-        validation=None, validation_tol: float = 0.01) -> PipelineModel:
-    """M2-M6: fit ``VectorAssembler -> estimator`` on a matrix.
+def fit(train: DataFrame, preset: Preset, features: Sequence[str], label: str = LABEL) -> PipelineModel:
+    """M2-M6: fit ``VectorAssembler -> estimator`` on a matrix."""
+    asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[asm, preset.estimator()]).fit(prepare(train, features, label))
+
+
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """M8: the round (from 1) with the smallest loss before ``patience`` rounds pass without a smaller one."""
+    best = 0
+    for i, v in enumerate(losses):
+        if v < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def fit_with_patience(train: DataFrame, evaluation: DataFrame, preset: Preset, features: Sequence[str],
+                      label: str = LABEL, patience: int = 30) -> tuple[PipelineModel, list[float]]:
+    """M8: boosted trees stopped by the loss on ``evaluation`` rows, and that loss per round.
 
-    M8: with ``validation`` (a boolean Column marking evaluation rows) a
-    boosted-tree model stops adding trees once the validation loss improves
-    by less than ``validation_tol``; the marked rows are not trained on.
+    All rounds are fitted, the patience rule is applied to the losses, and the
+    model is fitted again with the best number of rounds and the same seed
+    (the same trees).
     """
-    asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    data = prepare(train, features, label)
-    if validation is None:
-        est = preset.estimator()
-    else:
-        if preset.algorithm not in ("gbt", "gbt_alt"):
-            raise ValueError("early stopping on a validation set needs a boosted-tree preset")
-        data = data.withColumn("is_validation", validation)
-        est = preset.estimator(validationIndicatorCol="is_validation", validationTol=validation_tol)
-    return Pipeline(stages=[asm, est]).fit(data)
+    if preset.algorithm not in ("gbt", "gbt_alt"):
+        raise ValueError("early stopping needs a boosted-tree preset")
+    model = fit(train, preset, features, label)
+    data = model.stages[0].transform(prepare(evaluation, features, label))
+    losses = [float(v) for v in model.stages[-1].evaluateEachIteration(data)]
+    rounds = best_round(losses, patience)
+    if rounds < len(losses):
+        model = fit(train, Preset(preset.algorithm, {**preset.params, "maxIter": rounds}, preset.unmapped), features, label)
+    return model, losses
 
 
 def trees_built(model: PipelineModel) -> int:
@@ -173,11 +254,25 @@ def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequ
     if hasattr(est, "toDebugString"):
         for m in re.finditer(r"If \(feature (\d+) ", est.toDebugString):
             splits[int(m.group(1))] += 1
-    rows = [(f, float(gains[i]) if gains is not None else 0.0, splits[i]) for i, f in enumerate(features)]
-    schema = "feature string, gain_importance double, split_count long"
+    total = _total_gain(est, len(features))
+    rows = [(f, float(gains[i]) if gains is not None else 0.0, total[i], splits[i]) for i, f in enumerate(features)]
+    schema = "feature string, gain_importance double, total_gain double, split_count long"
     return spark.createDataFrame(rows, schema).orderBy(F.desc("gain_importance"), "feature")
 
 
+def _total_gain(est, n: int) -> list[float]:
+    """Gain times rows, summed over all splits of all trees, per feature (a tree model's own node table)."""
+    total = [0.0] * n
+    for tree in getattr(est, "trees", []):
+        stack = [tree._call_java("rootNode")]
+        while stack:
+            node = stack.pop()
+            if node.subtreeDepth() > 0:
+                total[node.split().featureIndex()] += node.gain() * node.impurityStats().count()
+                stack += [node.leftChild(), node.rightChild()]
+    return total
+
+
 def loss_history(spark: SparkSession, model: PipelineModel, data: DataFrame, features: Sequence[str],
                  label: str = LABEL) -> DataFrame:
     """Training loss per iteration (GBT: evaluated on ``data``; GLM: objective history)."""
@@ -200,12 +295,19 @@ def unused_features(spark: SparkSession, importance: DataFrame, features: Sequen
 
 
 def log_run(spark: SparkSession, runs_path: str, preset: Preset, metrics: DataFrame, seconds: float,
-            dataset_version: str = "", model_version: str = "", commit: str = "") -> DataFrame:
-    """Append one run record (params, duration, metrics, versions) to a Parquet table."""
+            dataset_version: str = "", model_version: str = "", commit: str = "", experiment: str = "",
+            stopped_on_test: bool = False) -> DataFrame:
+    """Append one run record (params, duration, metrics, versions) to a Parquet table.
+
+    ``stopped_on_test`` records that the scored rows also chose the number of
+    rounds, which flatters the metrics.
+    """
     run_id = uuid.uuid4().hex
     rec = metrics.select(
-        F.lit(run_id).alias("run_id"), F.lit(preset.algorithm).alias("algorithm"),
+        F.lit(run_id).alias("run_id"), F.lit(experiment).alias("experiment"), F.lit(preset.algorithm).alias("algorithm"),
         F.lit(json.dumps(preset.params, sort_keys=True)).alias("params"),
+        F.lit(json.dumps(preset.unmapped, sort_keys=True)).alias("unmapped_params"),
+        F.lit(stopped_on_test).alias("stopped_on_test"),
         F.lit(float(seconds)).alias("training_seconds"), F.lit(dataset_version).alias("dataset_version"),
         F.lit(model_version).alias("model_version"), F.lit(commit).alias("commit"),
         F.current_timestamp().alias("logged_at"),
@@ -239,39 +341,41 @@ class ModelTrainer:
         self.last_run: DataFrame | None = None
 
     def _run(self, preset: Preset, commit: str, dataset_version: str, model_version: str,
-             early_stopping: bool = False) -> PipelineModel:
-        """M8: with ``early_stopping`` and a test set, boosted trees stop on the
-        test set's loss (its rows are the validation rows, not trained on)."""
+             patience: int | None = None) -> PipelineModel:
+        """M8: with ``patience`` and a test set, boosted trees stop on the test set's loss."""
         feats = feature_columns(self.train_set, self.target_column)
-        if early_stopping and self.test_set is not None:
-            both = (self.train_set.withColumn("_is_eval", F.lit(False))
-                    .unionByName(self.test_set.withColumn("_is_eval", F.lit(True)), allowMissingColumns=True))
-            t0 = time.time()
-            model = fit(both, preset, feats, self.target_column, validation=F.col("_is_eval"))
-            secs = time.time() - t0
+        stopping = patience is not None and self.test_set is not None
+        t0 = time.time()
+        if stopping:
+            model, _ = fit_with_patience(self.train_set, self.test_set, preset, feats, self.target_column, patience)
         else:
-            model, secs = timed_fit(self.train_set, preset, feats, self.target_column)
+            model = fit(self.train_set, preset, feats, self.target_column)
+        secs = time.time() - t0
         data = self.test_set if self.test_set is not None else self.train_set
         metrics = evaluate(score(model, data, feats, self.target_column))
-        self.last_run = log_run(self.spark, self.runs_path, preset, metrics, secs,
-                                dataset_version, model_version, commit)
+        self.last_run = log_run(self.spark, self.runs_path, preset, metrics, secs, dataset_version, model_version,
+                                commit, self.experiment_name, stopping)
         return model
 
-    def train_xgb_gbm(self, commit, dataset_version, model_version, params=None):
-        return self._run(booster_preset(params=params), commit, dataset_version, model_version,
-                         early_stopping=True)
+    def train_xgb_gbm(self, prev_commit_hash, dataset_version, model_version, params=None):
+        patience = int({**REFERENCE_BOOSTER_PARAMS, **(params or {})}["early_stopping_rounds"])
+        preset = booster_preset(params=params, rows=self.train_set.count())
+        return self._run(preset, prev_commit_hash, dataset_version, model_version, patience)
 
-    def train_xgb_rf(self, commit, dataset_version, model_version, params=None):
-        n = int((params or {}).get("rounds", 100))
-        return self._run(PRESETS["rf"](n), commit, dataset_version, model_version)
+    def train_xgb_rf(self, prev_commit_hash, dataset_version, model_version, params=None):
+        preset = with_params(PRESETS["rf"](100), params, FOREST_NAMES)
+        return self._run(preset, prev_commit_hash, dataset_version, model_version)
 
-    def train_lgbm(self, commit, dataset_version, model_version, params=None):
-        n = int((params or {}).get("rounds", 250))
-        return self._run(PRESETS["gbt_alt"](n), commit, dataset_version, model_version)
+    def train_lgbm(self, prev_commit_hash, dataset_version, model_version, params=None):
+        patience = int((params or {}).get("early_stopping_rounds", 30))
+        preset = with_params(PRESETS["gbt_alt"](250), params, LEAF_WISE_NAMES)
+        return self._run(preset, prev_commit_hash, dataset_version, model_version, patience)
 
-    def train_h2o_glm(self, commit, dataset_version, model_version, params=None):
-        return self._run(PRESETS["glm"](), commit, dataset_version, model_version)
+    def train_h2o_glm(self, prev_commit_hash, dataset_version, model_version, params=None):
+        preset = with_params(PRESETS["glm"](), params, LINEAR_NAMES)
+        return self._run(preset, prev_commit_hash, dataset_version, model_version)
 
-    def train_h2o_gbm(self, commit, dataset_version, model_version, params=None):
-        n = int((params or {}).get("rounds", 50))
-        return self._run(PRESETS["gbt"](n), commit, dataset_version, model_version, early_stopping=True)
+    def train_h2o_gbm(self, prev_commit_hash, dataset_version, model_version, params=None):
+        patience = int((params or {}).get("stopping_rounds", 30))
+        preset = with_params(PRESETS["gbt"](50), params, MACHINE_NAMES)
+        return self._run(preset, prev_commit_hash, dataset_version, model_version, patience)

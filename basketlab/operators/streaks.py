@@ -1,31 +1,25 @@
 """Purchase streaks of a product within a user's order sequence.
 
-Input rows must be unique on (user, product, order_number); the
-per-(order, product) table guarantees it.
-
-Execution strategies with identical results:
-
-* ``window``: windows partitioned by (user_id, product_id); one exchange
-  serves the ``lead``, both ``row_number`` windows and the length count.
-  A window partition holds one user's purchases of one product.
-* ``bucketed``: the same numbers computed inside (user, product,
-  order-number bucket) windows of at most ``bucket_rows`` rows.  A small
-  per-bucket table (first order, row count, flag count) supplies the
-  offsets from earlier buckets and the next bucket's first order, so even a
-  user holding a third of all purchases is spread over many tasks.
-* ``auto`` (default): order numbers are distinct within a (user, product),
-  so a window partition has at most ``max(order_number)`` rows.  One scalar
-  aggregate measures that bound; below ``bucket_rows`` the plain windows are
-  provably bounded and used, otherwise the bucketed plan runs.
+One plan for every size.  The rows are first counted per (user, product,
+order number) -- an aggregate with map-side combination -- and all windows run
+over those cells inside buckets of ``bucket_rows`` consecutive order numbers,
+so a window partition never holds more than ``bucket_rows`` rows, however many
+purchases a user (or the NULL user of orphan lines) has.  A small per-bucket
+table carries what a cell needs to know of the buckets before and behind it.
+All joins are null-safe: NULL users, products and order numbers keep their rows.
+
+Order of the rows of a (user, product): by order number, NULL first; rows with
+the same number by ``order_id``, so only the last of them can be followed by
+the next number.
 
 Two grouping modes:
 
-* ``compat`` reproduces the reference: ``grp = row_number(by user, product)
-  - row_number(by user, product, flag)``, lengths counted per
-  (user, product, grp) *without* the flag.  It breaks a run before its last
-  order and merges non-consecutive purchases (1,2,3,4 -> {1,3}).
-* ``island`` is the true consecutive-run ("gaps and islands") length:
-  ``grp = order_number - row_number`` (1,2,3,4 -> {4}; 1,3,5 -> {1,1,1}).
+* ``compat``: the group of a row is the number of earlier rows of its (user,
+  product) with the *other* run flag; lengths ignore the flag.  It breaks a
+  run before its last order and merges non-consecutive purchases
+  (1,2,3,4 -> {1,3}).
+* ``island``: the true consecutive-run ("gaps and islands") length: the group
+  is the order number minus the row's position (1,2,3,4 -> {4}; 1,3,5 -> {1,1,1}).
 """
 
 from __future__ import annotations
@@ -37,103 +31,77 @@ from basketlab.schemas import cast_by_type
 from basketlab.session import materialize
 
 STREAK_MODES = ("compat", "island")
-STRATEGIES = ("auto", "bucketed", "window")
 BUCKET_ROWS = 4096
+NO_NUMBER = -(1 << 62)  # bucket of the rows without an order number: before all others
 _K = ("user_id", "product_id", "_b")
 
 
-def _w():
-    return Window.partitionBy("user_id", "product_id").orderBy("order_number")
-
-
-def resolve_strategy(df: DataFrame, strategy: str, bucket_rows: int) -> str:
-    """``auto`` -> ``window`` when the largest order number proves every
-    (user, product) window is smaller than ``bucket_rows``, else ``bucketed``."""
-    if strategy != "auto":
-        return strategy
-    top = df.agg(F.max("order_number")).first()[0]
-    return "window" if top is None or top < bucket_rows else "bucketed"
+def _same(left: DataFrame, right: DataFrame, cols) -> DataFrame:
+    """Inner equi-join in which NULL keys match each other."""
+    other = right.select(*[F.col(c).alias(f"_r{c}") if c in cols else F.col(c) for c in right.columns])
+    cond = None
+    for c in cols:
+        term = F.col(c).eqNullSafe(F.col(f"_r{c}"))
+        cond = term if cond is None else cond & term
+    return left.join(other, cond).drop(*[f"_r{c}" for c in cols])
+
+
+def _cells(df: DataFrame, bucket_rows: int) -> DataFrame:
+    """One row per (user, product, order number): ``n`` rows, ``before`` rows ahead of
+    them, the ``next`` larger number and the run ``flag`` of the cell's last row."""
+    v = F.col("order_number")
+    d = (df.groupBy("user_id", "product_id", "order_number")
+         .agg(F.count(F.lit(1)).alias("n"), F.max("order_id").alias("last_order"))
+         .withColumn("_b", F.coalesce(F.floor(v / bucket_rows).cast("long"), F.lit(NO_NUMBER))))
+    along = Window.partitionBy("user_id", "product_id").orderBy("_b")
+    ahead = along.rowsBetween(Window.unboundedPreceding, -1)
+    buckets = (d.groupBy(*_K).agg(F.min("order_number").alias("_min"), F.sum("n").alias("_n"))
+               .select(*_K, F.lead("_min").over(along).alias("_next"), F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead")))
+    w = Window.partitionBy(*_K).orderBy("order_number")
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    return (_same(d, buckets, _K)
+            .withColumn("next", F.coalesce(F.lead("order_number").over(w), F.col("_next")))
+            .withColumn("before", F.col("_ahead") + F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+            .withColumn("flag", F.when(F.col("next") - v == 1, 1).otherwise(0)).drop("_next", "_ahead"))
 
 
-def streak_flags(df: DataFrame, strategy: str = "auto", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def streak_flags(df: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Next order number of the same (user, product) and the run flag."""
-    cols = ["user_id", "product_id", "order_id", "order_number", "next_order_number", "is_streak_continued_flag"]
-    _check("compat", strategy)
-    if resolve_strategy(df, strategy, bucket_rows) == "window":
-        nxt = F.lead("order_number", 1).over(_w())
-        return (df.select("user_id", "product_id", "order_id", "order_number")
-                .withColumn("next_order_number", nxt).withColumn("is_streak_continued_flag", _flag()))
-    return _bucketed(df, bucket_rows).select(*cols)
+    rows = df.select("user_id", "product_id", "order_id", "order_number")
+    cells = _cells(rows, bucket_rows).select("user_id", "product_id", "order_number", "last_order", "next", "flag")
+    last = F.col("order_id").eqNullSafe(F.col("last_order"))
+    return _same(rows, cells, ("user_id", "product_id", "order_number")).select(
+        "user_id", "product_id", "order_id", "order_number",
+        F.when(last, F.col("next")).otherwise(F.col("order_number")).alias("next_order_number"),
+        F.when(last, F.col("flag")).otherwise(0).alias("is_streak_continued_flag"))
 
 
-def _flag():
-    return F.when(F.col("next_order_number") - F.col("order_number") == 1, 1).otherwise(0)
-
-
-def _check(mode: str, strategy: str) -> None:
+def streak_lengths(df: DataFrame, mode: str = "compat", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(user_id, product_id, grp, length_of_streaks); rows without an order number add no length."""
     if mode not in STREAK_MODES:
         raise ValueError(f"streak mode must be one of {STREAK_MODES}, got {mode!r}")
-    if strategy not in STRATEGIES:
-        raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
-
-
-def _bucketed(df: DataFrame, bucket_rows: int) -> DataFrame:
-    """Rows with ``_b``, ``next_order_number``, the flag, ``_c`` (rows before
-    this one in its (user, product)) and ``_f1`` (flagged rows before it
-    inside its bucket).  Window partitions hold at most ``bucket_rows`` rows;
-    the per-bucket table has one row per non-empty bucket.
-    """
-    n = F.col("order_number")
-    d = df.select("user_id", "product_id", "order_id", "order_number",
-                  F.floor(n / bucket_rows).cast("long").alias("_b"))
-    per_user_product = Window.partitionBy("user_id", "product_id").orderBy("_b")
-    stats = (d.groupBy(*_K).agg(F.min("order_number").alias("_min"), F.count(F.lit(1)).alias("_n"))
-             .select(*_K, F.lead("_min").over(per_user_product).alias("_next_min"),
-                     F.coalesce(F.sum("_n").over(per_user_product.rowsBetween(Window.unboundedPreceding, -1)),
-                                F.lit(0)).alias("_before")))
-    w = Window.partitionBy(*_K).orderBy("order_number")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    return (d.join(stats, list(_K))
-            .withColumn("next_order_number", F.coalesce(F.lead("order_number").over(w), F.col("_next_min")))
-            .withColumn("is_streak_continued_flag", _flag())
-            .withColumn("_c", F.col("_before") + F.row_number().over(w) - 1)
-            .withColumn("_f1", F.coalesce(F.sum("is_streak_continued_flag").over(before), F.lit(0))))
-
-
-def streak_lengths(df: DataFrame, mode: str = "compat", strategy: str = "auto",
-                   bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(user_id, product_id, grp, length_of_streaks).
-
-    compat: ``grp = row_number(user, product) - row_number(user, product, flag)``,
-    i.e. the number of earlier rows of the (user, product) with the *other*
-    flag value.  island: ``grp = order_number - row_number(user, product)``.
-    """
-    _check(mode, strategy)
-    if resolve_strategy(df, strategy, bucket_rows) == "window":
-        if mode == "compat":
-            w2 = Window.partitionBy("user_id", "product_id", "is_streak_continued_flag").orderBy("order_number")
-            g = streak_flags(df, "window").withColumn("grp", F.row_number().over(_w()) - F.row_number().over(w2))
-        else:
-            g = df.withColumn("grp", F.col("order_number") - F.row_number().over(_w()))
+    cells = _cells(df, bucket_rows)
+    counted = F.col("order_number").isNotNull().cast("long")
+    if mode == "island":
+        # rows that share a number stand one behind the other, each a position further
+        g = (cells.select("user_id", "product_id", "order_number", "before", counted.alias("_c"),
+                          F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("_i"))
+             .withColumn("grp", (F.col("order_number") - F.col("before") - F.col("_i")).cast("int")))
     else:
-        d = _bucketed(df, bucket_rows)
-        if mode == "island":
-            g = d.withColumn("grp", (F.col("order_number") - F.col("_c") - 1).cast("int"))
-        else:
-            # flagged rows in earlier buckets: the bucketed rows are used twice
-            # (bucket totals and the rows themselves), so they are materialised
-            # once; the checkpoint keeps their (user, product, bucket) partitioning.
-            d = materialize(d, "streak_rows", keep_partitioning=True)
-            per_user_product = Window.partitionBy("user_id", "product_id").orderBy("_b")
-            tot = (d.groupBy(*_K).agg(F.sum("is_streak_continued_flag").alias("_ft"))
-                   .select(*_K, F.coalesce(F.sum("_ft").over(
-                       per_user_product.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_fb")))
-            f1 = F.col("_fb") + F.col("_f1")
-            g = (d.join(tot, list(_K))
-                 .withColumn("grp", F.when(F.col("is_streak_continued_flag") == 1, F.col("_c") - f1)
-                             .otherwise(f1).cast("int")))
-    return (g.groupBy("user_id", "product_id", "grp")
-            .agg(F.count("order_number").alias("length_of_streaks")))
+        # flagged rows ahead of each cell; the cells feed the bucket totals and the result, so
+        # they are kept once, with their partitioning
+        cells = materialize(cells, "streak_cells", keep_partitioning=True)
+        along = Window.partitionBy("user_id", "product_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        totals = (cells.groupBy(*_K).agg(F.sum("flag").alias("_f"))
+                  .select(*_K, F.coalesce(F.sum("_f").over(along), F.lit(0)).alias("_flags")))
+        inside = Window.partitionBy(*_K).orderBy("order_number").rowsBetween(Window.unboundedPreceding, -1)
+        flags = F.col("_flags") + F.coalesce(F.sum("flag").over(inside), F.lit(0))
+        plain = F.struct(F.col("flags").alias("grp"), ((F.col("n") - F.col("flag")) * counted).alias("_c"))
+        flagged = F.struct((F.col("before") - F.col("flags") + F.col("n") - 1).alias("grp"), F.lit(1).cast("long").alias("_c"))
+        parts = F.when(F.col("flag") == 0, F.array(plain)).when(F.col("n") == 1, F.array(flagged)).otherwise(F.array(plain, flagged))
+        g = (_same(cells, totals, _K).withColumn("flags", flags)
+             .select("user_id", "product_id", F.inline(parts)).withColumn("grp", F.col("grp").cast("int")))
+    return g.groupBy("user_id", "product_id", "grp").agg(F.sum("_c").alias("length_of_streaks"))
 
 
 def product_streak_stats(lengths: DataFrame) -> DataFrame:

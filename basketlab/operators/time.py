@@ -21,17 +21,27 @@ def orders_per_hour(orders: DataFrame) -> DataFrame:
     return orders.groupBy("order_hour_of_day").agg(F.count("order_id").alias("total_ord_count_p_ohod"))
 
 
-def time_features(orders: DataFrame) -> DataFrame:
-    """Per order, the number of orders sharing its weekday and its hour.
+def _counts_map(counts: DataFrame, key: str, value: str):
+    """A key -> count table as one map, for a scalar subquery (a weekday has 7 values, an hour 24)."""
+    entries = F.collect_list(F.struct(key, value))
+    return counts.filter(F.col(key).isNotNull()).agg(F.map_from_entries(entries).alias("m")).scalar()
+
+
+def with_time_counts(df: DataFrame, orders: DataFrame) -> DataFrame:
+    """Adds the number of orders on the row's weekday and in its hour (NULL where there is none).
 
-    The two count tables have one row per weekday / hour.  They are joined
-    by key rather than computed as ``count() over (partition by order_dow)``,
-    which would put a seventh of all orders into one task; adaptive
-    execution measures the materialised count tables and broadcasts them.
+    The counts are looked up in two small maps: a join on seven keys would
+    shuffle all rows of ``df`` into seven partitions.
     """
-    t = (orders.select("user_id", "order_id", "order_dow", "order_hour_of_day")
-         .join(orders_per_dow(orders), "order_dow", "left")
-         .join(orders_per_hour(orders), "order_hour_of_day", "left")
+    dow = _counts_map(orders_per_dow(orders), "order_dow", TIME_FEATURES[0])
+    hour = _counts_map(orders_per_hour(orders), "order_hour_of_day", TIME_FEATURES[1])
+    return df.withColumns({TIME_FEATURES[0]: F.try_element_at(dow, F.col("order_dow")),
+                           TIME_FEATURES[1]: F.try_element_at(hour, F.col("order_hour_of_day"))})
+
+
+def time_features(orders: DataFrame) -> DataFrame:
+    """Per order, the number of orders sharing its weekday and its hour."""
+    t = (with_time_counts(orders.select("user_id", "order_id", "order_dow", "order_hour_of_day"), orders)
          .select("user_id", "order_id", F.col("order_dow").alias("dow"),
                  F.col("order_hour_of_day").alias("hour_of_day"), *TIME_FEATURES))
     return cast_by_type(t, T.LongType, T.DoubleType())

@@ -1,8 +1,8 @@
 """FeatureSet: all feature groups from one history of orders and lines.
 
 The reference recomputes its ``lines JOIN orders`` nine times and runs two
-eager jobs at plan time.  Here the join happens once (``base``) and every
-feature group is a few aggregations of it; nothing executes until an action.
+eager jobs at plan time.  Here the lines are aggregated and joined once (``op``)
+and every feature group is a few aggregations of that written table.
 """
 
 from __future__ import annotations
@@ -42,11 +42,16 @@ class FeatureSet:
     branch.  The written table also cuts the lineage for executor loss.
     ``table_dir`` names where the feature tables are written (default: a
     fresh folder below the checkpoint folder).
+
+    ``target_lines`` with their ``target_orders`` are the labelled lines of the
+    train matrix where they aren't the history itself (the default, as in the
+    original): their labels then have no part in the features.
     """
 
     def __init__(self, lines: DataFrame, orders: DataFrame, products: DataFrame,
                  keywords: Sequence[str] = B.DEFAULT_KEYWORDS, streak_mode: str = "compat",
-                 materialize: bool = True, table_dir: str | None = None):
+                 materialize: bool = True, table_dir: str | None = None,
+                 target_lines: DataFrame | None = None, target_orders: DataFrame | None = None):
         require_columns(lines, *LINE_COLS, what="order lines")
         require_columns(orders, "order_id", *B.ORDER_ATTRS, what="orders")
         require_columns(products, "product_id", "product_name", what="products")
@@ -55,6 +60,9 @@ class FeatureSet:
         self.lines, self.orders, self.products = lines, orders, products
         self.keywords, self.streak_mode = tuple(keywords), streak_mode
         self.materialize, self.table_dir = materialize, table_dir
+        if (target_lines is None) != (target_orders is None):
+            raise ValueError("target_lines and target_orders go together")
+        self.target_lines, self.target_orders = target_lines, target_orders
 
     @classmethod
     def from_tables(cls, t: BasketTables, **kw) -> FeatureSet:
@@ -68,8 +76,10 @@ class FeatureSet:
 
     @cached_property
     def op(self) -> DataFrame:
-        op = B.order_product_stats(self.base)
-        return materialize(op, "order_product_stats") if self.materialize else op
+        if not self.materialize:
+            return B.order_product_stats(self.lines, self.orders)
+        op = B.order_product_stats(self.lines, self.orders, lambda df: materialize(df, "order_product_lines"))
+        return materialize(op, "order_product_stats")
 
     @cached_property
     def order_stats(self) -> DataFrame:
@@ -115,6 +125,8 @@ class FeatureSet:
         time.  With duplicate lines the joined base keeps one row per line.
         """
         cols = ("user_id", "product_id", "reordered", "order_dow", "order_hour_of_day")
+        if self.target_lines is not None:
+            return B.base_lines(self.target_lines, self.target_orders).select(*cols)
         if self.materialize and (self.op.agg(F.max("m")).first()[0] or 0) <= 1:
             return self.op.select("user_id", "product_id", F.col("reord_sum").cast("int").alias("reordered"),
                                   "order_dow", "order_hour_of_day")
@@ -124,19 +136,16 @@ class FeatureSet:
         """A1: one row per history line: keys, label and the 34 features.
 
         The per-order time counts are looked up by weekday / hour on the
-        line spine (which already carries them) instead of re-joining lines
-        with an order-level table.  The line table is shuffled for the
+        line spine (which already carries both) in maps of 7 and 24 entries, so
+        the spine isn't shuffled for them.  The line table is shuffled for the
         (user, product) join; the product (and, if small, the user) features
         are broadcast after a measured size check, otherwise they are shuffle
         joins whose hot keys adaptive execution splits.
         """
-        dow = TM.orders_per_dow(self.orders)
-        hour = TM.orders_per_hour(self.orders)
         user_f, prod_f, up_f = self.feature_tables
         if self.materialize:
             user_f, prod_f = sized_for_broadcast(user_f), sized_for_broadcast(prod_f)
-        m = (self._line_spine()
-             .join(dow, "order_dow", "left").join(hour, "order_hour_of_day", "left")
+        m = (TM.with_time_counts(self._line_spine(), self.orders)
              .join(up_f, ["user_id", "product_id"], "left")
              .join(prod_f, "product_id", "left")
              .join(user_f, "user_id", "left"))

@@ -3,7 +3,8 @@
     spark-submit --py-files basketlab.zip basketlab/plans/job.py --orders ... --prior ... \
         --train ... --products ... --output s3a://bucket/run/
 
-The per-(order, product) table goes to the shared checkpoint folder; the
+The per-(order, product) table goes to the folder in ``spark.checkpoint.dir``,
+or else ``--scratch``, by default ``_scratch`` below the output; the
 three feature tables are written once under ``output/features`` and read
 back, so both matrices reuse them and an executor lost during matrix
 assembly re-reads files instead of recomputing the feature lineage.
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import os
 import sys
+from collections.abc import Sequence
 
 if __package__ in (None, ""):  # run as a script by spark-submit: make the package importable
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -21,7 +23,8 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from basketlab.plans import matrices as M  # noqa: E402
 from basketlab.plans.features import FeatureSet  # noqa: E402
-from basketlab.session import get_spark  # noqa: E402
+from basketlab.operators.base import DEFAULT_KEYWORDS  # noqa: E402
+from basketlab.session import checkpoint_dir, get_spark  # noqa: E402
 from basketlab.sources.config import JobConfig  # noqa: E402
 from basketlab.sources.csv import load_csv_tables  # noqa: E402
 from basketlab.sources.sinks import write_table  # noqa: E402
@@ -29,9 +32,11 @@ from basketlab.sources.tables import BasketTables  # noqa: E402
 
 
 def run(spark: SparkSession, t: BasketTables, output: str, fmt: str = "parquet",
-        streak_mode: str = "compat") -> dict[str, str]:
+        streak_mode: str = "compat", scratch: str | None = None,
+        keywords: Sequence[str] = DEFAULT_KEYWORDS) -> dict[str, str]:
     out = output.rstrip("/")
-    fs = FeatureSet.from_tables(t, streak_mode=streak_mode, table_dir=f"{out}/features")
+    checkpoint_dir(spark, scratch or f"{out}/_scratch")
+    fs = FeatureSet.from_tables(t, streak_mode=streak_mode, keywords=keywords, table_dir=f"{out}/features")
     user_f, prod_f, up_f = fs.feature_tables  # written once under output/features, read back
     written = {name: f"{out}/features/{name}"
                for name in ("user_features", "product_features", "user_product_features")}
@@ -45,7 +50,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     cfg = JobConfig.from_args(argv)
     spark = get_spark("basketlab-features")
     t = load_csv_tables(spark, cfg.orders, cfg.prior, cfg.train, cfg.products, cfg.departments, cfg.aisles)
-    return run(spark, t, cfg.output, cfg.output_format, cfg.streak_mode)
+    return run(spark, t, cfg.output, cfg.output_format, cfg.streak_mode, cfg.scratch, cfg.keywords)
 
 
 if __name__ == "__main__":

@@ -399,6 +399,11 @@ def chi_square_test(spark, sf_dir):
     return E.chi_square_test(tables(spark, sf_dir).orders, "order_dow", "order_hour_of_day")
 
 
+@query
+def chi_square_expected(spark, sf_dir):
+    return E.chi_square_expected(tables(spark, sf_dir).orders, "order_dow", "order_hour_of_day")
+
+
 @query
 def dow_hour_counts(spark, sf_dir):
     return (tables(spark, sf_dir).orders.groupBy("order_dow", "order_hour_of_day")
@@ -484,13 +489,36 @@ def metric_logloss(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- Spark ML (rows-only checks)
+_KEPT: dict[tuple, object] = {}
+
+
+def _once(spark, sf_dir, name: str, make):
+    """A result shared by the queries of one application, as :func:`features` shares the feature tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def _matrices(spark, sf_dir):
     """Train matrix and labelled test matrix as written tables (lineage cut before fitting)."""
-    t, fs = features(spark, sf_dir)
-    train = materialize(fs.train_matrix(), "train_matrix")
-    labelled = M.labelled_candidates(t, M.test_candidates(t))
-    test = materialize(M.test_matrix(*fs.feature_tables, fs.orders, labelled, keep=["reordered"]), "test_matrix")
-    return train, test
+    def make():
+        t, fs = features(spark, sf_dir)
+        labelled = M.labelled_candidates(t, M.test_candidates(t))
+        test = M.test_matrix(*fs.feature_tables, fs.orders, labelled, keep=["reordered"])
+        return materialize(fs.train_matrix(), "train_matrix"), materialize(test, "test_matrix")
+
+    return _once(spark, sf_dir, "matrices", make)
+
+
+@query
+def train_matrix_holdout(spark, sf_dir):
+    """Features from the prior lines only, labels from the train lines (no leakage)."""
+    t = tables(spark, sf_dir)
+    def make():
+        return FeatureSet(t.prior_lines, t.orders.filter("eval_set = 'prior'").drop("eval_set"), t.products,
+                          keywords=TEST_KEYWORDS, target_lines=t.train_lines, target_orders=t.orders.filter("eval_set = 'train'"))
+    return _once(spark, sf_dir, "holdout", make).train_matrix()
 
 
 @query
@@ -510,18 +538,20 @@ def train_gbt(spark, sf_dir):
 
 @query
 def train_gbt_reference_params(spark, sf_dir):
-    return ML.train_and_evaluate(*_matrices(spark, sf_dir), ML.booster_preset(max_iter=20))
+    """The reference's parameters with all of its rounds."""
+    train, test = _matrices(spark, sf_dir)
+    return ML.train_and_evaluate(train, test, ML.booster_preset(rows=train.count()))
 
 
 @query
 def train_gbt_early_stop(spark, sf_dir):
-    """M6/M8: boosted trees with a user-level validation set and early stopping."""
+    """M6/M8: boosted trees stopped by a user-level validation set, with the reference's patience."""
     train, test = _matrices(spark, sf_dir)
     feats = ML.feature_columns(train)
-    model = ML.fit(train, ML.PRESETS["gbt"](60), feats,
-                   validation=F.pmod(F.col("user_id"), F.lit(5)) == 0, validation_tol=0.001)
+    held = F.pmod(F.col("user_id"), F.lit(5)) == 0
+    model, losses = ML.fit_with_patience(train.filter(~held), train.filter(held), ML.PRESETS["gbt"](60), feats, patience=30)
     return ML.evaluate(ML.score(model, test, feats)).select(
-        F.lit("gbt").alias("algorithm"), F.lit(ML.trees_built(model)).alias("trees_built"), "*")
+        F.lit("gbt").alias("algorithm"), F.lit(len(losses)).alias("rounds"), F.lit(ML.trees_built(model)).alias("trees_built"), "*")
 
 
 @query
@@ -545,40 +575,53 @@ def cv_folds(spark, sf_dir):
     return ML.cross_validate(train, ML.PRESETS["gbt"](10), folds=3)
 
 
+def _fitted(spark, sf_dir, kind):
+    """Train matrix, features and the model of a preset, fitted once per application."""
+    train, _ = _matrices(spark, sf_dir)
+    feats = ML.feature_columns(train)
+    return train, feats, _once(spark, sf_dir, f"model {kind}", lambda: ML.fit(train, ML.PRESETS[kind](), feats))
+
+
 @query
 def score(spark, sf_dir):
-    train, test = _matrices(spark, sf_dir)
-    feats = ML.feature_columns(train)
-    return ML.score(ML.fit(train, ML.PRESETS["gbt"](), feats), test, feats)
+    _, feats, model = _fitted(spark, sf_dir, "gbt")
+    return ML.score(model, _matrices(spark, sf_dir)[1], feats)
 
 
-def _fitted(spark, sf_dir, preset):
-    train, _ = _matrices(spark, sf_dir)
-    feats = ML.feature_columns(train)
-    return train, feats, ML.fit(train, preset, feats)
+@query
+def score_keys(spark, sf_dir):
+    """What of the scored rows doesn't depend on the model: keys and labels."""
+    return score(spark, sf_dir).select("user_id", "product_id", "label")
+
+
+@query
+def fold_sizes(spark, sf_dir):
+    """Rows and users of each cross-validation fold."""
+    return (ML.assign_folds(_matrices(spark, sf_dir)[0], 3).groupBy("fold")
+            .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("user_id").alias("users")))
 
 
 @query
 def feature_importance(spark, sf_dir):
-    _, feats, model = _fitted(spark, sf_dir, ML.PRESETS["gbt"]())
+    _, feats, model = _fitted(spark, sf_dir, "gbt")
     return ML.feature_importance(spark, model, feats)
 
 
 @query
 def unused_features(spark, sf_dir):
-    _, feats, model = _fitted(spark, sf_dir, ML.PRESETS["gbt"]())
+    _, feats, model = _fitted(spark, sf_dir, "gbt")
     return ML.unused_features(spark, ML.feature_importance(spark, model, feats), feats)
 
 
 @query
 def loss_history(spark, sf_dir):
-    train, feats, model = _fitted(spark, sf_dir, ML.PRESETS["gbt"]())
+    train, feats, model = _fitted(spark, sf_dir, "gbt")
     return ML.loss_history(spark, model, train, feats)
 
 
 @query
 def loss_history_glm(spark, sf_dir):
-    train, feats, model = _fitted(spark, sf_dir, ML.PRESETS["glm"]())
+    train, feats, model = _fitted(spark, sf_dir, "glm")
     return ML.loss_history(spark, model, train, feats)
 
 
@@ -590,7 +633,7 @@ def run_log(spark, sf_dir):
     model, secs = ML.timed_fit(train, preset, feats)
     metrics = ML.evaluate(ML.score(model, test, feats))
     return ML.log_run(spark, scratch_path(spark, "runs"), preset, metrics, secs,
-                      dataset_version="1.2", model_version="1.1.1")
+                      dataset_version="1.2", model_version="1.1.1", experiment="basket")
 
 
 # ---------------------------------------------------------------- sinks

@@ -81,7 +81,11 @@ def cast_by_type(df: DataFrame, source: type[T.DataType] | tuple,
     return df.withColumns(todo) if todo else df
 
 
-def cast_bulk(df: DataFrame, target: str | T.DataType, except_cols: Iterable[str] = ()) -> DataFrame:
-    """Cast every column to ``target`` except the listed ones (order kept)."""
+def cast_bulk(df: DataFrame, target: str | T.DataType, except_cols: Iterable[str] = (), safe: bool = True) -> DataFrame:
+    """Cast every column to ``target`` except the listed ones (order kept).
+
+    ``safe`` turns values that can't be cast into NULL; without it they fail the job (ANSI mode).
+    """
     keep = set(except_cols)
-    return df.select([F.col(c) if c in keep else F.col(c).try_cast(target).alias(c) for c in df.columns])
+    cast = (lambda c: F.col(c).try_cast(target)) if safe else (lambda c: F.col(c).cast(target))
+    return df.select([F.col(c) if c in keep else cast(c).alias(c) for c in df.columns])

@@ -45,22 +45,24 @@ def get_spark(app: str = "basketlab", master: str | None = None,
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a folder every executor can reach
-    (HDFS / object store) and is never overridden here.  Only when it is
-    unset (local tests) a private folder is created and registered.
+    (HDFS / object store) and is never overridden here.  Where it is unset,
+    ``default`` (such as a folder below a job's output) is registered; without
+    one, a private folder is created in local mode only, as other masters'
+    executors wouldn't see it.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None) or default
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir (or the job's --scratch) to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="basketlab-ckpt-")
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
-    elif sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
-    return d
+    return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -6,6 +6,8 @@ import argparse
 import os
 from dataclasses import dataclass
 
+from basketlab.operators.base import DEFAULT_KEYWORDS
+
 ENV = {
     "orders": "ORDERS_FILE_PATH",
     "prior": "PRIOR_PRODUCT_ORDERS_FILE_PATH",
@@ -25,6 +27,8 @@ class JobConfig:
     aisles: str | None = None
     output_format: str = "parquet"
     streak_mode: str = "compat"
+    scratch: str | None = None
+    keywords: tuple[str, ...] = DEFAULT_KEYWORDS
 
     @classmethod
     def from_args(cls, argv: list[str] | None = None, env: dict | None = None) -> JobConfig:
@@ -36,6 +40,8 @@ class JobConfig:
         ap.add_argument("--output", required=False)
         ap.add_argument("--format", dest="output_format", default="parquet", choices=["parquet", "csv"])
         ap.add_argument("--streak-mode", default="compat", choices=["compat", "island"])
+        ap.add_argument("--scratch", help="shared folder of intermediate tables (default: OUTPUT/_scratch)")
+        ap.add_argument("--keywords", help="comma-separated product-name keywords of the keyword feature")
         a = ap.parse_args(argv)
         vals = {k: getattr(a, k) or env.get(v) for k, v in ENV.items()}
         missing = [ENV[k] for k, v in vals.items() if not v]
@@ -44,5 +50,6 @@ class JobConfig:
                              + ", ".join(missing))
         if not a.output:
             raise ValueError("missing --output path")
-        return cls(output=a.output, departments=a.departments, aisles=a.aisles,
+        keywords = tuple(k.strip() for k in a.keywords.split(",") if k.strip()) if a.keywords else DEFAULT_KEYWORDS
+        return cls(output=a.output, scratch=a.scratch, keywords=keywords, departments=a.departments, aisles=a.aisles,
                    output_format=a.output_format, streak_mode=a.streak_mode, **vals)

@@ -98,6 +98,14 @@ grid AS (
 )
 SELECT round(sum((o - e) * (o - e) / e), 6) AS statistic,
        ((SELECT count(*) FROM rows_) - 1) * ((SELECT count(*) FROM cols_) - 1) AS dof FROM grid"""),
+    "chi_square_expected": q("""
+, cells AS (SELECT order_dow, order_hour_of_day, count(*) AS o FROM b_orders GROUP BY 1, 2),
+rows_ AS (SELECT order_dow, count(*) AS r FROM b_orders GROUP BY 1),
+cols_ AS (SELECT order_hour_of_day, count(*) AS c FROM b_orders GROUP BY 1)
+SELECT r.order_dow, c.order_hour_of_day, coalesce(x.o, 0) AS observed,
+       round(r.r * c.c / (SELECT CAST(count(*) AS DOUBLE) FROM b_orders), 6) AS expected
+FROM rows_ r JOIN cols_ c ON true
+  LEFT JOIN cells x ON x.order_dow = r.order_dow AND x.order_hour_of_day = c.order_hour_of_day"""),
     "dow_hour_counts": q("SELECT order_dow, order_hour_of_day, count(*) AS count FROM b_orders GROUP BY 1, 2"),
     "organic_contingency": q("""
 SELECT regexp_matches(p.product_name, '(?i)red') AS is_organic,

@@ -74,12 +74,10 @@ DOW_SUMS = ",\n".join(
     f"CAST(sum(CAST(order_dow = {k} AS INTEGER)) AS BIGINT) AS distrib_count_of_dow_{k}_p_prod" for k in DOWS)
 
 CTE_CO = """
-, p_sz AS (SELECT order_id, count(product_id) AS n FROM b_hist_lines GROUP BY order_id),
-p_pm AS (SELECT order_id, product_id, count(*) AS m FROM b_hist_lines GROUP BY order_id, product_id),
-p_co AS (
-  SELECT pm.product_id, pm.order_id,
-         CASE WHEN pm.product_id IS NULL THEN 0 ELSE pm.m * (sz.n - pm.m) END AS c
-  FROM p_pm pm JOIN p_sz sz USING (order_id)
+, p_co AS (
+  SELECT a.product_id, a.order_id, count(b.order_id) AS c
+  FROM b_hist_lines a LEFT JOIN b_hist_lines b ON a.order_id = b.order_id AND a.product_id <> b.product_id
+  GROUP BY a.product_id, a.order_id
 )
 """
 
@@ -87,7 +85,8 @@ CTE_PROD = CTE_CO + CTE_STREAK + f"""
 , p_one AS (
   SELECT product_id, CAST(sum(f) AS BIGINT) AS number_of_user_purchased_item FROM (
     SELECT l.product_id, o.user_id, max(CASE WHEN sz.n = 1 THEN 1 ELSE 0 END) AS f
-    FROM b_hist_lines l JOIN p_sz sz USING (order_id) LEFT JOIN b_hist_orders o USING (order_id)
+    FROM b_hist_lines l JOIN (SELECT order_id, count(product_id) AS n FROM b_hist_lines GROUP BY order_id) sz
+      USING (order_id) LEFT JOIN b_hist_orders o USING (order_id)
     WHERE l.product_id IS NOT NULL GROUP BY l.product_id, o.user_id) GROUP BY product_id
 ),
 p_costat AS (
@@ -266,3 +265,15 @@ SELECT c.user_id, c.product_id, CASE WHEN b.user_id IS NULL THEN 0 ELSE 1 END AS
 FROM c_cand c LEFT JOIN bought b ON c.user_id = b.user_id AND c.product_id = b.product_id
 """),
 }
+
+# features of the prior orders only, labels from the train lines
+ORACLES["train_matrix_holdout"] = q(CTE_USER + CTE_PROD + CTE_UP.replace(CTE_CO, "") + f"""
+, h_dow AS (SELECT order_dow, CAST(count(order_id) AS DOUBLE) AS total_ord_count_p_dow FROM b_hist_orders GROUP BY 1),
+h_hour AS (SELECT order_hour_of_day, CAST(count(order_id) AS DOUBLE) AS total_ord_count_p_ohod FROM b_hist_orders GROUP BY 1)
+SELECT t.user_id, l.product_id, l.reordered, total_ord_count_p_dow, total_ord_count_p_ohod, {USER_COLS}, {PROD_COLS}, {UP_COLS}
+FROM b_train l LEFT JOIN (SELECT order_id, user_id, order_dow, order_hour_of_day FROM b_orders WHERE eval_set = 'train') t
+    USING (order_id)
+  LEFT JOIN h_dow USING (order_dow) LEFT JOIN h_hour USING (order_hour_of_day)
+  LEFT JOIN f_user USING (user_id) LEFT JOIN f_prod USING (product_id) LEFT JOIN f_up USING (user_id, product_id)
+""").replace("SELECT * FROM b_train UNION ALL SELECT * FROM b_prior", "SELECT * FROM b_prior").replace(
+    "FROM b_orders WHERE eval_set <> 'test'", "FROM b_orders WHERE eval_set = 'prior'")

@@ -35,6 +35,13 @@ SELECT user_id, CAST(max(n_prod) AS DOUBLE) AS max_count_of_products, CAST(min(n
     "fold_assign": q(CTE_TIME + """
 SELECT t.user_id, l.product_id, l.reordered, CAST(t.user_id % 3 AS INTEGER) AS fold
 FROM b_hist_lines l LEFT JOIN f_time t USING (order_id)"""),
+    "fold_sizes": q(CTE_TIME + """
+SELECT CAST(t.user_id % 3 AS INTEGER) AS fold, count(*) AS rows, count(DISTINCT t.user_id) AS users
+FROM b_hist_lines l LEFT JOIN f_time t USING (order_id) GROUP BY 1"""),
+    "score_keys": q(CTE_CAND + """
+, bought AS (SELECT DISTINCT t.user_id, l.product_id FROM b_test_lines l JOIN b_test_orders t USING (order_id))
+SELECT c.user_id, c.product_id, CASE WHEN b.user_id IS NULL THEN 0 ELSE 1 END AS label
+FROM c_cand c LEFT JOIN bought b ON c.user_id = b.user_id AND c.product_id = b.product_id"""),
     "baseline_scores": q(SCORED + "SELECT * FROM scored"),
     "metric_confusion": q(SCORED + """
 SELECT CASE WHEN score >= 0.5 AND label = 1 THEN 'tp' WHEN score >= 0.5 AND label = 0 THEN 'fp'

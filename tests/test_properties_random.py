@@ -8,6 +8,7 @@ from basketlab.operators import metrics as MT
 from basketlab.operators import product as P
 from basketlab.operators import streaks as S
 from conftest import rows
+from test_streaks_cooc_metrics import brute_streaks
 
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -16,14 +17,13 @@ order_sets = st.lists(st.sets(st.integers(1, 40), min_size=1, max_size=15), min_
 
 @SETTINGS
 @given(order_sets, st.sampled_from([1, 2, 5, 4096]))
-def test_streaks_bucketed_equal_window(spark, sets, bucket_rows):
+def test_streaks_are_the_runs(spark, sets, bucket_rows):
     data = [(u, 3, 1000 * u + n, n) for u, s in enumerate(sets) for n in s]
     df = spark.createDataFrame(data, "user_id long, product_id long, order_id long, order_number int")
     cols = ("user_id", "product_id", "grp", "length_of_streaks")
     for mode in ("compat", "island"):
-        a = rows(S.streak_lengths(df, mode, "bucketed", bucket_rows), *cols)
-        b = rows(S.streak_lengths(df, mode, "window"), *cols)
-        assert a == b
+        a = rows(S.streak_lengths(df, mode, bucket_rows), *cols)
+        assert a == sorted((*k, v) for k, v in brute_streaks(data, mode).items())
         assert sum(r[3] for r in a) == len(data)
     # island lengths are the true consecutive runs
     for u, s in enumerate(sets):
@@ -34,7 +34,7 @@ def test_streaks_bucketed_equal_window(spark, sets, bucket_rows):
             else:
                 runs.append(1)
             prev = n
-        got = sorted(r.length_of_streaks for r in S.streak_lengths(df, "island", "bucketed", bucket_rows)
+        got = sorted(r.length_of_streaks for r in S.streak_lengths(df, "island", bucket_rows)
                      .filter(F.col("user_id") == u).collect())
         assert got == sorted(runs)
 
@@ -50,7 +50,7 @@ def test_cooccurrence_identity_equals_selfjoin(spark, orders):
     lines = spark.createDataFrame(lines_rows, "order_id long, product_id long, add_to_cart_order int, reordered int")
     ords = spark.createDataFrame([(o, 1, o + 1, 0, 8) for o in range(len(orders))],
                                  "order_id long, user_id long, order_number int, order_dow int, order_hour_of_day int")
-    op = B.order_product_stats(B.base_lines(lines, ords))
+    op = B.order_product_stats(lines, ords)
     a = lines.select("product_id", "order_id").alias("a")
     b = lines.select(F.col("product_id").alias("p2"), F.col("order_id").alias("o2"))
     brute = (a.join(b, (F.col("a.order_id") == F.col("o2")) & (F.col("a.product_id") != F.col("p2")), "left")

@@ -52,6 +52,49 @@ def test_csv_reader_uses_declared_schema(spark):
     assert dict(df.dtypes)["order_id"] == "bigint"
 
 
+def write_csv(text):
+    p = os.path.join(tempfile.mkdtemp(prefix="basketlab-test-"), "f.csv")
+    with open(p, "w") as f:
+        f.write(text)
+    return p
+
+
+def test_csv_columns_by_name_and_decimal_text(spark):
+    p = write_csv("product_id,extra,order_id,reordered,add_to_cart_order\n7,x,1000,1.0,08\n,y,16777217, 0 ,15.0\n")
+    got = sorted(tuple(r) for r in read_source(spark, "order_products__prior", p).select(
+        "order_id", F.coalesce("product_id", F.lit(-1)), "add_to_cart_order", "reordered").collect())
+    assert got == [(1000, 7, 8, 1), (16777217, -1, 15, 0)]
+
+
+@pytest.mark.parametrize("bad", ["12x", "1.5", "--"])
+def test_csv_malformed_number_fails(spark, bad):
+    p = write_csv(f"order_id,product_id,add_to_cart_order,reordered\n1,2,{bad},0\n")
+    with pytest.raises(Exception, match="not an integer"):
+        read_source(spark, "order_products__prior", p).collect()
+
+
+def test_csv_missing_column(spark):
+    p = write_csv("order_id,product_id,reordered\n1,2,0\n")
+    with pytest.raises(ValueError, match="add_to_cart_order"):
+        read_source(spark, "order_products__prior", p)
+
+
+def test_scratch_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from basketlab.session import checkpoint_dir
+    seen = []
+    fake = SimpleNamespace(sparkContext=SimpleNamespace(
+        master="spark://h:7077", getCheckpointDir=lambda: seen[-1] if seen else None, setCheckpointDir=seen.append,
+        getConf=lambda: SimpleNamespace(get=lambda k, d: d)))
+    with pytest.raises(ValueError, match="scratch"):
+        checkpoint_dir(fake)
+    assert checkpoint_dir(fake, "/shared/out/_scratch") == "/shared/out/_scratch"
+    cfg = JobConfig.from_args(["--output", "/x", "--orders", "o", "--prior", "p", "--train", "t", "--products", "pr",
+                               "--scratch", "/s", "--keywords", "red, cold"], env={})
+    assert (cfg.scratch, cfg.keywords) == ("/s", ("red", "cold"))
+
+
 def test_union_is_by_name(spark):
     t = load_testdata(spark, SF_SMALL)
     swapped = t.train_lines.select("reordered", "add_to_cart_order", "product_id", "order_id")

@@ -44,7 +44,7 @@ def _cooc_op(spark):
     orders = spark.createDataFrame([(o, 1, o, 0, 8) for o in range(1, 5)],
                                    "order_id long, user_id long, order_number int, order_dow int, "
                                    "order_hour_of_day int")
-    return lines, B.order_product_stats(B.base_lines(lines, orders))
+    return lines, B.order_product_stats(lines, orders)
 
 
 def test_cooccurrence_identity(spark):
@@ -85,19 +85,59 @@ def test_auc_with_ties_matches_pairwise_count(spark):
     assert got == pytest.approx(want, abs=1e-6)
 
 
+def brute_streaks(data, mode):
+    """Rows (user, product, order, number) -> {(user, product, grp): length}, row by row."""
+    groups, out = {}, {}
+    for u, p, o, n in data:
+        groups.setdefault((u, p), []).append((n is not None, n or 0, o, n))
+    for key, own in groups.items():
+        own.sort()
+        flags = [int(a[3] is not None and b[3] is not None and b[3] - a[3] == 1) for a, b in zip(own, own[1:])] + [0]
+        for i, (_, _, _, n) in enumerate(own):
+            if mode == "compat":
+                grp = sum(f != flags[i] for f in flags[:i])
+            else:
+                grp = None if n is None else n - i - 1
+            out[(*key, grp)] = out.get((*key, grp), 0) + (n is not None)
+    return out
+
+
+EDGE_ROWS = [(1, 7, 10, 1), (1, 7, 11, 2), (None, 7, 90, None), (None, 7, 91, None), (1, None, 12, 3), (1, None, 13, 4),
+             (2, 8, 20, 5), (2, 8, 21, 5), (2, 8, 22, 6), (2, 8, 23, None), (2, 8, 24, 9), (None, 8, 92, 3), (None, 8, 93, 4),
+             (3, 9, None, 1), (3, 9, 30, 2)]
+
+
 @pytest.mark.parametrize("bucket_rows", [1, 2, 3, 4096])
-@pytest.mark.parametrize("seq,compat,island", SEQS)
-def test_bucketed_equals_window(spark, seq, compat, island, bucket_rows):
-    """Tiny buckets force every run to cross bucket boundaries."""
-    df = spark.createDataFrame([(1, 7, 100 + n, n) for n in seq] + [(2, 7, 900 + n, n) for n in (1, 2, 5)],
-                               "user_id long, product_id long, order_id long, order_number int")
+def test_streaks_against_brute_force(spark, bucket_rows):
+    """Tiny buckets force runs across bucket boundaries; orphan lines, NULL keys and equal numbers stay."""
+    data = EDGE_ROWS + [(10 + i, 7, 1000 * i + n, n) for i, (seq, _, _) in enumerate(SEQS) for n in seq]
+    df = spark.createDataFrame(data, "user_id long, product_id long, order_id long, order_number int")
     for mode in ("compat", "island"):
-        a = rows(S.streak_lengths(df, mode, "bucketed", bucket_rows), "user_id", "product_id", "grp",
-                 "length_of_streaks")
-        b = rows(S.streak_lengths(df, mode, "window"), "user_id", "product_id", "grp", "length_of_streaks")
-        assert a == b, (mode, bucket_rows)
-    fa = rows(S.streak_flags(df, "bucketed", bucket_rows), "user_id", "order_number", "next_order_number",
-              "is_streak_continued_flag")
-    fb = rows(S.streak_flags(df, "window"), "user_id", "order_number", "next_order_number",
-              "is_streak_continued_flag")
-    assert fa == fb
+        got = {(r.user_id, r.product_id, r.grp): r.length_of_streaks for r in S.streak_lengths(df, mode, bucket_rows).collect()}
+        assert got == brute_streaks(data, mode), mode
+    flags = S.streak_flags(df, bucket_rows)
+    assert flags.count() == len(data)
+    want = []
+    for u, p, o, n in data:
+        own = sorted(((x[3] is not None, x[3] or 0, x[2] or 0, x[3]) for x in data if x[:2] == (u, p)))
+        i = own.index((n is not None, n or 0, o or 0, n))
+        nxt = own[i + 1][3] if i + 1 < len(own) else None
+        want.append((u, p, o, n, nxt, int(n is not None and nxt is not None and nxt - n == 1)))
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in flags.collect())
+
+
+def test_orphan_lines_reach_the_product_statistics(spark):
+    df = spark.createDataFrame(EDGE_ROWS[:5], "user_id long, product_id long, order_id long, order_number int")
+    for bucket_rows in (1, 4096):
+        r = S.product_streak_stats(S.streak_lengths(df, "compat", bucket_rows)).filter("product_id = 7").first()
+        assert (r.Total_streak_of_this_product, r.min_of_streaks_of_this_product) == (3, 0)
+        assert r.mean_of_streaks_of_this_product == pytest.approx(2 / 3)
+
+
+def test_no_window_over_whole_users(spark):
+    """Every window of the plan is partitioned by the bucket, or runs over the bucket table."""
+    df = spark.createDataFrame(EDGE_ROWS, "user_id long, product_id long, order_id long, order_number int")
+    plan = S.streak_flags(df)._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        if "Window [" in line:
+            assert "lead(_min" in line or "[user_id" in line and "_b#" in line.rsplit("], [", 2)[-2]
