@@ -29,6 +29,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, name)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of steps whose results are written.
+
+    The cleaner acts when the driver's JVM collects the plans of those steps,
+    which a small driver heap may put off for a long time.
+    """
+    import gc
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_slices(batches, max_bytes: int = 4 << 20) -> Iterator[tuple[list, list]]:
     """Arrow batches of (id, text) cut into lists of about ``max_bytes`` of text.
 

@@ -26,7 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from basketlab.llm.common import id_and_text, written
+from basketlab.llm.common import id_and_text, release, written
 
 MATCH = 100  # bytes of a repeated string
 GRAM = 40  # bytes of an anchor
@@ -241,17 +241,18 @@ def scanned(rows: DataFrame, shards: int) -> DataFrame:
     return rows.repartition(shards, key).sortWithinPartitions("doc", "meta").mapInArrow(scan_shard, FOUND)
 
 
-def with_unique_ids(rows: DataFrame) -> DataFrame:
-    """``doc, doc_id, text`` where ``doc`` orders the rows and is unique.
+def with_unique_ids(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``doc, text`` where ``doc`` orders the rows and is unique, and the ids of ``doc`` if they differ.
 
-    Usually the id itself.  Only where ids repeat or are null the rows are
-    sorted (null ids first, then by text) and numbered.
+    Usually ``doc`` is the id itself.  Only where ids repeat or are null the rows
+    are sorted (null ids first, then by text) and numbered.
     """
     ids = rows.select(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("d")).first()
     if ids.n == ids.d:
-        return rows.select(F.col("doc_id").alias("doc"), "doc_id", "text")
-    return written(rows.orderBy("doc_id", "text").select(F.monotonically_increasing_id().alias("doc"), "doc_id", "text"),
-                   "numbered")
+        return rows.select(F.col("doc_id").alias("doc"), "text").filter("doc IS NOT NULL"), None
+    numbered = written(rows.orderBy("doc_id", "text").select(F.monotonically_increasing_id().alias("doc"), "doc_id", "text"),
+                       "numbered")
+    return numbered.select("doc", "text").filter("doc IS NOT NULL"), numbered.select(F.col("doc").alias("of"), "doc_id")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", match: int = MATCH,
@@ -268,8 +269,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     if not 0 < gram < match or match - gram + 1 > 1023:
         raise ValueError("gram must be shorter than match, by less than 1023")
-    rows = with_unique_ids(id_and_text(docs, id_col, text_col))
-    texts = rows.select("doc", "text")
+    texts, ids_of = with_unique_ids(id_and_text(docs, id_col, text_col))
     total = texts.agg(F.sum(F.octet_length("text")).alias("b")).first().b or 0
     shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_BYTES))
 
@@ -316,10 +316,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 start = np.concatenate([np.arange(r["start"], r["start"] + r["n"]) for r in own])
                 one.load(data)
                 two.load(data)
-                yield [one.some(start, match).view(np.int64), two.some(start, match).view(np.int64),
+                # 96 bits tell single strings apart; the shorter second column compresses better
+                yield [one.some(start, match).view(np.int64), (two.some(start, match) >> np.uint64(32)).view(np.int64),
                        np.full(len(start), doc), (start << 12) | 4], 24 * len(start)
 
     runs = written(scanned(texts.mapInArrow(arrays(run_columns), ROW), shards), "runs")
+    release(docs.sparkSession)
     shared = (runs.filter(~F.col("repeat")).groupBy(F.col("doc").alias("of")).agg(
         F.collect_list(F.struct("start", "n")).alias("own")))
     strings = (texts.join(shared, F.col("doc") == F.col("of")).select("doc", "text", "own")
@@ -352,12 +354,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     col.append(v)
             span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
+                [b.column("doc"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
                  pa.array(out[2], pa.list_(span)), pa.array(out[3], pa.binary())],
-                names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
-
-    return (rows.join(spans, F.col("doc") == F.col("of"), "left").select("doc_id", "text", "own")
-            .mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"))
+                names=["doc", "n_bytes", "n_removed", "spans", "kept"])
+
+    # the same two columns of the texts as above, so that one exchange of them serves both joins
+    out = (texts.join(spans, F.col("doc") == F.col("of"), "left").select("doc", "text", "own")
+           .mapInArrow(cut, "doc long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"))
+    if ids_of is None:
+        return out.withColumnRenamed("doc", "doc_id")
+    return out.join(ids_of, F.col("doc") == F.col("of")).select("doc_id", "n_bytes", "n_removed", "spans", "kept")
 
 
 def valid_text(raw: Column) -> Column:
