@@ -176,8 +176,8 @@ def chi_square_expected(df: DataFrame, row: str, col: str) -> DataFrame:
     rows = cells.groupBy(row).agg(F.sum("observed").alias("r"))
     cols = cells.groupBy(col).agg(F.sum("observed").alias("c"))
     n = cells.select(F.sum("observed").cast("double")).scalar()
-    # the table itself: one row per pair of a weekday-like and an hour-like value
-    return (rows.join(F.broadcast(cols)).join(cells, [row, col], "left")
+    every = cols.agg(F.collect_list(F.struct(col, "c"))).scalar()  # the columns of the printed table
+    return (rows.select(row, "r", F.inline(every)).join(cells, [row, col], "left")
             .select(row, col, F.coalesce("observed", F.lit(0)).alias("observed"),
                     F.round(F.col("r") * F.col("c") / n, 6).alias("expected")))
 

@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.ml import PipelineModel
 
 import __spark_entry__ as entry_mod
@@ -58,3 +59,35 @@ def test_model_trainer_early_stopping_on_test_set(spark):
     model = mt.train_h2o_gbm("c0ffee", "1.2", "1.1.1", params={"rounds": 40})
     assert 1 <= model.stages[-1].getNumTrees <= 40
     assert mt.last_run.first().auc > 0.9
+
+
+def test_patience():
+    assert ML.best_round([5, 4, 3, 3.5, 3.4, 2], patience=2) == 3  # stopped before the last round
+    assert ML.best_round([5, 4, 3, 3.5, 3.4, 2], patience=4) == 6
+    assert ML.best_round([1.0], patience=30) == 1
+
+
+def test_parameters_are_mapped_or_rejected():
+    p = ML.booster_preset(rows=1000, params={"rounds": 7, "lambda": 3})
+    assert p.params["maxIter"] == 7 and p.params["minInfoGain"] == 0.438 and p.unmapped["lambda"] == 3
+    glm = ML.with_params(ML.PRESETS["glm"](), {"lambda": 0.2, "alpha": 0.9}, ML.LINEAR_NAMES)
+    assert (glm.params["regParam"], glm.params["elasticNetParam"]) == (0.2, 0.9)
+    leaf = ML.with_params(ML.PRESETS["gbt_alt"](), {"num_leaves": 31, "learning_rate": 0.2}, ML.LEAF_WISE_NAMES)
+    assert (leaf.params["maxDepth"], leaf.params["stepSize"]) == (5, 0.2)
+    with pytest.raises(ValueError, match="bogus"):
+        ML.with_params(ML.PRESETS["glm"](), {"bogus": 1}, ML.LINEAR_NAMES)
+
+
+def test_early_stopping_and_run_record(spark):
+    rows = [(i, i % 7, float(i % 5), float((i * 37) % 11), int((i % 5 > 2) ^ (i % 13 == 0))) for i in range(300)]
+    df = spark.createDataFrame(rows, "user_id long, product_id long, a double, b double, reordered int")
+    train, test = df.filter("user_id % 3 <> 0"), df.filter("user_id % 3 = 0")
+    preset = ML.Preset("gbt", dict(maxIter=8, maxDepth=3, stepSize=0.8, seed=1))
+    model, losses = ML.fit_with_patience(train, test, preset, ["a", "b"], patience=3)
+    assert len(losses) == 8 and ML.trees_built(model) == ML.best_round(losses, 3)
+    imp = {r.feature: r for r in ML.feature_importance(spark, model, ["a", "b"]).collect()}
+    assert imp["a"].total_gain > imp["b"].total_gain >= 0
+    t = ML.ModelTrainer("exp", train, test)
+    t.train_h2o_gbm(prev_commit_hash="abc", dataset_version="1", model_version="2", params={"ntrees": 3, "stopping_rounds": 2})
+    r = t.last_run.first()
+    assert (r.experiment, r.commit, r.stopped_on_test) == ("exp", "abc", True) and "stopping_rounds" in r.unmapped_params
