@@ -125,9 +125,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     firsts = written(known.groupBy("block").agg(F.min(F.struct("doc_id", "text")).alias("first"))
                      .select("block", F.col("first.text").alias("first_text")), "firsts")
     after = successors(firsts.select(F.col("block").alias("id")), 64 - NEIGHBOURS)
-    start = firsts.select(F.min("block").alias("start"))
-    follow = (after.crossJoin(F.broadcast(start))  # one row
-              .select(F.col("id").alias("of_block"), F.coalesce("next_id", "start").alias("next_block"))
+    start = firsts.select(F.min("block")).scalar()
+    follow = (after.select(F.col("id").alias("of_block"), F.coalesce(F.col("next_id"), start).alias("next_block"))
               .join(firsts, F.col("next_block") == F.col("block"))
               .select("of_block", "first_text", bottom_k(F.col("first_text"), k, words).alias("first_sketch")))
     order = Window.partitionBy("block").orderBy("doc_id", "text")
