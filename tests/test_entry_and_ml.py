@@ -91,3 +91,22 @@ def test_early_stopping_and_run_record(spark):
     t.train_h2o_gbm(prev_commit_hash="abc", dataset_version="1", model_version="2", params={"ntrees": 3, "stopping_rounds": 2})
     r = t.last_run.first()
     assert (r.experiment, r.commit, r.stopped_on_test) == ("exp", "abc", True) and "stopping_rounds" in r.unmapped_params
+
+
+@pytest.mark.parametrize("gone", [("corpus_pipeline",), ("basketlab.llm",), ("corpus_pipeline", "basketlab.llm")])
+def test_entry_without_the_optional_part(gone):
+    import subprocess
+    import sys
+    code = f"""
+import sys, importlib.abc
+class Gone(importlib.abc.MetaPathFinder):
+    def find_spec(self, name, path, target=None):
+        if name in {gone!r}:
+            raise ModuleNotFoundError(f"No module named {{name!r}}", name=name)
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as e
+assert len(e.queries()) >= 90 and not [k for k in e.queries() if k.startswith("op") or k == "pipeline"]
+assert set(e.oracle_sql()) <= set(e.queries())
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
