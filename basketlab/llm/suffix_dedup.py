@@ -25,8 +25,9 @@ shard that its runs are shared.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
-from basketlab.llm.common import id_and_text, release, written
+from basketlab.llm.common import release, written
 
 MATCH = 100  # bytes of a repeated string
 GRAM = 40  # bytes of an anchor
@@ -242,34 +243,38 @@ def scanned(rows: DataFrame, shards: int) -> DataFrame:
 
 
 def with_unique_ids(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """``doc, text`` where ``doc`` orders the rows and is unique, and the ids of ``doc`` if they differ.
+    """``rows`` with ``doc``, which orders them and is unique, and the ids of ``doc`` if they differ.
 
     Usually ``doc`` is the id itself.  Only where ids repeat or are null the rows
     are sorted (null ids first, then by text) and numbered.
     """
     ids = rows.select(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("d")).first()
     if ids.n == ids.d:
-        return rows.select(F.col("doc_id").alias("doc"), "text").filter("doc IS NOT NULL"), None
-    numbered = written(rows.orderBy("doc_id", "text").select(F.monotonically_increasing_id().alias("doc"), "doc_id", "text"),
-                       "numbered")
-    return numbered.select("doc", "text").filter("doc IS NOT NULL"), numbered.select(F.col("doc").alias("of"), "doc_id")
+        return rows.withColumnRenamed("doc_id", "doc").filter("doc IS NOT NULL"), None
+    numbered = written(rows.orderBy("doc_id", "text").withColumn("doc", F.monotonically_increasing_id()), "numbered")
+    return numbered.drop("doc_id").filter("doc IS NOT NULL"), numbered.select(F.col("doc").alias("of"), "doc_id")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", match: int = MATCH,
-                   gram: int = GRAM) -> DataFrame:
+                   gram: int = GRAM, carry: list[str] | None = None, as_text: bool = False) -> DataFrame:
     """One row per document: ``doc_id, n_bytes, n_removed, spans, kept``.
 
     Removes each byte (UTF-8) covered by a string of ``match`` bytes that also
     starts earlier, in a document with a smaller id or further ahead in the
     same one.  ``spans`` are the maximal removed runs as (start, end), ``kept``
-    the other bytes.  Defined cases: a null text counts as empty; texts
+    the other bytes; with ``as_text`` it is a string, without the bytes that a
+    cut inside a character has left of it.  The columns named in ``carry`` come
+    back in the struct ``row``.  Defined cases: a null text counts as empty; texts
     shorter than ``match`` stay whole; rows with equal or null ids are
     separate documents, ordered by their texts, null ids first; an empty table
     gives no rows.
     """
     if not 0 < gram < match or match - gram + 1 > 1023:
         raise ValueError("gram must be shorter than match, by less than 1023")
-    texts, ids_of = with_unique_ids(id_and_text(docs, id_col, text_col))
+    row = [F.struct(*carry).alias("row")] if carry else []
+    texts, ids_of = with_unique_ids(docs.select(
+        F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *row))
+    rest = texts.select("row").schema.fields if carry else []
     total = texts.agg(F.sum(F.octet_length("text")).alias("b")).first().b or 0
     shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARD_BYTES))
 
@@ -311,7 +316,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         import numpy as np
         one, two = Hasher(2), Hasher(3)
         for b in batches:
-            for doc, text, own in zip(*(c.to_pylist() for c in b.columns)):
+            for doc, text, own in zip(*(b.column(c).to_pylist() for c in ("doc", "text", "own"))):
                 data = np.frombuffer(text.encode(), np.uint8)
                 start = np.concatenate([np.arange(r["start"], r["start"] + r["n"]) for r in own])
                 one.load(data)
@@ -320,11 +325,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield [one.some(start, match).view(np.int64), (two.some(start, match) >> np.uint64(32)).view(np.int64),
                        np.full(len(start), doc), (start << 12) | 4], 24 * len(start)
 
-    runs = written(scanned(texts.mapInArrow(arrays(run_columns), ROW), shards), "runs")
+    runs = written(scanned(texts.select("doc", "text").mapInArrow(arrays(run_columns), ROW), shards), "runs")
     release(docs.sparkSession)
     shared = (runs.filter(~F.col("repeat")).groupBy(F.col("doc").alias("of")).agg(
         F.collect_list(F.struct("start", "n")).alias("own")))
-    strings = (texts.join(shared, F.col("doc") == F.col("of")).select("doc", "text", "own")
+    strings = (texts.join(shared, F.col("doc") == F.col("of")).drop("of")
                .mapInArrow(arrays(string_columns), ROW))
     repeats = runs.filter("repeat").select("doc", "start", "n").unionByName(
         scanned(strings, shards).filter("repeat").select("doc", "start", "n"))
@@ -349,27 +354,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     kept.append(raw[end:s])
                     end = e
                 kept.append(raw[end:])
-                for col, v in zip(out, (len(raw), sum(e - s for s, e in merged),
-                                        [{"start": s, "end": e} for s, e in merged], b"".join(kept))):
+                left = b"".join(kept)
+                for col, v in zip(out, (len(raw), sum(e - s for s, e in merged), [{"start": s, "end": e} for s, e in merged],
+                                        left.decode("utf-8", "ignore") if as_text else left)):
                     col.append(v)
             span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
-                 pa.array(out[2], pa.list_(span)), pa.array(out[3], pa.binary())],
-                names=["doc", "n_bytes", "n_removed", "spans", "kept"])
-
-    # the same two columns of the texts as above, so that one exchange of them serves both joins
-    out = (texts.join(spans, F.col("doc") == F.col("of"), "left").select("doc", "text", "own")
-           .mapInArrow(cut, "doc long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"))
+                [b.column("doc"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.list_(span)),
+                 pa.array(out[3], pa.string() if as_text else pa.binary()), *([b.column("row")] if carry else [])],
+                names=["doc", "n_bytes", "n_removed", "spans", "kept", *(["row"] if carry else [])])
+
+    schema = T.StructType([
+        T.StructField("doc", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
+        T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
+        T.StructField("kept", T.StringType() if as_text else T.BinaryType()), *rest])
+    # the same columns of the texts as above, so that one exchange of them serves both joins
+    out = texts.join(spans, F.col("doc") == F.col("of"), "left").drop("of").mapInArrow(cut, schema)
     if ids_of is None:
         return out.withColumnRenamed("doc", "doc_id")
-    return out.join(ids_of, F.col("doc") == F.col("of")).select("doc_id", "n_bytes", "n_removed", "spans", "kept")
-
-
-def valid_text(raw: Column) -> Column:
-    """Bytes as text, without those that a cut inside a character has left over."""
-    @F.pandas_udf("string")
-    def decode(b):
-        return b.map(lambda x: None if x is None else bytes(x).decode("utf-8", "ignore"))
-
-    return decode(raw)
+    return out.join(ids_of, F.col("doc") == F.col("of")).select("doc_id", *schema.names[1:])

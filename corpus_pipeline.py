@@ -21,15 +21,21 @@ from basketlab.llm.common import read_table, written  # noqa: E402
 from basketlab.llm.exact_dedup import exact_dedup  # noqa: E402
 from basketlab.llm.minhash import near_duplicates  # noqa: E402
 from basketlab.llm.packing import best_fit_packing  # noqa: E402
-from basketlab.llm.suffix_dedup import remove_repeats, valid_text  # noqa: E402
+from basketlab.llm.suffix_dedup import remove_repeats  # noqa: E402
 from basketlab.llm.toxicity import classify  # noqa: E402
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def keep_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The documents whose id is among ``kept``, with their own columns only."""
-    return docs.select(*COLUMNS).join(kept.select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
+    """The documents whose id is among ``kept``, with their own columns only.
+
+    Documents without an id stay: no decision can name them.  Rows that repeat
+    an id stay or go together.
+    """
+    rows = docs.select(*COLUMNS)
+    named = rows.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
+    return named.unionByName(rows.filter("doc_id IS NULL"))
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,14 +59,12 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     A cut may fall inside a character; its other bytes go too.  Documents of
     which nothing but white space is left go; ``n_chars`` is counted anew
-    where a text has changed.
+    where a text has changed; a null text comes out empty.
     """
-    changed = remove_repeats(docs).filter("n_removed > 0").select(
-        F.col("doc_id").alias("of"), valid_text(F.col("kept")).alias("cut"))
-    rows = docs.select(*COLUMNS).join(changed, F.col("doc_id") == F.col("of"), "left")
-    return (rows.filter(F.col("of").isNull() | (F.trim(F.regexp_replace("cut", r"\s+", " ")) != ""))
-            .withColumn("n_chars", F.when(F.col("of").isNull(), F.col("n_chars")).otherwise(F.length("cut")))
-            .withColumn("text", F.when(F.col("of").isNull(), F.col("text")).otherwise(F.col("cut"))).select(*COLUMNS))
+    cut, changed = remove_repeats(docs, carry=[c for c in COLUMNS if c != "text"], as_text=True), F.col("n_removed") > 0
+    return (cut.filter(~changed | F.col("kept").rlike(r"\S"))
+            .select("row.*", F.col("kept").alias("text"), changed.alias("changed"))
+            .withColumn("n_chars", F.when(F.col("changed"), F.length("text")).otherwise(F.col("n_chars"))).select(*COLUMNS))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,6 +81,13 @@ def test_family_levels_merge_geometrically():
         assert sum(r for r, _ in family.levels) == n and len(family.levels) == bin(n).count("1")
 
 
-def test_cuts_inside_characters(spark):
-    df = spark.createDataFrame([("é".encode()[1:] + "aé".encode() + "é".encode()[:1],)], "b binary")
-    assert df.select(D.valid_text(df.b).alias("t")).first().t == "aé"
+def test_text_and_carried_columns(spark):
+    rng = random.Random(6)
+    passage = "".join(rng.choice("éèàüñ") for _ in range(59)) + "é"
+    rows = [(1, "x" + passage, "a"), (2, "é" * 5 + "y" + passage[:-1] + "è tail", "b"), (3, None, "c"), (3, "short", "d"), (None, "z", "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
+    for part in (df, df.filter("doc_id <= 2")):
+        got = {r.row.spans: r for r in D.remove_repeats(part, carry=["doc_id", "spans"], as_text=True).collect()}
+        assert got["b"].kept == "é" * 5 + "y tail"  # the rest of the "è" that was cut is gone
+        assert got["a"].kept == "x" + passage and got["a"].row.doc_id == got["a"].doc_id == 1
+    assert len(D.remove_repeats(df, carry=["doc_id", "spans"]).collect()) == 5
