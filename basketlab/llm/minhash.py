@@ -11,8 +11,8 @@ Bands of registers make buckets.  A pair in a common bucket is a candidate; four
 bits of each register give an estimate that drops pairs far below the
 threshold, and the others are verified with the exact J_P of their whole texts.
 No bucket is expanded into all its pairs: in a few rounds its members are
-compared with one leader, another one each round, and linked documents become
-one component.  What then still lies in different components of a bucket is
+compared with one leader (the member that meets most others first, then another
+one), and linked documents become one component.  What then still lies in different components of a bucket is
 compared pair by pair, very large buckets being split by further bands first.
 """
 
@@ -27,8 +27,8 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS = 28  # with 6 registers each: a pair of likeness 0.8 shares a band with probability 0.9998
 BAND_ROWS = 6
-ROUNDS = 4  # leaders per bucket before the rest is compared pair by pair
-SPLIT_ABOVE = 1024  # members of a bucket whose components are compared pair by pair
+ROUNDS = 2  # leaders per bucket before the rest is compared pair by pair
+SPLIT_ABOVE = 4096  # members of a bucket whose components are compared pair by pair
 SLACK = 0.12  # nearly four standard deviations of the estimate at the threshold
 FIELDS = 15  # four-bit fields of a long; the top bits stay 0, so that sums don't overflow
 
@@ -300,8 +300,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for r in range(ROUNDS):
         if still.isEmpty():
             break
-        order = F.col("id") if r == 0 else F.xxhash64("id", F.lit(r))
-        leaders = still.groupBy(F.col("key").alias("of")).agg(F.min_by("id", order).alias("leader"))
+        if r == 0:  # the member that meets most others: the text that a group's copies were made from
+            degree = still.groupBy(F.col("id").alias("member")).agg(F.sum("n").alias("degree"))
+            ranked = still.join(degree, F.col("id") == F.col("member"))
+            order = F.struct(-F.col("degree"), F.col("id"))
+        else:
+            ranked, order = still, F.struct(F.xxhash64("id", F.lit(r)), F.col("id"))
+        leaders = ranked.groupBy(F.col("key").alias("of")).agg(F.min_by("id", order).alias("leader"))
         stars = (still.join(leaders, F.col("key") == F.col("of")).filter("id <> leader")
                  .select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
         across = with_component(with_component(stars, found, "a", "of_a"), found, "b", "of_b").filter("of_a <> of_b")
