@@ -12,8 +12,9 @@ bits of each register give an estimate that drops pairs far below the
 threshold, and the others are verified with the exact J_P of their whole texts.
 No bucket is expanded into all its pairs: in a few rounds its members are
 compared with one leader (the member that meets most others first, then another
-one), and linked documents become one component.  What then still lies in different components of a bucket is
-compared pair by pair, very large buckets being split by further bands first.
+one), and linked documents become one component.  What then still lies in
+different components of a bucket is compared pair by pair, by a finer estimate
+first, very large buckets being split by further bands.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ BAND_ROWS = 6
 ROUNDS = 2  # leaders per bucket before the rest is compared pair by pair
 SPLIT_ABOVE = 4096  # members of a bucket whose components are compared pair by pair
 SLACK = 0.12  # nearly four standard deviations of the estimate at the threshold
+FINE_REGISTERS = 510  # of the signatures made for the documents that are compared pair by pair
+FINE_SLACK = 0.07  # the same for their estimate
 FIELDS = 15  # four-bit fields of a long; the top bits stay 0, so that sums don't overflow
 
 
@@ -314,10 +317,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          .filter(close).select("a", "b"))
         still = undecided(still, found)
 
-    # pairs across the components of the buckets that are left
-    parts = with_component(split_large(still, nodes, SPLIT_ABOVE), found, "id", "component").join(bits, "id")
+    # pairs across the components of the buckets that are left, first by a finer estimate: a
+    # group whose likenesses lie just below the threshold has no links to tell it apart by
+    fine = written(signatures(texts.join(still.select("id").distinct(), "id", "left_semi").select("id", "text"), words,
+                              FINE_REGISTERS, 1).select(F.col("doc_id").alias("id"), F.col("bits").alias("fine")), "fine")
+    close &= estimate("fine_a", "fine_b", FINE_REGISTERS) >= threshold - FINE_SLACK
+    parts = (with_component(split_large(still, nodes, SPLIT_ABOVE), found, "id", "component").join(bits, "id")
+             .join(fine, "id"))
     left, right = (parts.select("key", F.col("id").alias(x), F.col("component").alias(f"of_{x}"),
-                                F.col("bits").alias(f"bits_{x}")) for x in "ab")
+                                F.col("bits").alias(f"bits_{x}"), F.col("fine").alias(f"fine_{x}")) for x in "ab")
     found = compared(left.join(right, (left.key == right.key) & (F.col("a") < F.col("b"))
                                & (F.col("of_a") != F.col("of_b")) & close).select("a", "b").distinct())
 
