@@ -4,9 +4,10 @@ A page becomes a sequence of tokens: words and tags.  Each token has the
 weight of its class, a log ratio of how often the class occurs inside and
 outside the marked content of labelled pages: words of running text score
 positive, tags negative, words of menus and the like negative too.  One linear
-scan finds the contiguous region with the largest sum.  The region is widened
-to the article element it lies in, and elements inside it that aren't part of
-the text (menus, forms, adverts, comments, ...) are left out.
+scan finds the contiguous region with the largest sum.  If one article element
+holds most of its text, the region becomes that element, otherwise it is widened
+to whole blocks; elements inside it that aren't part of the text (menus, forms,
+adverts, comments, ...) are left out.
 """
 
 from __future__ import annotations
@@ -210,12 +211,12 @@ class Extractor:
         first, last = self.region(items)
         if last < first:
             return ""
-        inside = Counter()
+        inside = Counter()  # characters of each article in the region, 0: outside articles
         for kind, value, out, article, _, _ in items[first:last + 1]:
-            if kind == "text" and not out and article:
-                inside[article] += len(value)
-        if inside:  # the article that holds most of the region, as a whole
-            own = max(inside, key=lambda a: (inside[a], -a))
+            if kind == "text" and not out:
+                inside[article] += sum(map(len, value.split()))
+        own = max(inside, key=lambda a: (inside[a], -a), default=0)
+        if own and 2 * inside[own] > inside.total():  # the article that holds most of the region, as a whole
             chosen = [i for i, x in enumerate(items) if x[3] == own]
             first, last = chosen[0], chosen[-1]
         else:  # whole blocks

@@ -3,6 +3,7 @@ import pytest
 from basketlab.llm.extraction import Extractor, extract_text, fit_weights
 
 P = "Some words of running text that make up a paragraph of the page."
+P_ = f"<p>{P}</p>"
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +41,24 @@ def test_pages(get, name):
     assert get.text(page(body)) == text
 
 
+TEASER = "<article><p>A short teaser of some other post.</p></article>"
+
+
+@pytest.mark.parametrize("body", [f"<div>{P_ * 3}</div>{TEASER}", f"{TEASER}<div>{P_ * 3}</div>",
+                                  f"<div>{P_}{TEASER}\n{' ' * 500}{P_ * 2}</div>", f"<div>{P_ * 3}</div>{TEASER * 3}"])
+def test_text_outside_a_small_article_stays(get, body):
+    assert get.text(page(body)).split("\n").count(P) == 3
+
+
+def test_white_space_outside_the_article_does_not_count(get):
+    body = f"<main><h1>Title</h1>{P_}</main>\n{' ' * 2000}<p>Teaser words.</p>\n"
+    assert get.text(page(body)) == f"Title\n{P}"
+
+
+def test_articles_of_one_size_all_stay(get):
+    assert get.text(page(f"<article>{P_}</article>" * 3)) == "\n".join([P] * 3)
+
+
 def test_edges(get):
     assert get.text("") == ""
     assert get.text("just words") == "just words"
