@@ -37,6 +37,15 @@ SURROUND = set("""ad ads adv advert adverts advertisement advertisements adverti
 FRAME = set("header footer masthead topbar bottombar".split())  # count outside articles only
 OWN = set("article post entry content story body text main".split())  # names of the article's own parts
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+# Ids are also anchors of chapters.  Inside an article, and on elements that hold text, an id names a
+# surrounding only if it is made of these words, a word that is no topic of a chapter being one of them.
+QUALIFIERS = set("has have no non not with without".split())  # what follows describes a layout ("has-sidebar")
+SURE = set("""ad ads adv advert adverts sponsored promo promos sidebar sidebars sidenav comment comments commentlist disqus
+    popup popups modal overlay toast newsletter signup paywall breadcrumb breadcrumbs navbar nav navigator pager pagination
+    toolbar widget widgets contentinfo""".split())
+NEUTRAL = OWN | FRAME | set("""area block bottom box button center container footer form group inner item left list outer
+    panel posts right section slot thread top unit wrap wrapper""".split())
+ANCHORED = HEADINGS | {"article", "section", "p"}
 
 # Labelled pages: content lies between <!--[--> and <!--]-->.  Words are placeholders; only classes are counted.
 _TEXT = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen. "
@@ -67,7 +76,7 @@ class Tokenizer:
             r"|<(?P<close>/)?(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
             r"|<(?P<close2>/)?(?P<name2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)>"
             r"|<[!?/][^>]*+>?", re.S)
-        self.attr = re.compile(r"(?i)\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+        self.attr = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>][^\s>]*)))?").finditer
         self.words = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])").findall
 
     def surrounds(self, name: str, attrs: str, in_article: bool) -> bool:
@@ -78,22 +87,28 @@ class Tokenizer:
             return not in_article
         if not attrs.strip() or name in ("html", "body", "main"):
             return False
-        named: set[str] = set()
-        for m in self.attr.finditer(attrs):
-            key, value = m[1].lower(), next((v for v in m.groups()[1:] if v is not None), "")
-            if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-                return True
-            if key == "style":
-                if "display:none" in value.lower().replace(" ", ""):
+        values: dict[str, str] = {}
+        for m in self.attr(attrs):  # the first of a name counts
+            values.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+        if "hidden" in values or values.get("aria-hidden", "").strip().lower() == "true":
+            return True
+        if "display:none" in "".join(values.get("style", "").lower().split()):
+            return True
+        for key in ("class", "id", "role"):
+            for one in values.get(key, "").split():
+                parts = self.own_words(one)
+                if key == "id" and (in_article or name in ANCHORED):
+                    if name not in HEADINGS and parts & SURE and parts <= SURE | NEUTRAL:
+                        return True
+                # "article-body" names a part of the text; "post-comments" doesn't
+                elif parts & SURROUND or (not in_article and not parts & OWN and parts & FRAME):
                     return True
-            elif key in ("class", "id", "role"):
-                for one in value.split():
-                    parts = {w.lower() for w in self.words(one)}
-                    # "article-body" names a part of the text; "post-comments" doesn't
-                    named |= parts & SURROUND
-                    if not in_article and not parts & OWN:
-                        named |= parts & FRAME
-        return bool(named)
+        return False
+
+    def own_words(self, name: str) -> set[str]:
+        """The words of a class or id, up to one that makes the rest describe a layout."""
+        words = [w.lower() for w in self.words(name)]
+        return set(words[:next((i for i, w in enumerate(words) if w in QUALIFIERS), None)])
 
     def items(self, html: str):
         """(kind, value, left_out, article, heading, link): article numbers the open article element, 0 outside."""

@@ -59,6 +59,34 @@ def test_articles_of_one_size_all_stay(get):
     assert get.text(page(f"<article>{P_}</article>" * 3)) == "\n".join([P] * 3)
 
 
+@pytest.mark.parametrize("tag", [
+    "a href='/the-hidden-cost'", "p title='A hidden gem'", "p title=\"it's hidden\"", "a href='?id=search'", "p data-id='menu-3'",
+    "p data-class=ad", "p data-hidden", "p data-x='a' data-y='class=ad hidden'", "p title='hidden'", "div class='has-sidebar'",
+    "div class='no-comments'", "div class='hasSidebar wide'", "div class=page-with-sidebar", "div id=without-menu",
+    "section id='discussion'", "section id='related-work'", "section id=search", "section id=comments-on-the-text",
+    "section id=sidebar-effects", "h2 id=comments"])
+def test_attributes_that_name_no_surroundings(get, tag):
+    name = tag.split()[0]
+    inside = f"<{tag}>{P}</{name}>"
+    assert get.text(page(f"<article>{P_}<div>{inside}</div>{P_}</article>")) == "\n".join([P] * 3)
+    if name != "a":  # the words of a link aren't running text
+        assert get.text(page(f"<div>{P_}<div>{inside}</div>{P_}</div>")) == "\n".join([P] * 3)
+
+
+@pytest.mark.parametrize("tag", ["article title='The hidden valley'", "article id='related-work'", "article class='post no-comments'",
+                                 "div class='has-sidebar'", "div class='no-comments'", "div title='hidden'"])
+def test_wrappers_that_name_no_surroundings(get, tag):
+    assert get.text(page(f"<{tag}>{P_ * 3}</{tag.split()[0]}>")) == "\n".join([P] * 3)
+
+
+@pytest.mark.parametrize("attrs", [
+    "hidden", "HIDDEN=''", "hidden=hidden", "title='x' hidden", "title=x\nhidden", "aria-hidden='true'", "style='color:red;display : none'",
+    "class=sidebar", "class='wide comments-no-avatar'", "id=comments", "id='post-comments'", "id='ad-slot-3'", "id=disqus_thread",
+    "role=search", "data-x=\"'\" class='ad'"])
+def test_attributes_that_name_surroundings(get, attrs):
+    assert get.text(page(f"<article>{P_}<div {attrs}><p>no</p></div>{P_}</article>")) == f"{P}\n{P}"
+
+
 def test_edges(get):
     assert get.text("") == ""
     assert get.text("just words") == "just words"
