@@ -6,6 +6,11 @@ step of a recursive query joins neighbouring tokens with the merge table,
 finds each word's leftmost pair of minimum rank and contracts it; words
 without a pair leave the recursion.  An ordered aggregation turns the rows
 into the word's ids and, joined with the vocabulary, back into its bytes.
+
+The recursion keeps the rows of all its steps, about half the square of a
+word's bytes.  Words of over ``LONG`` bytes are contracted in the same order
+by queues of positions, one per rank, instead: their time grows with the length
+and its logarithm, and their memory with the length.
 """
 
 from __future__ import annotations
@@ -14,10 +19,12 @@ from pyspark.sql import DataFrame
 
 from basketlab.llm.common import id_and_text, text_slices
 
+LONG = 64  # bytes of the longest word that goes through the recursive query, whose positions have 20 bits
+MAX_ROWS = 1_500_000  # of one recursive query, in all its steps
 LATIN = 0x100  # bytes travel through SQL strings as the characters from here on, which hold no NUL
 
 # step: the tokens of the words still being merged, each with its right neighbour.  best packs the rank, the
-# position of the pair and the position of its right token, 20 bits per position.
+# position of the pair and the position of its right token, 20 bits per position (words of up to LONG bytes only).
 ENCODE = """
 WITH RECURSIVE step(word, pos, tok, next, nextpos, n) AS (
     SELECT word, pos, tok, lead(tok) OVER w, lead(pos) OVER w, 0
@@ -91,9 +98,18 @@ class WordCodec:
 
         out = [(str(r), self.pieces[r]) if (r := self.ranks.get(w)) is not None else ("", b"") for w in words]
         todo = [i for i, w in enumerate(words) if not out[i][0] and w]
+        for i in todo:
+            if len(words[i]) > LONG:
+                ids = self.contracted(words[i])
+                out[i] = ",".join(map(str, ids)), b"".join(map(self.pieces.__getitem__, ids))
+        todo = [i for i in todo if len(words[i]) <= LONG]
+        rows = np.cumsum([len(words[i]) * (len(words[i]) + 1) // 2 for i in todo])
         single = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
-        for at in range(0, len(todo), step):
-            own = todo[at:at + step]
+        at = 0
+        while at < len(todo):
+            fit = int(np.searchsorted(rows, MAX_ROWS + (rows[at - 1] if at else 0), side="right"))
+            own = todo[at:min(at + step, max(at + 1, fit))]
+            at += len(own)
             sizes = np.array([len(words[i]) for i in own])
             tok = single[np.frombuffer(b"".join(words[i] for i in own), np.uint8)]
             word = np.repeat(np.array(own, np.int32), sizes)
@@ -104,6 +120,40 @@ class WordCodec:
                 out[i] = ",".join([x for x, _ in tokens]), raw_bytes("".join([x for _, x in tokens]))
         return out
 
+    def contracted(self, word: bytes) -> list[int]:
+        """Ids of one word of any length."""
+        from array import array
+        from heapq import heapify, heappop, heappush
+
+        rank, pieces, n = self.ranks.get, self.pieces, len(word)
+        tok = array("q", [self.ranks[word[i:i + 1]] for i in range(n)])  # by first byte; -1: part of a token before
+        left, right = array("q", range(-1, n - 1)), array("q", range(1, n + 1))
+        places: dict[int, list[int]] = {}  # of each rank the pairs, by position; some are gone when their turn comes
+        for i in range(n - 1):
+            if (r := rank(word[i:i + 2])) is not None:
+                places.setdefault(r, []).append(i)
+        lowest = list(places)
+        heapify(lowest)
+        while lowest:
+            r = lowest[0]
+            if not places[r]:
+                del places[heappop(lowest)]
+                continue
+            i = heappop(places[r])
+            j = right[i]
+            if tok[i] < 0 or j == n or rank(pieces[tok[i]] + pieces[tok[j]]) != r:
+                continue
+            tok[i], tok[j], right[i] = r, -1, right[j]
+            if right[j] < n:
+                left[right[j]] = i
+            for a, b in ((left[i], i), (i, right[i])):
+                if a >= 0 and b < n and (new := rank(pieces[tok[a]] + pieces[tok[b]])) is not None:
+                    if new not in places:
+                        places[new] = []
+                        heappush(lowest, new)
+                    heappush(places[new], a)
+        return [t for t in tok if t >= 0]
+
     def decode(self, sequences: list[str], step: int = 20_000) -> list[bytes]:
         """Bytes of each sequence of ids (decimal, joined by commas)."""
         import numpy as np
@@ -143,17 +193,17 @@ class TextCodec:
         self.parts: dict[str, tuple[str, bytes]] = {}
 
     def cut(self, text: str) -> list[str]:
-        out: list[str] = []
         if not self.loose(text):
             first, *rest = text.split(" ")
             return [first] * bool(first) + [" " + x for x in rest]
+        out: list[list[str]] = []
         for i, x in enumerate(text.split(" ")):  # runs of white space stay inside a part
             x = " " + x if i else x
-            if out and (out[-1][-1].isspace() or len(x) < 2 or x[1].isspace()):
-                out[-1] += x
+            if out and (out[-1][-1][-1].isspace() or len(x) < 2 or x[1].isspace()):
+                out[-1].append(x)
             elif x:
-                out.append(x)
-        return out
+                out.append([x])
+        return ["".join(x) for x in out]
 
     def learn(self, texts: list[list[str]]) -> None:
         """Encode and decode the parts of these texts that aren't known."""
