@@ -14,11 +14,14 @@ No bucket is expanded into all its pairs: in a few rounds its members are
 compared with one leader (the member that meets most others first, then another
 one), and linked documents become one component.  What then still lies in
 different components of a bucket is compared pair by pair, by a finer estimate
-first, very large buckets being split by further bands.
+first, very large buckets block against block.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, functions as F
 
 from basketlab.llm.common import id_and_text, text_slices, written
@@ -29,7 +32,7 @@ THRESHOLD = 0.8
 BANDS = 28  # with 6 registers each: a pair of likeness 0.8 shares a band with probability 0.9998
 BAND_ROWS = 6
 ROUNDS = 2  # leaders per bucket before the rest is compared pair by pair
-SPLIT_ABOVE = 4096  # members of a bucket whose components are compared pair by pair
+BLOCK_ABOVE = 4096  # members of a bucket that is compared block by block
 SLACK = 0.12  # nearly four standard deviations of the estimate at the threshold
 FINE_REGISTERS = 510  # of the signatures made for the documents that are compared pair by pair
 FINE_SLACK = 0.07  # the same for their estimate
@@ -239,28 +242,27 @@ def undecided(buckets: DataFrame, found: DataFrame) -> DataFrame:
     return written(buckets.join(keys, F.col("key") == F.col("of"), "left_semi"), "undecided")
 
 
-def split_large(buckets: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
-    """``key, id`` of buckets of at most ``limit`` ids, larger ones split by their members' other bands.
+def blocks(buckets: DataFrame, found: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the comparison of large buckets: ``key, i, j, id, component``, i <= j.
 
-    Documents of a likeness of 0.8 share many bands, so they meet in a part of
-    a split bucket as surely as in the bucket.  Splitting ends when the parts
-    are small or hold the same bands throughout.
+    A bucket is dealt into blocks of about ``limit`` / 2 ids, and every two of
+    its blocks, also a block and itself (i = j), meet under a key of their own,
+    block i on the first side and block j on the second.  So any two ids of a
+    bucket meet once, or in both orders in a block of their own, and no key has
+    many more than ``limit`` ids.  Keys that hold one component only are left out.
     """
-    small = buckets.filter(F.col("n") <= limit).select("key", "id")
-    large = buckets.filter(F.col("n") > limit)
-    for _ in range(2):
-        if large.isEmpty():
-            return small
-        own = large.select("key", F.col("id").alias("member")).join(nodes, F.col("member") == F.col("id"))
-        parts = members(own.select("id", "key", F.posexplode("bands").alias("band", "value"))
-                        .select(F.xxhash64("key", "band", "value").alias("key"), "id").distinct())
-        small = small.unionByName(parts.filter(F.col("n") <= limit).select("key", "id"))
-        large = parts.filter(F.col("n") > limit)
-    return small.unionByName(large.select("key", "id"))
+    count = F.ceil(F.col("n") * 2 / limit)
+    own = (with_component(buckets, found, "id", "component").withColumn("count", count)
+           .withColumn("own", F.pmod(F.xxhash64("id", F.lit(11)), "count")))
+    one = own.select("key", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("count") - 1)).alias("j"), "id", "component")
+    two = own.select("key", F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("i"), F.col("own").alias("j"), "id", "component")
+    mixed_keys = (one.unionByName(two).groupBy("key", "i", "j").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                  .filter("lo <> hi").select("key", "i", "j"))
+    return tuple(x.join(mixed_keys, ["key", "i", "j"], "left_semi") for x in (one, two))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-                    words: int = WORDS, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
+                    words: int = WORDS, bands: int = BANDS, band_rows: int = BAND_ROWS, block_above: int = BLOCK_ABOVE) -> DataFrame:
     """One row per document: ``doc_id, class_id, kept``.
 
     Documents are in one class if a chain of pairs with a likeness of
@@ -322,12 +324,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fine = written(signatures(texts.join(still.select("id").distinct(), "id", "left_semi").select("id", "text"), words,
                               FINE_REGISTERS, 1).select(F.col("doc_id").alias("id"), F.col("bits").alias("fine")), "fine")
     close &= estimate("fine_a", "fine_b", FINE_REGISTERS) >= threshold - FINE_SLACK
-    parts = (with_component(split_large(still, nodes, SPLIT_ABOVE), found, "id", "component").join(bits, "id")
-             .join(fine, "id"))
-    left, right = (parts.select("key", F.col("id").alias(x), F.col("component").alias(f"of_{x}"),
-                                F.col("bits").alias(f"bits_{x}"), F.col("fine").alias(f"fine_{x}")) for x in "ab")
-    found = compared(left.join(right, (left.key == right.key) & (F.col("a") < F.col("b"))
-                               & (F.col("of_a") != F.col("of_b")) & close).select("a", "b").distinct())
+
+    def across(one: DataFrame, two: DataFrame, on: list[str]) -> DataFrame:
+        """Close pairs ``a, b`` of different components with a common key."""
+        left, right = (side.join(bits, "id").join(fine, "id")
+                       .select(*(F.col(c).alias(f"{c}_{x}") for c in on), F.col("id").alias(x), F.col("component").alias(f"of_{x}"),
+                               F.col("bits").alias(f"bits_{x}"), F.col("fine").alias(f"fine_{x}"))
+                       for side, x in ((one, "a"), (two, "b")))
+        once = F.col("a") < F.col("b")
+        if "i" in on:
+            once |= F.col("i_a") < F.col("j_b")
+        met = [F.col(f"{c}_a") == F.col(f"{c}_b") for c in on]
+        pairs = left.join(right, reduce(and_, met) & once & (F.col("of_a") != F.col("of_b")) & close)
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    usual = with_component(still.filter(F.col("n") <= block_above), found, "id", "component")
+    large = still.filter(F.col("n") > block_above)
+    pairs = across(usual, usual, ["key"])
+    if not large.isEmpty():
+        pairs = pairs.unionByName(across(*blocks(large, found, block_above), ["key", "i", "j"]))
+    found = compared(pairs.distinct())
 
     classes = with_component(copies, found, "rep", "class_id").select(F.col("doc_id").alias("id"), "class_id")
     return rows.select("doc_id").join(classes, F.col("doc_id") == F.col("id"), "left").select(

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from basketlab.llm.minhash import components, likeness, near_duplicates, prob_minhash, weighted_shingles
+from basketlab.llm.minhash import blocks, components, likeness, near_duplicates, prob_minhash, weighted_shingles
 from basketlab.llm.suffix_dedup import Hasher
 
 
@@ -114,3 +114,34 @@ def test_large_group_is_one_class(spark):
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     want = classes(rows)
     assert {r.doc_id: r.class_id for r in got} == want and set(want.values()) == {0, *range(1000, 1020)}
+
+
+def test_blocks_are_bounded_and_any_two_ids_meet(spark):
+    members = [(k, i * 7 + k, 300) for k in (1, 2) for i in range(300)] + [(3, i, 50) for i in range(50)]
+    found = spark.createDataFrame([(i, 0) for i in range(50)], "id long, component long")
+    one, two = blocks(spark.createDataFrame(members, "key long, id long, n long"), found, 40)
+    one, two = ([tuple(r[c] for c in ("key", "i", "j", "id", "component")) for r in x.collect()] for x in (one, two))
+    keys = {}
+    for side, rows in enumerate((one, two)):
+        for *key, i, c in rows:
+            keys.setdefault(tuple(key), ([], []))[side].append(i)
+    assert max(len(a) + len(b) for a, b in keys.values()) < 100  # 600 rows on the two sides of a bucket before
+    met = [(k, min(a, b), max(a, b)) for (k, i, j), (x, y) in keys.items() for a in x for b in y if a < b or i < j]
+    assert len(met) == len(set(met))
+    merged = {i for i in range(50)}
+    want = {(k, a, b) for k in (1, 2) for a in range(k, 2100, 7) for b in range(a + 7, 2100, 7) if {a, b} - merged}
+    assert want <= set(met) and not any(k == 3 for k, _, _ in met)  # bucket 3 is one component
+
+
+def test_large_buckets_of_many_components(spark, monkeypatch):
+    from basketlab.llm import minhash
+    seen = []
+    monkeypatch.setattr(minhash, "blocks", lambda *x: seen.append(x[0].groupBy("key").count().count()) or blocks(*x))
+    rng = random.Random(12)
+    base = words(rng, 120)
+    rows = [(i, " ".join(edited(rng, base, rng.choice([3, 5, 6, 8])))) for i in range(60)]
+    rows += [(100 + i, " ".join(edited(rng, t.split(), 1))) for i, t in rows[::6]]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), block_above=6).collect()
+    want = classes(rows)
+    assert {r.doc_id: r.class_id for r in got} == want and len(set(want.values())) > 20
+    assert seen and seen[0] > 0
