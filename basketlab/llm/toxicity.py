@@ -102,12 +102,16 @@ def chain_probabilities(weights, x):
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, label_col: str, max_labelled: int) -> DataFrame:
-    """``doc_id, text, label`` of at most ``max_labelled`` labelled ids (chosen by hash)."""
+    """``doc_id, text, label`` of at most ``max_labelled`` labelled ids (chosen by hash), a row per id.
+
+    Of the rows that repeat an id the one with the smallest hash of its text stands for it.
+    """
     known = (labels.select(F.col("doc_id").alias("id"), F.col(label_col).alias("label"))
              .filter("id IS NOT NULL AND label IS NOT NULL").groupBy("id").agg(F.max("label").alias("label")))
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(max_labelled)  # bounded, so it may be broadcast
     rows = docs.join(F.broadcast(chosen), docs.doc_id == chosen.id).select("doc_id", "text", "label")
-    return written(rows, "labelled")
+    first = F.min_by("text", F.struct(F.xxhash64("text"), F.col("text")))  # map-side, so a hot id moves one text per task
+    return written(rows.groupBy("doc_id").agg(first.alias("text"), F.max("label").alias("label")), "labelled")
 
 
 def choose_features(rows: DataFrame, positives: int, negatives: int, max_features: int, min_rows: int) -> list[str]:
@@ -156,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", seeds: d
           max_labelled: int = 10_000, max_features: int = 256, min_rows: int = 3) -> Chain | None:
     """Fit the chain on at most ``max_labelled`` labelled documents; None without both kinds of label.
 
-    ``docs`` has ``doc_id, text``.  Feature statistics come from a Spark
+    ``docs`` has ``doc_id, text``; rows that repeat an id count as one.  Feature statistics come from a Spark
     aggregation; the driver receives the 0/1 features of the labelled rows,
     at most ``max_labelled`` x ``max_features``.
     """

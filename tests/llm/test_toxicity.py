@@ -3,7 +3,8 @@ import random
 import numpy as np
 import pytest
 
-from basketlab.llm.toxicity import SEEDS, chain_probabilities, classify, features_of, fit_chain, fit_logistic
+from basketlab.llm.toxicity import (SEEDS, chain_probabilities, classify, features_of, fit_chain, fit_logistic, labelled_rows,
+                                    train)
 
 PLAIN = "the of and a house river tree walks slowly over green hills while old birds sing in many quiet places".split()
 BAD = ["idiot", "scum", "worthless", "lowei", "loweischaft", "vequire"]
@@ -62,6 +63,20 @@ def test_bound_on_labelled_rows(scored):
     assert classify(docs, labels, max_labelled=60).count() == docs.count()
 
 
+def test_repeated_ids_count_once(spark):
+    rows = corpus(120, 4)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(7, f"house number {k % 9} of seven") for k in range(3000)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    got = labelled_rows(docs, labels, "toxic", 80).collect()
+    assert len(got) == len({r.doc_id for r in got}) == 80
+    every = {(r.doc_id, r.text) for r in labelled_rows(docs.repartition(13), labels, "toxic", 1000).collect()}
+    assert len(every) == 120 and every == {(r.doc_id, r.text) for r in labelled_rows(docs, labels, "toxic", 1000).collect()}
+    once = spark.createDataFrame(sorted(every), "doc_id long, text string")
+    a, b = train(docs, labels), train(once, labels)
+    assert a.columns == b.columns and all(np.allclose(x, y) for x, y in zip(a.weights, b.weights))
+
+
 def test_features():
     assert features_of({"lowei", "a"}) == {"lowei ", "a ", "lowe"}
 
