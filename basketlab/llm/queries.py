@@ -13,6 +13,7 @@ from basketlab.llm.exact_dedup import exact_dedup
 from basketlab.llm.extraction import extract_text
 from basketlab.llm.minhash import near_duplicates
 from basketlab.llm.packing import best_fit_packing
+from basketlab.llm.periodic import periodic_runs, with_periodic_tails
 from basketlab.llm.sketch import fingerprints, to_text
 from basketlab.llm.suffix_dedup import remove_repeats
 from basketlab.llm.token_counts import count_tokens
@@ -107,3 +108,16 @@ def op10_suffix_dedup(spark, sf_dir):
     return remove_repeats(documents(spark, sf_dir)).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    """Runs of repeated words in every document, one in ten with a repeated stretch at its end."""
+    found = periodic_runs(with_periodic_tails(documents(spark, sf_dir)))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    best = F.col("strongest")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+                        best["length"].alias("length"), best["period"].alias("period"),
+                        F.floor(F.lit(1000) * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
