@@ -14,6 +14,7 @@ from basketlab.llm.extraction import extract_text
 from basketlab.llm.minhash import near_duplicates
 from basketlab.llm.packing import best_fit_packing
 from basketlab.llm.periodic import periodic_runs, with_periodic_tails
+from basketlab.llm.phrases import collocations
 from basketlab.llm.sketch import fingerprints, to_text
 from basketlab.llm.suffix_dedup import remove_repeats
 from basketlab.llm.token_counts import count_tokens
@@ -121,3 +122,37 @@ def op11_periodic_runs(spark, sf_dir):
                         F.floor(F.lit(1000) * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
                         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
                         F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op12_collocations(spark, sf_dir):
+    """The best 2000 phrases of two or three words of every language."""
+    return collocations(read_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+ORACLES["op12_collocations"] = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+     p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+     w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+     slots AS (SELECT lang, w, len(w) AS words, unnest(range(1, len(w) + 1)) AS i FROM w),
+     g AS (SELECT lang, w[i] AS phrase, 1 AS size FROM slots
+           UNION ALL SELECT lang, w[i] || ' ' || w[i + 1], 2 FROM slots WHERE i + 1 <= words
+           UNION ALL SELECT lang, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2], 3 FROM slots WHERE i + 2 <= words),
+     f AS (SELECT lang, phrase, size, count(*) AS a FROM g GROUP BY ALL),
+     n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+     c AS (SELECT lang, phrase, size, a, string_split(phrase, ' ') AS w FROM f WHERE a >= 10 AND size > 1),
+     cuts AS (SELECT lang, phrase, size, a, 1 AS k, w[1] AS x, array_to_string(w[2:], ' ') AS y FROM c
+              UNION ALL SELECT lang, phrase, size, a, 2, array_to_string(w[1:2], ' '), w[3] FROM c WHERE size = 3),
+     scored AS (SELECT cuts.*, fx.a AS l, fy.a AS r,
+                       ((1000000::HUGEINT * cuts.a * cuts.a) // (fx.a::HUGEINT * fy.a))::BIGINT AS score
+                FROM cuts JOIN f fx ON fx.lang = cuts.lang AND fx.phrase = x JOIN f fy ON fy.lang = cuts.lang AND fy.phrase = y),
+     lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+     inside AS (SELECT lang, part, max(a) AS most FROM (
+                    SELECT lang, a, array_to_string(w[1:2], ' ') AS part FROM c WHERE size = 3
+                    UNION ALL SELECT lang, a, array_to_string(w[2:3], ' ') FROM c WHERE size = 3) GROUP BY ALL),
+     kept AS (SELECT b.* FROM lowest b LEFT JOIN inside i ON i.lang = b.lang AND i.part = b.phrase
+              WHERE i.most IS NULL OR 100 * i.most < 50 * b.a),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, n.n, r.score FROM ranked r JOIN n USING (lang) WHERE r.rank <= 2000
+"""
