@@ -15,6 +15,7 @@ from basketlab.llm.minhash import near_duplicates
 from basketlab.llm.packing import best_fit_packing
 from basketlab.llm.periodic import periodic_runs, with_periodic_tails
 from basketlab.llm.phrases import collocations
+from basketlab.llm.quality import score_quality
 from basketlab.llm.sketch import fingerprints, to_text
 from basketlab.llm.suffix_dedup import remove_repeats
 from basketlab.llm.token_counts import count_tokens
@@ -156,3 +157,9 @@ WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '
      ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
 SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, n.n, r.score FROM ranked r JOIN n USING (lang) WHERE r.rank <= 2000
 """
+
+
+@query
+def op13_quality(spark, sf_dir):
+    """Quality of every document, learnt from the labels of two thirds of them."""
+    return score_quality(documents(spark, sf_dir), read_table(spark, sf_dir, "labels", "doc_id", "quality"))
