@@ -1,26 +1,29 @@
 """Phrase collocations by Toivonen's sampling algorithm.
 
 A phrase is frequent if it occurs ``support`` times or more, and all parts of
-a frequent phrase are frequent.  A sample of the documents, mined with a
-lowered support, proposes words and pairs.  One pass over all documents then counts
-exactly the proposed phrases and their negative border, the phrases that
+a frequent phrase are frequent.  A sample of the documents proposes words and
+pairs.  One pass over all documents then counts
+the proposed phrases and their negative border, the phrases that
 aren't proposed though all their parts are: every word, every pair of proposed
 words, every triple of two proposed pairs.  Where the border holds frequent
 phrases the proposal was too small: they join it, and a further pass counts
-what the larger proposal and its border have in addition.  When no uncounted phrase is
-left whose parts are all frequent, the frequent phrases are closed and their counts exact.
-
-The proposals are sent to the tasks as bit arrays of bounded size, one for
-words and one for pairs.  A bit that is set by chance makes the border larger
-and loses nothing: a phrase is counted in the first pass whose bits admit all
-its parts, whole, and in no other.  Tasks count numbered words and send one
+what the larger proposal and its border have in addition.  The proposal is
+closed when no pass finds another frequent phrase in the border.
+
+These passes shuffle 64-bit hashes of phrases with their counts, as nearly all
+phrases of the border are rare.  Phrases of one hash are counted together, so
+no frequent phrase is missed.  A last pass counts the phrases of the frequent
+hashes themselves, by their letters, which makes set and counts exact.
+
+Proposals and frequent hashes are sent to the tasks as bit arrays of bounded
+size.  A bit that is set by chance adds candidates
+and loses nothing: a phrase is counted in the first pass whose bits admit
+all its parts, whole, and in no other.  Tasks number their words and send one
 row per phrase and task; no list of phrases passes through the driver.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from basketlab.functions.joins import sized_for_broadcast
@@ -32,6 +35,7 @@ MAX_WORDS = 3
 TOTAL = ""  # the phrase of no words: all words of a language
 SALTS = 16  # parts into which a hot key or a language is split
 COUNTS = "lang string, phrase string, n long"
+HASHED = "level int, h long, n long"
 
 
 def breaks() -> bytes:
@@ -123,42 +127,71 @@ class Counter:
             self.held += len(key) - sum(len(k) for k, _ in own)
             own[:] = [(key, total)]
 
+    def pair_hash(self, key):
+        """Hash of pairs, given by their key."""
+        import numpy as np
+        return bit_of(self.hashes[key >> WORD_BITS], self.hashes[key & ((1 << WORD_BITS) - 1)])
+
+    def triple_hash(self, key):
+        return bit_of(self.pair_hash(key >> WORD_BITS), self.hashes[key & ((1 << WORD_BITS) - 1)])
+
     def count(self, tokens, new, old) -> None:
-        """Count the pairs and triples that the bit arrays ``new`` admit and ``old`` (None: nothing) don't.
+        """Count the pairs and triples that the bit arrays ``new`` of words and pairs admit and ``old`` (None: nothing) don't.
 
-        With both arrays of ``new`` None every pair counts and no triple does (the sample).
+        Without ``new`` every pair counts and no triple does (the sample).
         """
         import numpy as np
 
         def words(bits):
-            ok = np.ones(len(self.hashes), bool) if bits[0] is None else admitted(bits[0], bit_of(self.hashes))
+            ok = np.ones(len(self.hashes), bool) if bits is None else admitted(bits[0], bit_of(self.hashes))
             ok[0] = False
             return ok
 
-        def pairs(bits, first, second):
-            return admitted(bits[1], bit_of(self.hashes[first], self.hashes[second]))
-
         ok = words(new)
         at = np.flatnonzero(ok[tokens[:-1]] & ok[tokens[1:]])
         key, inverse, n = np.unique(tokens[at] << WORD_BITS | tokens[at + 1], return_inverse=True, return_counts=True)
-        first, second = key >> WORD_BITS, key & ((1 << WORD_BITS) - 1)
         known = np.zeros(len(key), bool)
         if old is not None:
             ok = words(old)
-            known = ok[first] & ok[second]
+            known = ok[key >> WORD_BITS] & ok[key & ((1 << WORD_BITS) - 1)]
         self.add(2, key[~known], n[~known])
-        if self.longest < 3 or new[1] is None:
+        if self.longest < 3 or new is None:
             return
+        hashed = self.pair_hash(key)
         now, before = (np.zeros(max(len(tokens) - 1, 0), bool) for _ in range(2))
-        now[at] = pairs(new, first, second)[inverse]
+        now[at] = admitted(new[1], hashed)[inverse]
         if old is not None:
-            before[at] = (known & pairs(old, first, second))[inverse]
+            before[at] = (known & admitted(old[1], hashed))[inverse]
         at = np.flatnonzero(now[:-1] & now[1:] & ~(before[:-1] & before[1:]))
-        key, n = np.unique((tokens[at] << WORD_BITS | tokens[at + 1]) << WORD_BITS | tokens[at + 2], return_counts=True)
-        self.add(3, key, n)
+        self.add(3, *np.unique((tokens[at] << WORD_BITS | tokens[at + 1]) << WORD_BITS | tokens[at + 2], return_counts=True))
 
-    def rows(self, with_words: bool):
-        """Record batches ``lang, phrase, n`` of everything counted."""
+    def count_chosen(self, tokens, chosen) -> None:
+        """Count the words, pairs and triples whose hashes' bits are set in ``chosen``."""
+        import numpy as np
+        self.count_words(tokens)
+        key, full = tokens, tokens > 0
+        for level in range(2, self.longest + 1):
+            full = full[:-1] & (tokens[level - 1:] > 0)
+            key = key[:-1] << WORD_BITS | tokens[level - 1:]
+            own, n = np.unique(key[full], return_counts=True)
+            hashed = self.pair_hash(own) if level == 2 else self.triple_hash(own)
+            ok = admitted(chosen[level - 1], hashed)
+            self.add(level, own[ok], n[ok])
+
+    def hashed_rows(self, with_words: bool):
+        """Record batches ``level, h, n`` of everything counted."""
+        import numpy as np
+        import pyarrow as pa
+        seen = np.flatnonzero(self.single[1:]) + 1
+        parts = [(1, bit_of(self.hashes[seen]), self.single[seen])] if with_words else []
+        for level, own in enumerate(self.keys, 2):
+            parts += [(level, self.pair_hash(k) if level == 2 else self.triple_hash(k), n) for k, n in own]
+        for level, h, n in parts:
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), level, np.int32)), pa.array(h.view(np.int64)), pa.array(n, pa.int64())],
+                                             names=["level", "h", "n"])
+
+    def rows(self, chosen):
+        """Record batches ``lang, phrase, n`` of everything counted, words by ``chosen`` only, and of all words."""
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -169,103 +202,113 @@ class Counter:
         words = pa.array(self.words, pa.binary())
 
         def batch(parts, n):
-            for i in range(0, len(n), 1 << 17):
-                own = [p[i:i + (1 << 17)] for p in parts]
+            for i in range(0, len(n), 1 << 16):
+                own = [p[i:i + (1 << 16)] for p in parts]
                 text = pc.binary_join_element_wise(*[words.take(pa.array(p)) for p in own], pa.scalar(b" ", pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(lang_of[own[0]])), text.cast(pa.string()), pa.array(n[i:i + (1 << 17)], pa.int64())],
+                    [names.take(pa.array(lang_of[own[0]])), text.cast(pa.string()), pa.array(n[i:i + (1 << 16)], pa.int64())],
                     names=["lang", "phrase", "n"])
 
-        if with_words:
-            seen = np.flatnonzero(self.single[1:]) + 1
-            yield from batch([seen], self.single[seen])
-            total = np.bincount(lang_of[1:], self.single[1:], len(self.langs)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([names, pa.array([TOTAL] * len(names)), pa.array(total)], names=["lang", "phrase", "n"])
+        seen = np.flatnonzero(self.single[1:]) + 1
+        seen = seen[admitted(chosen[0], bit_of(self.hashes[seen]))]
+        yield from batch([seen], self.single[seen])
+        total = np.bincount(lang_of[1:], self.single[1:], len(self.langs)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([names, pa.array([TOTAL] * len(names)), pa.array(total)], names=["lang", "phrase", "n"])
         mask = (1 << WORD_BITS) - 1
         for length, own in enumerate(self.keys, 2):
             for key, n in own:
                 yield from batch([key >> (WORD_BITS * k) & mask for k in range(length - 1, -1, -1)], n)
 
 
-def counted(rows: DataFrame, longest: int, new, old=None, with_words: bool = True, max_held: int = 3_000_000,
-            max_words: int = 400_000) -> DataFrame:
-    """``lang, phrase, n`` of the phrases of this pass; ``new`` and ``old`` are broadcast bit arrays or None."""
+def counted(rows: DataFrame, longest: int, new=None, old=None, with_words: bool = True, chosen=None, max_held: int = 1_000_000,
+            max_words: int = 200_000) -> DataFrame:
+    """``level, h, n``: the hashes of this pass's phrases; ``lang, phrase, n`` of the ``chosen`` ones if given.
+
+    ``new``, ``old`` and ``chosen`` are broadcast bit arrays or None.
+    """
     def run(batches):
         import numpy as np
-        bits = [None if b is None else tuple(x and np.frombuffer(x, np.uint8) for x in b.value) for b in (new, old)]
+        new_bits, old_bits, chosen_bits = (None if b is None else [np.frombuffer(x, np.uint8) for x in b.value] for b in (new, old, chosen))
         counter = Counter(longest)
+
+        def out():
+            counter.merge()
+            return counter.hashed_rows(with_words) if chosen_bits is None else counter.rows(chosen_bits)
+
         for langs, texts in text_slices(batches, 2 << 20):
             tokens = counter.numbered(langs, texts)
-            if with_words:
-                counter.count_words(tokens)
-            counter.count(tokens, bits[0] or (None, None), bits[1])
-            if counter.held > max_held:
-                counter.merge()
-            if counter.held > max_held // 2 + max_held // 4 or len(counter.words) > max_words:  # memory is bounded; sums of sums are exact
-                counter.merge()
-                yield from counter.rows(with_words)
+            if chosen_bits is not None:
+                counter.count_chosen(tokens, chosen_bits)
+            else:
+                if with_words:
+                    counter.count_words(tokens)
+                counter.count(tokens, new_bits, old_bits)
+            if counter.held > max_held or len(counter.words) > max_words:  # memory is bounded; sums of sums are exact
+                yield from out()
                 counter.clear()
-        counter.merge()
-        yield from counter.rows(with_words)
+        yield from out()
 
-    return (rows.select("lang", "text").mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n")))
+    keys = ["level", "h"] if chosen is None else ["lang", "phrase"]
+    schema = HASHED if chosen is None else COUNTS
+    # tasks have summed their own phrases, so the rows are dealt as they are and summed once
+    found = rows.select("lang", "text").mapInArrow(run, schema)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return found.repartition(parts, *keys).groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
-def hashes_of(phrases: DataFrame, bits, known=None) -> DataFrame:
-    """``level, pos``: the bit of every word (1) and pair (2) whose bit isn't set in ``known``.
+def positions(hashes: DataFrame, bits, known=None) -> DataFrame:
+    """``level, pos``: the bit of every hash whose bit isn't set in ``known``, for the levels that have an array.
 
-    ``bits`` are the sizes of the two bit arrays.
+    ``bits`` are the sizes of the arrays.
     """
     def run(batches):
         import numpy as np
         import pyarrow as pa
         arrays = None if known is None else [np.frombuffer(x, np.uint8) for x in known.value]
         for b in batches:
-            split = [p.encode().split(b" ") for p in b.column("phrase").to_pylist()]
-            langs = b.column("lang").to_pylist()
-            for level in (1, 2):
-                own = [(g, w) for g, w in zip(langs, split) if len(w) == level and w[0]]
-                parts = [np.array([word_hash(g, w[k]) for g, w in own], np.uint64) for k in range(level)]
-                h = bit_of(*parts)
+            level, h = b.column("level").to_numpy(), b.column("h").to_numpy().view(np.uint64)
+            for k, size in enumerate(bits, 1):
+                own = h[level == k]
                 if arrays is not None:
-                    h = h[~admitted(arrays[level - 1], h)]
-                pos = np.unique(h & np.uint64(bits[level - 1] - 1)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pos), level, np.int32)), pa.array(pos)], names=["level", "pos"])
+                    own = own[~admitted(arrays[k - 1], own)]
+                pos = np.unique(own & np.uint64(size - 1)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pos), k, np.int32)), pa.array(pos)], names=["level", "pos"])
 
-    return phrases.select("lang", "phrase").mapInArrow(run, "level int, pos long")
+    return hashes.select("level", "h").mapInArrow(run, "level int, pos long")
 
 
-def with_bits(arrays: tuple[bytes, bytes], positions: DataFrame) -> tuple[tuple[bytes, bytes], int]:
+def with_bits(arrays: list[bytes], places: DataFrame) -> tuple[list[bytes], int]:
     """The bit arrays with further bits set, and the number of pages that changed.
 
-    The driver receives pages of 4 KB, at most the two arrays as a whole.
+    The driver receives pages of 4 KB, at most the arrays as a whole.
     """
     out = [bytearray(a) for a in arrays]
-    pages = (positions.distinct().groupBy("level", F.shiftright("pos", 15).alias("page"))
+    pages = (places.distinct().groupBy("level", F.shiftright("pos", 15).alias("page"))
              .agg(F.bitmap_construct_agg(F.col("pos") % PAGE_BITS).alias("bits")))
     changed = 0
     for r in pages.toLocalIterator():
         own = slice(r.page * 4096, (r.page + 1) * 4096)
-        own_bits = int.from_bytes(out[r.level - 1][own], "little") | int.from_bytes(r.bits, "little")
-        out[r.level - 1][own] = own_bits.to_bytes(4096, "little")
+        both = int.from_bytes(out[r.level - 1][own], "little") | int.from_bytes(r.bits, "little")
+        out[r.level - 1][own] = both.to_bytes(4096, "little")
         changed += 1
-    return (bytes(out[0]), bytes(out[1])), changed
+    return [bytes(x) for x in out], changed
 
 
-def phrase_words(phrase):
-    """Number of words: phrases are joined by single spaces, which words don't hold."""
-    return F.size(F.split(phrase, " "))
+def array_sizes(hashes: DataFrame, levels: int, max_filter_bytes: int) -> list[int]:
+    """Bits of the arrays for the hashes of each level: 64 per hash, within the bound."""
+    rows = {r.level: r.n for r in hashes.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [filter_bits(rows.get(k, 0), 64, max_filter_bytes) for k in range(1, levels + 1)]
 
 
-def frequent_phrases(docs: DataFrame, support: int = 10, longest: int = MAX_WORDS, sample: float = 0.1, lowered: float = 0.5,
+def frequent_phrases(docs: DataFrame, support: int = 10, longest: int = MAX_WORDS, sample: float = 0.1, proposing: int = 3,
                      id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_filter_bytes: int = 16 << 20,
                      passes: list | None = None) -> DataFrame:
     """``lang, phrase, n``: every phrase of up to ``longest`` words that occurs ``support`` times or
     more in its language, and as the phrase ``TOTAL`` the number of all words of the language.
 
-    ``sample`` is the share of documents that proposes phrases, mined with
-    ``max(2, lowered * sample * support)``; it changes the number of passes,
-    never the result.  The pages of bits that each pass added are appended to ``passes``.
+    ``sample`` is the share of documents that proposes phrases: those that it
+    holds ``proposing`` times.  Both change the number and the size of the passes, never the
+    result.  The pages of bits that each pass added are appended to ``passes``.
     """
     if not 2 <= longest <= MAX_WORDS:
         raise ValueError(f"longest must be 2 to {MAX_WORDS}")
@@ -273,26 +316,22 @@ def frequent_phrases(docs: DataFrame, support: int = 10, longest: int = MAX_WORD
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        F.col(id_col).alias("doc_id"))
     drawn = rows.filter(F.pmod(F.xxhash64("doc_id", "text", F.lit(12)), F.lit(1 << 20)) < int(sample * (1 << 20)))
-    proposed = written(counted(drawn, 2, None).filter(F.col("n") >= max(2, math.floor(lowered * sample * support))), "proposed")
-    sizes = {r.words: r.rows for r in proposed.groupBy(phrase_words("phrase").alias("words")).agg(F.count(F.lit(1)).alias("rows")).collect()}
-    bits = [filter_bits(sizes.get(k, 0), 64, max_filter_bytes) for k in (1, 2)]
-    arrays, _ = with_bits((bytes(bits[0] // 8), bytes(bits[1] // 8)), hashes_of(proposed, bits))
-    found, old, new = [], None, sc.broadcast(arrays)
+    proposed = written(counted(drawn, 2).filter(F.col("n") >= proposing).select("level", "h"), "proposed")
+    bits = array_sizes(proposed, 2, max_filter_bytes)
+    arrays, _ = with_bits([bytes(b // 8) for b in bits], positions(proposed, bits))
+    frequent, old, new = None, None, sc.broadcast(arrays)
     while True:
-        own = written(counted(rows, longest, new, old, with_words=old is None)
-                         .filter((F.col("n") >= support) | (F.col("phrase") == TOTAL)), "phrases")
-        found.append(own)
-        # frequent phrases of the border: their bits are missing
-        arrays, failures = with_bits(arrays, hashes_of(own, bits, new))
+        own = written(counted(rows, longest, new, old, with_words=old is None).filter(F.col("n") >= support).select("level", "h"), "frequent")
+        frequent = own if frequent is None else frequent.unionByName(own)
+        arrays, failures = with_bits(arrays, positions(own, bits, new))  # frequent in the border: not admitted yet
         if passes is not None:
             passes.append(failures)
         if not failures:
             break
         old, new = new, sc.broadcast(arrays)
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    bits = array_sizes(frequent, longest, max_filter_bytes)
+    arrays, _ = with_bits([bytes(b // 8) for b in bits], positions(frequent, bits))
+    return counted(rows, longest, chosen=sc.broadcast(arrays)).filter((F.col("n") >= support) | (F.col("phrase") == TOTAL))
 
 
 def salted_lookup(rows: DataFrame, counts: DataFrame, part: str, name: str) -> DataFrame:

@@ -61,7 +61,7 @@ def test_every_sample_gives_the_exact_counts(spark, sample):
     rows = corpus(1)
     passes = []
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
-    found = frequent_phrases(df, support=6, sample=sample, passes=passes).collect()
+    found = frequent_phrases(df, support=6, sample=sample, proposing=2, passes=passes).collect()
     counts, total = phrases_of(rows)
     want = {(g, p): n for g, f in counts.items() for p, n in f.items() if n >= 6} | {(g, TOTAL): n for g, n in total.items()}
     assert {(r.lang, r.phrase): r.n for r in found} == want and len(found) == len(want)
