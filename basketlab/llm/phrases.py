@@ -35,7 +35,7 @@ MAX_WORDS = 3
 TOTAL = ""  # the phrase of no words: all words of a language
 SALTS = 16  # parts into which a hot key or a language is split
 COUNTS = "lang string, phrase string, n long"
-HASHED = "level int, h long, n long"
+HASHED = "h long, n long"  # the two lowest bits of h are the number of words
 
 
 def breaks() -> bytes:
@@ -55,7 +55,7 @@ def bit_of(first, second=None):
 def admitted(bits, hashed):
     """Mask of the hashes whose bit is set in a bit array of a power of two of bits."""
     import numpy as np
-    at = hashed & np.uint64(len(bits) * 8 - 1)
+    at = hashed & np.uint64(len(bits) * 8 - 1)  # the low bits: the shuffled hashes have lost their two highest
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
 
 
@@ -64,6 +64,22 @@ def word_hash(lang: str, word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word, xxhash.xxh32_intdigest(lang.encode()))
 
 
+class Numbers(dict):
+    """Numbers of one language's words; an unknown word gets the next number."""
+
+    def __init__(self, lang: str, code: int, counter: Counter):
+        super().__init__({b".": 0})
+        # the counter's lists, not the counter, so that neither keeps the other alive
+        self.lang, self.code, self.words, self.lang_of, self.new = lang, code, counter.words, counter.lang_of, counter.new
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self.words)
+        self.words.append(word)
+        self.lang_of.append(self.code)
+        self.new.append(word_hash(self.lang, word))
+        return n
+
+
 class Counter:
     """Counts of one task's phrases; words are numbered per language, number 0 ends a piece."""
 
@@ -74,26 +90,15 @@ class Counter:
     def clear(self) -> None:
         import numpy as np
         self.words, self.lang_of, self.langs, self.new = [b""], [0], [], []
-        self.numbers: dict[str, dict] = {}
+        self.numbers: dict[str, Numbers] = {}
         self.hashes, self.single = np.zeros(1, np.uint64), np.zeros(1, np.int64)
         self.keys = [[(np.zeros(0, np.int64), np.zeros(0, np.int64))] for _ in range(2, self.longest + 1)]
         self.held = 0
 
-    def numbers_of(self, lang: str) -> dict:
-        counter = self
-
-        class Numbers(dict):
-            def __missing__(self, word):
-                self[word] = n = len(counter.words)
-                counter.words.append(word)
-                counter.lang_of.append(code)
-                counter.new.append(word_hash(lang, word))
-                return n
-
+    def numbers_of(self, lang: str) -> Numbers:
         if lang not in self.numbers:
-            code = len(self.langs)
+            self.numbers[lang] = Numbers(lang, len(self.langs), self)
             self.langs.append(lang)
-            self.numbers[lang] = Numbers({b".": 0})
         return self.numbers[lang]
 
     def numbered(self, langs: list[str], texts: list[str]):
@@ -105,7 +110,7 @@ class Counter:
             out.extend(map(find, text.encode().translate(table).replace(b".", b" . ").split()))
             out.append(0)
         self.hashes = np.concatenate([self.hashes, np.array(self.new, np.uint64)])
-        self.new = []
+        self.new.clear()
         return np.array(out, np.int64)
 
     def count_words(self, tokens) -> None:
@@ -179,7 +184,7 @@ class Counter:
             self.add(level, own[ok], n[ok])
 
     def hashed_rows(self, with_words: bool):
-        """Record batches ``level, h, n`` of everything counted."""
+        """Record batches ``h, n`` of everything counted."""
         import numpy as np
         import pyarrow as pa
         seen = np.flatnonzero(self.single[1:]) + 1
@@ -187,8 +192,7 @@ class Counter:
         for level, own in enumerate(self.keys, 2):
             parts += [(level, self.pair_hash(k) if level == 2 else self.triple_hash(k), n) for k, n in own]
         for level, h, n in parts:
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), level, np.int32)), pa.array(h.view(np.int64)), pa.array(n, pa.int64())],
-                                             names=["level", "h", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array((h << np.uint64(2) | np.uint64(level)).view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"])
 
     def rows(self, chosen):
         """Record batches ``lang, phrase, n`` of everything counted, words by ``chosen`` only, and of all words."""
@@ -222,7 +226,7 @@ class Counter:
 
 def counted(rows: DataFrame, longest: int, new=None, old=None, with_words: bool = True, chosen=None, max_held: int = 1_000_000,
             max_words: int = 200_000) -> DataFrame:
-    """``level, h, n``: the hashes of this pass's phrases; ``lang, phrase, n`` of the ``chosen`` ones if given.
+    """``h, n``: the hashes of this pass's phrases; ``lang, phrase, n`` of the ``chosen`` ones if given.
 
     ``new``, ``old`` and ``chosen`` are broadcast bit arrays or None.
     """
@@ -248,7 +252,7 @@ def counted(rows: DataFrame, longest: int, new=None, old=None, with_words: bool
                 counter.clear()
         yield from out()
 
-    keys = ["level", "h"] if chosen is None else ["lang", "phrase"]
+    keys = ["h"] if chosen is None else ["lang", "phrase"]
     schema = HASHED if chosen is None else COUNTS
     # tasks have summed their own phrases, so the rows are dealt as they are and summed once
     found = rows.select("lang", "text").mapInArrow(run, schema)
@@ -266,15 +270,15 @@ def positions(hashes: DataFrame, bits, known=None) -> DataFrame:
         import pyarrow as pa
         arrays = None if known is None else [np.frombuffer(x, np.uint8) for x in known.value]
         for b in batches:
-            level, h = b.column("level").to_numpy(), b.column("h").to_numpy().view(np.uint64)
+            h = b.column("h").to_numpy().view(np.uint64)
             for k, size in enumerate(bits, 1):
-                own = h[level == k]
+                own = h[h & np.uint64(3) == k] >> np.uint64(2)
                 if arrays is not None:
                     own = own[~admitted(arrays[k - 1], own)]
                 pos = np.unique(own & np.uint64(size - 1)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pos), k, np.int32)), pa.array(pos)], names=["level", "pos"])
 
-    return hashes.select("level", "h").mapInArrow(run, "level int, pos long")
+    return hashes.select("h").mapInArrow(run, "level int, pos long")
 
 
 def with_bits(arrays: list[bytes], places: DataFrame) -> tuple[list[bytes], int]:
@@ -296,7 +300,7 @@ def with_bits(arrays: list[bytes], places: DataFrame) -> tuple[list[bytes], int]
 
 def array_sizes(hashes: DataFrame, levels: int, max_filter_bytes: int) -> list[int]:
     """Bits of the arrays for the hashes of each level: 64 per hash, within the bound."""
-    rows = {r.level: r.n for r in hashes.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = {r.level: r.n for r in hashes.groupBy(F.col("h").bitwiseAND(3).alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()}
     return [filter_bits(rows.get(k, 0), 64, max_filter_bytes) for k in range(1, levels + 1)]
 
 
@@ -316,12 +320,12 @@ def frequent_phrases(docs: DataFrame, support: int = 10, longest: int = MAX_WORD
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        F.col(id_col).alias("doc_id"))
     drawn = rows.filter(F.pmod(F.xxhash64("doc_id", "text", F.lit(12)), F.lit(1 << 20)) < int(sample * (1 << 20)))
-    proposed = written(counted(drawn, 2).filter(F.col("n") >= proposing).select("level", "h"), "proposed")
+    proposed = written(counted(drawn, 2).filter(F.col("n") >= proposing).select("h"), "proposed")
     bits = array_sizes(proposed, 2, max_filter_bytes)
     arrays, _ = with_bits([bytes(b // 8) for b in bits], positions(proposed, bits))
     frequent, old, new = None, None, sc.broadcast(arrays)
     while True:
-        own = written(counted(rows, longest, new, old, with_words=old is None).filter(F.col("n") >= support).select("level", "h"), "frequent")
+        own = written(counted(rows, longest, new, old, with_words=old is None).filter(F.col("n") >= support).select("h"), "frequent")
         frequent = own if frequent is None else frequent.unionByName(own)
         arrays, failures = with_bits(arrays, positions(own, bits, new))  # frequent in the border: not admitted yet
         if passes is not None:
