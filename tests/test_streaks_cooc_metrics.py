@@ -107,13 +107,18 @@ EDGE_ROWS = [(1, 7, 10, 1), (1, 7, 11, 2), (None, 7, 90, None), (None, 7, 91, No
              (3, 9, None, 1), (3, 9, 30, 2)]
 
 
-@pytest.mark.parametrize("bucket_rows", [1, 2, 3, 4096])
-def test_streaks_against_brute_force(spark, bucket_rows):
-    """Tiny buckets force runs across bucket boundaries; orphan lines, NULL keys and equal numbers stay."""
-    data = EDGE_ROWS + [(10 + i, 7, 1000 * i + n, n) for i, (seq, _, _) in enumerate(SEQS) for n in seq]
+WIDE = [(50, 1, n, n) for n in range(40, 300) if n % 7] + [(51, 1, n, n * 64 - 1) for n in range(1, 6)] + [(51, 1, 100 + n, n * 64) for n in range(1, 6, 2)] \
+    + [(52, 2, n, 127 + n // 3) for n in range(12)] + [(53, 2, n, -n) for n in range(5)] + [(52, 2, 99, None), (None, None, 98, 64), (None, None, 97, 63)] \
+    + [(54, 3, n, 2_000_000_000 + n) for n in range(3)]
+
+
+@pytest.mark.parametrize("bucket_rows,whole_rows", [(1, 0), (2, 2), (3, 5), (4096, 1024)])
+def test_streaks_against_brute_force(spark, bucket_rows, whole_rows):
+    """Tiny buckets force runs across bucket boundaries, small arrays the unfolding as rows; orphan lines, NULL keys and equal numbers stay."""
+    data = EDGE_ROWS + WIDE + [(10 + i, 7, 1000 * i + n, n) for i, (seq, _, _) in enumerate(SEQS) for n in seq]
     df = spark.createDataFrame(data, "user_id long, product_id long, order_id long, order_number int")
     for mode in ("compat", "island"):
-        got = {(r.user_id, r.product_id, r.grp): r.length_of_streaks for r in S.streak_lengths(df, mode, bucket_rows).collect()}
+        got = {(r.user_id, r.product_id, r.grp): r.length_of_streaks for r in S.streak_lengths(df, mode, whole_rows).collect()}
         assert got == brute_streaks(data, mode), mode
     flags = S.streak_flags(df, bucket_rows)
     assert flags.count() == len(data)
@@ -128,16 +133,37 @@ def test_streaks_against_brute_force(spark, bucket_rows):
 
 def test_orphan_lines_reach_the_product_statistics(spark):
     df = spark.createDataFrame(EDGE_ROWS[:5], "user_id long, product_id long, order_id long, order_number int")
-    for bucket_rows in (1, 4096):
-        r = S.product_streak_stats(S.streak_lengths(df, "compat", bucket_rows)).filter("product_id = 7").first()
+    for whole_rows in (0, 4096):
+        r = S.product_streak_stats(S.streak_lengths(df, "compat", whole_rows)).filter("product_id = 7").first()
         assert (r.Total_streak_of_this_product, r.min_of_streaks_of_this_product) == (3, 0)
         assert r.mean_of_streaks_of_this_product == pytest.approx(2 / 3)
 
 
-def test_no_window_over_whole_users(spark):
-    """Every window of the plan is partitioned by the bucket, or runs over the bucket table."""
+def executed_plan(df, spark):
+    """The plan as it ran, without broadcasts."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df.collect()
+        q = df._jdf.queryExecution()
+        q.executedPlan().execute().count()
+        return q.executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("mode", S.STREAK_MODES)
+def test_lengths_take_two_exchanges_and_no_join(spark, mode):
+    import re
+    df = spark.createDataFrame(EDGE_ROWS + WIDE, "user_id long, product_id long, order_id long, order_number int")
+    p = executed_plan(S.streak_lengths(df, mode), spark)
+    assert len(re.findall(r"\+- Exchange hashpartitioning", p)) <= 2 and "Join" not in p
+
+
+def test_flags_window_within_buckets(spark):
+    """The rows are exchanged once; what follows a bucket comes from the few pairs with several buckets."""
+    import re
     df = spark.createDataFrame(EDGE_ROWS, "user_id long, product_id long, order_id long, order_number int")
-    plan = S.streak_flags(df)._jdf.queryExecution().optimizedPlan().toString()
-    for line in plan.splitlines():
-        if "Window [" in line:
-            assert "lead(_min" in line or "[user_id" in line and "_b#" in line.rsplit("], [", 2)[-2]
+    p = executed_plan(S.streak_flags(df), spark)
+    assert all("windowspecdefinition(bucket" in x for x in p.splitlines() if re.search(r"Window \[", x))
+    assert len([x for x in p.splitlines() if "Exchange hashpartitioning(bucket" in x]) <= 3
