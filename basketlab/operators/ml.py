@@ -1,13 +1,15 @@
 """Model training, scoring and inspection with Spark ML.
 
-The boosted-tree, forest and GLM learners of the reference map to
-``GBTClassifier``, ``RandomForestClassifier`` and ``LogisticRegression``.
+The boosted learners of the reference are the second-order booster of
+``boosting.py``; Spark ML's ``GBTClassifier``, ``RandomForestClassifier`` and
+``LogisticRegression`` stand beside it as plain learners.
 Training reads an already materialised matrix (a checkpoint or a written
 table), so an executor loss re-reads files instead of recomputing features.
 """
 
 from __future__ import annotations
 
+import dataclasses
 import json
 import re
 import time
@@ -22,9 +24,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from basketlab.operators import metrics as MT
+from basketlab.operators import boosting as BO, metrics as MT
 
 LABEL = "reordered"
+BOOSTED = ("boosted", "boosted_forest", "leaf_wise", "boosted_machine")  # algorithms of the second-order booster
 KEYS = ("user_id", "product_id")
 
 # The boosted-tree parameters of the reference's final model.
@@ -55,40 +58,31 @@ class Preset:
         raise ValueError(f"unknown algorithm {self.algorithm!r}")
 
 
-def _fraction(v) -> str:
-    return f"{float(v):.3f}"
-
-
-def _depth_of_leaves(v) -> int:
-    return max(1, (int(v) - 1).bit_length())
-
-
-# The learners' parameter names, and their twins in Spark ML (None: there is none).
+# The learners' parameter names with the fields of ``boosting.Params`` (None: no effect here).
 BOOSTER_NAMES = {
-    "rounds": ("maxIter", int), "max_depth": ("maxDepth", int), "eta": ("stepSize", float),
-    "subsample": ("subsamplingRate", float), "colsample_bytree": ("featureSubsetStrategy", _fraction),
-    "min_child_weight": ("minInstancesPerNode", int), "gamma": ("minInfoGain", float), "seed": ("seed", int),
-    "colsample_bylevel": None, "lambda": None, "alpha": None, "objective": None, "eval_metric": None,
-    "early_stopping_rounds": None,
-}
-FOREST_NAMES = {
-    "rounds": ("numTrees", int), "num_parallel_tree": ("numTrees", int), "max_depth": ("maxDepth", int),
-    "subsample": ("subsamplingRate", float), "colsample_bynode": ("featureSubsetStrategy", _fraction),
-    "min_child_weight": ("minInstancesPerNode", int), "seed": ("seed", int), "lambda": None, "alpha": None, "objective": None,
+    "rounds": "rounds", "num_boost_round": "rounds", "max_depth": "max_depth", "eta": "eta", "learning_rate": "eta", "subsample": "subsample",
+    "colsample_bytree": "colsample_bytree", "colsample_bylevel": "colsample_bylevel", "min_child_weight": "min_child_weight",
+    "gamma": "gamma", "lambda": "lambda_", "alpha": "alpha", "max_bin": "max_bins", "max_leaves": "max_leaves",
+    "num_parallel_tree": "trees_per_round", "base_score": "base_score", "seed": "seed", "early_stopping_rounds": "patience",
+    "objective": None, "eval_metric": None, "booster": None, "tree_method": None, "device": None, "nthread": None, "verbose": None,
 }
 LEAF_WISE_NAMES = {
-    "rounds": ("maxIter", int), "num_leaves": ("maxDepth", _depth_of_leaves), "max_depth": ("maxDepth", int),
-    "learning_rate": ("stepSize", float), "bagging_fraction": ("subsamplingRate", float),
-    "feature_fraction": ("featureSubsetStrategy", _fraction), "min_data_in_leaf": ("minInstancesPerNode", int),
-    "min_gain_to_split": ("minInfoGain", float), "max_bin": ("maxBins", int), "seed": ("seed", int),
-    "lambda_l1": None, "lambda_l2": None, "objective": None, "metric": None, "early_stopping_rounds": None,
+    "rounds": "rounds", "num_leaves": "max_leaves", "max_depth": "max_depth", "learning_rate": "eta", "bagging_fraction": "subsample",
+    "feature_fraction": "colsample_bytree", "min_data_in_leaf": "min_child_rows", "min_sum_hessian_in_leaf": "min_child_weight",
+    "min_gain_to_split": "gamma", "lambda_l1": "alpha", "lambda_l2": "lambda_", "max_bin": "max_bins", "seed": "seed",
+    "early_stopping_rounds": "patience", "objective": None, "metric": None, "verbose": None, "bagging_freq": None,
 }
 MACHINE_NAMES = {
-    "rounds": ("maxIter", int), "ntrees": ("maxIter", int), "max_depth": ("maxDepth", int), "learn_rate": ("stepSize", float),
-    "sample_rate": ("subsamplingRate", float), "col_sample_rate": ("featureSubsetStrategy", _fraction),
-    "min_rows": ("minInstancesPerNode", int), "nbins": ("maxBins", int), "seed": ("seed", int),
-    "stopping_rounds": None, "stopping_metric": None,
+    "rounds": "rounds", "ntrees": "rounds", "max_depth": "max_depth", "learn_rate": "eta", "sample_rate": "subsample",
+    "col_sample_rate": "colsample_bylevel", "col_sample_rate_per_tree": "colsample_bytree", "min_rows": "min_child_rows",
+    "nbins": "max_bins", "min_split_improvement": "gamma", "seed": "seed", "stopping_rounds": "patience",
+    "stopping_metric": None, "distribution": None,
 }
+# What the learners do where a parameter isn't given.
+LEAF_WISE_DEFAULTS = dict(rounds=500, growth="leaf", max_leaves=31, max_depth=0, eta=0.1, lambda_=0.0, min_child_weight=1e-3, min_child_rows=20,
+                          max_bins=255, base_score=None, patience=30)
+MACHINE_DEFAULTS = dict(rounds=50, max_depth=5, eta=0.1, lambda_=0.0, min_child_weight=0.0, min_child_rows=10, gamma=1e-5, max_bins=20,
+                        base_score=None, patience=None)
 LINEAR_NAMES = {
     "lambda": ("regParam", float), "alpha": ("elasticNetParam", float), "max_iterations": ("maxIter", int),
     "standardize": ("standardization", bool), "intercept": ("fitIntercept", bool), "family": None, "seed": None,
@@ -101,9 +95,7 @@ def with_params(preset: Preset, params: dict | None, names: dict) -> Preset:
     Names without a twin in Spark ML are listed in ``Preset.unmapped`` (and
     logged with a run); unknown names raise ``ValueError``.
     """
-    unknown = set(params or {}) - set(names)
-    if unknown:
-        raise ValueError(f"unknown parameter(s): {', '.join(sorted(unknown))}")
+    _known(params, names)
     own, unmapped = dict(preset.params), dict(preset.unmapped)
     for k, v in (params or {}).items():
         if names[k] is None:
@@ -113,25 +105,31 @@ def with_params(preset: Preset, params: dict | None, names: dict) -> Preset:
     return Preset(preset.algorithm, own, unmapped)
 
 
-def booster_preset(max_iter: int | None = None, seed: int = 42, params: dict | None = None,
-                   rows: int | None = None) -> Preset:
-    """M2/M6: booster parameters (default: the reference's) mapped to ``GBTClassifier``.
+def _known(params: dict | None, names: dict) -> None:
+    if unknown := set(params or {}) - set(names):
+        raise ValueError(f"unknown parameter(s): {', '.join(sorted(unknown))}")
+
 
-    Column subsampling becomes a per-node feature fraction and the minimum
-    hessian weight a minimum number of rows per node.  ``gamma`` is a loss
-    reduction summed over a node's rows, Spark's minimum gain one per row of
-    the data, so it is divided by ``rows`` (without ``rows`` it stays unmapped).
-    """
-    p = {**REFERENCE_BOOSTER_PARAMS, **(params or {})}
+def boosted_preset(algorithm: str, params: dict | None, names: dict, **defaults) -> Preset:
+    """M7: a preset of the second-order booster from a learner's own parameter names."""
+    _known(params, names)
+    own, unmapped = dict(defaults), {}
+    for k, v in (params or {}).items():
+        if names[k] is None:
+            unmapped[k] = v
+        else:
+            own[names[k]] = max(0, v) if names[k] == "max_depth" else v  # some learners write "no limit" as -1
+    if own.get("patience") == 0:
+        own["patience"] = None
+    return Preset(algorithm, dataclasses.asdict(BO.Params(**own)), unmapped)
+
+
+def booster_preset(max_iter: int | None = None, params: dict | None = None) -> Preset:
+    """M2/M6: the reference's boosted-tree parameters, changed by ``params``."""
+    own = {**REFERENCE_BOOSTER_PARAMS, **(params or {})}
     if max_iter is not None:
-        p["rounds"] = max_iter
-    gamma = p.pop("gamma")
-    preset = with_params(Preset("gbt", dict(lossType="logistic", seed=seed)), p, BOOSTER_NAMES)
-    if rows:
-        preset.params["minInfoGain"] = gamma / rows
-    else:
-        preset.unmapped["gamma"] = gamma
-    return preset
+        own["rounds"] = max_iter
+    return boosted_preset("boosted", own, BOOSTER_NAMES)
 
 
 PRESETS = {
@@ -163,44 +161,19 @@ def fit(train: DataFrame, preset: Preset, features: Sequence[str], label: str =
     return Pipeline(stages=[asm, preset.estimator()]).fit(prepare(train, features, label))
 
 
-def best_round(losses: Sequence[float], patience: int) -> int:
-    """M8: the round (from 1) with the smallest loss before ``patience`` rounds pass without a smaller one."""
-    best = 0
-    for i, v in enumerate(losses):
-        if v < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def fit_with_patience(train: DataFrame, evaluation: DataFrame, preset: Preset, features: Sequence[str],
-                      label: str = LABEL, patience: int = 30) -> tuple[PipelineModel, list[float]]:
-    """M8: boosted trees stopped by the loss on ``evaluation`` rows, and that loss per round.
-
-    All rounds are fitted, the patience rule is applied to the losses, and the
-    model is fitted again with the best number of rounds and the same seed
-    (the same trees).
-    """
-    if preset.algorithm not in ("gbt", "gbt_alt"):
-        raise ValueError("early stopping needs a boosted-tree preset")
-    model = fit(train, preset, features, label)
-    data = model.stages[0].transform(prepare(evaluation, features, label))
-    losses = [float(v) for v in model.stages[-1].evaluateEachIteration(data)]
-    rounds = best_round(losses, patience)
-    if rounds < len(losses):
-        model = fit(train, Preset(preset.algorithm, {**preset.params, "maxIter": rounds}, preset.unmapped), features, label)
-    return model, losses
-
-
-def trees_built(model: PipelineModel) -> int:
+def trees_built(model: PipelineModel | BO.Ensemble) -> int:
+    if isinstance(model, BO.Ensemble):
+        return len(model.trees)
     est = model.stages[-1]
     return int(est.getNumTrees) if hasattr(est, "getNumTrees") else 0
 
 
-def score(model: PipelineModel, df: DataFrame, features: Sequence[str], label: str = LABEL) -> DataFrame:
+def score(model: PipelineModel | BO.Ensemble, df: DataFrame, features: Sequence[str], label: str = LABEL) -> DataFrame:
     """(keys, label, score) with score = P(label = 1)."""
     keep = [c for c in KEYS if c in df.columns]
+    if isinstance(model, BO.Ensemble):
+        rows = df.withColumn("label", F.col(label).cast("int"))
+        return BO.predict(model, rows, [*keep, "label"]).drop("margin")
     out = model.transform(prepare(df, features, label))
     return out.select(*keep, F.col("label").cast("int").alias("label"),
                       vector_to_array("probability")[1].alias("score"))
@@ -221,8 +194,7 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, preset: Preset, label:
 def cross_validate(matrix: DataFrame, preset: Preset, folds: int = 3, label: str = LABEL) -> DataFrame:
     """M9: fold = pmod(user_id, folds); train on the other folds, evaluate on each fold.
 
-    Spark trees have no warm start, so the reference's fold-by-fold
-    continued training becomes one fit per held-out fold.
+    :func:`continued` trains on from fold to fold instead.
     """
     m = assign_folds(matrix, folds)
     feats = feature_columns(m, label)
@@ -237,6 +209,27 @@ def cross_validate(matrix: DataFrame, preset: Preset, folds: int = 3, label: str
     return out
 
 
+def continued(matrix: DataFrame, evaluation: DataFrame, params: BO.Params, folds: int = 3,
+              label: str = LABEL) -> tuple[list[BO.Ensemble], DataFrame]:
+    """M9: one booster trained on from fold to fold, stopped by the loss on ``evaluation``.
+
+    Returns the model after each fold and one row per fold: its rows, the
+    trees in all, those that count, and the loss on ``evaluation`` before and after.
+    """
+    m = assign_folds(matrix, folds)
+    feats = feature_columns(m, label)
+    parts = [m.filter(F.col("fold") == k) for k in range(folds)]
+    models = BO.fit_continued(parts, feats, params, label, evaluation)
+
+    def loss(model) -> float:
+        return MT.log_loss(score(model, evaluation, feats, label)).first().logloss
+
+    losses = [loss(x) for x in models]
+    rows = [(k, p.count(), len(x.trees), len(x.used), losses[k - 1] if k else None, losses[k]) for k, (p, x) in enumerate(zip(parts, models))]
+    return models, matrix.sparkSession.createDataFrame(
+        rows, "fold int, rows long, trees_built int, trees_used int, loss_before double, loss_after double")
+
+
 def assign_folds(df: DataFrame, folds: int = 3) -> DataFrame:
     """Deterministic user-level fold (all lines of a user in one fold)."""
     return df.withColumn("fold", F.pmod(F.col("user_id"), F.lit(folds)).cast("int"))
@@ -248,6 +241,10 @@ def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequ
     Split counts are read from the fitted model's tree description (the
     model is driver-side metadata; no data is collected).
     """
+    if isinstance(model, BO.Ensemble):
+        return BO.importance(spark, model).select(
+            "feature", F.col("gain").alias("gain_importance"), "total_gain", F.col("weight").alias("split_count")).orderBy(
+            F.desc("gain_importance"), "feature")
     est = model.stages[-1]
     gains = est.featureImportances.toArray() if hasattr(est, "featureImportances") else None
     splits = [0] * len(features)
@@ -275,7 +272,9 @@ def _total_gain(est, n: int) -> list[float]:
 
 def loss_history(spark: SparkSession, model: PipelineModel, data: DataFrame, features: Sequence[str],
                  label: str = LABEL) -> DataFrame:
-    """Training loss per iteration (GBT: evaluated on ``data``; GLM: objective history)."""
+    """Training loss per iteration (GBT: evaluated on ``data``; GLM: objective history; booster: its evaluation rows)."""
+    if isinstance(model, BO.Ensemble):
+        return BO.loss_history(spark, model)
     est = model.stages[-1]
     if hasattr(est, "evaluateEachIteration"):
         asm = model.stages[0].transform(prepare(data, features, label))
@@ -340,42 +339,39 @@ class ModelTrainer:
         self.runs_path = runs_path or scratch_path(self.spark, f"runs_{experiment_name}")
         self.last_run: DataFrame | None = None
 
-    def _run(self, preset: Preset, commit: str, dataset_version: str, model_version: str,
-             patience: int | None = None) -> PipelineModel:
-        """M8: with ``patience`` and a test set, boosted trees stop on the test set's loss."""
+    def _run(self, preset: Preset, commit: str, dataset_version: str, model_version: str) -> PipelineModel | BO.Ensemble:
+        """M8: boosters stop on the test set's loss, or on the train set's where there is no test set."""
         feats = feature_columns(self.train_set, self.target_column)
-        stopping = patience is not None and self.test_set is not None
-        t0 = time.time()
-        if stopping:
-            model, _ = fit_with_patience(self.train_set, self.test_set, preset, feats, self.target_column, patience)
+        t0, stopped_on_test = time.time(), False
+        if preset.algorithm in BOOSTED:
+            params = BO.Params(**preset.params)
+            stopped_on_test = params.patience is not None and self.test_set is not None
+            model = BO.fit_boosted(self.train_set, feats, params, self.target_column, self.test_set)
         else:
             model = fit(self.train_set, preset, feats, self.target_column)
         secs = time.time() - t0
         data = self.test_set if self.test_set is not None else self.train_set
         metrics = evaluate(score(model, data, feats, self.target_column))
         self.last_run = log_run(self.spark, self.runs_path, preset, metrics, secs, dataset_version, model_version,
-                                commit, self.experiment_name, stopping)
+                                commit, self.experiment_name, stopped_on_test)
         return model
 
     def train_xgb_gbm(self, prev_commit_hash, dataset_version, model_version, params=None):
-        patience = int({**REFERENCE_BOOSTER_PARAMS, **(params or {})}["early_stopping_rounds"])
-        preset = booster_preset(params=params, rows=self.train_set.count())
-        return self._run(preset, prev_commit_hash, dataset_version, model_version, patience)
+        return self._run(booster_preset(params=params), prev_commit_hash, dataset_version, model_version)
 
     def train_xgb_rf(self, prev_commit_hash, dataset_version, model_version, params=None):
-        preset = with_params(PRESETS["rf"](100), params, FOREST_NAMES)
+        """As in the original, the booster itself; ``num_parallel_tree`` makes each round a forest."""
+        preset = boosted_preset("boosted_forest", {"rounds": 500, "early_stopping_rounds": 30, **(params or {})}, BOOSTER_NAMES)
         return self._run(preset, prev_commit_hash, dataset_version, model_version)
 
     def train_lgbm(self, prev_commit_hash, dataset_version, model_version, params=None):
-        patience = int((params or {}).get("early_stopping_rounds", 30))
-        preset = with_params(PRESETS["gbt_alt"](250), params, LEAF_WISE_NAMES)
-        return self._run(preset, prev_commit_hash, dataset_version, model_version, patience)
+        preset = boosted_preset("leaf_wise", params, LEAF_WISE_NAMES, **LEAF_WISE_DEFAULTS)
+        return self._run(preset, prev_commit_hash, dataset_version, model_version)
 
     def train_h2o_glm(self, prev_commit_hash, dataset_version, model_version, params=None):
         preset = with_params(PRESETS["glm"](), params, LINEAR_NAMES)
         return self._run(preset, prev_commit_hash, dataset_version, model_version)
 
     def train_h2o_gbm(self, prev_commit_hash, dataset_version, model_version, params=None):
-        patience = int((params or {}).get("stopping_rounds", 30))
-        preset = with_params(PRESETS["gbt"](50), params, MACHINE_NAMES)
-        return self._run(preset, prev_commit_hash, dataset_version, model_version, patience)
+        preset = boosted_preset("boosted_machine", params, MACHINE_NAMES, **MACHINE_DEFAULTS)
+        return self._run(preset, prev_commit_hash, dataset_version, model_version)

@@ -17,6 +17,7 @@ from basketlab.operators import eda as E
 from basketlab.operators import metrics as MT
 from basketlab.operators import ml as ML
 from basketlab.operators import product as P
+from basketlab.operators import boosting as BO
 from basketlab.operators import streaks as S
 from basketlab.operators import time as TM
 from basketlab.operators import user as U
@@ -528,7 +529,7 @@ def feature_vector(spark, sf_dir):
     m = features(spark, sf_dir)[1].train_matrix()
     feats = ML.feature_columns(m)
     v = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep").transform(ML.prepare(m, feats))
-    return v.select("user_id", "product_id", "label", vector_to_array("features").alias("features"))
+    return v.select("user_id", "product_id", "label", F.transform(vector_to_array("features"), lambda x: F.round(x, 9)).alias("features"))
 
 
 @query
@@ -536,27 +537,81 @@ def train_gbt(spark, sf_dir):
     return ML.train_and_evaluate(*_matrices(spark, sf_dir), ML.PRESETS["gbt"]())
 
 
-@query
-def train_gbt_reference_params(spark, sf_dir):
-    """The reference's parameters with all of its rounds."""
+def _validation(train):
+    """Rows of four in five users, and of the others."""
+    held = F.pmod(F.col("user_id"), F.lit(5)) == 0
+    return train.filter(~held), train.filter(held)
+
+
+def _boosted(spark, sf_dir, preset):
+    """One row: rounds run, trees that count and the metrics on the test matrix, stopped by held-out users."""
     train, test = _matrices(spark, sf_dir)
-    return ML.train_and_evaluate(train, test, ML.booster_preset(rows=train.count()))
+    feats = ML.feature_columns(train)
+    own, held = _validation(train)
+    model = BO.fit_boosted(own, feats, BO.Params(**preset.params), evaluation=held)
+    return ML.evaluate(ML.score(model, test, feats)).select(
+        F.lit(preset.algorithm).alias("algorithm"), F.lit(len(model.losses)).alias("rounds"), F.lit(len(model.used)).alias("trees_used"), "*")
 
 
 @query
-def train_gbt_early_stop(spark, sf_dir):
-    """M6/M8: boosted trees stopped by a user-level validation set, with the reference's patience."""
+def train_gbt_reference_params(spark, sf_dir):
+    """M2: the reference's final parameters with all of its rounds, penalties included."""
     train, test = _matrices(spark, sf_dir)
     feats = ML.feature_columns(train)
-    held = F.pmod(F.col("user_id"), F.lit(5)) == 0
-    model, losses = ML.fit_with_patience(train.filter(~held), train.filter(held), ML.PRESETS["gbt"](60), feats, patience=30)
+    preset = ML.booster_preset(params={"early_stopping_rounds": 0})
+    model = BO.fit_boosted(train, feats, BO.Params(**preset.params))
     return ML.evaluate(ML.score(model, test, feats)).select(
-        F.lit("gbt").alias("algorithm"), F.lit(len(losses)).alias("rounds"), F.lit(ML.trees_built(model)).alias("trees_built"), "*")
+        F.lit("boosted").alias("algorithm"), F.lit(len(model.losses)).alias("rounds"), F.lit(len(model.used)).alias("trees_used"), "*")
+
+
+@query
+def train_gbt_early_stop(spark, sf_dir):
+    """M6/M8: up to 500 rounds, ended while training by a user-level validation set with the reference's patience."""
+    return _boosted(spark, sf_dir, ML.boosted_preset("boosted", {"rounds": 500, "early_stopping_rounds": 30}, ML.BOOSTER_NAMES))
 
 
 @query
 def train_gbt_alt(spark, sf_dir):
-    return ML.train_and_evaluate(*_matrices(spark, sf_dir), ML.PRESETS["gbt_alt"]())
+    """M4: trees grown leaf by leaf, up to 500 rounds."""
+    return _boosted(spark, sf_dir, ML.boosted_preset("leaf_wise", None, ML.LEAF_WISE_NAMES, **ML.LEAF_WISE_DEFAULTS))
+
+
+@query
+def train_parallel_trees(spark, sf_dir):
+    """M3: rounds of several sampled trees, up to 500 rounds."""
+    params = {"rounds": 500, "early_stopping_rounds": 30, "num_parallel_tree": 4, "subsample": 0.8, "colsample_bytree": 0.5}
+    return _boosted(spark, sf_dir, ML.boosted_preset("boosted_forest", params, ML.BOOSTER_NAMES))
+
+
+@query
+def split_gains(spark, sf_dir):
+    """M2: gain of every split of the first tree's root under the reference's penalties (eight equal widths a feature)."""
+    train, _ = _matrices(spark, sf_dir)
+    p = ML.booster_preset(params={"max_bin": 8}).params
+    return BO.root_gains(train, ML.feature_columns(train), BO.Params(**{**p, "cuts": "width"}))
+
+
+@query
+def train_continued(spark, sf_dir):
+    """M9: training goes on from fold to fold, stopped by the test matrix, with the notebook's rounds and patience."""
+    train, test = _matrices(spark, sf_dir)
+    return ML.continued(train, test, BO.Params(rounds=1000, patience=50, max_depth=4))[1]
+
+
+@query
+def load_predict(spark, sf_dir):
+    """The trained booster saved, loaded and used on the test matrix: keys, label, and whether the scores agree."""
+    train, test = _matrices(spark, sf_dir)
+    feats = ML.feature_columns(train)
+    model = _once(spark, sf_dir, "model boosted", lambda: BO.fit_boosted(train, feats, BO.Params(rounds=20, patience=None)))
+    path = scratch_path(spark, f"booster_{uuid.uuid4().hex[:12]}")
+    BO.save(spark, model, path)
+    rows = test.withColumn("label", F.col("reordered").cast("int"))
+    before = BO.predict(model, rows, ["user_id", "product_id", "label"])
+    after = BO.predict(BO.load(spark, path), rows, ["user_id", "product_id", "label"])
+    return (after.join(before.select(F.struct("user_id", "product_id").alias("of"), F.col("score").alias("score_before")),
+                       F.struct("user_id", "product_id") == F.col("of"))
+            .select("user_id", "product_id", "label", (F.col("score") == F.col("score_before")).alias("same_score")))
 
 
 @query

@@ -277,3 +277,34 @@ FROM b_train l LEFT JOIN (SELECT order_id, user_id, order_dow, order_hour_of_day
   LEFT JOIN f_user USING (user_id) LEFT JOIN f_prod USING (product_id) LEFT JOIN f_up USING (user_id, product_id)
 """).replace("SELECT * FROM b_train UNION ALL SELECT * FROM b_prior", "SELECT * FROM b_prior").replace(
     "FROM b_orders WHERE eval_set <> 'test'", "FROM b_orders WHERE eval_set = 'prior'")
+
+MATRIX = CTE_USER + CTE_PROD + CTE_UP.replace(CTE_CO, "") + CTE_TIME + f"""
+, m AS (
+  SELECT t.user_id, l.product_id, l.reordered, t.total_ord_count_p_dow, t.total_ord_count_p_ohod, {USER_COLS}, {PROD_COLS}, {UP_COLS}
+  FROM b_hist_lines l LEFT JOIN f_time t USING (order_id)
+    LEFT JOIN f_user USING (user_id) LEFT JOIN f_prod USING (product_id) LEFT JOIN f_up USING (user_id, product_id))
+"""
+
+ORACLES["feature_vector"] = q(MATRIX + """
+SELECT user_id, product_id, CAST(reordered AS DOUBLE) AS label,
+       list_transform([*COLUMNS(m.* EXCLUDE (user_id, product_id, reordered))], lambda x: round(coalesce(CAST(x AS DOUBLE), 0.0), 9)) AS features
+FROM m""")
+
+# second-order gains of the first tree's root: gradient 1/2 - label and hessian 1/4 a row, L2 penalty 11, L1 penalty 89,
+# children of a hessian sum of 389 or more, eight equal widths a feature
+ORACLES["split_gains"] = q(MATRIX + """
+, f AS (SELECT reordered, coalesce(CAST(COLUMNS(m.* EXCLUDE (user_id, product_id, reordered)) AS DOUBLE), 0.0) FROM m
+        WHERE reordered IS NOT NULL),
+x AS (UNPIVOT f ON COLUMNS(* EXCLUDE reordered) INTO NAME feature VALUE v),
+ends AS (SELECT feature, min(v) AS lo, max(v) AS hi, sum(0.5 - reordered) AS g, sum(0.25) AS h, count(*) AS n FROM x GROUP BY feature),
+cuts AS (SELECT *, CAST(k AS INTEGER) AS bin, lo + (hi - lo) * k / 8 AS threshold FROM ends, range(1, 8) r(k) WHERE lo < hi),
+parts AS (SELECT c.feature, c.bin, c.threshold, c.g, c.h, c.n,
+                 coalesce(sum(0.5 - x.reordered) FILTER (WHERE x.v < c.threshold), 0.0) AS left_g,
+                 coalesce(sum(0.25) FILTER (WHERE x.v < c.threshold), 0.0) AS left_h,
+                 count(*) FILTER (WHERE x.v < c.threshold) AS left_rows
+          FROM cuts c JOIN x ON x.feature = c.feature GROUP BY ALL)
+SELECT feature, bin, threshold, CAST(left_g AS DOUBLE) AS left_g, CAST(left_h AS DOUBLE) AS left_h, left_rows,
+       CASE WHEN least(left_h, h - left_h) >= 389 AND least(left_rows, n - left_rows) >= 1 THEN round(
+         greatest(abs(left_g) - 89, 0) ** 2 / (left_h + 11) + greatest(abs(g - left_g) - 89, 0) ** 2 / (h - left_h + 11)
+         - greatest(abs(g) - 89, 0) ** 2 / (h + 11), 6) END AS gain
+FROM parts""")

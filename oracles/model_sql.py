@@ -41,6 +41,10 @@ FROM b_hist_lines l LEFT JOIN f_time t USING (order_id) GROUP BY 1"""),
     "score_keys": q(CTE_CAND + """
 , bought AS (SELECT DISTINCT t.user_id, l.product_id FROM b_test_lines l JOIN b_test_orders t USING (order_id))
 SELECT c.user_id, c.product_id, CASE WHEN b.user_id IS NULL THEN 0 ELSE 1 END AS label
+FROM c_cand c LEFT JOIN bought b ON c.user_id = b.user_id AND c.product_id = b.product_id"""),
+    "load_predict": q(CTE_CAND + """
+, bought AS (SELECT DISTINCT t.user_id, l.product_id FROM b_test_lines l JOIN b_test_orders t USING (order_id))
+SELECT c.user_id, c.product_id, CASE WHEN b.user_id IS NULL THEN 0 ELSE 1 END AS label, TRUE AS same_score
 FROM c_cand c LEFT JOIN bought b ON c.user_id = b.user_id AND c.product_id = b.product_id"""),
     "baseline_scores": q(SCORED + "SELECT * FROM scored"),
     "metric_confusion": q(SCORED + """

@@ -44,9 +44,9 @@ def test_model_trainer_interface(spark):
     mt = ML.ModelTrainer("unit", train)
     model = mt.train_xgb_gbm("abc123", "1.2", "1.1.1", params={"rounds": 5, "min_child_weight": 1})
     rec = mt.last_run.first()
-    assert rec.algorithm == "gbt" and rec.commit == "abc123" and rec.dataset_version == "1.2"
+    assert rec.algorithm == "boosted" and rec.commit == "abc123" and rec.dataset_version == "1.2"
     assert 0.0 <= rec.auc <= 1.0 and rec.training_seconds > 0
-    assert model.stages[-1].getNumTrees == 5
+    assert ML.trees_built(model) == 5 and not rec.stopped_on_test
     mt.train_h2o_glm("abc123", "1.2", "1.1.1")
     assert spark.read.parquet(mt.runs_path).count() == 2
 
@@ -57,23 +57,21 @@ def test_model_trainer_early_stopping_on_test_set(spark):
     train, test = df.filter("user_id % 4 != 0"), df.filter("user_id % 4 = 0")
     mt = ML.ModelTrainer("unit_es", train, test)
     model = mt.train_h2o_gbm("c0ffee", "1.2", "1.1.1", params={"rounds": 40})
-    assert 1 <= model.stages[-1].getNumTrees <= 40
+    assert 1 <= ML.trees_built(model) <= 40
     assert mt.last_run.first().auc > 0.9
 
 
-def test_patience():
-    assert ML.best_round([5, 4, 3, 3.5, 3.4, 2], patience=2) == 3  # stopped before the last round
-    assert ML.best_round([5, 4, 3, 3.5, 3.4, 2], patience=4) == 6
-    assert ML.best_round([1.0], patience=30) == 1
-
-
 def test_parameters_are_mapped_or_rejected():
-    p = ML.booster_preset(rows=1000, params={"rounds": 7, "lambda": 3})
-    assert p.params["maxIter"] == 7 and p.params["minInfoGain"] == 0.438 and p.unmapped["lambda"] == 3
+    p = ML.booster_preset(params={"rounds": 7, "lambda": 3, "verbose": 1})
+    assert (p.params["rounds"], p.params["gamma"], p.params["lambda_"], p.params["alpha"], p.params["colsample_bylevel"]) == (7, 438, 3, 89, 0.118177830385349)
+    assert p.unmapped == {"objective": "binary:logistic", "verbose": 1}
     glm = ML.with_params(ML.PRESETS["glm"](), {"lambda": 0.2, "alpha": 0.9}, ML.LINEAR_NAMES)
     assert (glm.params["regParam"], glm.params["elasticNetParam"]) == (0.2, 0.9)
-    leaf = ML.with_params(ML.PRESETS["gbt_alt"](), {"num_leaves": 31, "learning_rate": 0.2}, ML.LEAF_WISE_NAMES)
-    assert (leaf.params["maxDepth"], leaf.params["stepSize"]) == (5, 0.2)
+    leaf = ML.boosted_preset("leaf_wise", {"num_leaves": 15, "learning_rate": 0.2, "max_depth": -1}, ML.LEAF_WISE_NAMES, **ML.LEAF_WISE_DEFAULTS)
+    assert (leaf.params["max_leaves"], leaf.params["eta"], leaf.params["max_depth"], leaf.params["growth"], leaf.params["rounds"]) == (15, 0.2, 0, "leaf", 500)
+    for names in (ML.BOOSTER_NAMES, ML.LEAF_WISE_NAMES, ML.MACHINE_NAMES):
+        with pytest.raises(ValueError, match="bogus"):
+            ML.boosted_preset("boosted", {"bogus": 1}, names)
     with pytest.raises(ValueError, match="bogus"):
         ML.with_params(ML.PRESETS["glm"](), {"bogus": 1}, ML.LINEAR_NAMES)
 
@@ -82,15 +80,28 @@ def test_early_stopping_and_run_record(spark):
     rows = [(i, i % 7, float(i % 5), float((i * 37) % 11), int((i % 5 > 2) ^ (i % 13 == 0))) for i in range(300)]
     df = spark.createDataFrame(rows, "user_id long, product_id long, a double, b double, reordered int")
     train, test = df.filter("user_id % 3 <> 0"), df.filter("user_id % 3 = 0")
-    preset = ML.Preset("gbt", dict(maxIter=8, maxDepth=3, stepSize=0.8, seed=1))
-    model, losses = ML.fit_with_patience(train, test, preset, ["a", "b"], patience=3)
-    assert len(losses) == 8 and ML.trees_built(model) == ML.best_round(losses, 3)
-    imp = {r.feature: r for r in ML.feature_importance(spark, model, ["a", "b"]).collect()}
-    assert imp["a"].total_gain > imp["b"].total_gain >= 0
     t = ML.ModelTrainer("exp", train, test)
-    t.train_h2o_gbm(prev_commit_hash="abc", dataset_version="1", model_version="2", params={"ntrees": 3, "stopping_rounds": 2})
+    model = t.train_h2o_gbm(prev_commit_hash="abc", dataset_version="1", model_version="2",
+                            params={"ntrees": 60, "learn_rate": 0.8, "stopping_rounds": 2, "stopping_metric": "logloss"})
+    assert len(model.losses) == min(60, model.best + 2) and ML.trees_built(model) == len(model.losses)
     r = t.last_run.first()
-    assert (r.experiment, r.commit, r.stopped_on_test) == ("exp", "abc", True) and "stopping_rounds" in r.unmapped_params
+    assert (r.experiment, r.commit, r.stopped_on_test) == ("exp", "abc", True) and "stopping_metric" in r.unmapped_params
+    imp = {r.feature: r for r in ML.feature_importance(spark, model, ["a", "b"]).collect()}
+    assert imp["a"].total_gain > imp["b"].total_gain >= 0
+    alone = ML.ModelTrainer("exp", train)  # the train set stands in for the test set
+    model = alone.train_lgbm("abc", "1", "2", params={"rounds": 4, "early_stopping_rounds": 1, "min_data_in_leaf": 5, "num_leaves": 4})
+    assert 1 <= len(model.losses) <= 4 and not alone.last_run.first().stopped_on_test
+    forest = alone.train_xgb_rf("abc", "1", "2", params={"rounds": 2, "num_parallel_tree": 3, "subsample": 0.7})
+    assert ML.trees_built(forest) == 6
+
+
+def test_continued_training_reports_each_fold(spark):
+    rows = [(i, i % 7, float(i % 5), float((i * 37) % 11), int((i % 5 > 2) ^ (i % 13 == 0))) for i in range(300)]
+    df = spark.createDataFrame(rows, "user_id long, product_id long, a double, b double, reordered int")
+    models, report = ML.continued(df.filter("product_id < 6"), df.filter("product_id = 6"), ML.BO.Params(rounds=4, max_depth=2, patience=2))
+    r = report.orderBy("fold").collect()
+    assert [x.trees_built for x in r] == sorted(x.trees_built for x in r) and r[0].loss_before is None
+    assert [x.loss_before for x in r[1:]] == [x.loss_after for x in r[:-1]] and len(models) == 3
 
 
 @pytest.mark.parametrize("gone", [("corpus_pipeline",), ("basketlab.llm",), ("corpus_pipeline", "basketlab.llm")])
