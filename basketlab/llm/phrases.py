@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from basketlab.functions.joins import sized_for_broadcast
 from basketlab.llm.common import text_slices, written
 from basketlab.llm.exact_dedup import PAGE_BITS, filter_bits
+from basketlab.llm.suffix_dedup import Hasher, mixed
 
 WORD_BITS = 21  # of a word's number in a task; three words fit one long
 MAX_WORDS = 3
@@ -59,37 +60,114 @@ def admitted(bits, hashed):
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
 
 
-def word_hash(lang: str, word: bytes) -> int:
+def salts(langs: list[str]):
+    """A number per language, so that equal words of two languages differ."""
+    import numpy as np
     import xxhash
-    return xxhash.xxh3_64_intdigest(word, xxhash.xxh32_intdigest(lang.encode()))
+    known = {g: xxhash.xxh3_64_intdigest(g.encode()) for g in set(langs)}
+    return np.array([known[g] for g in langs], np.uint64)
+
+
+def hashes_of(hasher: Hasher, data: bytes, start, length, salt):
+    """Hashes of the words at ``start`` in ``data``."""
+    import numpy as np
+    hasher.load(np.frombuffer(data, np.uint8))
+    return mixed(hasher.some(start, length) + length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + salt)
+
+
+def hashed_words(hasher: Hasher, langs: list[str], texts: list[str]):
+    """Hash and number of the piece of every word of the texts."""
+    import numpy as np
+    raw = [t.encode() for t in texts]
+    data = (b"\n".join(raw) + b"\n").translate(breaks())
+    array = np.frombuffer(data, np.uint8)
+    end = array == 46
+    edge = np.diff(np.concatenate([[True], (array == 32) | end]).astype(np.int8))
+    start, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)  # the last byte ends a piece
+    text = np.searchsorted(np.cumsum([len(r) + 1 for r in raw]), start, side="right")
+    return hashes_of(hasher, data, start, stop - start, salts(langs)[text]), np.cumsum(end)[start]
+
+
+class HashCounter:
+    """Counts of one task's phrases by their hashes; the two lowest bits of a key are the number of words."""
+
+    def __init__(self, longest: int):
+        self.longest, self.hasher = longest, Hasher(12)
+        self.clear()
+
+    def clear(self) -> None:
+        self.parts: list[tuple] = []
+        self.held = 0
+
+    def add(self, level: int, hashed) -> None:
+        import numpy as np
+        key, n = np.unique(hashed << np.uint64(2) | np.uint64(level), return_counts=True)
+        self.parts.append((key, n))
+        self.held += len(key)
+
+    def count(self, langs: list[str], texts: list[str], new, old, with_words: bool) -> None:
+        """Count the words if asked, and the pairs and triples that the bit arrays ``new`` of words and pairs
+        admit and ``old`` (None: nothing) don't.
+
+        Without ``new`` every pair counts and no triple does (the sample).
+        """
+        import numpy as np
+        h, piece = hashed_words(self.hasher, langs, texts)
+        if with_words:
+            self.add(1, bit_of(h))
+        inside = piece[1:] == piece[:-1]
+        pair = bit_of(h[:-1], h[1:])
+
+        def places(bits):
+            """Masks of the places where a pair is admitted by its words, and where also by itself."""
+            if bits is None:
+                return inside, np.zeros_like(inside)
+            ok = admitted(bits[0], bit_of(h))
+            by_words = inside & ok[:-1] & ok[1:]
+            return by_words, by_words & admitted(bits[1], pair)
+
+        by_words, now = places(new)
+        known, before = places(old) if old is not None else (np.zeros_like(inside), np.zeros_like(inside))
+        self.add(2, pair[by_words & ~known])
+        if self.longest > 2:
+            at = np.flatnonzero(now[:-1] & now[1:] & ~(before[:-1] & before[1:]))
+            self.add(3, bit_of(pair[at], h[at + 2]))
+
+    def rows(self):
+        """A record batch ``h, n`` of everything counted."""
+        import numpy as np
+        import pyarrow as pa
+        if self.parts:
+            key, inverse = np.unique(np.concatenate([k for k, _ in self.parts]), return_inverse=True)
+            n = np.bincount(inverse, np.concatenate([n for _, n in self.parts]), len(key)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["h", "n"])
 
 
 class Numbers(dict):
     """Numbers of one language's words; an unknown word gets the next number."""
 
-    def __init__(self, lang: str, code: int, counter: Counter):
+    def __init__(self, code: int, counter: Counter):
         super().__init__({b".": 0})
         # the counter's lists, not the counter, so that neither keeps the other alive
-        self.lang, self.code, self.words, self.lang_of, self.new = lang, code, counter.words, counter.lang_of, counter.new
+        self.code, self.words, self.lang_of = code, counter.words, counter.lang_of
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.words)
         self.words.append(word)
         self.lang_of.append(self.code)
-        self.new.append(word_hash(self.lang, word))
         return n
 
 
 class Counter:
-    """Counts of one task's phrases; words are numbered per language, number 0 ends a piece."""
+    """Exact counts of one task's chosen phrases; words are numbered per language, number 0 ends a piece."""
 
     def __init__(self, longest: int):
-        self.longest = longest
+        self.longest, self.hasher = longest, Hasher(12)
         self.clear()
 
     def clear(self) -> None:
         import numpy as np
-        self.words, self.lang_of, self.langs, self.new = [b""], [0], [], []
+        self.words, self.lang_of, self.langs = [b""], [0], []
         self.numbers: dict[str, Numbers] = {}
         self.hashes, self.single = np.zeros(1, np.uint64), np.zeros(1, np.int64)
         self.keys = [[(np.zeros(0, np.int64), np.zeros(0, np.int64))] for _ in range(2, self.longest + 1)]
@@ -97,7 +175,7 @@ class Counter:
 
     def numbers_of(self, lang: str) -> Numbers:
         if lang not in self.numbers:
-            self.numbers[lang] = Numbers(lang, len(self.langs), self)
+            self.numbers[lang] = Numbers(len(self.langs), self)
             self.langs.append(lang)
         return self.numbers[lang]
 
@@ -109,19 +187,29 @@ class Counter:
             find = self.numbers_of(lang).__getitem__
             out.extend(map(find, text.encode().translate(table).replace(b".", b" . ").split()))
             out.append(0)
-        self.hashes = np.concatenate([self.hashes, np.array(self.new, np.uint64)])
-        self.new.clear()
+        if new := self.words[len(self.hashes):]:
+            size = np.array([len(w) for w in new])
+            salt = salts(self.langs)[np.array(self.lang_of[len(self.hashes):])]
+            self.hashes = np.concatenate([self.hashes, hashes_of(self.hasher, b"".join(new), np.cumsum(size) - size, size, salt)])
         return np.array(out, np.int64)
 
-    def count_words(self, tokens) -> None:
+    def add(self, length: int, keys, counts) -> None:
+        self.keys[length - 2].append((keys, counts))
+        self.held += len(keys)
+
+    def count(self, langs: list[str], texts: list[str], chosen) -> None:
+        """Count the words, pairs and triples whose hashes' bits are set in ``chosen``."""
         import numpy as np
+        tokens = self.numbered(langs, texts)
         seen = np.bincount(tokens, minlength=len(self.words))
         seen[:len(self.single)] += self.single
         self.single = seen
-
-    def add(self, length: int, keys, counts) -> None:
-        self.keys[length - 2].append((keys, counts))
-        self.held += len(keys)
+        key, full, hashed = tokens, tokens > 0, self.hashes[tokens]
+        for level in range(2, self.longest + 1):
+            full = full[:-1] & (tokens[level - 1:] > 0)
+            key = key[:-1] << WORD_BITS | tokens[level - 1:]
+            hashed = bit_of(hashed[:-1], self.hashes[tokens[level - 1:]])
+            self.add(level, *np.unique(key[full & admitted(chosen[level - 1], hashed)], return_counts=True))
 
     def merge(self) -> None:
         """One sum per phrase."""
@@ -132,68 +220,6 @@ class Counter:
             self.held += len(key) - sum(len(k) for k, _ in own)
             own[:] = [(key, total)]
 
-    def pair_hash(self, key):
-        """Hash of pairs, given by their key."""
-        import numpy as np
-        return bit_of(self.hashes[key >> WORD_BITS], self.hashes[key & ((1 << WORD_BITS) - 1)])
-
-    def triple_hash(self, key):
-        return bit_of(self.pair_hash(key >> WORD_BITS), self.hashes[key & ((1 << WORD_BITS) - 1)])
-
-    def count(self, tokens, new, old) -> None:
-        """Count the pairs and triples that the bit arrays ``new`` of words and pairs admit and ``old`` (None: nothing) don't.
-
-        Without ``new`` every pair counts and no triple does (the sample).
-        """
-        import numpy as np
-
-        def words(bits):
-            ok = np.ones(len(self.hashes), bool) if bits is None else admitted(bits[0], bit_of(self.hashes))
-            ok[0] = False
-            return ok
-
-        ok = words(new)
-        at = np.flatnonzero(ok[tokens[:-1]] & ok[tokens[1:]])
-        key, inverse, n = np.unique(tokens[at] << WORD_BITS | tokens[at + 1], return_inverse=True, return_counts=True)
-        known = np.zeros(len(key), bool)
-        if old is not None:
-            ok = words(old)
-            known = ok[key >> WORD_BITS] & ok[key & ((1 << WORD_BITS) - 1)]
-        self.add(2, key[~known], n[~known])
-        if self.longest < 3 or new is None:
-            return
-        hashed = self.pair_hash(key)
-        now, before = (np.zeros(max(len(tokens) - 1, 0), bool) for _ in range(2))
-        now[at] = admitted(new[1], hashed)[inverse]
-        if old is not None:
-            before[at] = (known & admitted(old[1], hashed))[inverse]
-        at = np.flatnonzero(now[:-1] & now[1:] & ~(before[:-1] & before[1:]))
-        self.add(3, *np.unique((tokens[at] << WORD_BITS | tokens[at + 1]) << WORD_BITS | tokens[at + 2], return_counts=True))
-
-    def count_chosen(self, tokens, chosen) -> None:
-        """Count the words, pairs and triples whose hashes' bits are set in ``chosen``."""
-        import numpy as np
-        self.count_words(tokens)
-        key, full = tokens, tokens > 0
-        for level in range(2, self.longest + 1):
-            full = full[:-1] & (tokens[level - 1:] > 0)
-            key = key[:-1] << WORD_BITS | tokens[level - 1:]
-            own, n = np.unique(key[full], return_counts=True)
-            hashed = self.pair_hash(own) if level == 2 else self.triple_hash(own)
-            ok = admitted(chosen[level - 1], hashed)
-            self.add(level, own[ok], n[ok])
-
-    def hashed_rows(self, with_words: bool):
-        """Record batches ``h, n`` of everything counted."""
-        import numpy as np
-        import pyarrow as pa
-        seen = np.flatnonzero(self.single[1:]) + 1
-        parts = [(1, bit_of(self.hashes[seen]), self.single[seen])] if with_words else []
-        for level, own in enumerate(self.keys, 2):
-            parts += [(level, self.pair_hash(k) if level == 2 else self.triple_hash(k), n) for k, n in own]
-        for level, h, n in parts:
-            yield pa.RecordBatch.from_arrays([pa.array((h << np.uint64(2) | np.uint64(level)).view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"])
-
     def rows(self, chosen):
         """Record batches ``lang, phrase, n`` of everything counted, words by ``chosen`` only, and of all words."""
         import numpy as np
@@ -224,7 +250,7 @@ class Counter:
                 yield from batch([key >> (WORD_BITS * k) & mask for k in range(length - 1, -1, -1)], n)
 
 
-def counted(rows: DataFrame, longest: int, new=None, old=None, with_words: bool = True, chosen=None, max_held: int = 1_000_000,
+def counted(rows: DataFrame, longest: int, new=None, old=None, with_words: bool = True, chosen=None, max_held: int = 2_000_000,
             max_words: int = 200_000) -> DataFrame:
     """``h, n``: the hashes of this pass's phrases; ``lang, phrase, n`` of the ``chosen`` ones if given.
 
@@ -233,21 +259,20 @@ def counted(rows: DataFrame, longest: int, new=None, old=None, with_words: bool
     def run(batches):
         import numpy as np
         new_bits, old_bits, chosen_bits = (None if b is None else [np.frombuffer(x, np.uint8) for x in b.value] for b in (new, old, chosen))
-        counter = Counter(longest)
+        counter = HashCounter(longest) if chosen is None else Counter(longest)
 
         def out():
+            if chosen is None:
+                return counter.rows()
             counter.merge()
-            return counter.hashed_rows(with_words) if chosen_bits is None else counter.rows(chosen_bits)
+            return counter.rows(chosen_bits)
 
         for langs, texts in text_slices(batches, 2 << 20):
-            tokens = counter.numbered(langs, texts)
-            if chosen_bits is not None:
-                counter.count_chosen(tokens, chosen_bits)
+            if chosen is None:
+                counter.count(langs, texts, new_bits, old_bits, with_words)
             else:
-                if with_words:
-                    counter.count_words(tokens)
-                counter.count(tokens, new_bits, old_bits)
-            if counter.held > max_held or len(counter.words) > max_words:  # memory is bounded; sums of sums are exact
+                counter.count(langs, texts, chosen_bits)
+            if counter.held > max_held or chosen is not None and len(counter.words) > max_words:  # sums of sums are exact
                 yield from out()
                 counter.clear()
         yield from out()
