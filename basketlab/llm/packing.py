@@ -12,6 +12,7 @@ length, and a piece's number decides its sequence and offset.
 
 from __future__ import annotations
 
+import sys
 from collections import Counter
 from collections.abc import Callable
 
@@ -30,51 +31,50 @@ def word_encoder(path: str, max_words: int = 1_000_000) -> Callable[[str], bytes
     are those of its words.  Words are encoded once per task (the table of
     known words is emptied when it holds ``max_words``).  Words of Latin
     letters followed by plain punctuation go straight to the BPE model; all
-    others take the tokenizer's whole path.
+    others take the tokenizer's whole path, where the strings of special
+    tokens get their ids as in the library.
     """
     import re
-    import struct
+    from array import array
 
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    model = tok.model
+    tokenize = tok.model.tokenize
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]  # byte-level alphabet: these stand for themselves
     others = [b for b in range(256) if b not in set(printable)]
     letters = {b: chr(256 + i) for i, b in enumerate(others)}
     plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
     controls = re.compile("[\x1c-\x1f]").search  # white space for str.split but not for the tokenizer
     spaces = re.compile("[ \t\n\r\x0b\x0c]+")
-    parts: dict[str, bytes] = {"": b""}
-    words: dict[str, bytes] = {}
-
-    def part(s: str) -> bytes:
-        if s not in parts:
-            if len(parts) >= max_words:
-                parts.clear()
-                parts[""] = b""
-            ids = [t.id for t in model.tokenize(s.encode().decode("latin-1").translate(letters))]
-            parts[s] = struct.pack(f"<{len(ids)}I", *ids)
-        return parts[s]
-
-    def word(w: str) -> bytes:
-        if m := plain(w):
-            return part(m[1].lower()) + part(m[2])
-        ids = tok.encode(w, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
+
+    class Parts(dict):
+        def __missing__(self, s: str) -> bytes:
+            own = s if s.isascii() else s.encode().decode("latin-1").translate(letters)  # printable ASCII stands for itself
+            self[s] = raw = array("I", [t.id for t in tokenize(own)]).tobytes()
+            return raw
+
+    class Words(dict):
+        def __missing__(self, w: str) -> bytes:
+            if m := plain(w):
+                a, b = m.groups()
+                raw = parts[a.lower()] + parts[b] if b else parts[a.lower()]
+            else:
+                raw = array("I", tok.encode(w, add_special_tokens=False).ids).tobytes()
+            self[w] = raw
+            return raw
+
+    parts, words = Parts(), Words()
+    if array("I").itemsize != 4 or sys.byteorder != "little":
+        raise RuntimeError("ids need little-endian 32-bit integers")
 
     def encode(text: str) -> bytes:
+        if len(words) >= max_words:
+            words.clear()
+        if len(parts) >= max_words:
+            parts.clear()
         of = [w for w in spaces.split(text) if w] if controls(text) else text.split()
-        try:
-            return b"".join(map(words.__getitem__, of))
-        except KeyError:
-            if len(words) >= max_words:
-                words.clear()
-            for w in of:
-                if w not in words:
-                    words[w] = word(w)
-            return b"".join(map(words.__getitem__, of))
+        return b"".join(map(words.__getitem__, of))
 
     return encode
 

@@ -12,14 +12,12 @@ from basketlab.llm.packing import best_fit_packing, fullest, minimum_bin_slack,
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = ["", "   ", "Hello, World!", "don't we'll", "ÉCOLE naïve straße", "a\x1cb c d e", "é Éx", "日本語 テスト 😀", "12 3a",
-         "<|endoftext|> x", "ΑΣ ΟΔΟΣ", "x" * 500, "!!! ... ##$ (a)", "İstanbul", "\x00 a\x00b", "word " * 9000, None, "Hello, World!"]
+         "<|endoftext|> x", "hello <|endoftext|> world", "a<|endoftext|>b <|startoftext|>c!", "< |endoftext|>", "ΑΣ ΟΔΟΣ", "x" * 500, "!!! ... ##$ (a)", "İstanbul", "\x00 a\x00b", "word " * 9000, None, "Hello, World!"]
 
 
 @pytest.fixture(scope="module")
 def tok():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_word_encoder_is_the_tokenizer(tok):
