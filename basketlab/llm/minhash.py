@@ -13,15 +13,15 @@ threshold, and the others are verified with the exact J_P of their whole texts.
 No bucket is expanded into all its pairs: in a few rounds its members are
 compared with one leader (the member that meets most others first, then another
 one), and linked documents become one component.  What then still lies in
-different components of a bucket is compared pair by pair, by a finer estimate
-first, very large buckets block against block.
+different components of a bucket meets in *block tasks*: a bucket is dealt into
+blocks, and one task compares two blocks and sends links only, no pairs.  A first
+set of tasks compares signatures and names the members that have a candidate; only
+their texts go to a second set, which verifies the candidates and skips those that
+its own links have joined already.  A pair is looked at in the lowest of its common buckets.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame, functions as F
 
 from basketlab.llm.common import id_and_text, text_slices, written
@@ -32,7 +32,8 @@ THRESHOLD = 0.8
 BANDS = 28  # with 6 registers each: a pair of likeness 0.8 shares a band with probability 0.9998
 BAND_ROWS = 6
 ROUNDS = 2  # leaders per bucket before the rest is compared pair by pair
-BLOCK_ABOVE = 4096  # members of a bucket that is compared block by block
+BLOCK_ROWS = 2048  # members of a bucket that meet in one task, about
+BLOCK_BYTES = 32 << 20  # their text, about
 SLACK = 0.12  # nearly four standard deviations of the estimate at the threshold
 FINE_REGISTERS = 510  # of the signatures made for the documents that are compared pair by pair
 FINE_SLACK = 0.07  # the same for their estimate
@@ -242,64 +243,143 @@ def undecided(buckets: DataFrame, found: DataFrame) -> DataFrame:
     return written(buckets.join(keys, F.col("key") == F.col("of"), "left_semi"), "undecided")
 
 
-def blocks(buckets: DataFrame, found: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides of the comparison of large buckets: ``key, i, j, id, component``, i <= j.
+def differing(a, b):
+    """Number of four-bit fields in which each row of ``b`` differs from the row ``a``."""
+    import numpy as np
+    low, high = (np.uint64(int(d * FIELDS, 16)) for d in "78")
+    x = a ^ b
+    return np.bitwise_count((((x & low) + low) | x) & high).sum(axis=1, dtype=np.int64)
+
+
+def block_keys(still: DataFrame, found: DataFrame, sizes: DataFrame, block_rows: int, block_bytes: int) -> DataFrame:
+    """``key, i, j, left, id, component, keys``: the members of each block task, i <= j; written.
 
-    A bucket is dealt into blocks of about ``limit`` / 2 ids, and every two of
-    its blocks, also a block and itself (i = j), meet under a key of their own,
-    block i on the first side and block j on the second.  So any two ids of a
-    bucket meet once, or in both orders in a block of their own, and no key has
-    many more than ``limit`` ids.  Keys that hold one component only are left out.
+    A bucket is dealt into blocks of about ``block_rows`` / 2 members and ``block_bytes`` / 2 of text,
+    and each two of its blocks, also a block and itself, meet in a task of their own: the
+    rows of block i are on its left side, those of block j on its right.  Tasks that
+    hold one component only are left out.  ``keys`` are all undecided buckets of a member.
+    """
+    own = still.join(sizes, "id")
+    total = own.groupBy(F.col("key").alias("of")).agg(F.sum("size").alias("bytes"))
+    keys = still.groupBy(F.col("id").alias("member")).agg(F.sort_array(F.collect_set("key")).alias("keys"))  # at most one a band
+    count = F.greatest(F.ceil(F.col("n") * 2 / block_rows), F.ceil(F.col("bytes") * 2 / block_bytes))
+    dealt = (with_component(own.join(total, F.col("key") == F.col("of")).join(keys, F.col("id") == F.col("member")), found, "id", "component")
+             .withColumn("count", count).withColumn("own", F.pmod(F.xxhash64("id", F.lit(11)), "count"))
+             .select("key", "count", "own", "id", "component", "keys"))
+    left = dealt.select("key", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("count") - 1)).alias("j"),
+                        F.lit(True).alias("left"), "id", "component", "keys")
+    right = (dealt.filter("own > 0").select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("own") - 1)).alias("i"), F.col("own").alias("j"),
+                                            F.lit(False).alias("left"), "id", "component", "keys"))
+    both = written(left.unionByName(right), "block_members")
+    several = (both.groupBy("key", "i", "j").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+               .select("key", "i", "j"))
+    return written(both.join(several, ["key", "i", "j"], "left_semi"), "blocks")
+
+
+def close_pairs(table, registers: int, fine_registers: int, threshold: float):
+    """Row numbers and finer estimate of the pairs of a block task that are candidates, nearest first.
+
+    They are of different components, have this bucket as the lowest of their
+    common ones, and neither estimate is far below the threshold.
+    """
+    import numpy as np
+    key = table.column("key")[0].as_py()
+    same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+    left = table.column("left").to_numpy(zero_copy_only=False)
+    component = table.column("component").to_numpy()
+    bits, fine = (np.array(table.column(c).to_pylist(), np.int64).view(np.uint64) for c in ("bits", "fine"))
+    before = [set(k[:k.index(key)]) for k in table.column("keys").to_pylist()]
+    one, two = (np.arange(len(left)),) * 2 if same else (np.flatnonzero(left), np.flatnonzero(~left))
+    out = []
+    for k, a in enumerate(one.tolist()):
+        other = two[k + 1:] if same else two
+        other = other[component[other] != component[a]]
+        other = other[1 - differing(bits[a], bits[other]) / registers * 16 / 15 >= threshold - SLACK]
+        estimate = 1 - differing(fine[a], fine[other]) / fine_registers * 16 / 15
+        near = estimate >= threshold - FINE_SLACK
+        out += [(-e, a, b) for e, b in zip(estimate[near].tolist(), other[near].tolist()) if before[a].isdisjoint(before[b])]
+    return sorted(out)
+
+
+def block_links(members: DataFrame, marks: DataFrame, texts: DataFrame, words: int, threshold: float, registers: int) -> DataFrame:
+    """The links ``a, b`` that the block tasks find; written.
+
+    ``marks`` has the signatures ``bits`` and ``fine`` of every member.
     """
-    count = F.ceil(F.col("n") * 2 / limit)
-    own = (with_component(buckets, found, "id", "component").withColumn("count", count)
-           .withColumn("own", F.pmod(F.xxhash64("id", F.lit(11)), "count")))
-    one = own.select("key", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("count") - 1)).alias("j"), "id", "component")
-    two = own.select("key", F.explode(F.sequence(F.lit(0).cast("long"), "own")).alias("i"), F.col("own").alias("j"), "id", "component")
-    mixed_keys = (one.unionByName(two).groupBy("key", "i", "j").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                  .filter("lo <> hi").select("key", "i", "j"))
-    return tuple(x.join(mixed_keys, ["key", "i", "j"], "left_semi") for x in (one, two))
+    signed = members.join(marks, "id").select("key", "i", "j", "left", "id", "component", "keys", "bits", "fine")
+
+    def named(table):
+        import pyarrow as pa
+        rows = sorted({k for _, a, b in close_pairs(table, registers, FINE_REGISTERS, threshold) for k in (a, b)})
+        return table.select(["key", "i", "j", "id"]).take(pa.array(rows, pa.int64()))
+
+    chosen = written(signed.groupBy("key", "i", "j").applyInArrow(named, "key long, i long, j long, id long"), "named")
+    full = signed.join(chosen, ["key", "i", "j", "id"], "left_semi").join(texts, "id")
+
+    def links(table):
+        import numpy as np
+        import pyarrow as pa
+        hasher, ids = Hasher(5), table.column("id").to_pylist()
+        column, sets = table.column("text"), []
+        for at in range(0, len(ids), 64):
+            text, shingle, weight = weighted_shingles(column.slice(at, 64).to_pylist(), hasher, words)
+            ends = np.searchsorted(text, np.arange(min(64, len(ids) - at) + 1))
+            sets += [(shingle[a:b], weight[a:b]) for a, b in zip(ends, ends[1:])]
+        group = dict.fromkeys(range(len(ids)))
+        first: dict[int, int] = {}
+        for k, c in enumerate(table.column("component").to_pylist()):
+            group[k] = first.setdefault(c, k)
+
+        def root(k: int) -> int:
+            while group[k] != k:
+                group[k] = k = group[group[k]]
+            return k
+
+        out = []
+        for _, a, b in close_pairs(table, registers, FINE_REGISTERS, threshold):
+            if root(a) != root(b) and likeness(*sets[a], *sets[b]) >= threshold:
+                group[root(a)] = root(b)
+                out.append((ids[a], ids[b]))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    columns = ["key", "i", "j", "left", "id", "component", "keys", "bits", "fine", "text"]
+    return written(full.select(*columns).groupBy("key", "i", "j").applyInArrow(links, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-                    words: int = WORDS, bands: int = BANDS, band_rows: int = BAND_ROWS, block_above: int = BLOCK_ABOVE) -> DataFrame:
-    """One row per document: ``doc_id, class_id, kept``.
+                    words: int = WORDS, bands: int = BANDS, band_rows: int = BAND_ROWS, block_rows: int = BLOCK_ROWS,
+                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """One row per document: ``doc_id, class_id, kept, text_sha256``.
 
-    Documents are in one class if a chain of pairs with a likeness of
+    Texts are in one class if a chain of pairs with a likeness of
     ``threshold`` or more links them; ``class_id`` is the smallest id of the
-    class, whose document is kept.  Defined cases: a null text counts as
+    class, whose row is kept.  Defined cases: a null text counts as
     empty; equal texts are always in one class, blank texts in one only if
-    they are equal; rows that repeat an id count as one document; a row with a
-    null id is compared with nothing, has a null class and is kept; an empty
-    table gives no rows.
+    they are equal; rows that repeat an id are rows of their own, so an id may
+    stand in several classes; a null id is larger than all others: a class
+    without any other id has a null ``class_id`` and keeps its rows; an empty table gives no rows.
+    ``text_sha256`` (hexadecimal) tells the rows of an id apart.
     """
     registers = bands * band_rows
     rows = id_and_text(docs, id_col, text_col)
     signed = written(signatures(rows, words, bands, band_rows), "signatures")
-    known = signed.filter("doc_id IS NOT NULL")
-    groups = known.groupBy(F.col("sha").alias("of_sha")).agg(F.min("doc_id").alias("rep"))
-    copies = written(known.select("doc_id", "sha").join(groups, F.col("sha") == F.col("of_sha"))
-                     .select("doc_id", "rep").groupBy("doc_id").agg(F.min("rep").alias("rep")), "copies")
-    # nodes: one document per distinct text
-    reps = copies.filter("doc_id = rep").select(F.col("rep").alias("id"))
-    nodes = written(known.join(reps, F.col("doc_id") == F.col("id")).filter("bands IS NOT NULL")
-                    .select("id", "bands", "bits").dropDuplicates(["id"]), "nodes")
+    # nodes: one per distinct text, numbered by its smallest id; further texts of an id, or of none, by their digest
+    groups = signed.groupBy("sha").agg(F.min("doc_id").alias("rep"))
+    firsts = groups.filter("rep IS NOT NULL").groupBy(F.col("rep").alias("of")).agg(F.min("sha").alias("first"))
+    own = F.when(F.col("sha") == F.col("first"), F.col("rep")).otherwise(F.xxhash64("sha"))
+    numbered = written(groups.join(firsts, F.col("rep") == F.col("of"), "left").select(F.col("sha").alias("of_sha"), "rep", own.alias("id")), "numbered")
+    copies = written(signed.select("doc_id", "sha").join(numbered, F.col("sha") == F.col("of_sha")).select("doc_id", "sha", "rep", "id"), "copies")
+    nodes = written(signed.filter("bands IS NOT NULL").groupBy("sha").agg(F.min(F.struct("bands", "bits")).alias("m"))
+                    .join(numbered, F.col("sha") == F.col("of_sha")).select("id", "m.bands", "m.bits", "sha"), "nodes")
     buckets = members(nodes.select("id", F.posexplode("bands").alias("band", "value"))
                       .select(F.xxhash64("band", "value").alias("key"), "id"))
     bits = nodes.select("id", "bits")
-    texts = written(rows.join(buckets.select("id").distinct(), F.col("doc_id") == F.col("id"))
-                    .select("id", "text").dropDuplicates(["id"]), "texts")
+    chosen = nodes.join(buckets.select("id").distinct(), "id", "left_semi").select("id", F.col("sha").alias("of_sha"))
+    texts = written(rows.withColumn("sha", F.unhex(F.sha2("text", 256))).join(chosen, F.col("sha") == F.col("of_sha"))
+                    .groupBy("id").agg(F.first("text").alias("text")), "texts")  # equal texts
     one, two = (bits.select(F.col("id").alias(f"id_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab")
     close = estimate("bits_a", "bits_b", registers) >= threshold - SLACK
-    found = copies.select(F.col("rep").alias("id"), F.col("rep").alias("component")).limit(0)
-    tried: list[DataFrame] = []
-
-    def compared(pairs: DataFrame) -> DataFrame:
-        """Components after verifying the pairs ``a, b`` that weren't verified before."""
-        for t in tried:
-            pairs = pairs.join(t, ["a", "b"], "left_anti")
-        tried.append(written(pairs, "pairs"))
-        return merged_components(found, verified(tried[-1], texts, words, threshold))
+    found = copies.select("id", F.col("id").alias("component")).limit(0)
 
     still = buckets
     for r in range(ROUNDS):
@@ -315,36 +395,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         stars = (still.join(leaders, F.col("key") == F.col("of")).filter("id <> leader")
                  .select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
         across = with_component(with_component(stars, found, "a", "of_a"), found, "b", "of_b").filter("of_a <> of_b")
-        found = compared(across.join(two, F.col("b") == F.col("id_b")).join(one, F.col("a") == F.col("id_a"))
-                         .filter(close).select("a", "b"))
+        pairs = written(across.join(two, F.col("b") == F.col("id_b")).join(one, F.col("a") == F.col("id_a"))
+                        .filter(close).select("a", "b"), "pairs")
+        found = merged_components(found, verified(pairs, texts, words, threshold))
         still = undecided(still, found)
 
-    # pairs across the components of the buckets that are left, first by a finer estimate: a
-    # group whose likenesses lie just below the threshold has no links to tell it apart by
-    fine = written(signatures(texts.join(still.select("id").distinct(), "id", "left_semi").select("id", "text"), words,
-                              FINE_REGISTERS, 1).select(F.col("doc_id").alias("id"), F.col("bits").alias("fine")), "fine")
-    close &= estimate("fine_a", "fine_b", FINE_REGISTERS) >= threshold - FINE_SLACK
-
-    def across(one: DataFrame, two: DataFrame, on: list[str]) -> DataFrame:
-        """Close pairs ``a, b`` of different components with a common key."""
-        left, right = (side.join(bits, "id").join(fine, "id")
-                       .select(*(F.col(c).alias(f"{c}_{x}") for c in on), F.col("id").alias(x), F.col("component").alias(f"of_{x}"),
-                               F.col("bits").alias(f"bits_{x}"), F.col("fine").alias(f"fine_{x}"))
-                       for side, x in ((one, "a"), (two, "b")))
-        once = F.col("a") < F.col("b")
-        if "i" in on:
-            once |= F.col("i_a") < F.col("j_b")
-        met = [F.col(f"{c}_a") == F.col(f"{c}_b") for c in on]
-        pairs = left.join(right, reduce(and_, met) & once & (F.col("of_a") != F.col("of_b")) & close)
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
-    usual = with_component(still.filter(F.col("n") <= block_above), found, "id", "component")
-    large = still.filter(F.col("n") > block_above)
-    pairs = across(usual, usual, ["key"])
-    if not large.isEmpty():
-        pairs = pairs.unionByName(across(*blocks(large, found, block_above), ["key", "i", "j"]))
-    found = compared(pairs.distinct())
-
-    classes = with_component(copies, found, "rep", "class_id").select(F.col("doc_id").alias("id"), "class_id")
-    return rows.select("doc_id").join(classes, F.col("doc_id") == F.col("id"), "left").select(
-        "doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+    if not still.isEmpty():
+        left = texts.join(still.select("id").distinct(), "id", "left_semi")
+        # signatures of more registers: a group whose likenesses lie just below the threshold has no links to tell it apart by
+        fine = signatures(left.select("id", "text"), words, FINE_REGISTERS, 1).select(F.col("doc_id").alias("id"), F.col("bits").alias("fine"))
+        marks = written(fine.join(bits, "id"), "marks")
+        dealt = block_keys(still, found, texts.select("id", F.octet_length("text").alias("size")), block_rows, block_bytes)
+        found = merged_components(found, block_links(dealt, marks, texts, words, threshold, registers))
+
+    # ids are attached at the end: a class is named by the smallest id of its texts
+    classes = written(with_component(copies, found, "id", "component"), "classes")
+    names = classes.groupBy(F.col("component").alias("of")).agg(F.min("rep").alias("class_id"))
+    return classes.join(names, F.col("component") == F.col("of")).select(
+        "doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
