@@ -11,14 +11,14 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import public_tokenizers  # noqa: E402
 
 from basketlab.llm.common import read_table, written  # noqa: E402
-from basketlab.llm.exact_dedup import exact_dedup  # noqa: E402
+from basketlab.llm.exact_dedup import exact_dedup, normalised  # noqa: E402
 from basketlab.llm.minhash import near_duplicates  # noqa: E402
 from basketlab.llm.packing import best_fit_packing  # noqa: E402
 from basketlab.llm.suffix_dedup import remove_repeats  # noqa: E402
@@ -27,31 +27,42 @@ from basketlab.llm.toxicity import classify  # noqa: E402
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def keep_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The documents whose id is among ``kept``, with their own columns only.
+def keep_rows(docs: DataFrame, key: Column, kept: DataFrame) -> DataFrame:
+    """The rows whose key is among the ``key`` of ``kept``, with their own columns only.
 
-    Documents without an id stay: no decision can name them.  Rows that repeat
-    an id stay or go together.
+    Keys hold a digest of the text beside the id, so rows that repeat an id are
+    decided one by one, and rows without an id like all others; rows of equal
+    id and text stay or go together.
     """
-    rows = docs.select(*COLUMNS)
-    named = rows.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
-    return named.unionByName(rows.filter("doc_id IS NULL"))
+    rows = docs.select(*COLUMNS, key.alias("key"))
+    return rows.join(kept.select("key").distinct(), "key", "left_semi").select(*COLUMNS)
+
+
+def id_and_digest(text: Column) -> Column:
+    """A struct is never null, so null ids match."""
+    return F.struct(F.col("doc_id").alias("doc_id"), F.sha2(text, 256).alias("text_sha256"))
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain finds toxic go."""
     labels = read_table(spark, sf_dir, "labels", "doc_id", "toxic")
-    return keep_ids(docs, classify(docs, labels).filter("NOT toxic"))
+    key = F.xxhash64("doc_id", "text")
+    rows = docs.select(key.alias("key"), "doc_id", "text")
+    known = rows.select("key", "doc_id").join(labels, "doc_id").select(F.col("key").alias("doc_id"), "toxic")
+    verdicts = classify(rows.select("key", "text"), known, id_col="key")
+    return keep_rows(docs, key, verdicts.filter("NOT toxic").select(F.col("doc_id").alias("key")))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id stays."""
-    return keep_ids(docs, exact_dedup(docs).filter("kept"))
+    kept = exact_dedup(docs).filter("kept").select(F.struct("doc_id", "text_sha256").alias("key"))
+    return keep_rows(docs, id_and_digest(normalised(F.col("text"))), kept)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays, the one with the smallest id."""
-    return keep_ids(docs, near_duplicates(docs).filter("kept"))
+    kept = near_duplicates(docs).filter("kept").select(F.struct("doc_id", "text_sha256").alias("key"))
+    return keep_rows(docs, id_and_digest(F.coalesce("text", F.lit(""))), kept)
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
