@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from basketlab.functions.prefix import ranked_counts
+from basketlab.functions.quantiles import exact_quantiles
+from basketlab.functions.special import chi_square_tail
 from basketlab.session import materialize
 
 HOURS = tuple(range(24))
@@ -89,20 +91,23 @@ def user_max_orders(orders: DataFrame) -> DataFrame:
             .orderBy("maximum_orders", "user_id"))
 
 
-def box_stats(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
+def box_stats(df: DataFrame, col: str, exact: bool = True, bounded: bool = True) -> DataFrame:
     """Box-plot numbers of one column, NULLs dropped.
 
-    Exact linear-interpolation quartiles (``percentile``), whiskers at the
-    most extreme values within 1.5 IQR of the box, outlier count.  The exact
-    aggregate keeps one counter per distinct value (fine for the bounded
-    integer domains analysed here); ``exact=False`` uses the fixed-size
-    ``percentile_approx`` sketch for unbounded domains.
+    Exact linear-interpolation quartiles, whiskers at the most extreme values
+    within 1.5 IQR of the box, outlier count.  For a ``bounded`` domain one
+    aggregate keeps a counter per distinct value (``percentile``); otherwise
+    the quartiles are selected by refining counts in bounded state
+    (``functions/quantiles.py``), in four passes over the rows.  ``exact=False`` uses the
+    fixed-size ``percentile_approx`` sketch.
     """
-    x = F.col(col)
-    q = (F.percentile(x, [0.25, 0.5, 0.75]) if exact
-         else F.percentile_approx(x.cast("double"), [0.25, 0.5, 0.75], 10000))
-    quart = df.select(q.cast("array<double>").alias("q"))
-    q1, med, q3 = (quart.select(F.col("q")[i]).scalar() for i in range(3))
+    x, at = F.col(col), [0.25, 0.5, 0.75]
+    if exact and not bounded:
+        q1, med, q3 = (F.lit(v).cast("double") for v in exact_quantiles(df, col, at) or [None] * 3)
+    else:
+        q = F.percentile(x, at) if exact else F.percentile_approx(x.cast("double"), at, 10000)
+        quart = df.select(q.cast("array<double>").alias("q"))
+        q1, med, q3 = (quart.select(F.col("q")[i]).scalar() for i in range(3))
     iqr = q3 - q1
     lo_f, hi_f = q1 - 1.5 * iqr, q3 + 1.5 * iqr
     return df.filter(x.isNotNull()).agg(
@@ -158,14 +163,14 @@ def chi_square(df: DataFrame, row: str, col: str) -> DataFrame:
     statistic = sum over observed cells of O^2 * N / (R * C) - N, which equals
     sum over all cells of (O - E)^2 / E (empty cells contribute E, folded in).
     """
-    cells = df.groupBy(row, col).agg(F.count(F.lit(1)).cast("double").alias("o"))
-    rows = cells.groupBy(row).agg(F.sum("o").alias("r"))
-    cols = cells.groupBy(col).agg(F.sum("o").alias("c"))
-    n = cells.select(F.sum("o")).scalar()
+    cells = df.groupBy(row, col).agg(F.count(F.lit(1)).cast("double").alias("_o"))
+    rows = cells.groupBy(row).agg(F.sum("_o").alias("_r"))
+    cols = cells.groupBy(col).agg(F.sum("_o").alias("_c"))
+    n = cells.select(F.sum("_o")).scalar()
     n_rows = rows.select(F.count(F.lit(1))).scalar()
     n_cols = cols.select(F.count(F.lit(1))).scalar()
     return (cells.join(rows, row).join(cols, col)
-            .agg(F.round(F.sum(F.col("o") * F.col("o") * n / (F.col("r") * F.col("c"))) - n, 6)
+            .agg(F.round(F.sum(F.col("_o") * F.col("_o") * n / (F.col("_r") * F.col("_c"))) - n, 6)
                  .alias("statistic"))
             .select("statistic", ((n_rows - 1) * (n_cols - 1)).alias("dof")))
 
@@ -183,17 +188,12 @@ def chi_square_expected(df: DataFrame, row: str, col: str) -> DataFrame:
 
 
 def chi_square_test(df: DataFrame, row: str, col: str) -> DataFrame:
-    """E13 with p-value: Spark ML ``ChiSquareTest`` of ``row`` against ``col``."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-    from pyspark.ml.stat import ChiSquareTest
-
-    v = VectorAssembler(inputCols=[col], outputCol="_f").transform(
-        df.select(F.col(row).cast("double").alias("_label"), F.col(col).cast("double")))
-    res = ChiSquareTest.test(v, "_f", "_label")
-    return res.select(F.round(vector_to_array("statistics")[0], 6).alias("statistic"),
-                      F.col("degreesOfFreedom")[0].cast("long").alias("dof"),
-                      vector_to_array("pValues")[0].alias("p_value"))
+    """E13 with p-value: the upper tail of the chi-square distribution as a column expression.
+
+    Any number of row and column values; no vector per row as Spark ML's test needs.
+    """
+    return chi_square(df, row, col).select("statistic", F.col("dof").cast("long").alias("dof"),
+                                           F.round(chi_square_tail(F.col("statistic"), F.col("dof")), 9).alias("p_value"))
 
 
 def pattern_flag_contingency(lines: DataFrame, products: DataFrame, pattern: str) -> DataFrame:

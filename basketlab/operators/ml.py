@@ -295,15 +295,18 @@ def unused_features(spark: SparkSession, importance: DataFrame, features: Sequen
 
 def log_run(spark: SparkSession, runs_path: str, preset: Preset, metrics: DataFrame, seconds: float,
             dataset_version: str = "", model_version: str = "", commit: str = "", experiment: str = "",
-            stopped_on_test: bool = False) -> DataFrame:
-    """Append one run record (params, duration, metrics, versions) to a Parquet table.
+            stopped_on_test: bool = False, run_id: str | None = None) -> DataFrame:
+    """One run record (params, duration, metrics, versions) in a Parquet table, a folder per run.
+
+    A job that is run again with the ``run_id`` of its first try replaces its
+    record; by default each call is a run of its own.
 
     ``stopped_on_test`` records that the scored rows also chose the number of
     rounds, which flatters the metrics.
     """
-    run_id = uuid.uuid4().hex
+    run_id = run_id or uuid.uuid4().hex
     rec = metrics.select(
-        F.lit(run_id).alias("run_id"), F.lit(experiment).alias("experiment"), F.lit(preset.algorithm).alias("algorithm"),
+        F.lit(experiment).alias("experiment"), F.lit(preset.algorithm).alias("algorithm"),
         F.lit(json.dumps(preset.params, sort_keys=True)).alias("params"),
         F.lit(json.dumps(preset.unmapped, sort_keys=True)).alias("unmapped_params"),
         F.lit(stopped_on_test).alias("stopped_on_test"),
@@ -311,7 +314,7 @@ def log_run(spark: SparkSession, runs_path: str, preset: Preset, metrics: DataFr
         F.lit(model_version).alias("model_version"), F.lit(commit).alias("commit"),
         F.current_timestamp().alias("logged_at"),
         "precision", "recall", "f1", "auc", "logloss")
-    rec.write.mode("append").parquet(runs_path)
+    rec.write.mode("overwrite").parquet(f"{runs_path.rstrip('/')}/run_id={run_id}")
     return spark.read.parquet(runs_path).filter(F.col("run_id") == run_id)
 
 

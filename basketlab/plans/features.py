@@ -28,6 +28,9 @@ TRAIN_MATRIX_COLUMNS = ("user_id", "product_id", "reordered", *TM.TIME_FEATURES,
                         *P.PRODUCT_FEATURES, *X.USER_PRODUCT_FEATURES)
 
 
+UNFOLD = 1024  # lines of an (order, product) that are unfolded at once
+
+
 class FeatureSet:
     """Feature groups over ``lines`` (history order lines) and ``orders``.
 
@@ -119,18 +122,19 @@ class FeatureSet:
     def _line_spine(self) -> DataFrame:
         """One row per history line with its order attributes.
 
-        When no (order, product) pair has two lines -- one scalar aggregate
-        over the written per-(order, product) table says so -- that table is
-        the spine and the lines are not joined with the orders a second
-        time.  With duplicate lines the joined base keeps one row per line.
+        The per-(order, product) table knows how many lines a row stands for and
+        how many of them are reordered, not reordered and without a label, so
+        the lines are not joined with the orders a second time: a row is unfolded
+        into its lines, in parts of ``UNFOLD``.
         """
         cols = ("user_id", "product_id", "reordered", "order_dow", "order_hour_of_day")
         if self.target_lines is not None:
             return B.base_lines(self.target_lines, self.target_orders).select(*cols)
-        if self.materialize and (self.op.agg(F.max("m")).first()[0] or 0) <= 1:
-            return self.op.select("user_id", "product_id", F.col("reord_sum").cast("int").alias("reordered"),
-                                  "order_dow", "order_hour_of_day")
-        return self.base.select(*cols)
+        part, zero = F.col("part") * UNFOLD, F.lit(0).cast("long")
+        line = F.when(F.col("line") < F.col("reord_sum"), 1).when(F.col("line") < F.col("reord_cnt"), 0)
+        return (self.op.withColumn("part", F.explode(F.sequence(zero, F.floor((F.col("m") - 1) / UNFOLD))))
+                .withColumn("line", F.explode(F.sequence(part, F.least(part + UNFOLD, "m") - 1)))
+                .withColumn("reordered", line.cast("int")).select(*cols))
 
     def train_matrix(self) -> DataFrame:
         """A1: one row per history line: keys, label and the 34 features.

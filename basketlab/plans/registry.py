@@ -13,7 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from basketlab.functions.skew import skew_join
+from basketlab.operators import base as B
 from basketlab.operators import eda as E
+from basketlab.operators import glm as GLM
 from basketlab.operators import metrics as MT
 from basketlab.operators import ml as ML
 from basketlab.operators import product as P
@@ -86,6 +89,14 @@ def base_lines(spark, sf_dir):
     return fs.base.drop("order_matched")
 
 
+@query
+def base_lines_skewed(spark, sf_dir):
+    """J1 with the heavy-hitter join: hot orders are dealt over several tasks."""
+    t = tables(spark, sf_dir)
+    orders = t.history_orders().select("order_id", *B.ORDER_ATTRS)
+    return skew_join(t.history_lines().select(*B.LINE_COLS), orders, ["order_id"], support=0.001)
+
+
 # ---------------------------------------------------------------- user
 @query
 def user_reorder_frequency(spark, sf_dir):
@@ -375,6 +386,14 @@ def box_stats(spark, sf_dir):
             .unionByName(E.box_stats(t.orders, "order_number")))
 
 
+@query
+def box_stats_unbounded(spark, sf_dir):
+    """E9 on money columns, whose distinct values grow with the rows: quartiles by refined counts."""
+    read = lambda name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return (E.box_stats(read("orders"), "o_totalprice", bounded=False)
+            .unionByName(E.box_stats(read("lineitem"), "l_extendedprice", bounded=False)))
+
+
 @query
 def corr_pearson(spark, sf_dir):
     return E.corr_pearson(tables(spark, sf_dir).orders, "order_number", "days_since_prior_order")
@@ -624,6 +643,14 @@ def train_glm(spark, sf_dir):
     return ML.train_and_evaluate(*_matrices(spark, sf_dir), ML.PRESETS["glm"]())
 
 
+@query
+def glm_path(spark, sf_dir):
+    """Elastic-net logistic regression along a path of penalties, one row per penalty."""
+    train, _ = _matrices(spark, sf_dir)
+    path = _once(spark, sf_dir, "glm path", lambda: GLM.fit_path(train, ML.feature_columns(train)))
+    return GLM.history(spark, path)
+
+
 @query
 def cv_folds(spark, sf_dir):
     train, _ = _matrices(spark, sf_dir)
@@ -700,6 +727,16 @@ def sink_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def infer_schema(spark, sf_dir):
+    """The orders written as a header-CSV file, their types inferred from all rows."""
+    from basketlab.sources.infer import infer_types
+    path = scratch_path(spark, f"orders_csv_{uuid.uuid4().hex[:12]}")
+    tables(spark, sf_dir).orders.select("order_id", "user_id", "order_number", "order_dow", "order_hour_of_day", "days_since_prior_order",
+                                        "eval_set").write.option("header", True).csv(path)
+    return infer_types(spark, path)
+
+
 @query
 def csv_roundtrip(spark, sf_dir):
     """Header-less CSV + schema manifest, read back with the manifest's types."""

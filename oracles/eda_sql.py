@@ -134,3 +134,25 @@ SELECT CAST(add_to_cart_order AS VARCHAR) AS add_to_cart_order, count(*) AS tota
        CAST(sum(reordered) AS BIGINT) AS reorder_count, sum(reordered) / count(*) * 100 AS reorder_cart_ratio
 FROM b_prior GROUP BY add_to_cart_order"""),
 }
+
+ORACLES["box_stats_unbounded"] = q(_box("orders", "o_totalprice") + " UNION ALL " + _box("lineitem", "l_extendedprice"))
+
+# upper tail of the chi-square distribution with an even number of degrees of freedom (138 here): a finite Poisson sum
+ORACLES["chi_square_test"] = ORACLES["chi_square"].replace("SELECT round(sum((o - e)", ", st AS (SELECT round(sum((o - e)") + """)
+SELECT statistic, CAST(dof AS BIGINT) AS dof,
+       round(list_sum(list_transform(range(0, CAST(dof // 2 AS BIGINT)),
+                                     lambda i: exp(-statistic / 2 + i * ln(statistic / 2) - lgamma(i + 1)))), 9) AS p_value FROM st"""
+
+
+def _typed(position: int, column: str) -> str:
+    return f"""
+SELECT {position} AS position, '{column}' AS column_name, count(*) AS rows, count(*) - count({column}) AS nulls,
+       CAST(0 AS BIGINT) AS n_boolean, count(*) FILTER (WHERE abs({column}) <= 2147483647) AS n_int,
+       count(*) FILTER (WHERE abs({column}) > 2147483647) AS n_long, CAST(0 AS BIGINT) AS n_double, CAST(0 AS BIGINT) AS n_date,
+       CAST(0 AS BIGINT) AS n_timestamp, CAST(0 AS BIGINT) AS n_string,
+       CASE WHEN max(abs({column})) > 2147483647 THEN 'long' ELSE 'int' END AS inferred, CAST(0 AS BIGINT) AS conflicts FROM b_orders"""
+
+
+ORACLES["infer_schema"] = q(" UNION ALL ".join(_typed(i, c) for i, c in enumerate(
+    ["order_id", "user_id", "order_number", "order_dow", "order_hour_of_day", "days_since_prior_order"])) + """ UNION ALL
+SELECT 6, 'eval_set', count(*), count(*) - count(eval_set), 0, 0, 0, 0, 0, 0, count(eval_set), 'string', 0 FROM b_orders""")

@@ -308,3 +308,5 @@ SELECT feature, bin, threshold, CAST(left_g AS DOUBLE) AS left_g, CAST(left_h AS
          greatest(abs(left_g) - 89, 0) ** 2 / (left_h + 11) + greatest(abs(g - left_g) - 89, 0) ** 2 / (h - left_h + 11)
          - greatest(abs(g) - 89, 0) ** 2 / (h + 11), 6) END AS gain
 FROM parts""")
+
+ORACLES["base_lines_skewed"] = ORACLES["base_lines"]
