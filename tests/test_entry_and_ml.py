@@ -104,7 +104,7 @@ def test_continued_training_reports_each_fold(spark):
     assert [x.loss_before for x in r[1:]] == [x.loss_after for x in r[:-1]] and len(models) == 3
 
 
-@pytest.mark.parametrize("gone", [("corpus_pipeline",), ("basketlab.llm",), ("corpus_pipeline", "basketlab.llm")])
+@pytest.mark.parametrize("gone", [("corpus_pipeline",), ("basketlab.llm",), ("corpus_pipeline", "basketlab.llm"), ("public_tokenizers",)])
 def test_entry_without_the_optional_part(gone):
     import subprocess
     import sys
