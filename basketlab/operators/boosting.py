@@ -37,7 +37,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need no ins
 SCALE = 1 << 26  # of a gradient in a sum; 2**36 rows fit a long
 LOSS_SCALE = 1 << 20
 LEAST_GAIN = 1e-6
-BINNED = "id long, y double, evaluated boolean, trained boolean, bins binary, margin double"
+BLOCK = 8192  # rows packed into one row of the working table
+BINNED = "n int, id binary, y binary, evaluated binary, trained binary, bins binary, margin binary"
+KINDS = {"id": "<u8", "y": "<f8", "evaluated": "?", "trained": "?", "bins": "u1", "margin": "<f8"}  # of the packed columns
+DIRECT = 32  # tasks whose cells the driver adds up itself
 
 
 @dataclass(frozen=True)
@@ -123,36 +126,47 @@ def cut_points(rows: DataFrame, features: Sequence[str], params: Params) -> list
     return [sorted({v for v in r[f"q{i}"] or [] if v > r[f"lo{i}"]}) for i in range(len(features))]
 
 
-def binned(rows: DataFrame, features: Sequence[str], label: str, cuts: list[list[float]], evaluated, trained) -> DataFrame:
-    """A byte per feature (the number of cuts that aren't above the value; NULL and NaN count as 0), the label and a hash of the row."""
-    from pyspark.sql import types as T
+def packed(columns: dict):
+    """A record batch of blocks: per column the bytes of up to ``BLOCK`` rows."""
+    import numpy as np
+    import pyarrow as pa
+    rows = len(columns["y"])
+    at = range(0, rows, BLOCK)
+    out = [pa.array([min(BLOCK, rows - i) for i in at], pa.int32())]
+    for name, kind in KINDS.items():
+        values = np.ascontiguousarray(columns[name]).astype(kind, copy=False)
+        out.append(pa.array([values[i:i + BLOCK].tobytes() for i in at], pa.binary()))
+    return pa.RecordBatch.from_arrays(out, names=["n", *KINDS])
+
+
+def unpacked(batch):
+    """The blocks of a record batch: per block a dictionary of its columns; bins as a matrix."""
+    import numpy as np
+    for k, n in enumerate(batch.column("n").to_pylist()):
+        own = {c: np.frombuffer(batch.column(c)[k].as_buffer(), kind) for c, kind in KINDS.items()}
+        own["bins"] = own["bins"].reshape(n, -1)
+        yield own
+
+
+def binned(rows: DataFrame, features: Sequence[str], label: str, cuts: list[list[float]], base: float, evaluated: bool, trained: bool) -> DataFrame:
+    """Blocks of rows: a byte per feature (the number of cuts that aren't above the value; NULL and NaN count as 0),
+    the label, a hash of the row and its first margin."""
     x = F.array(*[filled(c) for c in features])
-    own = rows.select(F.xxhash64(*[F.col(c) for c in rows.columns]).alias("id"), F.col(label).cast("double").alias("y"),
-                      evaluated.alias("evaluated"), trained.alias("trained"), x.alias("x"))
+    own = rows.select(F.xxhash64(*[F.col(c) for c in rows.columns]).alias("id"), F.col(label).cast("double").alias("y"), x.alias("x"))
 
     def run(batches):
         import numpy as np
-        import pyarrow as pa
         at = [np.array(c) for c in cuts]
         for b in batches:
-            flat = b.column(4).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-            bins = np.stack([np.searchsorted(c, flat[:, j], side="right") for j, c in enumerate(at)], axis=1).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(4)), pa.array([r.tobytes() for r in bins], pa.binary()),
-                                              pa.array(np.zeros(b.num_rows))], names=["id", "y", "evaluated", "trained", "bins", "margin"])
+            n = b.num_rows
+            flat = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+            bins = np.stack([np.searchsorted(c, flat[:, j], side="right") for j, c in enumerate(at)], axis=1)
+            yield packed({"id": b.column(0).to_numpy().view(np.uint64), "y": b.column(1).to_numpy(), "bins": bins, "margin": np.full(n, base),
+                          "evaluated": np.full(n, evaluated), "trained": np.full(n, trained)})
 
-    assert isinstance(own.schema["y"].dataType, T.DoubleType)
     return own.mapInArrow(run, BINNED)
 
 
-def bin_matrix(column, features: int):
-    import numpy as np
-    import pyarrow as pa
-    a = column if isinstance(column, pa.Array) else column.combine_chunks()
-    offsets = np.frombuffer(a.buffers()[1], np.int32)[a.offset:a.offset + len(a) + 1]
-    data = np.frombuffer(a.buffers()[2], np.uint8)[offsets[0]:offsets[-1]] if len(a) else np.zeros(0, np.uint8)
-    return data.reshape(len(a), features)
-
-
 def leaf_of(tree: list[Node], bins):
     """The leaf, by number, that each row of a bin matrix reaches."""
     import numpy as np
@@ -179,14 +193,14 @@ def drawn(ids, share: float, seed: int):
     import numpy as np
     if share >= 1:
         return np.ones(len(ids), bool)
-    x = ids.view(np.uint64) ^ np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % (1 << 64))
+    x = ids ^ np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % (1 << 64))
     for shift, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(times)
     return (x ^ (x >> np.uint64(31))) / float(1 << 64) < share
 
 
 def histograms(table: DataFrame, pending: list[list[Node]], growing: list[list[Node]], wanted: list[tuple[int, int]], features: list[int],
-               n_features: int, params: Params, seeds: list[int], with_loss: bool):
+               params: Params, seeds: list[int], with_loss: bool, tasks: int):
     """Cells of the wanted (tree, leaf) pairs: ``{(tree, leaf): int array [feature, bin, (g, h, n)]}``, and the loss sum and rows.
 
     ``pending`` are the trees since the margins were written.
@@ -200,20 +214,18 @@ def histograms(table: DataFrame, pending: list[list[Node]], growing: list[list[N
         import pyarrow as pa
         total = np.zeros((len(wanted), len(features), width, 3))
         loss, evaluated = 0, 0
-        for b in batches:
-            bins = bin_matrix(b.column("bins"), n_features)
-            y = b.column("y").to_numpy()
-            margin = b.column("margin").to_numpy() + margins(pending, bins)
+        for b in (block for batch in batches for block in unpacked(batch)):
+            bins, y = b["bins"], b["y"]
+            margin = b["margin"] + margins(pending, bins)
             p = 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
             if with_loss:
-                own = b.column("evaluated").to_numpy(zero_copy_only=False)
+                own = b["evaluated"]
                 q = np.clip(np.where(y > 0, p, 1 - p)[own], 1e-15, 1)
                 loss += int(np.rint(-np.log(q) * LOSS_SCALE).sum())
                 evaluated += int(own.sum())
-            trained = b.column("trained").to_numpy(zero_copy_only=False)
             g, h = np.rint((p - y) * SCALE), np.rint(p * (1 - p) * SCALE)
             for t, tree in enumerate(growing):
-                rows = np.flatnonzero(trained & drawn(b.column("id").to_numpy(), params.subsample, seeds[t]))
+                rows = np.flatnonzero(b["trained"] & drawn(b["id"], params.subsample, seeds[t]))
                 node = leaf_of(tree, bins[rows])
                 at = np.array([slot.get((t, k), -1) for k in range(len(tree))])[node]
                 rows, at = rows[at >= 0], at[at >= 0]
@@ -227,8 +239,11 @@ def histograms(table: DataFrame, pending: list[list[Node]], growing: list[list[N
         if with_loss:
             yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([loss]), pa.array([0]), pa.array([evaluated])], names=["cell", "g", "h", "n"])
 
-    cells = (table.mapInArrow(run, "cell long, g long, h long, n long").groupBy("cell")
-             .agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))).toPandas()
+    cells = table.mapInArrow(run, "cell long, g long, h long, n long")
+    sums = [F.sum(c).alias(c) for c in ("g", "h", "n")]
+    if tasks > DIRECT:  # otherwise at most that many rows per cell reach the driver
+        cells = cells.groupBy("cell").agg(*sums)
+    cells = cells.toPandas().groupby("cell", as_index=False).sum()
     out = np.zeros((len(wanted) * len(features) * width, 3))
     own = cells[cells.cell >= 0]
     out[own.cell.to_numpy()] = own[["g", "h", "n"]].to_numpy() / np.array([SCALE, SCALE, 1])
@@ -381,16 +396,16 @@ def fit_boosted(train: DataFrame, features: Sequence[str], params: Params, label
     score = params.base_score if start or params.base_score is not None else rows.agg(F.avg(F.col(label).cast("double"))).first()[0]
     score = min(max(0.5 if score is None else score, 1e-7), 1 - 1e-7)
     base = start.base_margin if start else math.log(score / (1 - score))
-    yes, no = F.lit(True), F.lit(False)
-    data = binned(rows, features, label, cuts, yes if evaluation is None else no, yes)
+    data = binned(rows, features, label, cuts, base, evaluation is None, True)
     if evaluation is not None:
-        data = data.unionByName(binned(evaluation.filter(F.col(label).isNotNull()).select(label, *features), features, label, cuts, yes, no))
+        data = data.unionByName(binned(evaluation.filter(F.col(label).isNotNull()).select(label, *features), features, label, cuts, base, True, False))
     before = start.used if start else []
-    table = materialize(with_margins(data.withColumn("margin", F.lit(base)), before, len(features)), "boosting_rows")
+    table = materialize(with_margins(data, before), "boosting_rows")
     model = Ensemble(features, cuts, base, list(before), params.trees_per_round if not start else start.per_round)
     if start and start.per_round != params.trees_per_round:
         raise ValueError("continued training needs the same number of trees per round")
     pending: list[list[Node]] = []
+    tasks = table.rdd.getNumPartitions()
     first, best = len(before) // model.per_round, (math.inf, 0)
     for r in range(params.rounds + 1):
         last = r == params.rounds  # a last job for the loss after the last round
@@ -404,7 +419,7 @@ def fit_boosted(train: DataFrame, features: Sequence[str], params: Params, label
             wanted = [(t, k) for t, (_, own) in enumerate(asked) for k in own]
             if not wanted and not with_loss:
                 break
-            found, loss = histograms(table, pending, [tree for tree, _ in asked], wanted, columns, len(features), params, seeds, with_loss)
+            found, loss = histograms(table, pending, [tree for tree, _ in asked], wanted, columns, params, seeds, with_loss, tasks)
             if with_loss and r:
                 model.losses.append(loss[0] / loss[1] if loss[1] else math.nan)
                 if model.losses[-1] < best[0]:
@@ -420,20 +435,19 @@ def fit_boosted(train: DataFrame, features: Sequence[str], params: Params, label
             pending.append(g.nodes)
             model.trees.append(g.nodes)
         if (r + 1) % params.checkpoint_rounds == 0 and r + 1 < params.rounds:
-            table, pending = materialize(with_margins(table, pending, len(features)), "boosting_rows"), []
+            table, pending = materialize(with_margins(table, pending), "boosting_rows"), []
     return model
 
 
-def with_margins(table: DataFrame, trees: list[list[Node]], n_features: int) -> DataFrame:
+def with_margins(table: DataFrame, trees: list[list[Node]]) -> DataFrame:
     """The binned rows with the trees' values added to their margins."""
     if not trees:
         return table
 
     def run(batches):
-        import pyarrow as pa
-        for b in batches:
-            m = b.column("margin").to_numpy() + margins(trees, bin_matrix(b.column("bins"), n_features))
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(5)), pa.array(m)], names=b.schema.names)
+        for batch in batches:
+            for b in unpacked(batch):
+                yield packed({**b, "margin": b["margin"] + margins(trees, b["bins"])})
 
     return table.mapInArrow(run, BINNED)
 
@@ -509,8 +523,8 @@ def root_gains(rows: DataFrame, features: Sequence[str], params: Params, label:
     features = list(features)
     rows = rows.filter(F.col(label).isNotNull()).select(label, *features)
     cuts = cut_points(rows, features, params)
-    data = binned(rows, features, label, cuts, F.lit(False), F.lit(True))
-    found, _ = histograms(data, [], [[Node()]], [(0, 0)], list(range(len(features))), len(features), replace(params, subsample=1.0), [0], False)
+    data = binned(rows, features, label, cuts, 0.0, False, True)
+    found, _ = histograms(data, [], [[Node()]], [(0, 0)], list(range(len(features))), replace(params, subsample=1.0), [0], False, DIRECT + 1)
     cells = found[0, 0]
     gains, left = split_gains(cells, params), cells.cumsum(axis=1)
     out = [(f, b, float(c), float(left[j, b - 1, 0]), float(left[j, b - 1, 1]), int(left[j, b - 1, 2]),
