@@ -235,22 +235,27 @@ def histograms(table: DataFrame, pending: list[list[Node]], growing: list[list[N
                         total[:, j, :, k] += np.bincount(cell, w, len(wanted) * width).reshape(len(wanted), width)
         flat = total.reshape(-1, 3)
         some = np.flatnonzero(flat[:, 2])
-        yield pa.RecordBatch.from_arrays([pa.array(some), *(pa.array(flat[some, k].astype(np.int64)) for k in range(3))], names=["cell", "g", "h", "n"])
+        cells = np.concatenate([[some], flat[some].T.astype(np.int64)])
         if with_loss:
-            yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([loss]), pa.array([0]), pa.array([evaluated])], names=["cell", "g", "h", "n"])
-
-    cells = table.mapInArrow(run, "cell long, g long, h long, n long")
-    sums = [F.sum(c).alias(c) for c in ("g", "h", "n")]
-    if tasks > DIRECT:  # otherwise at most that many rows per cell reach the driver
-        cells = cells.groupBy("cell").agg(*sums)
-    cells = cells.toPandas().groupby("cell", as_index=False).sum()
-    out = np.zeros((len(wanted) * len(features) * width, 3))
-    own = cells[cells.cell >= 0]
-    out[own.cell.to_numpy()] = own[["g", "h", "n"]].to_numpy() / np.array([SCALE, SCALE, 1])
-    lost = cells[cells.cell < 0]
-    loss = (int(lost.g.iloc[0]) / LOSS_SCALE, int(lost.n.iloc[0])) if len(lost) else (0.0, 0)
-    out = out.reshape(len(wanted), len(features), width, 3)
-    return {w: out[k] for w, k in slot.items()}, loss
+            cells = np.concatenate([cells, [[-1], [loss], [0], [evaluated]]], axis=1)
+        if tasks <= DIRECT:
+            yield pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(cells).tobytes()])], names=["cells"])
+        else:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], names=["cell", "g", "h", "n"])
+
+    if tasks <= DIRECT:  # a row per task
+        parts = [np.frombuffer(r.cells, np.int64).reshape(4, -1) for r in table.mapInArrow(run, "cells binary").collect()]
+        own = np.concatenate(parts, axis=1) if parts else np.zeros((4, 0), np.int64)
+    else:  # a row per cell
+        sums = [F.sum(c).alias(c) for c in ("g", "h", "n")]
+        own = table.mapInArrow(run, "cell long, g long, h long, n long").groupBy("cell").agg(*sums).toPandas().to_numpy().T
+    lost = own[1:, own[0] < 0].sum(axis=1)
+    own = own[:, own[0] >= 0]
+    out = np.zeros((len(wanted) * len(features) * width, 3), np.int64)
+    for k in range(3):
+        np.add.at(out[:, k], own[0], own[k + 1])
+    out = (out / np.array([SCALE, SCALE, 1])).reshape(len(wanted), len(features), width, 3)
+    return {w: out[k] for w, k in slot.items()}, (lost[0] / LOSS_SCALE, int(lost[2]))
 
 
 def shrunk(g, alpha: float):

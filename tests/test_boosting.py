@@ -102,11 +102,14 @@ def test_trees_equal_row_by_row_growth(frames, kw):
     assert m.losses[-1] == pytest.approx(loss, abs=1e-5)
 
 
-def test_same_model_from_any_partitioning(frames):
+def test_same_model_from_any_partitioning(frames, monkeypatch):
     p = B.Params(rounds=4, max_depth=3, subsample=0.6, colsample_bytree=0.7, colsample_bylevel=0.7, trees_per_round=2, patience=None)
     a, b = (B.fit_boosted(frames[1].repartition(n), FEATURES, p) for n in (1, 5))
     assert a.trees == b.trees and a.losses == b.losses and len(a.trees) == 8
     assert any(t[0].rows < 300 for t in a.trees)  # each tree has a sample of the rows
+    monkeypatch.setattr(B, "DIRECT", 0)  # cells added up by an aggregate
+    c = B.fit_boosted(frames[1], FEATURES, p)
+    assert a.trees == c.trees and a.losses == c.losses
 
 
 def test_stops_while_training(frames):
