@@ -255,7 +255,7 @@ def histograms(table: DataFrame, pending: list[list[Node]], growing: list[list[N
     for k in range(3):
         np.add.at(out[:, k], own[0], own[k + 1])
     out = (out / np.array([SCALE, SCALE, 1])).reshape(len(wanted), len(features), width, 3)
-    return {w: out[k] for w, k in slot.items()}, (lost[0] / LOSS_SCALE, int(lost[2]))
+    return {w: out[k] for w, k in slot.items()}, (float(lost[0]) / LOSS_SCALE, int(lost[2]))
 
 
 def shrunk(g, alpha: float):

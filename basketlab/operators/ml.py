@@ -133,10 +133,10 @@ def booster_preset(max_iter: int | None = None, params: dict | None = None) -> P
 
 
 PRESETS = {
-    "gbt": lambda n=20: Preset("gbt", dict(maxIter=n, maxDepth=4, stepSize=0.1, lossType="logistic", seed=42)),
+    "gbt": lambda n=50: Preset("gbt", dict(maxIter=n, maxDepth=4, stepSize=0.1, lossType="logistic", seed=42)),
     "gbt_alt": lambda n=20: Preset("gbt_alt", dict(maxIter=n, maxDepth=6, stepSize=0.05, subsamplingRate=0.8,
                                                    featureSubsetStrategy="0.8", minInstancesPerNode=20, seed=7)),
-    "rf": lambda n=20: Preset("rf", dict(numTrees=n, maxDepth=6, featureSubsetStrategy="onethird",
+    "rf": lambda n=100: Preset("rf", dict(numTrees=n, maxDepth=6, featureSubsetStrategy="onethird",
                                          subsamplingRate=0.8, seed=42)),
     "glm": lambda n=50: Preset("glm", dict(maxIter=n, regParam=0.01, elasticNetParam=0.5, standardization=True)),
 }

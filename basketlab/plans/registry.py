@@ -562,16 +562,26 @@ def _validation(train):
     return train.filter(~held), train.filter(held)
 
 
+def _stopped(spark, sf_dir, preset):
+    """Features and a booster stopped by held-out users, trained once per application."""
+    def make():
+        own, held = _validation(_matrices(spark, sf_dir)[0])
+        return BO.fit_boosted(own, ML.feature_columns(own), BO.Params(**preset.params), evaluation=held)
+
+    model = _once(spark, sf_dir, f"booster {preset}", make)
+    return model.features, model
+
+
 def _boosted(spark, sf_dir, preset):
     """One row: rounds run, trees that count and the metrics on the test matrix, stopped by held-out users."""
-    train, test = _matrices(spark, sf_dir)
-    feats = ML.feature_columns(train)
-    own, held = _validation(train)
-    model = BO.fit_boosted(own, feats, BO.Params(**preset.params), evaluation=held)
-    return ML.evaluate(ML.score(model, test, feats)).select(
+    feats, model = _stopped(spark, sf_dir, preset)
+    return ML.evaluate(ML.score(model, _matrices(spark, sf_dir)[1], feats)).select(
         F.lit(preset.algorithm).alias("algorithm"), F.lit(len(model.losses)).alias("rounds"), F.lit(len(model.used)).alias("trees_used"), "*")
 
 
+BOOSTER = ML.boosted_preset("boosted", {"rounds": 500, "early_stopping_rounds": 30}, ML.BOOSTER_NAMES)  # the trainer's own rounds and patience
+
+
 @query
 def train_gbt_reference_params(spark, sf_dir):
     """M2: the reference's final parameters with all of its rounds, penalties included."""
@@ -586,7 +596,7 @@ def train_gbt_reference_params(spark, sf_dir):
 @query
 def train_gbt_early_stop(spark, sf_dir):
     """M6/M8: up to 500 rounds, ended while training by a user-level validation set with the reference's patience."""
-    return _boosted(spark, sf_dir, ML.boosted_preset("boosted", {"rounds": 500, "early_stopping_rounds": 30}, ML.BOOSTER_NAMES))
+    return _boosted(spark, sf_dir, BOOSTER)
 
 
 @query
@@ -620,12 +630,10 @@ def train_continued(spark, sf_dir):
 @query
 def load_predict(spark, sf_dir):
     """The trained booster saved, loaded and used on the test matrix: keys, label, and whether the scores agree."""
-    train, test = _matrices(spark, sf_dir)
-    feats = ML.feature_columns(train)
-    model = _once(spark, sf_dir, "model boosted", lambda: BO.fit_boosted(train, feats, BO.Params(rounds=20, patience=None)))
+    _, model = _stopped(spark, sf_dir, BOOSTER)
     path = scratch_path(spark, f"booster_{uuid.uuid4().hex[:12]}")
     BO.save(spark, model, path)
-    rows = test.withColumn("label", F.col("reordered").cast("int"))
+    rows = _matrices(spark, sf_dir)[1].withColumn("label", F.col("reordered").cast("int"))
     before = BO.predict(model, rows, ["user_id", "product_id", "label"])
     after = BO.predict(BO.load(spark, path), rows, ["user_id", "product_id", "label"])
     return (after.join(before.select(F.struct("user_id", "product_id").alias("of"), F.col("score").alias("score_before")),
@@ -666,7 +674,7 @@ def _fitted(spark, sf_dir, kind):
 
 @query
 def score(spark, sf_dir):
-    _, feats, model = _fitted(spark, sf_dir, "gbt")
+    feats, model = _stopped(spark, sf_dir, BOOSTER)
     return ML.score(model, _matrices(spark, sf_dir)[1], feats)
 
 
@@ -685,20 +693,20 @@ def fold_sizes(spark, sf_dir):
 
 @query
 def feature_importance(spark, sf_dir):
-    _, feats, model = _fitted(spark, sf_dir, "gbt")
+    feats, model = _stopped(spark, sf_dir, BOOSTER)
     return ML.feature_importance(spark, model, feats)
 
 
 @query
 def unused_features(spark, sf_dir):
-    _, feats, model = _fitted(spark, sf_dir, "gbt")
+    feats, model = _stopped(spark, sf_dir, BOOSTER)
     return ML.unused_features(spark, ML.feature_importance(spark, model, feats), feats)
 
 
 @query
 def loss_history(spark, sf_dir):
-    train, feats, model = _fitted(spark, sf_dir, "gbt")
-    return ML.loss_history(spark, model, train, feats)
+    feats, model = _stopped(spark, sf_dir, BOOSTER)
+    return ML.loss_history(spark, model, _matrices(spark, sf_dir)[0], feats)
 
 
 @query
