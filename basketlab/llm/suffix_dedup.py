@@ -1,15 +1,16 @@
-"""Removal of long repeated byte strings with a logarithmic family of suffix arrays.
+"""Removal of long repeated byte strings with a logarithmic family of fingerprint indexes.
 
 Every string of ``match`` bytes holds anchors: the position whose ``gram``
 bytes have the smallest hash.  Equal strings have equal anchors, so it is
 enough to index the suffixes at anchors instead of all suffixes.  Consecutive
-strings with the same anchor form a *run*; an entry of a suffix array stands
+strings with the same anchor form a *run*; an entry of an index stands
 for one run and is ordered by two 64-bit fingerprints: of the anchor's gram
-(``k0``) and of all bytes of the run (``k1``).
+(``k0``) and of all bytes of the run (``k1``), not by the bytes themselves, so
+this is no suffix array in the strict sense.
 
-Batches of documents get a suffix array each, built where the texts are read.
+Batches of documents get an index each, built where the texts are read.
 The entries are dealt to shards by their gram.  A shard keeps a family of
-arrays: a new batch's array is merge-scanned against the levels present, and
+indexes: a new batch's entries are looked up in the levels present, and
 levels of equal size merge, so n batches leave at most log2(n) levels.  An
 entry found in a level repeats an earlier run byte for byte.  Runs that share
 only their gram with other runs may still hold equal strings: their strings
