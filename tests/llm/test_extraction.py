@@ -1,6 +1,8 @@
+import random
+
 import pytest
 
-from basketlab.llm.extraction import Extractor, extract_text, fit_weights
+from basketlab.llm.extraction import Extractor, extract_text, fit_weights, token_class
 
 P = "Some words of running text that make up a paragraph of the page."
 P_ = f"<p>{P}</p>"
@@ -87,6 +89,55 @@ def test_attributes_that_name_surroundings(get, attrs):
     assert get.text(page(f"<article>{P_}<div {attrs}><p>no</p></div>{P_}</article>")) == f"{P}\n{P}"
 
 
+@pytest.mark.parametrize("tag", ["article class='post ad-free'", "div class='entry comments-open'", "article class='entry social-science'"])
+def test_names_of_the_text_beat_words_of_its_layout(get, tag):
+    assert get.text(page(f"{MENU}<{tag}>{P_ * 3}</{tag.split()[0]}>")) == "\n".join([P] * 3)
+
+
+@pytest.mark.parametrize("tag", ["section class='social-science'", "div class='related-work'", "p class='alert-threshold'"])
+def test_topics_inside_an_article(get, tag):
+    assert get.text(page(f"<article>{P_}<{tag}>{P}</{tag.split()[0]}>{P_}</article>")) == "\n".join([P] * 3)
+
+
+@pytest.mark.parametrize("name", ["related-posts", "ad-leaderboard", "share-buttons", "cookie-notice", "reader-comments", "post-comments",
+                                  "promo-card", "comments-list", "newsletter-box", "ad-300x250", "notice"])
+def test_surroundings_inside_an_article(get, name):
+    assert get.text(page(f"<article>{P_}<div class='{name}'><p>no words</p></div>{P_}</article>")) == f"{P}\n{P}"
+
+
+LINKS = "<ul>" + "".join(f"<li><a href=x>Source number {i}</a></li>" for i in range(5)) + "</ul>"
+LINES = "\n".join(f"Source number {i}" for i in range(5))
+TOPICS = "<div>" + "<a href=x>Topic</a> | " * 8 + "</div>"
+NUMBERS = "<table>" + "".join(f"<tr><td>{i}</td><td>{i * 3}</td><td>{i * 7}</td></tr>" for i in range(20)) + "</table>"
+PLAIN = {  # pages without an article element
+    "a table inside": (f"<div>{P_ * 3}{NUMBERS}{P_ * 3}</div>",
+                       "\n".join([P] * 3 + [str(i * k) for i in range(20) for k in (1, 3, 7)] + [P] * 3)),
+    "contents": (f"<div><h2>Contents</h2>{LINKS}{P_ * 3}</div>", "\n".join(["Contents", LINES] + [P] * 3)),
+    "sources": (f"<div>{P_ * 3}<h2>Sources</h2>{LINKS}</div>", "\n".join([P] * 3 + ["Sources", LINES])),
+}
+
+
+@pytest.mark.parametrize("name", PLAIN)
+def test_the_region_decides(get, name, monkeypatch):
+    body, text = PLAIN[name]
+    html = page(f"{TOPICS}{body}{TOPICS}<div>Imprint</div>")
+    assert get.text(html) == text
+    monkeypatch.setattr(get, "region", lambda items: (0, len(items) - 1))
+    assert get.text(html) != text
+
+
+def test_region_against_all_stretches(get):
+    rng = random.Random(4)
+    words = ["word", "two words", "<p>", "</p>", "<div>", "</div>", "<a href=x>", "</a>", "<h2>", "</h2>", "<nav>", "</nav>", "<td>", " "]
+    for _ in range(300):
+        items = list(get.parse.items("".join(rng.choices(words, k=rng.randint(0, 25)))))
+        scores = [get.weights.get(token_class(k, v, out, h, a), get.other_tag if k == "tag" else 0.0) * (len(v.split()) if k == "text" else 1)
+                  for k, v, out, _, h, a, _ in items]
+        best = max([0.0, *(sum(scores[i:j]) for i in range(len(items)) for j in range(i + 1, len(items) + 1))])
+        first, last = get.region(items)
+        assert sum(scores[first:last + 1]) == pytest.approx(best)
+
+
 def test_edges(get):
     assert get.text("") == ""
     assert get.text("just words") == "just words"
