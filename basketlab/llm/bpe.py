@@ -5,7 +5,8 @@ each distinct word once.  The words become rows (word, position, token); one
 step of a recursive query joins neighbouring tokens with the merge table,
 finds each word's leftmost pair of minimum rank and contracts it; words
 without a pair leave the recursion.  An ordered aggregation turns the rows
-into the word's ids and, joined with the vocabulary, back into its bytes.
+into the word's ids.  Decoding joins the rows (text, position, id) of a text's
+ids with the vocabulary and aggregates the pieces in order.
 
 The recursion keeps the rows of all its steps, about half the square of a
 word's bytes.  Words of over ``LONG`` bytes are contracted in the same order
@@ -42,8 +43,7 @@ WITH RECURSIVE step(word, pos, tok, next, nextpos, n) AS (
     WHERE s.pos <> gone)
 ),
 last AS (SELECT word, max(n) AS n FROM step GROUP BY word)
-SELECT word, string_agg(entry, ',' ORDER BY pos) AS entries
-FROM step JOIN last USING (word, n) JOIN vocab ON vocab.id = step.tok GROUP BY word
+SELECT word, string_agg(tok, ',' ORDER BY pos) AS ids FROM step JOIN last USING (word, n) GROUP BY word
 """
 
 DECODE = """
@@ -82,8 +82,7 @@ class WordCodec:
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": memory, "temp_directory": ""})
         self._table("merges", dict(zip(("a", "b", "rank"), map(pa.array, merges))))
         pieces = ["".join(chr(LATIN + x) for x in t) for t in ranks]
-        self._table("vocab", {"id": pa.array(list(ranks.values()), pa.int32()), "piece": pa.array(pieces, pa.string()),
-                              "entry": pa.array([f"{r}={p}" for r, p in zip(ranks.values(), pieces)], pa.string())})
+        self._table("vocab", {"id": pa.array(list(ranks.values()), pa.int32()), "piece": pa.array(pieces, pa.string())})
 
     def _table(self, name: str, columns: dict) -> None:
         import pyarrow as pa
@@ -91,17 +90,16 @@ class WordCodec:
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM incoming")
         self.db.unregister("incoming")
 
-    def encode(self, words: list[bytes], step: int = 20_000) -> list[tuple[str, bytes]]:
-        """Of each word the ids as decimal numbers joined by commas, and the bytes these ids decode to."""
+    def encode(self, words: list[bytes], step: int = 20_000) -> list[str]:
+        """The ids of each word as decimal numbers joined by commas."""
         import numpy as np
         import pyarrow as pa
 
-        out = [(str(r), self.pieces[r]) if (r := self.ranks.get(w)) is not None else ("", b"") for w in words]
-        todo = [i for i, w in enumerate(words) if not out[i][0] and w]
+        out = [str(r) if (r := self.ranks.get(w)) is not None else "" for w in words]
+        todo = [i for i, w in enumerate(words) if not out[i] and w]
         for i in todo:
             if len(words[i]) > LONG:
-                ids = self.contracted(words[i])
-                out[i] = ",".join(map(str, ids)), b"".join(map(self.pieces.__getitem__, ids))
+                out[i] = ",".join(map(str, self.contracted(words[i])))
         todo = [i for i in todo if len(words[i]) <= LONG]
         rows = np.cumsum([len(words[i]) * (len(words[i]) + 1) // 2 for i in todo])
         single = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
@@ -115,9 +113,8 @@ class WordCodec:
             word = np.repeat(np.array(own, np.int32), sizes)
             pos = (np.arange(len(tok)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
             self._table("start", {"word": pa.array(word), "pos": pa.array(pos), "tok": pa.array(tok)})
-            for i, entries in self.db.execute(ENCODE).fetchall():
-                tokens = [x.split("=") for x in entries.split(",")]
-                out[i] = ",".join([x for x, _ in tokens]), raw_bytes("".join([x for _, x in tokens]))
+            for i, ids in self.db.execute(ENCODE).fetchall():
+                out[i] = ids
         return out
 
     def contracted(self, word: bytes) -> list[int]:
@@ -154,70 +151,67 @@ class WordCodec:
                     heappush(places[new], a)
         return [t for t in tok if t >= 0]
 
-    def decode(self, sequences: list[str], step: int = 20_000) -> list[bytes]:
-        """Bytes of each sequence of ids (decimal, joined by commas)."""
+    def decode(self, sequences: list[str], rows: int = 500_000) -> list[bytes]:
+        """Bytes of each sequence of ids (decimal, joined by commas), in queries of at most ``rows`` ids."""
         import numpy as np
         import pyarrow as pa
-
-        out = [b""] * len(sequences)
-        for at in range(0, len(sequences), step):
-            own = [np.array(s.split(",") if s else [], np.int32) for s in sequences[at:at + step]]
-            sizes = np.array([len(x) for x in own])
-            ids = np.concatenate(own) if own else np.zeros(0, np.int32)
-            pos = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            self._table("tokens", {"seq": pa.array(np.repeat(np.arange(len(own)) + at, sizes)),
-                                   "pos": pa.array(pos), "id": pa.array(ids)})
+        import pyarrow.compute as pc
+
+        out: list[list[bytes]] = [[] for _ in sequences]
+        lists = pc.split_pattern(pa.array(sequences, pa.large_string()), ",")
+        sizes = np.where([not s for s in sequences], 0, pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        flat = pc.list_flatten(lists)
+        ids = pc.cast(flat.filter(pc.not_equal(flat, "")), pa.int32())  # an empty sequence has one empty entry
+        seq = np.repeat(np.arange(len(sequences)), sizes)
+        for at in range(0, len(ids), rows):  # a sequence over several queries comes in order
+            own = seq[at:at + rows]
+            self._table("tokens", {"seq": pa.array(own), "pos": pa.array(np.arange(len(own))), "id": ids.slice(at, rows)})
             for i, text in self.db.execute(DECODE).fetchall():
-                out[i] = raw_bytes(text)
-        return out
+                out[i].append(raw_bytes(text))
+        return list(map(b"".join, out))
 
 
 class TextCodec:
-    """Whole texts by way of their parts and words.
+    """Ids of whole texts by way of their words.
 
-    A part is cut at single spaces between other characters, which the
-    pattern's matches never cross.  Known words and parts are kept, up to
-    ``max_words`` and ``max_parts`` of them, so memory is bounded.
+    Known words are kept, up to ``max_words`` of them and those of one block of
+    ``block`` words or one slice of texts, so memory is bounded.
     """
 
-    def __init__(self, ranks: dict[bytes, int], merges, pattern: str, max_words: int = 900_000, max_parts: int = 300_000):
-        import re
-
+    def __init__(self, ranks: dict[bytes, int], merges, pattern: str, max_words: int = 900_000, block: int = 500_000):
         import regex
 
         self.codec = WordCodec(ranks, merges)
-        self.split = regex.compile(pattern).findall
-        self.loose = re.compile(r" (?:(?<=\s )|(?=\s)|\Z|(?<=\A ))").search  # a space at an end or beside white space
-        self.max_words, self.max_parts = max_words, max_parts
-        self.words: dict[str, tuple[str, bytes]] = {}
-        self.parts: dict[str, tuple[str, bytes]] = {}
-
-    def cut(self, text: str) -> list[str]:
-        if not self.loose(text):
-            first, *rest = text.split(" ")
-            return [first] * bool(first) + [" " + x for x in rest]
-        out: list[list[str]] = []
-        for i, x in enumerate(text.split(" ")):  # runs of white space stay inside a part
-            x = " " + x if i else x
-            if out and (out[-1][-1][-1].isspace() or len(x) < 2 or x[1].isspace()):
-                out[-1].append(x)
-            elif x:
-                out.append([x])
-        return ["".join(x) for x in out]
-
-    def learn(self, texts: list[list[str]]) -> None:
-        """Encode and decode the parts of these texts that aren't known."""
-        own = {p for x in texts for p in x}
-        if len(self.parts) + len(own) > self.max_parts:
-            self.parts.clear()
-        new = [p for p in own if p not in self.parts]
-        of = [self.split(p) for p in new]
-        if len(self.words) + sum(map(len, of)) > self.max_words:
+        self.split = regex.compile(pattern)
+        self.max_words, self.block = max_words, block
+        self.words: dict[str, str] = {}
+
+    def learn(self, words: set[str]) -> None:
+        """Encode the words that aren't known."""
+        if len(self.words) + len(words) > self.max_words:
             self.words.clear()
-        words = list({w for x in of for w in x if w not in self.words})
-        self.words.update(zip(words, self.codec.encode([w.encode() for w in words])))
-        known = (list(map(self.words.__getitem__, x)) for x in of)
-        self.parts.update(zip(new, ((",".join([a for a, _ in x]), b"".join([b for _, b in x])) for x in known)))
+        new = [w for w in words if w not in self.words]
+        self.words.update(zip(new, self.codec.encode([w.encode() for w in new])))
+
+    def joined(self, words: list[str]) -> str:
+        return ",".join(map(self.words.__getitem__, words))
+
+    def encode(self, texts: list[str]) -> list[str]:
+        """The ids of each text as decimal numbers joined by commas."""
+        from itertools import islice
+
+        if sum(map(len, texts)) <= 10 * self.block:
+            split = [self.split.findall(t) for t in texts]
+            self.learn(set().union(*split))
+            return list(map(self.joined, split))
+        out = []
+        for t in texts:
+            matches, parts = self.split.finditer(t), []
+            while words := [m[0] for m in islice(matches, self.block)]:
+                self.learn(set(words))
+                parts.append(self.joined(words))
+            out.append(",".join(parts))
+        return out
 
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
@@ -235,13 +229,10 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
         import pyarrow as pa
         codec = TextCodec(*model.value, pattern)
         for ids, texts in text_slices(batches, slice_bytes):
-            cut = [codec.cut(t) for t in texts]
-            codec.learn(cut)
-            known = [list(map(codec.parts.__getitem__, x)) for x in cut]
-            coded = [",".join([a for a, _ in x]) for x in known]
+            coded = codec.encode(texts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array([c.count(",") + bool(c) for c in coded], pa.int64()),
-                 pa.array(coded, pa.string()), pa.array([b"".join([b for _, b in x]) for x in known], pa.binary())],
+                 pa.array(coded, pa.string()), pa.array(codec.codec.decode(coded), pa.binary())],
                 names=["doc_id", "n_tokens", "ids", "decoded"])
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids string, decoded binary")
