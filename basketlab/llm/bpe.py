@@ -28,8 +28,7 @@ LATIN = 0x100  # bytes travel through SQL strings as the characters from here on
 # position of the pair and the position of its right token, 20 bits per position (words of up to LONG bytes only).
 ENCODE = """
 WITH RECURSIVE step(word, pos, tok, next, nextpos, n) AS (
-    SELECT word, pos, tok, lead(tok) OVER w, lead(pos) OVER w, 0
-    FROM start WINDOW w AS (PARTITION BY word ORDER BY pos)
+    SELECT word, pos, tok, next, nextpos, 0 FROM start
   UNION ALL
     (WITH best AS (
         SELECT word, min((rank::BIGINT << 40) | (pos::BIGINT << 20) | nextpos) AS best
@@ -112,7 +111,10 @@ class WordCodec:
             tok = single[np.frombuffer(b"".join(words[i] for i in own), np.uint8)]
             word = np.repeat(np.array(own, np.int32), sizes)
             pos = (np.arange(len(tok)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
-            self._table("start", {"word": pa.array(word), "pos": pa.array(pos), "tok": pa.array(tok)})
+            ends = np.append(word[1:] != word[:-1], True)  # the last rows of their words have no neighbour
+            self._table("start", {"word": pa.array(word), "pos": pa.array(pos), "tok": pa.array(tok),
+                                  "next": pa.array(np.roll(tok, -1), mask=ends),
+                                  "nextpos": pa.array(np.roll(pos, -1), mask=ends)})
             for i, ids in self.db.execute(ENCODE).fetchall():
                 out[i] = ids
         return out
@@ -223,11 +225,12 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     no bytes); one row per input row, whatever its id.
     """
     ranks = load_ranks(ranks_path)
-    model = docs.sparkSession.sparkContext.broadcast((ranks, merge_table(ranks)))  # as large as the vocabulary
+    model = docs.sparkSession.sparkContext.broadcast({"model": (ranks, merge_table(ranks))})  # as large as the vocabulary
 
     def run(batches):
         import pyarrow as pa
-        codec = TextCodec(*model.value, pattern)
+        # a Python worker keeps its copy of the broadcast value, so its next task finds the words of the one before
+        codec = model.value.get("codec") or model.value.setdefault("codec", TextCodec(*model.value["model"], pattern))
         for ids, texts in text_slices(batches, slice_bytes):
             coded = codec.encode(texts)
             yield pa.RecordBatch.from_arrays(
