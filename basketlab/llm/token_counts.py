@@ -35,7 +35,7 @@ def load_pieces(path: str) -> dict[str, float]:
 
 
 class Trie:
-    """Forward scores of prefixes; ``counts`` maps known pre-tokens to their number of tokens.
+    """Forward scores of prefixes, kept in the nodes; ``counts`` maps the pre-tokens that end at a node to its token count.
 
     A character that no piece covers falls back to its UTF-8 bytes, each a
     token with the score of an unseen piece.  Of segmentations with equal
@@ -50,34 +50,41 @@ class Trie:
         self.clear()
 
     def clear(self) -> None:
+        from array import array
         self.counts: dict[str, int] = {}
-        self.nodes = 0
+        self.child: dict[int, int] = {}  # node and character to node; the root is 0
+        self.score, self.tokens = array("d", [0.0]), array("q", [0])  # of each node's prefix
+
+    @property
+    def nodes(self) -> int:
+        return len(self.score) - 1
 
     def insert(self, words: list[str]) -> None:
-        """Add pre-tokens in sorted order: the path to the previous one is the shared part of the trie."""
+        """Add pre-tokens; a prefix that any of them shares with one added before is not scored again."""
         if self.nodes > self.max_nodes:
             self.clear()
-        suffixes, unseen, counts = self.suffixes, self.unseen, self.counts
-        path, score, tokens = "", [0.0], [0]  # the current root-to-leaf path: score and token count per node
+        suffixes, unseen, child, score, tokens = self.suffixes, self.unseen, self.child, self.score, self.tokens
         for w in words:
-            same, most = 0, min(len(path), len(w))
-            while same < most and path[same] == w[same]:
-                same += 1
-            del score[same + 1:], tokens[same + 1:]
-            for end in range(same + 1, len(w) + 1):
+            path = [0]  # nodes of the prefixes of w
+            for c in w:
+                at = child.get(path[-1] << 21 | ord(c))
+                if at is None:
+                    break
+                path.append(at)
+            for end in range(len(path), len(w) + 1):
                 n_bytes = len(w[end - 1].encode())
-                best, count = score[end - 1] + n_bytes * unseen, tokens[end - 1] + n_bytes
+                best, count = score[path[-1]] + n_bytes * unseen, tokens[path[-1]] + n_bytes
                 start = end - 1
                 while start >= 0 and (own := w[start:end]) in suffixes:
                     s = suffixes[own]
-                    if s is not None and score[start] + s >= best:
-                        best, count = score[start] + s, tokens[start] + 1
+                    if s is not None and score[path[start]] + s >= best:
+                        best, count = score[path[start]] + s, tokens[path[start]] + 1
                     start -= 1
+                child[path[-1] << 21 | ord(w[end - 1])] = len(score)
+                path.append(len(score))
                 score.append(best)
                 tokens.append(count)
-            self.nodes += len(w) - same
-            path = w
-            counts[w] = tokens[-1]
+            self.counts[w] = tokens[path[-1]]
 
 
 def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -85,7 +92,9 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
     Pre-tokens are the words between white space, each with the space mark
     before it, as the vocabulary's pieces never cross white space.  Defined
-    cases: a null, empty or blank text has 0 tokens; one row per input row.
+    cases: a null, empty or blank text has 0 tokens; very long texts and words
+    are counted whole; other columns, also of clashing names, are not read; one
+    row per input row, whatever its id; an empty table gives none.
     """
     def run(batches):
         import pyarrow as pa
@@ -95,7 +104,7 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
             new = {w for x in cut for w in x}
             if trie.nodes > trie.max_nodes:
                 trie.clear()
-            trie.insert(sorted(SPACE + w for w in new if SPACE + w not in trie.counts))
+            trie.insert([SPACE + w for w in new if SPACE + w not in trie.counts])
             known = {w: trie.counts[SPACE + w] for w in new}
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array([sum(map(known.__getitem__, x)) for x in cut], pa.int64()),

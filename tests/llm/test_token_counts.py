@@ -39,6 +39,19 @@ def test_trie_against_brute_force_and_library():
             assert len(e.ids) == trie.counts[w], w
 
 
+def test_prefixes_are_scored_once():
+    trie = Trie({"a": -1.0, "ab": -1.5, "b": -1.0})
+    trie.insert(["abab"])
+    trie.score[2] = -0.25  # as found for the prefix "ab": later insertions must build on it
+    trie.insert(["abb", "ab"])
+    assert trie.nodes == 5 and trie.score[5] == -1.25 and trie.counts == {"abab": 2, "abb": 2, "ab": 1}
+    for w in ("abab", "abb", "ab"):
+        at = 0
+        for c in w:
+            at = trie.child[at << 21 | ord(c)]
+        assert trie.tokens[at] == trie.counts[w]
+
+
 def test_small_vocabulary_and_clearing():
     trie = Trie({"a": -1.0, "ab": -1.5, "b": -1.0, "abc": -9.0}, max_nodes=2)
     trie.insert(["abc", "ab", "é"][::-1])
