@@ -159,15 +159,18 @@ class Family:
         import numpy as np
         found = np.zeros(len(k0), bool)
         for _, (a0, a1, _, _) in self.levels:
-            lo, hi = np.searchsorted(a0, k0, "left"), np.searchsorted(a0, k0, "right")
-            width = hi - lo
-            # entries of one gram are few (hot grams are dealt by k1 too); walk them together
-            live = np.flatnonzero((width > 0) & ~found)
-            step = 0
+            lo, end = np.searchsorted(a0, k0, "left"), np.searchsorted(a0, k0, "right")
+            # the entries of a gram are sorted by k1: halve all stretches together, so that many runs of one gram
+            # (up to HOT of every batch) cost the logarithm of their number
+            hi = end.copy()
+            live = np.flatnonzero((lo < hi) & ~found)
             while len(live):
-                found[live] |= a1[lo[live] + step] == k1[live]
-                step += 1
-                live = live[(width[live] > step) & ~found[live]]
+                mid = (lo[live] + hi[live]) // 2
+                below = a1[mid] < k1[live]
+                lo[live[below]], hi[live[~below]] = mid[below] + 1, mid[~below]
+                live = live[lo[live] < hi[live]]
+            at = np.flatnonzero((lo < end) & ~found)
+            found[at] = a1[lo[at]] == k1[at]
         return found
 
     def add(self, array: list) -> None:

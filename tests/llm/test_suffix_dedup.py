@@ -91,3 +91,17 @@ def test_text_and_carried_columns(spark):
         assert got["b"].kept == "é" * 5 + "y tail"  # the rest of the "è" that was cut is gone
         assert got["a"].kept == "x" + passage and got["a"].row.doc_id == got["a"].doc_id == 1
     assert len(D.remove_repeats(df, carry=["doc_id", "spans"]).collect()) == 5
+
+
+@pytest.mark.parametrize("grams", [1, 3, 200])
+def test_levels_find_what_was_added(grams):
+    rng = np.random.default_rng(grams)
+    family, seen = D.Family(), set()
+    for _ in range(9):
+        k0, k1 = rng.integers(-grams, grams, 300), rng.integers(-400, 400, 300)
+        order = np.lexsort((k1, k0))
+        k0, k1 = k0[order], k1[order]
+        assert family.known(k0, k1).tolist() == [x in seen for x in zip(k0.tolist(), k1.tolist())]
+        family.add([k0, k1, k0, k1])
+        seen |= set(zip(k0.tolist(), k1.tolist()))
+    assert len(family.all()[0]) == 9 * 300
