@@ -5,8 +5,8 @@ into one task.  Here the rows are range-partitioned on (g, o), so a hot group
 is spread over consecutive partitions; each (partition, group) slice is
 numbered locally and shifted by the number of rows of the same group in
 earlier partitions.  Only the first group of a partition can continue from
-earlier partitions, so the shift table has at most one row per partition and
-is broadcast with that bound.
+earlier partitions and only its last group goes on in later ones, so the shift
+table has at most two rows per partition and is broadcast with that bound.
 """
 
 from __future__ import annotations
@@ -20,9 +20,15 @@ from basketlab.session import materialize
 
 
 def sequence_number(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], name: str,
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None, previous: dict[str, str] | None = None,
+                    last: str | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of the row in its group by ``order_cols``.
 
+    ``previous`` (new column -> column) adds values of the group's previous row
+    (null for the first), ``last`` names a flag of the group's last row.  Both
+    come from the slice; where a group goes on over partitions, from the table of
+    shifts, which carries the end of the slice before.
+
     ``order_cols`` should make rows unique within a group (as for
     ``row_number``).  ``df`` is evaluated once for the range bounds and once
     for its rows, so it should be a scan or a written table.  The ranged rows
@@ -33,15 +39,26 @@ def sequence_number(df: DataFrame, group_cols: Sequence[str], order_cols: Sequen
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *g, *order_cols).withColumn("_pid", F.spark_partition_id())
     ranged = materialize(ranged, "sequence_ranged")
-    local = ranged.withColumn("_local", F.row_number().over(
-        Window.partitionBy("_pid", *g).orderBy(*order_cols)))
-    counts = ranged.groupBy("_pid", *g).agg(F.count(F.lit(1)).alias("_cnt"))
-    earlier = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    previous = previous or {}
+    by = Window.partitionBy("_pid", *g).orderBy(*order_cols)
+    local = ranged.withColumns({"_local": F.row_number().over(by), "_ends": F.lead(F.lit(1)).over(by).isNull(),
+                                **{new: F.lag(c).over(by) for new, c in previous.items()}})
+    end = F.max(F.struct(*order_cols, F.struct(*previous.values()).alias("_of"))) if previous else F.lit(None).cast("int")
+    counts = ranged.groupBy("_pid", *g).agg(F.count(F.lit(1)).alias("_cnt"), end.alias("_end"))
+    slices = Window.partitionBy(*g).orderBy("_pid")
     shifts = (counts.select(F.col("_pid").alias("_spid"), *[F.col(c).alias(f"_s_{c}") for c in g],
-                            F.sum("_cnt").over(earlier).alias("_off"))
-              .filter(F.col("_off") > 0))
+                            F.sum("_cnt").over(slices.rowsBetween(Window.unboundedPreceding, -1)).alias("_off"),
+                            F.lag("_end").over(slices).alias("_before"),
+                            F.lead(F.lit(True)).over(slices).alias("_goes_on"))
+              .filter((F.col("_off") > 0) | F.col("_goes_on")))
     cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in g],
                   F.col("_pid") == F.col("_spid"))
-    return (local.join(F.broadcast(shifts), cond, "left")
-            .withColumn(name, (F.col("_local") + F.coalesce("_off", F.lit(0))).cast("int"))
-            .drop("_pid", "_local", "_spid", "_off", *[f"_s_{c}" for c in g]))
+    joined = local.join(F.broadcast(shifts), cond, "left")
+    new = {name: (F.col("_local") + F.coalesce("_off", F.lit(0))).cast("int")}
+    for column, of in previous.items():
+        carried = F.col("_before")["_of"][of]
+        new[column] = F.when(F.col("_local") > 1, F.col(column)).otherwise(carried)
+    if last:
+        new[last] = F.col("_ends") & F.col("_goes_on").isNull()
+    return joined.withColumns(new).drop("_pid", "_local", "_ends", "_spid", "_off", "_before", "_goes_on",
+                                        *[f"_s_{c}" for c in g])

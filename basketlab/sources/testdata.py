@@ -58,16 +58,11 @@ def products_from_part(part: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
 def orders_from_tpch(orders: DataFrame) -> DataFrame:
     o = orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
                       F.col("o_orderdate").alias("_od"))
-    # the previous date and the last order number by null-safe equi-join and
-    # aggregate: a user may have any number of orders
-    o = sequence_number(o, ["user_id"], ["_od", "order_id"], "order_number")
-    prev = o.select(F.col("user_id").alias("_u"), (F.col("order_number") + 1).alias("_k"), F.col("_od").alias("_prev"))
-    last = o.groupBy(F.col("user_id").alias("_v")).agg(F.max("order_number").alias("_n"))
-    o = (o.join(prev, F.col("user_id").eqNullSafe(F.col("_u")) & (F.col("order_number") == F.col("_k")), "left")
-         .join(last, F.col("user_id").eqNullSafe(F.col("_v"))))
+    # the previous date and the flag of the last order come with the number: a user may have any number of orders
+    o = sequence_number(o, ["user_id"], ["_od", "order_id"], "order_number", previous={"_prev": "_od"}, last="_last")
     return o.select(
         "order_id", "user_id",
-        F.when(F.col("order_number") == F.col("_n"),
+        F.when(F.col("_last"),
                F.when(F.col("user_id") % 3 == 0, F.lit("test")).otherwise(F.lit("train")))
          .otherwise(F.lit("prior")).alias("eval_set"),
         "order_number",

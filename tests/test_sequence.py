@@ -16,12 +16,21 @@ def test_sequence_number_matches_row_number(spark, data, parts):
     got = rows(sequence_number(df, ["g"], ["o"], "seq", partitions=parts), "i", "seq")
     want = rows(df.withColumn("seq", F.row_number().over(Window.partitionBy("g").orderBy("o"))), "i", "seq")
     assert got == want
+    w = Window.partitionBy("g").orderBy("o")
+    got = rows(sequence_number(df, ["g"], ["o"], "seq", parts, previous={"before": "i", "gap": "o"}, last="end"),
+               "i", "seq", "before", "gap", "end")
+    want = rows(df.select("i", F.row_number().over(w).alias("seq"), F.lag("i").over(w).alias("before"), F.lag("o").over(w).alias("gap"),
+                          F.lead("i").over(w).isNull().alias("end")), "i", "seq", "before", "gap", "end")
+    assert got == want
 
 
 def test_hot_group_spread(spark):
     df = spark.range(0, 5000).select(F.lit(7).alias("g"), (F.col("id") * 3).alias("o"))
     out = sequence_number(df, ["g"], ["o"], "seq", partitions=8)
     assert out.filter(F.col("seq") != F.col("o") / 3 + 1).count() == 0
+    out = sequence_number(df, ["g"], ["o"], "seq", partitions=8, previous={"before": "o"}, last="end")
+    assert out.filter("before = o - 3 AND seq > 1 OR before IS NULL AND seq = 1").count() == 5000
+    assert [r.seq for r in out.filter("end").collect()] == [5000]
 
 
 def test_running_total_distributed_path_matches_window(spark):
