@@ -162,3 +162,27 @@ def test_defined_cases(spark):
     for bad in (dict(growth="other"), dict(max_bins=1), dict(max_depth=0), dict(growth="leaf", max_depth=0)):
         with pytest.raises(ValueError):
             B.Params(**bad)
+
+
+def test_kept_margins_and_exact_sums_of_a_full_block(spark, monkeypatch):
+    import numpy as np
+    from pyspark.core.rdd import RDD
+    n = B.BLOCK  # all rows in one cell, each with the largest hessian: the sums still are exact
+    block = {"id": np.arange(n).astype("<u8"), "y": np.ones(n, "<f4"), "evaluated": np.ones(n, bool), "trained": np.ones(n, bool),
+             "bins": np.zeros((1, n), "u1"), "margin": np.zeros(n)}
+    found, loss = B.histograms(spark.sparkContext.parallelize([block] * 3, 2), [], [[B.Node()]], [(0, 0)], [0], B.Params(), [0], 2, True, 2)
+    assert found[0, 0][0].tolist() == [[-n * 1.5, n * .75, 3 * n], [0, 0, 0]] and loss == (pytest.approx(3 * n * math.log(2), rel=1e-6), 3 * n)
+
+    df = spark.createDataFrame(data(4), SCHEMA)
+    rows_walked, steps = [], []
+    histograms, checkpoint = B.histograms, RDD.checkpoint
+    monkeypatch.setattr(B, "histograms", lambda table, pending, *a: rows_walked.append(sum(map(len, pending))) or histograms(table, pending, *a))
+    monkeypatch.setattr(RDD, "checkpoint", lambda self: steps.append(1) or checkpoint(self))
+    p = B.Params(rounds=9, max_depth=3, max_bins=8, patience=None, checkpoint_rounds=2)
+    models = [B.fit_boosted(df, FEATURES, p)]
+    assert max(rows_walked) < B.PENDING and len(steps) >= 1  # a job walks few nodes, however many trees there are
+    monkeypatch.setattr(B, "PENDING", 1 << 30)
+    models.append(B.fit_boosted(df, FEATURES, p))
+    for a, b in zip(models[0].trees, models[1].trees, strict=True):
+        assert [(x.feature, x.bin, x.rows) for x in a] == [(x.feature, x.bin, x.rows) for x in b]
+    assert models[0].losses == pytest.approx(models[1].losses, abs=1e-6)
