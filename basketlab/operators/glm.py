@@ -2,7 +2,8 @@
 
 Iteratively reweighted least squares: a Spark job sums the weighted Gram matrix
 of the standardised features, 36 x 36 numbers for 34 of them whatever the number of
-rows, and coordinate descent on the driver solves the penalised least squares from it.  The penalties fall
+rows, and coordinate descent on the driver solves the penalised least squares from it.  The rows are written once
+in blocks that hold the features one after the other, which a job multiplies as they are.  The penalties fall
 from the one at which every coefficient is zero, each fit starting from the one before.
 """
 
@@ -22,6 +23,9 @@ from basketlab.session import materialize
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need no installed copy
 
 
+BLOCK = 1 << 12  # rows of one block
+
+
 @dataclass
 class Point:
     """One penalty of the path: its coefficients on the original scale, the deviance and the IRLS rounds."""
@@ -45,6 +49,21 @@ class Path:
         return self.points[-1] if penalty is None else min(self.points, key=lambda p: abs(p.penalty - penalty))
 
 
+def blocks(rows: DataFrame) -> DataFrame:
+    """The rows (``y`` and the array ``x``) as written blocks: labels, and a matrix with a line per feature."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for b in batches:
+            y = b.column("y").to_numpy()
+            x = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1).T
+            at = range(0, len(y), BLOCK)
+            yield pa.RecordBatch.from_arrays([pa.array([y[i:i + BLOCK].tobytes() for i in at], pa.binary()),
+                                              pa.array([x[:, i:i + BLOCK].tobytes() for i in at], pa.binary())], names=["y", "x"])
+
+    return materialize(rows.mapInArrow(run, "y binary, x binary"), "glm_rows")
+
+
 def gram(table: DataFrame, mean, sd, weights) -> tuple:
     """Of the rows with an intercept and a working response behind their standardised features: the
     weighted Gram matrix, the deviance and the number of rows, at the given weights (intercept first)."""
@@ -55,22 +74,23 @@ def gram(table: DataFrame, mean, sd, weights) -> tuple:
         import numpy as np
         import pyarrow as pa
         total, deviance, n = np.zeros((size, size)), 0.0, 0
-        for b in batches:
-            x = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-            y = b.column("y").to_numpy()
-            z = np.hstack([np.ones((len(x), 1)), (x - mean) / sd])
-            eta = z @ weights
+        for b, k in ((b, k) for b in batches for k in range(b.num_rows)):
+            y, x = (np.frombuffer(b.column(c)[k].as_buffer()) for c in ("y", "x"))
+            x = x.reshape(-1, len(y))
+            full = np.ones((size, len(y)))
+            np.subtract(x, mean[:, None], out=full[1:-1])
+            full[1:-1] /= sd[:, None]
+            eta = weights @ full[:-1]
             p = np.clip(1 / (1 + np.exp(-np.clip(eta, -500, 500))), 1e-10, 1 - 1e-10)
             w = np.maximum(p * (1 - p), 1e-9)
-            full = np.hstack([z, (eta + (y - p) / w)[:, None]])
-            total += (full * w[:, None]).T @ full
+            full[-1] = eta + (y - p) / w
+            total += (full * w) @ full.T
             deviance += -2 * float(np.where(y > 0, np.log(p), np.log1p(-p)).sum())
             n += len(y)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size * size + 2)), pa.array(np.concatenate([total.ravel(), [deviance, n]]))], names=["cell", "v"])
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([total.ravel(), [deviance, n]]).tobytes()], pa.binary())], names=["sums"])
 
-    cells = table.mapInArrow(run, "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v")).toPandas()
-    flat = np.zeros(size * size + 2)
-    flat[cells.cell.to_numpy()] = cells.v.to_numpy()
+    parts = [np.frombuffer(r.sums) for r in table.mapInArrow(run, "sums binary").collect()]  # a matrix per task
+    flat = np.sum(parts, axis=0) if parts else np.zeros(size * size + 2)
     return flat[:-2].reshape(size, size), flat[-2], int(flat[-1])
 
 
@@ -105,13 +125,13 @@ def fit_path(train: DataFrame, features: Sequence[str], label: str = "reordered"
     import numpy as np
     features = list(features)
     rows = train.filter(F.col(label).isNotNull()).select(F.col(label).cast("double").alias("y"), F.array(*[filled(c) for c in features]).alias("x"))
-    table = materialize(rows, "glm_rows")
-    s = table.agg(F.avg("y").alias("y"), *[f(F.col("x")[i]).alias(f"{k}{i}") for i in range(len(features)) for k, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    s = rows.agg(F.avg("y").alias("y"), *[f(F.col("x")[i]).alias(f"{k}{i}") for i in range(len(features)) for k, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
     if s.y is None or not 0 < s.y < 1:
         raise ValueError("the labels must be of both kinds")
     mean, sd = (np.array([s[f"{k}{i}"] for i in range(len(features))]) for k in "ms")
     constant = sd <= 1e-12 * np.maximum(np.abs(mean), 1)
     sd = np.where(constant, np.inf, sd)  # such a column is zero and stays out
+    table = blocks(rows)
     weights = np.zeros(len(features) + 1)
     weights[0] = math.log(s.y / (1 - s.y))
     g, null_deviance, n = gram(table, mean, sd, weights)
