@@ -78,8 +78,11 @@ def order_number_state(df: DataFrame) -> DataFrame:
         F.filter("h", lambda b: b["x"].cast("int") == k), F.lit(0.0), lambda s, b: s + b["y"]).cast("long").alias("n")))
     more = F.when(F.col("n") > F.bit_count("bits"), F.filter(rows_at, lambda x: x["n"] > 1))
     chunk = F.when(F.col("c").isNotNull(), F.struct("c", "bits", more.alias("more")))
+    # a number of partitions that is asked for isn't merged: a chunk of a few bytes unfolds into as many as 64 groups, so
+    # partitions merged by their bytes would make a task's hash table grow with the input
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (counted.select(*PAIR, chunk.alias("chunk"), F.when(F.col("c").isNull(), F.col("n")).otherwise(0).alias("blank"), "n")
-            .groupBy(*PAIR).agg(F.sum("blank").alias("blanks"), F.sum(F.col("n") - F.col("blank")).alias("numbered"),
+            .repartition(n, *PAIR).groupBy(*PAIR).agg(F.sum("blank").alias("blanks"), F.sum(F.col("n") - F.col("blank")).alias("numbered"),
                                 F.array_sort(F.collect_list("chunk")).alias("chunks")))
 
 

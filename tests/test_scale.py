@@ -49,3 +49,20 @@ def test_gram_sums_read_blocks(spark):
                 total[i][j] += full[i] * full[j] * p * (1 - p)
         lost -= 2 * math.log(p if y else 1 - p)
     assert n == len(own) and deviance == pytest.approx(lost) and g.tolist() == [pytest.approx(t, abs=1e-6) for t in total]
+
+
+def test_streak_state_is_not_merged_into_few_tasks(spark):
+    from basketlab.operators import streaks as S
+    before = spark.conf.get(KEY)
+    op = spark.createDataFrame([(u, p, 10 * u + k, k) for u in range(40) for p in range(2) for k in (1, 2, 4)],
+                               "user_id long, product_id long, order_id long, order_number int")
+    try:
+        spark.conf.set(KEY, "6")
+        assert S.order_number_state(op).rdd.getNumPartitions() == 6
+        for mode, want in (("island", {(1, 80), (2, 80)}), ("compat", {(1, 80), (2, 80)})):
+            lengths = S.streak_lengths(op, mode)
+            parts = lengths.rdd.getNumPartitions()
+            assert parts == 6  # those of the state: the lengths need no further shuffle
+            assert {tuple(r) for r in lengths.groupBy("length_of_streaks").count().collect()} == want
+    finally:
+        spark.conf.set(KEY, before)
