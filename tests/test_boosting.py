@@ -186,3 +186,32 @@ def test_kept_margins_and_exact_sums_of_a_full_block(spark, monkeypatch):
     for a, b in zip(models[0].trees, models[1].trees, strict=True):
         assert [(x.feature, x.bin, x.rows) for x in a] == [(x.feature, x.bin, x.rows) for x in b]
     assert models[0].losses == pytest.approx(models[1].losses, abs=1e-6)
+
+
+def test_bundled_features_have_the_sums_of_single_ones(spark, monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    key, n = rng.integers(0, 40, 700), 700
+    bins = np.stack([key % 7, key // 3, rng.integers(0, 250, n), key, rng.integers(0, 250, n)]).astype("u1")
+    plain = [{"id": rng.integers(0, 1 << 60, n).astype("<u8"), "y": rng.integers(0, 2, n).astype("<f4"), "evaluated": rng.random(n) < .3,
+              "trained": rng.random(n) < .9, "bins": np.ascontiguousarray(bins[:, ::step]), "margin": rng.normal(size=n)} for step in (1, -1, 1)]
+    monkeypatch.setattr(B, "GROUP", 2)
+    monkeypatch.setattr(B, "BLOCK", 512)
+    coded = list(B.bundled(plain))
+    assert sum(len(b["y"]) for b in coded) == 3 * n and [b["first"] for b in coded] == [True, False, False, True, False]
+    assert all([f for f, _ in b["bundles"]] == [[0, 1, 3]] and b["single"] == [2, 4] and len(b["bins"]) == 2 for b in coded)
+    tree = [B.Node(2, 100, 0.0, 1, 2), B.Node(3, 20, 0.0, 3, 4), B.Node(), B.Node(value=.5), B.Node(value=-.5)]
+    for features in ([0, 1, 2, 3, 4], [0, 4], [1, 3]):
+        for share in (1.0, 0.5):
+            a, b = (B.histograms(spark.sparkContext.parallelize(own, k), [tree], [tree], [(0, 2), (0, 4)], features, B.Params(subsample=share), [5], 256, True, k)
+                    for own, k in ((plain, 2), (coded, 1)))
+            assert all((a[0][w] == b[0][w]).all() for w in a[0]) and a[1] == b[1]
+    assert sum(len(b["id"]) for b in coded) == 3 * n and not any("id" in b for b in B.bundled(plain, False))
+    monkeypatch.setattr(B, "MASKED", 0)  # row by row
+    assert (B.leaf_of(tree, B.Coded(coded[0])) == B.leaf_of(tree, B.Coded(coded[0]).whole())).all()
+
+
+def test_a_job_of_few_blocks_starts_one_task_for_each_core(spark):
+    df = spark.createDataFrame(data(5), SCHEMA).repartition(40)
+    table = B.blocks(B.binned(df, FEATURES, "reordered", [[.5], [1.0], [.5]], 0.0, True, True))
+    assert table.getNumPartitions() == spark.sparkContext.defaultParallelism
