@@ -548,7 +548,8 @@ def feature_vector(spark, sf_dir):
     m = features(spark, sf_dir)[1].train_matrix()
     feats = ML.feature_columns(m)
     v = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep").transform(ML.prepare(m, feats))
-    return v.select("user_id", "product_id", "label", F.transform(vector_to_array("features"), lambda x: F.round(x, 9)).alias("features"))
+    rounded = lambda x: F.when(F.rint(x) == x, x + 0.0).otherwise(F.round(x, 9))  # noqa: E731  a whole number (most features are counts) is what it is
+    return v.select("user_id", "product_id", "label", F.transform(vector_to_array("features"), rounded).alias("features"))
 
 
 @query
