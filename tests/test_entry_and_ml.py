@@ -121,3 +121,31 @@ assert set(e.oracle_sql()) <= set(e.queries())
 """
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
+def test_rows_are_scored_once_for_all_metrics(spark):
+    scored = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            scored.add(b.num_rows)
+            yield b
+
+    rows = [(i % 2, (i * 7 % 10) / 10) for i in range(50)]
+    df = spark.createDataFrame(rows, "label int, score double").mapInArrow(run, "label int, score double")
+    got = ML.evaluate(df).first()
+    want = ML.MT.all_metrics(spark.createDataFrame(rows, "label int, score double"), "label", "score").first()
+    assert got == want and scored.value == 50
+
+
+def test_root_gains_deal_no_rows_and_hash_none(spark, monkeypatch):
+    from basketlab.operators import boosting as B
+    from pyspark.sql import DataFrame
+    df = spark.createDataFrame([(float(i % 5), float(i % 3), i % 2) for i in range(60)], "a double, b double, reordered int")
+    p = B.Params(max_bins=4, cuts="width", min_child_weight=0.0)
+    seen, binned = [], B.binned
+    monkeypatch.setattr(B, "binned", lambda *a: seen.append(binned(*a)) or seen[-1])
+    monkeypatch.setattr(B, "blocks", lambda *a: pytest.fail("blocks are for many jobs"))
+    got = {(r.feature, r.bin): (r.left_rows, r.left_g) for r in B.root_gains(df, ["a", "b"], p).collect()}
+    assert got["a", 1] == (12, pytest.approx(12 * .5 - 6)) and got["b", 1] == (20, pytest.approx(20 * .5 - 10))
+    assert "xxhash64" not in seen[0]._jdf.queryExecution().toString()
