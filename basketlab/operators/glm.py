@@ -2,8 +2,8 @@
 
 Iteratively reweighted least squares: a Spark job sums the weighted Gram matrix
 of the standardised features, 36 x 36 numbers for 34 of them whatever the number of
-rows, and coordinate descent on the driver solves the penalised least squares from it.  The rows are written once
-in blocks that hold the features one after the other, which a job multiplies as they are.  The penalties fall
+rows, and coordinate descent on the driver solves the penalised least squares from it.  The rows are kept
+in blocks that hold the features one after the other, which a job multiplies one at a time.  The penalties fall
 from the one at which every coefficient is zero, each fit starting from the one before.
 """
 
@@ -14,11 +14,10 @@ import sys
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import cloudpickle
+from pyspark import RDD, StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketlab.operators.boosting import filled
-from basketlab.session import materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need no installed copy
 
@@ -49,37 +48,52 @@ class Path:
         return self.points[-1] if penalty is None else min(self.points, key=lambda p: abs(p.penalty - penalty))
 
 
-def blocks(rows: DataFrame) -> DataFrame:
-    """The rows (``y`` and the array ``x``) as written blocks: labels, and a matrix with a line per feature."""
+def blocks(rows: DataFrame) -> RDD:
+    """The rows (``y`` and the array ``x``) as kept blocks: labels, and per feature its values, or where that is
+    shorter its distinct values and their numbers.
+
+    A task reads one block at a time.  As rows of a table the blocks would come in batches of
+    many, which a task would hold more than once.
+    """
     def run(batches):
+        import pickle
+
         import numpy as np
         import pyarrow as pa
         for b in batches:
             y = b.column("y").to_numpy()
             x = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1).T
-            at = range(0, len(y), BLOCK)
-            yield pa.RecordBatch.from_arrays([pa.array([y[i:i + BLOCK].tobytes() for i in at], pa.binary()),
-                                              pa.array([x[:, i:i + BLOCK].tobytes() for i in at], pa.binary())], names=["y", "x"])
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((np.array(y[i:i + BLOCK]), [numbered(c) for c in x[:, i:i + BLOCK]]), 5)
+                                                        for i in range(0, len(y), BLOCK)], pa.binary())], names=["block"])
 
-    return materialize(rows.mapInArrow(run, "y binary, x binary"), "glm_rows")
+    return rows.mapInArrow(run, "block binary").rdd.map(lambda r: bytes(r.block)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def gram(table: DataFrame, mean, sd, weights) -> tuple:
+def numbered(column) -> tuple:
+    """A column of up to ``BLOCK`` values as its distinct values and a number per row; with None for the numbers, its values."""
+    import numpy as np
+    values, number = np.unique(column.view(np.int64), return_inverse=True)  # by their bits: nothing is rounded, -0.0 stays
+    if 8 * len(values) + (1 if len(values) <= 256 else 2) * len(column) >= 8 * len(column):
+        return np.array(column), None
+    return values.view(np.float64), number.astype(np.uint8 if len(values) <= 256 else np.uint16)
+
+
+def gram(table: RDD, mean, sd, weights) -> tuple:
     """Of the rows with an intercept and a working response behind their standardised features: the
     weighted Gram matrix, the deviance and the number of rows, at the given weights (intercept first)."""
     import numpy as np
     size = len(weights) + 1
 
-    def run(batches):
+    def run(found):
+        import pickle
+
         import numpy as np
-        import pyarrow as pa
         total, deviance, n = np.zeros((size, size)), 0.0, 0
-        for b, k in ((b, k) for b in batches for k in range(b.num_rows)):
-            y, x = (np.frombuffer(b.column(c)[k].as_buffer()) for c in ("y", "x"))
-            x = x.reshape(-1, len(y))
+        for y, columns in map(pickle.loads, found):
             full = np.ones((size, len(y)))
-            np.subtract(x, mean[:, None], out=full[1:-1])
-            full[1:-1] /= sd[:, None]
+            for j, (values, number) in enumerate(columns):
+                own = (values - mean[j]) / sd[j]
+                full[j + 1] = own if number is None else own.take(number)
             eta = weights @ full[:-1]
             p = np.clip(1 / (1 + np.exp(-np.clip(eta, -500, 500))), 1e-10, 1 - 1e-10)
             w = np.maximum(p * (1 - p), 1e-9)
@@ -87,9 +101,9 @@ def gram(table: DataFrame, mean, sd, weights) -> tuple:
             total += (full * w) @ full.T
             deviance += -2 * float(np.where(y > 0, np.log(p), np.log1p(-p)).sum())
             n += len(y)
-        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([total.ravel(), [deviance, n]]).tobytes()], pa.binary())], names=["sums"])
+        yield np.concatenate([total.ravel(), [deviance, n]])
 
-    parts = [np.frombuffer(r.sums) for r in table.mapInArrow(run, "sums binary").collect()]  # a matrix per task
+    parts = table.mapPartitions(run).collect()  # a matrix per task
     flat = np.sum(parts, axis=0) if parts else np.zeros(size * size + 2)
     return flat[:-2].reshape(size, size), flat[-2], int(flat[-1])
 
@@ -150,6 +164,7 @@ def fit_path(train: DataFrame, features: Sequence[str], label: str = "reordered"
                 break
         own = np.where(constant, 0.0, weights[1:] / sd)
         path.points.append(Point(float(penalty), float(weights[0] - own @ np.where(constant, 0.0, mean)), own.tolist(), float(deviance), done))
+    table.unpersist()
     return path
 
 

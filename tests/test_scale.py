@@ -66,3 +66,20 @@ def test_streak_state_is_not_merged_into_few_tasks(spark):
             assert {tuple(r) for r in lengths.groupBy("length_of_streaks").count().collect()} == want
     finally:
         spark.conf.set(KEY, before)
+
+
+def test_gram_blocks_are_read_one_at_a_time_and_exact(spark):
+    import pickle
+
+    import numpy as np
+    from pyspark.sql import functions as F
+    rng = random.Random(7)
+    own = [(rng.random(), float(rng.randrange(900)), rng.choice([0.0, -0.0, 1e300]), i % 2) for i in range(2 * G.BLOCK + 9)]
+    df = spark.createDataFrame(own, "a double, b double, c double, reordered int").coalesce(1)
+    table = G.blocks(df.select(F.col("reordered").cast("double").alias("y"), F.array("a", "b", "c").alias("x")))
+    found = [pickle.loads(b) for b in table.collect()]  # a record is one block: a task holds no batch of them
+    assert sum(len(y) for y, _ in found) == len(own) and max(len(y) for y, _ in found) <= G.BLOCK
+    assert [number.dtype.name if number is not None else None for _, number in found[0][1]] == [None, "uint16", "uint8"]
+    back = [np.concatenate([v if k is None else v.take(k) for v, k in (columns[j] for _, columns in found)]) for j in range(3)]
+    assert [b.tobytes() for b in back] == [np.array([r[j] for r in own]).tobytes() for j in range(3)]
+    table.unpersist()
