@@ -1,9 +1,9 @@
 """Exact order statistics by refining counts: bounded state on unbounded domains.
 
 A double's bits, with the sign folded in, order like the doubles themselves.
-A round counts the values of each wanted bracket by the next ``STEP`` bits (one
-aggregate with map-side combination, at most 2**STEP counters per bracket),
-and the driver follows the wanted rank into one of them.  After 64 / ``STEP``
+A round counts the values of each wanted bracket by the next ``STEP`` bits (tasks
+read the doubles' bits as they are and add up at most 2**STEP counters per bracket, an
+aggregate adds those of the tasks), and the driver follows the wanted rank into one of them.  After 64 / ``STEP``
 rounds a bracket is a single value.  Several columns and ranks share the rounds.
 """
 
@@ -11,10 +11,14 @@ from __future__ import annotations
 
 import math
 import struct
+import sys
 from collections.abc import Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks need no installed copy
+
 STEP = 16
 
 
@@ -37,24 +41,47 @@ def to_double(bits: int) -> float:
     return math.copysign(struct.unpack("<d", struct.pack("<q", abs(bits)))[0], bits) if bits else 0.0
 
 
+def counted(values: DataFrame, brackets: Sequence[tuple[int, int]], done: int) -> DataFrame:
+    """Per task the values of the brackets (column, leading ``done`` bits), NULL and NaN left out, by their next ``STEP`` bits."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        counts = np.zeros((len(brackets), 1 << STEP), np.int64)
+        for b in batches:
+            keys = {}
+            for i in {i for i, _ in brackets}:
+                x = b.column(i).to_numpy(zero_copy_only=False)
+                x = x[~np.isnan(x)] + 0.0  # one zero
+                size = np.abs(x).view(np.int64)
+                keys[i] = np.where(x < 0, -size, size).view(np.uint64) ^ np.uint64(1 << 63)
+            for k, (i, lead) in enumerate(brackets):
+                own = keys[i]
+                if done:
+                    own = own[own >> np.uint64(64 - done) == np.uint64(lead)]
+                digit = own >> np.uint64(64 - done - STEP) & np.uint64((1 << STEP) - 1)
+                counts[k] += np.bincount(digit.astype(np.int64), minlength=1 << STEP)
+        for (i, lead), own in zip(brackets, counts):
+            some = np.flatnonzero(own)
+            yield pa.RecordBatch.from_arrays([pa.array([i] * len(some), pa.int32()), pa.array([str(lead)] * len(some), pa.string()), pa.array(some, pa.int32()),
+                                              pa.array(own[some], pa.int64())], names=["c", "lead", "digit", "n"])
+
+    return values.mapInArrow(run, "c int, lead string, digit int, n long")
+
+
 def order_statistics(df: DataFrame, ranks: dict[str, Sequence[int]]) -> dict[str, dict[int, float]]:
     """The values at the given ranks (from 0) of the numeric columns, NULL and NaN left out.
 
     Infinite values aren't supported.
     """
     names = list(ranks)
-    flat = (df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("c"), F.col(n).cast("double").alias("x")) for i, n in enumerate(names)])))
-            .filter("x IS NOT NULL AND NOT isnan(x)").select("c", (_sortable(F.when(F.col("x") == 0, 0.0).otherwise(F.col("x"))).bitwiseXOR(F.lit(-(1 << 63)))).alias("k")))
-    # k read as an unsigned number orders like x; its leading bits are found by unsigned shifts
+    values = df.select(*[F.col(n).cast("double").alias(f"x{i}") for i, n in enumerate(names)])
+    # a key read as an unsigned number orders like x; its leading bits are found by unsigned shifts
     wanted = {(i, r): (0, r) for i, n in enumerate(names) for r in ranks[n]}  # (leading bits, rank among the values that have them)
     for done in range(0, 64, STEP):
         brackets = sorted({(i, lead) for (i, _), (lead, _) in wanted.items()})
-        lead = F.lit(0).cast("long") if not done else F.shiftrightunsigned("k", 64 - done)
-        inside = F.concat(F.col("c"), F.lit(":"), lead).isin([f"{i}:{b}" for i, b in brackets])
-        digit = F.shiftrightunsigned("k", 64 - done - STEP).bitwiseAND((1 << STEP) - 1)
         counts: dict = {}
-        for r in flat.filter(inside).groupBy("c", lead.alias("lead"), digit.alias("digit")).agg(F.count(F.lit(1)).alias("n")).collect():
-            counts.setdefault((r.c, r.lead), {})[r.digit] = r.n
+        for r in counted(values, brackets, done).groupBy("c", "lead", "digit").agg(F.sum("n").alias("n")).collect():
+            counts.setdefault((r.c, int(r.lead)), {})[r.digit] = r.n
         for key, (b, rank) in wanted.items():
             for d, n in sorted(counts.get((key[0], b), {}).items()):
                 if rank < n:

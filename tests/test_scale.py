@@ -83,3 +83,15 @@ def test_gram_blocks_are_read_one_at_a_time_and_exact(spark):
     back = [np.concatenate([v if k is None else v.take(k) for v, k in (columns[j] for _, columns in found)]) for j in range(3)]
     assert [b.tobytes() for b in back] == [np.array([r[j] for r in own]).tobytes() for j in range(3)]
     table.unpersist()
+
+
+def test_order_statistics_read_the_bits_of_doubles(spark):
+    from basketlab.functions import quantiles as Q
+    rng = random.Random(9)
+    xs = [rng.choice([0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, 2.0 ** -1022, rng.gauss(0, 1), rng.uniform(-1e9, 1e9)]) for _ in range(300)]
+    df = spark.createDataFrame([(x, None if i % 3 else -x) for i, x in enumerate(xs)] + [(float("nan"), 1.0), (None, float("nan"))], "x double, y double")
+    ys = [-x for i, x in enumerate(xs) if i % 3 == 0] + [1.0]
+    got = Q.order_statistics(df, {"x": range(0, 300, 7), "y": range(0, len(ys), 5)})
+    assert got == {"x": {r: sorted(xs)[r] for r in range(0, 300, 7)}, "y": {r: sorted(ys)[r] for r in range(0, len(ys), 5)}}
+    plan = Q.counted(df, [(0, 0)], 0)._jdf.queryExecution().executedPlan().toString()
+    assert "POWER" not in plan.upper() and "LOG2" not in plan.upper()  # no exponent is worked out by logarithms
