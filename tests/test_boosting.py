@@ -215,3 +215,20 @@ def test_a_job_of_few_blocks_starts_one_task_for_each_core(spark):
     df = spark.createDataFrame(data(5), SCHEMA).repartition(40)
     table = B.blocks(B.binned(df, FEATURES, "reordered", [[.5], [1.0], [.5]], 0.0, True, True))
     assert table.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_gradient_boosting_has_the_scores_of_spark_ml(spark):
+    from pyspark.ml.classification import GBTClassifier
+    from basketlab.operators import ml as ML
+    rng = random.Random(11)
+    own = [(i, float(rng.randrange(9)), float(rng.randrange(5)), rng.choice([-1.0, 0.5, 2.0])) for i in range(900)]
+    own = [(*r, int((r[1] > 4) ^ (r[2] > 2) ^ (r[3] > 1)) if rng.random() < .8 else rng.randrange(2)) for r in own]
+    df = spark.createDataFrame(own, SCHEMA).withColumnsRenamed({"id": "user_id"})
+    preset = ML.PRESETS["gbt"](6)
+    assert isinstance(preset.estimator(), GBTClassifier)
+    a, b = (ML.score(f(df, preset, FEATURES), df, FEATURES).orderBy("user_id").collect() for f in (ML.fit, ML.fit_scaled))
+    assert [r.score for r in b] == pytest.approx([r.score for r in a], abs=1e-6) and len({round(r.score, 6) for r in a}) > 20
+    m = ML.fit_scaled(df, preset, FEATURES)
+    assert isinstance(m, B.Ensemble) and len(m.used) == 6
+    with pytest.raises(ValueError):
+        ML.gradient_params(ML.Preset("gbt", {**preset.params, "subsamplingRate": 0.5}))
