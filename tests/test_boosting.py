@@ -228,7 +228,21 @@ def test_gradient_boosting_has_the_scores_of_spark_ml(spark):
     assert isinstance(preset.estimator(), GBTClassifier)
     a, b = (ML.score(f(df, preset, FEATURES), df, FEATURES).orderBy("user_id").collect() for f in (ML.fit, ML.fit_scaled))
     assert [r.score for r in b] == pytest.approx([r.score for r in a], abs=1e-6) and len({round(r.score, 6) for r in a}) > 20
+    # values between those of the training rows fall on the same side, also on the middle
+    between = spark.createDataFrame([(i, rng.randrange(36) / 4, rng.randrange(20) / 4, rng.choice([None, -.25, 0.0, 1.25, 9.0]), 1) for i in range(300)],
+                                    SCHEMA).withColumnsRenamed({"id": "user_id"})
+    a, b = (ML.score(f(df, preset, FEATURES), between, FEATURES).orderBy("user_id").collect() for f in (ML.fit, ML.fit_scaled))
+    assert [r.score for r in b] == pytest.approx([r.score for r in a], abs=1e-6)
     m = ML.fit_scaled(df, preset, FEATURES)
     assert isinstance(m, B.Ensemble) and len(m.used) == 6
     with pytest.raises(ValueError):
         ML.gradient_params(ML.Preset("gbt", {**preset.params, "subsamplingRate": 0.5}))
+
+
+def test_cuts_halfway_to_the_value_below(spark):
+    xs = [float(i * i) for i in range(100)]
+    df = spark.createDataFrame([(x, float(i % 4), 1.0) for i, x in enumerate(xs)], "a double, b double, c double").repartition(3)
+    a, b, c = B.cut_points(df, ["a", "b", "c"], B.Params(max_bins=8, cuts="middle"))
+    assert c == [] and [round(v, 9) for v in b] == [0.5, 1.5, 2.5]
+    quantiles = B.cut_points(df, ["a"], B.Params(max_bins=8))[0]
+    assert a == [math.nextafter((v + xs[xs.index(v) - 1]) / 2, math.inf) for v in quantiles]
